@@ -64,11 +64,11 @@ def compare_citations(report: DataFrame, events: DataFrame) -> DataFrame:
         F.sort_array(F.collect_set(F.when(F.col("as_subject"), F.col("other")))).alias("subj"),
         F.sort_array(F.collect_set(F.when(~F.col("as_subject"), F.col("other")))).alias("obj"),
     )
-    lists = lists.select("article_key", F.array_union("subj", "obj").alias("events"))
+    lists = lists.select("article_key", F.array_union("subj", "obj").alias("recorded"))
     joined = left_lookup(keyed, lists, "article_key")
     empty = F.array().cast("array<string>")
-    joined = joined.withColumn("events", F.coalesce("events", empty))
-    reported, recorded = F.col("cited"), F.col("events")
+    joined = joined.withColumn("recorded", F.coalesce("recorded", empty))
+    reported, recorded = F.col("cited"), F.col("recorded")
     reported_keys = F.transform(reported, lambda d: doi_key(d))
     recorded_keys = F.transform(recorded, lambda d: doi_key(d))
     return joined.select(
