@@ -18,9 +18,16 @@ ISNI_URL = "http://isni.org/isni/"
 UUID_PATTERN = r"^(?i)[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}\z"
 
 
+# Every character that counts as a blank at the ends of a text.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(value: Column) -> Column:
     """Remove blanks of any kind, Unicode ones included, from both ends."""
-    return F.regexp_replace(value, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
+    return F.btrim(value, F.lit(BLANKS))
 
 
 def add_prefix_by_start(value: Column, prefixes: Sequence[tuple[str, str]]) -> Column:
@@ -56,24 +63,19 @@ def doi_key(value: Column) -> Column:
 
 
 def normalize_external_id(value: Column, compat: bool = False) -> Column:
-    """URL form of an organisation id (ROR, GRID, ISNI, funder DOI); first rule that fits wins.
+    """URL form of an organisation id (ROR, GRID, ISNI, funder DOI); other ids are only stripped.
 
+    An id starting ``0000`` is an ISNI, even where it has the form of a ROR id.  Each rewrite
+    makes a URL no later one fits, so they follow each other and the id is read once.
     ``compat`` inserts the ISNI path even where it is already present.
     """
     text = strip(value)
-    with_isni_path = F.replace(text, F.lit(ISNI_HOST), F.lit(ISNI_HOST + "/isni"))
-    on_isni_host = text.startswith(ISNI_HOST)
-    if not compat:
-        on_isni_host = on_isni_host & ~text.startswith(ISNI_URL)
-    return (
-        F.when(text.startswith(ROR_URL) | text.startswith(DOI_URL), text)
-        .when(text.startswith("grid."), F.concat(F.lit(GRID_URL), text))
-        .when(text.startswith("0000"), F.concat(F.lit(ISNI_URL), F.replace(text, F.lit(" "), F.lit(""))))
-        .when(text.startswith("10."), F.concat(F.lit(DOI_URL), text))
-        .when(text.rlike(r"^0[a-zA-Z0-9]{6}[0-9]{2}\z"), F.concat(F.lit(ROR_URL), text))
-        .when(on_isni_host, with_isni_path)
-        .otherwise(text)
-    )
+    host = r"^http://isni\.org" + ("" if compat else "(?!/isni/)")
+    text = F.regexp_replace(text, host, ISNI_HOST + "/isni")
+    text = F.regexp_replace(text, r"^grid\.", GRID_URL + "grid.")
+    text = F.when(text.startswith("0000"), F.concat(F.lit(ISNI_URL), F.replace(text, F.lit(" "), F.lit("")))).otherwise(text)
+    text = F.regexp_replace(text, r"^10\.", DOI_URL + "10.")
+    return F.regexp_replace(text, r"^(0[a-zA-Z0-9]{6}[0-9]{2})\z", ROR_URL + "$1")
 
 
 def last_segment(value: Column) -> Column:
@@ -83,8 +85,7 @@ def last_segment(value: Column) -> Column:
 
 def external_id_search_key(value: Column) -> Column:
     """What a registry lists for a normalised id: the last part of an id URL, else the text."""
-    is_url = value.startswith(GRID_URL[:-1]) | value.startswith(ISNI_URL[:-1]) | value.startswith(DOI_URL[:-1])
-    return F.when(is_url, last_segment(value)).otherwise(value)
+    return F.regexp_replace(value, r"(?s)^(?=https://www\.grid\.ac|http://isni\.org/isni|https://doi\.org).*/", "")
 
 
 def with_pmc_prefix(value: Column) -> Column:

@@ -21,17 +21,21 @@ class Numbered:
     chunks: int
 
 
-def number_rows(df: DataFrame, key: str = "id", rows_per_chunk: int = ROWS_PER_FILE) -> Numbered:
+def number_rows(
+    df: DataFrame, key: str = "id", rows_per_chunk: int = ROWS_PER_FILE, partitions: int | None = None
+) -> Numbered:
     """``(key, row_number, chunk)`` for every row, numbered from 1 in key order.
 
     Only the key is moved: it is range-partitioned, sorted inside the partitions and cut to the
     shared checkpoint folder, which fixes what lies in which partition.  The number of a row is
     then its position in its partition plus the rows of all partitions before it.  Only the row
-    count of each partition comes to the driver.
+    count of each partition comes to the driver.  ``partitions`` sets how many there are; without
+    it the session's shuffle partitions decide.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    keys = df.select(key).repartitionByRange(key).sortWithinPartitions(key).checkpoint()
+    by_range = [key] if partitions is None else [partitions, key]
+    keys = df.select(key).repartitionByRange(*by_range).sortWithinPartitions(key).checkpoint()
     # upper bits: partition, lower 33 bits: position in it; fixed by the stored partitions
     placed = keys.withColumn("_place", F.monotonically_increasing_id())
     placed = placed.select(

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from linkloom.functions.titles import name_key
 
 FREQUENT_TOKENS = 1000
+# slack for products like 20 * 0.55, which floating point puts just above 11
+SLACK = 1e-9
 
 
 def token_set(title: Column) -> Column:
@@ -40,7 +42,7 @@ def _rare_first(tokens: Column, frequent: list[str]) -> Column:
 
 def _with_prefix(sets: DataFrame, frequent: list[str], min_score: float) -> DataFrame:
     n = F.size("tokens")
-    length = n - F.ceil(n * min_score - 1e-9).cast("int") + 1
+    length = n - F.ceil(n * min_score - SLACK).cast("int") + 1
     ordered = sets.withColumn("_ordered", _rare_first(F.col("tokens"), frequent))
     return ordered.withColumn("prefix", F.slice("_ordered", F.lit(1), length)).drop("_ordered")
 
@@ -67,8 +69,8 @@ def similar_names(left: DataFrame, right: DataFrame, min_score: float, frequent:
     score = shared / (size_a + size_b - shared)
     join = (
         (a["token"] == b["token"])
-        & (size_b >= size_a * min_score)
-        & (size_a >= size_b * min_score)
+        & (size_b >= size_a * min_score - SLACK)
+        & (size_a >= size_b * min_score - SLACK)
         & (F.get(F.array_intersect("pa", "pb"), F.lit(0)) == a["token"])
         & (score >= min_score)
     )

@@ -40,16 +40,11 @@ def _contained(inner: Column, outer: Column) -> Column:
     return F.forall(rest, lambda one: F.exists(outer, lambda other: F.contains(other, one)))
 
 
-def _covers(inner: Column, outer: Column) -> Column:
-    """Every element of ``outer`` lies within the text of some element of ``inner``."""
-    return _contained(outer, inner)
-
-
 def same_citations(reported: Column, events: Column) -> Column:
     """Loose equality: equally long, and each entry contained in one of the other list."""
     left = F.transform(reported, lambda d: F.lower(d))
     right = F.transform(events, lambda d: doi_key(d))
-    return (F.size(reported) == F.size(events)) & _contained(left, right) & _covers(left, right)
+    return (F.size(reported) == F.size(events)) & _contained(left, right) & _contained(right, left)
 
 
 def compare_citations(report: DataFrame, events: DataFrame) -> DataFrame:
@@ -96,28 +91,34 @@ def in_events(pairs: DataFrame, events: DataFrame, present: bool = True) -> Data
 def missing_citations(report: DataFrame, events: DataFrame) -> DataFrame:
     """Per reported article: its citations and those not recorded with it as subject.
 
-    Pairs are joined one by one, so the events of a busy article are never gathered.  Equal
-    report lines give one row.
+    A report line is taken apart into its entries, which carry a digest of the line and not the
+    list, and each entry is joined by itself, so the events of a busy article are never gathered.
+    Equal report lines give one row.
     """
-    pairs = report.select("article_doi", "cited", F.posexplode_outer("cited").alias("pos", "dataset_doi"))
-    pairs = pairs.withColumns({"_article": doi_key(F.col("article_doi")), "_dataset": doi_key(F.col("dataset_doi"))})
+    line = F.sha2(F.concat_ws("\u001f", "article_doi", "cited"), 256)
+    entries = report.select(line.alias("line"), "article_doi", F.posexplode_outer("cited").alias("pos", "dataset_doi"))
+    entries = entries.withColumns({"_article": doi_key(F.col("article_doi")), "_dataset": doi_key(F.col("dataset_doi"))})
     links = (
         citation_links(events)
         .select(doi_key(F.col("subj_id")).alias("_article"), doi_key(F.col("obj_id")).alias("_dataset"))
         .distinct()
         .withColumn("_found", F.lit(True))
     )
-    checked = pairs.join(links, ["_article", "_dataset"], "left").dropDuplicates(["article_doi", "cited", "pos"])
-    is_missing = F.col("_found").isNull() & F.col("dataset_doi").isNotNull()
-    lines = checked.groupBy("article_doi", "cited").agg(
-        F.sort_array(F.collect_list(F.when(is_missing, F.struct("pos", "dataset_doi")))).alias("missing")
+    checked = entries.join(links, ["_article", "_dataset"], "left")
+    entry = F.struct("pos", "dataset_doi", F.col("_found").isNull().alias("absent"))
+    lines = checked.groupBy("line", "article_doi").agg(
+        F.sort_array(F.collect_set(F.when(F.col("pos").isNotNull(), entry))).alias("cited")
     )
-    total, missing = F.size("cited"), F.size("missing")
+    lines = lines.withColumn("absent", F.filter("cited", lambda e: e["absent"]))
+
+    def text(entries: str) -> Column:
+        return F.array_join(F.transform(entries, lambda e: e["dataset_doi"]), ", ")
+
     return lines.select(
         "article_doi",
-        F.array_join("cited", ", ").alias("reported"),
-        total.alias("reported_count"),
-        F.array_join(F.transform("missing", lambda m: m["dataset_doi"]), ", ").alias("missing"),
-        missing.alias("missing_count"),
-        (total - missing).alias("found_count"),
+        text("cited").alias("reported"),
+        F.size("cited").alias("reported_count"),
+        text("absent").alias("missing"),
+        F.size("absent").alias("missing_count"),
+        (F.size("cited") - F.size("absent")).alias("found_count"),
     )

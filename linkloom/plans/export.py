@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions.labels import joined, object_label, organisation_label, ror_label
 from linkloom.operators.numbering import ROWS_PER_FILE, Numbered, number_rows
-from linkloom.sinks.files import write_csv_chunks, write_json_chunks
+from linkloom.operators.updates import fix_separators
+from linkloom.sinks.files import CSV_OPTIONS, materialize, write_csv_chunks, write_json_chunks
 
 
 def with_chunks(details: DataFrame, numbered: Numbered, key: str = "id") -> DataFrame:
@@ -18,20 +19,21 @@ def with_chunks(details: DataFrame, numbered: Numbered, key: str = "id") -> Data
 def csv_rows(details: DataFrame, compat: bool = False) -> DataFrame:
     """Flat form of the nested records: 16 text columns in their fixed order."""
 
-    def labels(column: str, label) -> F.Column:
-        return joined(F.transform(column, lambda ref: label(ref, compat)))
+    def labels(column: str, one) -> Column:
+        return joined(F.transform(column, lambda ref: one(ref, compat)))
 
-    text = F.coalesce
-    blank = F.lit("")
-    # other columns (row number, chunk) ride along
+    def label(column: str) -> Column:
+        return F.coalesce(object_label(F.col(column), compat), F.lit(""))
+
+    # the row number and the chunk ride along
     extra = [c for c in details.columns if c in ("row_number", "chunk")]
     return details.select(
         "id",
         "created",
         "updated",
-        text(object_label(F.col("repository"), compat), blank).alias("repository"),
-        text(object_label(F.col("publisher"), compat), blank).alias("publisher"),
-        text(object_label(F.col("journal"), compat), blank).alias("journal"),
+        label("repository").alias("repository"),
+        label("publisher").alias("publisher"),
+        label("journal").alias("journal"),
         "title",
         "dataset",
         "publication",
@@ -55,11 +57,20 @@ def export_dump(
 ) -> Numbered:
     """Write the JSON and the CSV form under ``path/json`` and ``path/csv``.
 
+    The numbered nested rows are stored once under ``path/rows``, so the joins that build them
+    run once for both forms.
+
     ``ids``: a cheaper table with the same ids (the assertions), to number without building the
     nested rows twice.  ``name_template`` such as ``"2025-01-01-links-{nn}"`` names the files.
     """
     numbered = number_rows(details if ids is None else ids, "id", rows_per_file)
-    chunked = with_chunks(details, numbered)
+    chunked = materialize(with_chunks(details, numbered), f"{path}/rows")
     write_json_chunks(chunked, numbered, f"{path}/json", rows_per_file, name_template)
     write_csv_chunks(csv_rows(chunked), numbered, f"{path}/csv", name_template)
     return numbered
+
+
+def rewrite_separators(spark: SparkSession, source: str, target: str, compat: bool = False) -> None:
+    """Rewrite CSV dumps with the separators of their list columns fixed; all columns stay text."""
+    rows = spark.read.options(header=True, quote='"', escape='"', multiLine=True).csv(source)
+    fix_separators(rows, compat=compat).write.mode("overwrite").options(**CSV_OPTIONS).csv(target)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.identifiers import ROR_URL, external_id_search_key, normalize_external_id
 from linkloom.functions.titles import name_key
-from linkloom.operators.filters import select_recent
 from linkloom.operators.joins import broadcastable, left_lookup
 from linkloom.operators.similarity import best_matches, frequent_tokens, similar_names, token_set
 from linkloom.operators.updates import clear_invalid_ids, ensure_columns
@@ -57,14 +56,10 @@ def with_search_keys(orgs: DataFrame, compat: bool = False) -> DataFrame:
     """Normalised external id, the key to look it up with, and the name key."""
     external_id = F.col("external_id")
     normalized = F.when(external_id != "", normalize_external_id(external_id, compat)).otherwise(external_id)
-    has_id = F.col("_normalized") != ""
-    is_ror = F.col("_normalized").startswith(ROR_URL)
+    # a ROR URL is its own search key
     return (
         orgs.withColumn("_normalized", normalized)
-        .withColumn(
-            "_id_key",
-            F.when(is_ror, F.col("_normalized")).when(has_id, external_id_search_key(F.col("_normalized"))),
-        )
+        .withColumn("_id_key", F.nullif(external_id_search_key(F.col("_normalized")), F.lit("")))
         .withColumn("_name_key", name_key(F.col("title")))
     )
 
@@ -150,6 +145,3 @@ def candidate_report(orgs: DataFrame, registry: DataFrame, min_score: float = 0.
     joined = left_lookup(keyed, wide, "set_key")
     return joined.select("id", F.col("title").alias("Original Name"), *[c for c in wide.columns if c != "set_key"])
 
-
-def select_for_review(orgs: DataFrame, since: str | None) -> DataFrame:
-    return select_recent(orgs, since)

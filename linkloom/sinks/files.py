@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkloom.corpus import BRIDGES, Corpus
 from linkloom.operators.numbering import Numbered
 
 # Quotes doubled inside quoted fields, empty fields for null and for empty text.
@@ -122,3 +123,25 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     """Store a result and read it back; running it again is the refresh."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def save_corpus(corpus: Corpus, path: str) -> None:
+    for name, table in corpus.tables().items():
+        table.write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+def save_bucketed(corpus: Corpus, buckets: int) -> None:
+    """Store the corpus as tables, assertions and bridges bucketed and sorted by assertion id.
+
+    Cascades, nesting and the details join on that id, so on these tables they need no shuffle
+    on the stored side.  Read back with ``load_corpus(spark, reader=spark.table)``.
+    """
+    layout = {"assertions": "id", **{bridge: "assertion_id" for bridge in BRIDGES}}
+    for name, table in corpus.tables().items():
+        key = layout.get(name)
+        if key is None:
+            table.write.mode("overwrite").saveAsTable(name)
+        else:
+            # one task per bucket, so that each bucket is one sorted file
+            rows = table.repartition(buckets, key)
+            rows.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(name)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,19 +21,14 @@ def load_corpus(
     """The eleven tables as Parquet folders under ``path``.
 
     Another store goes through ``reader``, a function from table name to DataFrame such as
-    ``lambda table: spark.read.jdbc(url, table, column="id", ...)``.
+    ``spark.table`` for stored tables or ``lambda t: spark.read.jdbc(url, t, column="id", ...)``.
     """
     if reader is None:
-        reader = lambda name: spark.read.parquet(f"{path}/{name}")  # noqa: E731  Parquet carries its schema
+        return Corpus(**{name: spark.read.parquet(f"{path}/{name}") for name in schemas.CORPUS})
     return Corpus(**{name: reader(name) for name in schemas.CORPUS})
 
 
-def save_corpus(corpus: Corpus, path: str) -> None:
-    for name, table in corpus.tables().items():
-        table.write.mode("overwrite").parquet(f"{path}/{name}")
-
-
-def _file_name() -> F.Column:
+def _file_name() -> Column:
     """Name of the file a row comes from, decoded."""
     return F.url_decode(F.substring_index(F.input_file_name(), "/", -1))
 
@@ -114,7 +109,7 @@ def read_review_csv(spark: SparkSession, path: str) -> DataFrame:
     return df.toDF(*[c.strip() for c in df.columns])
 
 
-def citation_list(text: F.Column) -> F.Column:
+def citation_list(text: Column) -> Column:
     """Array of the entries of a bracketed, quoted, comma-separated list."""
     inner = F.btrim(text, F.lit("[]"))
     entries = F.transform(F.split(inner, ","), lambda e: F.btrim(e, F.lit('" ')))
@@ -132,6 +127,13 @@ def read_citation_report(
     return df.select(F.col(f"`{article_column}`").alias("article_doi"), cited.alias("cited"))
 
 
-def read_dump(spark: SparkSession, path: str) -> DataFrame:
-    """Records of exported JSON array files; an empty object reads as one with null fields."""
-    return spark.read.schema(schemas.DETAILS).option("multiLine", True).json(path)
+def read_dump(spark: SparkSession, path: str, record_per_line: bool = True) -> DataFrame:
+    """Records of exported JSON array files; an empty object reads as one with null fields.
+
+    Our own dumps hold one record per line, so they are split and read line by line whatever
+    their size.  ``record_per_line=False`` reads an array laid out in any other way.
+    """
+    if not record_per_line:
+        return spark.read.schema(schemas.DETAILS).option("multiLine", True).json(path)
+    record = F.regexp_replace("value", r"^\[|[,\]]$", "")
+    return spark.read.text(path).select(F.from_json(record, schemas.DETAILS).alias("r")).select("r.*")
