@@ -211,7 +211,9 @@ DERIVED = {
                     when 3 then 'Lab ' || cast(s_suppkey as string)
                     else 'Research Institute ' || cast(s_suppkey as string) end as name,
                split('Inst ' || cast(s_suppkey as string) || ';Building Fund '
-                     || cast(s_suppkey as string) || ';Recherche Institut', ';') as aliases,
+                     || cast(s_suppkey as string) || ';Trust Fund of Household '
+                     || cast(s_suppkey as string) || ';Household Fund '
+                     || cast(s_suppkey as string) || ' Trust;Recherche Institut', ';') as aliases,
                split('grid.' || cast(s_suppkey as string) || '.1;'
                      || case when s_suppkey % 50 = 3 then '100000001'
                              when s_suppkey % 60 = 5 then '0000000123456789' else '' end, ';') as external_ids

@@ -1,9 +1,15 @@
 """Exact set-similarity join of organisation names against a registry.
 
-Two token sets with Jaccard similarity of at least t share a token within their first
-``n - ceil(t*n) + 1`` tokens, whatever total order the tokens are put in.  So only those prefixes
-are joined.  Frequent tokens are ordered last and rarely get into a prefix; the order changes how
-much work there is, never the result, and no token or candidate is dropped.
+Let two token sets of n and m tokens have a Jaccard similarity of at least t.  Then they share
+at least ``o = ceil(t / (1 + t) * (n + m))`` tokens.  Whatever total order tokens are put in, the
+first j of the shared ones lie within the first ``n - o + j`` tokens of the one set and the first
+``m - o + j`` of the other.  So names are joined on combinations of j tokens from those prefixes:
+every pair above t meets, and it meets on the combination of its first j shared tokens.
+
+Joining on combinations, with rare tokens ordered first, keeps names apart that only have common
+words in common; no token, name or candidate is ever dropped.  Short names (up to ``SHORT``
+tokens) use the exact overlap of each pair of sizes and up to three tokens, longer ones two
+tokens and the bound ``o >= ceil(t * n)``, which needs no sizes.
 """
 
 from __future__ import annotations
@@ -13,7 +19,10 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.titles import name_key
 
-FREQUENT_TOKENS = 1000
+FREQUENT_TOKENS = 200
+SHORT = 8
+MAX_COMBINED = 3
+MIN_SCORE = 0.75
 # slack for products like 20 * 0.55, which floating point puts just above 11
 SLACK = 1e-9
 
@@ -31,50 +40,89 @@ def frequent_tokens(sets: DataFrame, limit: int = FREQUENT_TOKENS) -> list[str]:
 
 
 def _rare_first(tokens: Column, frequent: list[str]) -> Column:
-    if not frequent:
-        return tokens
-    known = F.array(*[F.lit(t) for t in frequent])
+    """The tokens in one order for all sets: those not frequent, long before short, then the rest."""
+    known = F.array(*[F.lit(t) for t in frequent]).cast("array<string>")
     ranked = F.transform(
-        tokens, lambda t: F.struct(F.array_position(known, t).alias("rank"), (-F.length(t)).alias("shortness"), t.alias("token"))
+        tokens,
+        lambda t: F.struct(F.array_position(known, t).alias("rank"), (-F.length(t)).alias("shortness"), t.alias("token")),
     )
     return F.transform(F.array_sort(ranked), lambda r: r["token"])
 
 
-def _with_prefix(sets: DataFrame, frequent: list[str], min_score: float) -> DataFrame:
-    n = F.size("tokens")
-    length = n - F.ceil(n * min_score - SLACK).cast("int") + 1
-    ordered = sets.withColumn("_ordered", _rare_first(F.col("tokens"), frequent))
-    return ordered.withColumn("prefix", F.slice("_ordered", F.lit(1), length)).drop("_ordered")
+def _combinations(tokens: Column, size: int) -> Column:
+    """All combinations of ``size`` tokens, each as one text, tokens in their order."""
+    if size == 1:
+        return tokens
+
+    def tail(at: Column) -> Column:
+        return F.slice(tokens, at + 2, F.size(tokens))
+
+    if size == 2:
+        return F.flatten(F.transform(tokens, lambda a, i: F.transform(tail(i), lambda b: F.concat_ws(" ", a, b))))
+    return F.flatten(
+        F.flatten(
+            F.transform(
+                tokens,
+                lambda a, i: F.transform(
+                    tail(i), lambda b, k: F.transform(tail(i + k + 1), lambda c: F.concat_ws(" ", a, b, c))
+                ),
+            )
+        )
+    )
+
+
+def _up(value: Column) -> Column:
+    return F.ceil(value - SLACK).cast("int")
+
+
+def _down(value: Column) -> Column:
+    return F.floor(value + SLACK).cast("int")
+
+
+def _join_keys(sets: DataFrame, frequent: list[str], t: float, left: bool) -> DataFrame:
+    """One row per join key of a set: ``key``, the prefix it is taken from and its token count."""
+    sets = sets.withColumn("ordered", _rare_first(F.col("tokens"), frequent)).drop("tokens")
+    sets = sets.withColumn("n", F.size("ordered"))
+    n, m, j = F.col("n"), F.col("m"), F.col("j")
+    largest = _down(n / t)
+
+    sizes = F.sequence(F.greatest(_up(n * t), F.lit(1)), F.least(largest, F.lit(SHORT)))
+    short = sets.filter(n <= SHORT).withColumn("m", F.explode(sizes))
+    overlap = _up((n + m) * (t / (1 + t)))
+    short = short.withColumn("j", F.least(overlap, F.lit(MAX_COMBINED))).withColumn("prefix", F.slice("ordered", F.lit(1), n - overlap + j))
+    by_size = F.when(j == 1, _combinations(F.col("prefix"), 1)).when(j == 2, _combinations(F.col("prefix"), 2))
+    pair = (n, m) if left else (m, n)
+    short = short.withColumn("combination", F.explode(by_size.otherwise(_combinations(F.col("prefix"), 3))))
+    short = short.withColumn("scheme", F.concat_ws("-", *pair)).drop("m")
+
+    long = sets.filter((n > SHORT) | (largest > SHORT)).withColumn("j", F.lit(2))
+    long = long.withColumn("prefix", F.slice("ordered", F.lit(1), n - _up(n * t) + 2))
+    long = long.withColumn("combination", F.explode(_combinations(F.col("prefix"), 2))).withColumn("scheme", F.lit("long"))
+    return short.unionByName(long)
 
 
 def similar_names(left: DataFrame, right: DataFrame, min_score: float, frequent: list[str]) -> DataFrame:
     """Pairs ``(set_key, ror_id, name, score)`` with a Jaccard score of at least ``min_score``.
 
     ``left(set_key, tokens)`` has one row per distinct token set, ``right(ror_id, name, tokens)``
-    one per registry name.  A pair is produced only at the first token its prefixes share, so it
-    is produced once, and only after size and score have been checked inside the join.
+    one per registry name.  The join itself checks that a pair stands at its first shared
+    combination, so that it is produced once, and that its score is high enough.
     """
-    a = _with_prefix(left, frequent, min_score).select(
-        "set_key", F.col("tokens").alias("a"), F.col("prefix").alias("pa"), F.explode("prefix").alias("token")
-    )
-    b = _with_prefix(right, frequent, min_score).select(
-        "ror_id",
-        "name",
-        F.col("tokens").alias("b"),
-        F.col("prefix").alias("pb"),
-        F.explode("prefix").alias("token"),
-    )
-    size_a, size_b = F.size("a"), F.size("b")
-    shared = F.size(F.array_intersect("a", "b"))
-    score = shared / (size_a + size_b - shared)
-    join = (
-        (a["token"] == b["token"])
-        & (size_b >= size_a * min_score - SLACK)
-        & (size_a >= size_b * min_score - SLACK)
-        & (F.get(F.array_intersect("pa", "pb"), F.lit(0)) == a["token"])
+    if not 0.2 <= min_score <= 1:
+        raise ValueError("min_score must lie between 0.2 and 1")
+    a = _join_keys(left, frequent, min_score, left=True).alias("a")
+    b = _join_keys(right, frequent, min_score, left=False).alias("b")
+    first_shared = F.slice(F.array_intersect("a.prefix", "b.prefix"), F.lit(1), F.col("a.j"))
+    shared = F.size(F.array_intersect("a.ordered", "b.ordered"))
+    score = shared / (F.col("a.n") + F.col("b.n") - shared)
+    meet = (
+        (F.col("a.scheme") == F.col("b.scheme"))
+        & (F.col("a.combination") == F.col("b.combination"))
+        & ((F.col("a.scheme") != "long") | (F.greatest("a.n", "b.n") > SHORT))
+        & (F.concat_ws(" ", first_shared) == F.col("a.combination"))
         & (score >= min_score)
     )
-    return a.join(b, join).select("set_key", "ror_id", "name", score.alias("score"))
+    return a.join(b, meet).select("set_key", "ror_id", "name", score.alias("score"))
 
 
 def best_matches(pairs: DataFrame, top: int) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from linkloom.functions.identifiers import ROR_URL, external_id_search_key, normalize_external_id
 from linkloom.functions.titles import name_key
 from linkloom.operators.joins import broadcastable, left_lookup
-from linkloom.operators.similarity import best_matches, frequent_tokens, similar_names, token_set
+from linkloom.operators.similarity import MIN_SCORE, best_matches, frequent_tokens, similar_names, token_set
 from linkloom.operators.updates import clear_invalid_ids, ensure_columns
 
 MATCH_COLUMNS = ("Name", "ID", "Score", "Chosen")
@@ -110,7 +110,7 @@ def unresolved_orgs(affiliations: DataFrame, funders: DataFrame) -> DataFrame:
 
 
 def candidate_matches(
-    orgs: DataFrame, registry: DataFrame, min_score: float = 0.5, top: int = 3
+    orgs: DataFrame, registry: DataFrame, min_score: float = MIN_SCORE, top: int = 3
 ) -> DataFrame:
     """Long form ``(set_key, rank, name, ror_id, score, chosen)`` per distinct name of ``orgs``.
 
@@ -124,7 +124,7 @@ def candidate_matches(
     return best_matches(similar_names(sets, names, min_score, frequent), top)
 
 
-def candidate_report(orgs: DataFrame, registry: DataFrame, min_score: float = 0.5, top: int = 3) -> DataFrame:
+def candidate_report(orgs: DataFrame, registry: DataFrame, min_score: float = MIN_SCORE, top: int = 3) -> DataFrame:
     """One row per organisation: its name and up to ``top`` matches, best first.
 
     A match is chosen when it is the only one with a full score.
