@@ -15,7 +15,7 @@ from linkloom.functions import titles
 from linkloom.functions.identifiers import doi_key, external_id_search_key, normalize_external_id
 from linkloom.operators.dedup import dedup_latest
 from linkloom.operators import filters, integrity, updates
-from linkloom.operators.joins import left_lookup
+from linkloom.operators.joins import lookup_join
 from linkloom.operators.nesting import expand_bridge, nest
 from linkloom.operators.numbering import number_rows
 from linkloom.plans import (
@@ -1103,7 +1103,7 @@ def _by_id(t):
 def _matched(t, key: str, lookup: DataFrame, entry: str) -> DataFrame:
     orgs = updates.clear_invalid_ids(t.affiliations, rules.INVALID_EXTERNAL_IDS["affiliations"])
     keyed = reconcile.with_search_keys(orgs).drop("ror_id", "ror_name")
-    found = left_lookup(keyed, lookup, key).filter(F.col(entry).isNotNull())
+    found = lookup_join(keyed, lookup, key).filter(F.col(entry).isNotNull())
     return found.withColumns({"ror_id": F.col(f"{entry}.ror_id"), "name": F.col(f"{entry}.name")})
 
 

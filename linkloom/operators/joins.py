@@ -1,8 +1,11 @@
 """Joins with a checked broadcast and a shuffle path that stands up to skew.
 
-Beyond the broadcast bound the joins are plain shuffle joins: AQE splits the partition of a hot
-key by map output, and null keys, which match nothing, are spread so that they never pile up in
-one partition.
+Beyond the broadcast bound, ``lookup_join`` is a shuffle join in which AQE can split the partition
+of a hot key by map output, copies of one row included.  AQE only does so when both sides come
+straight out of a shuffle made for the join.  A lookup that was aggregated by its key is already
+partitioned by it and would be joined in place, so the join runs on a prefixed form of the key:
+the lookup, the small side, is shuffled once more and the facts become splittable.  Null keys,
+which match nothing, get stand-ins that spread them over all partitions.
 """
 
 from __future__ import annotations
@@ -62,25 +65,21 @@ def broadcast_if_small(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: F.broadcast(table) if name in small else table for name, table in tables.items()}
 
 
-def left_lookup(df: DataFrame, lookup: DataFrame, key: str, small: bool = False) -> DataFrame:
-    """Left join on one column whose name both sides share; ``lookup`` has one row per key.
+def lookup_join(df: DataFrame, lookup: DataFrame, key: str, how: str = "left", small: bool = False) -> DataFrame:
+    """Left, inner or semi join on one text column whose name both sides share.
 
-    Rows with a null key go to many partitions: they carry a stand-in key no lookup row has.
+    ``small``: the lookup has been measured and may be broadcast.
     """
     if small:
-        return df.join(F.broadcast(lookup), key, "left")
-    carried = [c for c in df.columns if c != key]
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in carried]), F.lit(NULL_SPREAD))
-    left = df.withColumn("_null_slot", F.when(F.col(key).isNull(), spread).otherwise(F.lit(-1)))
-    right = lookup.filter(F.col(key).isNotNull()).withColumn("_null_slot", F.lit(-1).cast("bigint"))
-    right = right.withColumnRenamed(key, "_lookup_key")
-    joined = left.join(
-        right,
-        (F.coalesce(left[key], F.lit("")) == F.coalesce(right["_lookup_key"], F.lit("")))
-        & (left["_null_slot"] == right["_null_slot"]),
-        "left",
-    )
-    return joined.drop(left["_null_slot"]).drop(right["_null_slot"]).drop("_lookup_key")
+        return df.join(F.broadcast(lookup), key, how)
+    carried = [F.col(f"`{c}`") for c in df.columns if c != key]
+    slot = F.pmod(F.xxhash64(*carried), F.lit(NULL_SPREAD)).cast("string")
+    # real keys start with "=", stand-ins with "-", so they never meet
+    spread_key = F.coalesce(F.concat(F.lit("="), key), F.concat(F.lit("-"), slot))
+    left = df.withColumn("_spread_key", spread_key)
+    right = lookup.filter(F.col(key).isNotNull()).withColumn("_lookup_key", F.concat(F.lit("="), key)).drop(key)
+    joined = left.join(right, left["_spread_key"] == right["_lookup_key"], how)
+    return joined.drop("_spread_key", "_lookup_key")
 
 
 def keep_keys(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkloom.operators.joins import lookup_join
 
-def expand_bridge(bridge: DataFrame, dim: DataFrame, fk: str) -> DataFrame:
+
+def expand_bridge(bridge: DataFrame, dim: DataFrame, fk: str, small: bool = False) -> DataFrame:
     """Bridge rows with the columns of the dimension row they point to."""
     keyed = dim.withColumnRenamed("id", fk)
-    return bridge.select("assertion_id", fk).join(keyed, fk)
+    return lookup_join(bridge.select("assertion_id", fk), keyed, fk, "inner", small)
 
 
 def nest(expanded: DataFrame, value: Column, name: str, keep: Column | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ from linkloom.corpus import Corpus
 from linkloom.functions.identifiers import accession_matches, accession_patterns
 from linkloom.operators.filters import drop_ids, select_accession_source
 from linkloom.operators.integrity import cascade
-from linkloom.operators.joins import broadcastable, left_lookup
+from linkloom.operators.joins import broadcastable, lookup_join
 
 
 def validate_accessions(
@@ -34,7 +34,7 @@ def validate_accessions(
     }
     small = broadcastable(lookups)
     for key, lookup in lookups.items():
-        checked = left_lookup(checked, lookup, key, small=key in small)
+        checked = lookup_join(checked, lookup, key, small=key in small)
     return checked.select(
         "repository_id",
         "id",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from linkloom import rules
 from linkloom.functions.identifiers import doi_key
-from linkloom.operators.joins import left_lookup
+from linkloom.operators.joins import lookup_join
 
 
 def citation_links(events: DataFrame, relations: Sequence[str] = tuple(rules.CITATION_RELATIONS)) -> DataFrame:
@@ -28,7 +28,7 @@ def citation_events_for(articles: DataFrame, events: DataFrame) -> DataFrame:
     as_object = links.select(
         doi_key(F.col("obj_id")).alias("article_key"), F.col("subj_id").alias("other"), F.lit(False).alias("as_subject")
     )
-    return as_subject.unionByName(as_object).join(keys, "article_key", "left_semi")
+    return lookup_join(as_subject.unionByName(as_object), keys, "article_key", "left_semi")
 
 
 def _contained(inner: Column, outer: Column) -> Column:
@@ -60,7 +60,7 @@ def compare_citations(report: DataFrame, events: DataFrame) -> DataFrame:
         F.sort_array(F.collect_set(F.when(~F.col("as_subject"), F.col("other")))).alias("obj"),
     )
     lists = lists.select("article_key", F.array_union("subj", "obj").alias("recorded"))
-    joined = left_lookup(keyed, lists, "article_key")
+    joined = lookup_join(keyed, lists, "article_key")
     empty = F.array().cast("array<string>")
     joined = joined.withColumn("recorded", F.coalesce("recorded", empty))
     reported, recorded = F.col("cited"), F.col("recorded")
@@ -104,10 +104,10 @@ def missing_citations(report: DataFrame, events: DataFrame) -> DataFrame:
         .distinct()
         .withColumn("_found", F.lit(True))
     )
-    checked = entries.join(links, ["_article", "_dataset"], "left")
+    checked = entries.distinct().join(links, ["_article", "_dataset"], "left")
     entry = F.struct("pos", "dataset_doi", F.col("_found").isNull().alias("absent"))
     lines = checked.groupBy("line", "article_doi").agg(
-        F.sort_array(F.collect_set(F.when(F.col("pos").isNotNull(), entry))).alias("cited")
+        F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), entry))).alias("cited")
     )
     lines = lines.withColumn("absent", F.filter("cited", lambda e: e["absent"]))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from linkloom.corpus import Corpus
 from linkloom.functions.labels import organisation, titled, titled_or_null
-from linkloom.operators.joins import broadcast_if_small, broadcastable, left_lookup
+from linkloom.operators.joins import broadcastable, lookup_join
 from linkloom.operators.nesting import attach, expand_bridge, nest
 
 
@@ -31,7 +31,7 @@ def join_dims(assertions: DataFrame, lookups: dict[str, DataFrame]) -> DataFrame
     """Left join every lookup by its key; small ones are broadcast after being measured."""
     small = broadcastable(lookups)
     for key, lookup in lookups.items():
-        assertions = left_lookup(assertions, lookup, key, small=key in small)
+        assertions = lookup_join(assertions, lookup, key, small=key in small)
     return assertions
 
 
@@ -41,7 +41,12 @@ def assertion_details_formatted(corpus: Corpus) -> DataFrame:
     The bridges are expanded and nested before they meet the fact, so the fact is shuffled once
     (by id) and all three joins reuse that partitioning.
     """
-    dims = broadcast_if_small({"affiliations": corpus.affiliations, "funders": corpus.funders, "subjects": corpus.subjects})
+    dims = {"affiliations": corpus.affiliations, "funders": corpus.funders, "subjects": corpus.subjects}
+    small = broadcastable(dims)
+
+    def expanded(bridge: DataFrame, dim: str, fk: str) -> DataFrame:
+        return expand_bridge(bridge, dims[dim], fk, small=dim in small)
+
     details = join_dims(
         corpus.assertions.select(
             "id",
@@ -60,9 +65,9 @@ def assertion_details_formatted(corpus: Corpus) -> DataFrame:
     )
     org = organisation(F.col("title"), F.col("external_id"), F.col("ror_name"), F.col("ror_id"))
     named = F.col("title").isNotNull() | F.col("external_id").isNotNull()
-    affiliations = expand_bridge(corpus.assertions_affiliations, dims["affiliations"], "affiliation_id")
-    funders = expand_bridge(corpus.assertions_funders, dims["funders"], "funder_id")
-    subjects = expand_bridge(corpus.assertions_subjects, dims["subjects"], "subject_id")
+    affiliations = expanded(corpus.assertions_affiliations, "affiliations", "affiliation_id")
+    funders = expanded(corpus.assertions_funders, "funders", "funder_id")
+    subjects = expanded(corpus.assertions_subjects, "subjects", "subject_id")
     details = attach(details, nest(affiliations, org, "affiliations", named), "affiliations")
     details = attach(details, nest(funders, org, "funders", named), "funders")
     title = F.col("title")
@@ -90,15 +95,20 @@ def assertion_details(corpus: Corpus, funders_via: str = "funders") -> DataFrame
 
     ``funders_via='affiliations'`` looks funders up through the affiliations bridge.
     """
-    dims = broadcast_if_small({"affiliations": corpus.affiliations, "funders": corpus.funders, "subjects": corpus.subjects})
+    dims = {"affiliations": corpus.affiliations, "funders": corpus.funders, "subjects": corpus.subjects}
+    small = broadcastable(dims)
+
+    def expanded(bridge: DataFrame, dim: str, fk: str) -> DataFrame:
+        return expand_bridge(bridge, dims[dim], fk, small=dim in small)
+
     details = join_dims(corpus.assertions, _lookups(corpus, titled))
     item: Column = titled(F.col("title"), F.col("external_id"))
-    subjects = expand_bridge(corpus.assertions_subjects, dims["subjects"], "subject_id")
-    affiliations = expand_bridge(corpus.assertions_affiliations, dims["affiliations"], "affiliation_id")
+    subjects = expanded(corpus.assertions_subjects, "subjects", "subject_id")
+    affiliations = expanded(corpus.assertions_affiliations, "affiliations", "affiliation_id")
     if funders_via == "affiliations":
-        funders = expand_bridge(corpus.assertions_affiliations, dims["funders"], "affiliation_id")
+        funders = expanded(corpus.assertions_affiliations, "funders", "affiliation_id")
     else:
-        funders = expand_bridge(corpus.assertions_funders, dims["funders"], "funder_id")
+        funders = expanded(corpus.assertions_funders, "funders", "funder_id")
     details = attach(details, nest(subjects, F.col("title"), "subjects"), "subjects")
     details = attach(details, nest(affiliations, item, "affiliations"), "affiliations")
     details = attach(details, nest(funders, item, "funders"), "funders")

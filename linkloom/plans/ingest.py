@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from linkloom import rules
 from linkloom.functions.identifiers import doi_to_url, strip, with_pmc_prefix
 from linkloom.operators.dedup import pick_by_key
-from linkloom.operators.joins import broadcastable, drop_keys, left_lookup
+from linkloom.operators.joins import broadcastable, drop_keys, lookup_join
 
 DOI_CODE = "doi"
 
@@ -45,7 +45,7 @@ def publication_lookup(crosswalk: DataFrame, cache: DataFrame) -> DataFrame:
 def lookup_publications(feed: DataFrame, crosswalk: DataFrame, cache: DataFrame) -> DataFrame:
     """Feed rows with their publication, null where it is unknown."""
     lookup = publication_lookup(crosswalk, cache)
-    return left_lookup(usable_feed(feed), lookup, "pmcid")
+    return lookup_join(usable_feed(feed), lookup, "pmcid")
 
 
 def resolve_publications(feed: DataFrame, crosswalk: DataFrame, cache: DataFrame) -> DataFrame:
@@ -56,7 +56,7 @@ def missing_keys(feed: DataFrame, crosswalk: DataFrame, cache: DataFrame) -> Dat
     """Distinct article ids in neither table, and the form an id service expects."""
     keys = usable_feed(feed).select("pmcid").distinct()
     known = usable_crosswalk(crosswalk).select("pmcid").unionByName(cache.select("pmcid"))
-    return drop_keys(keys, "pmcid", known).withColumn("query_key", with_pmc_prefix(F.col("pmcid")))
+    return drop_keys(keys, "pmcid", known.distinct()).withColumn("query_key", with_pmc_prefix(F.col("pmcid")))
 
 
 def merge_lookup_cache(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -74,7 +74,7 @@ def standardize_repository(df: DataFrame, names: DataFrame | None = None) -> Dat
     if names is None:
         named = df.join(F.broadcast(name_table(df)), "repo_code", "left")
     else:
-        named = left_lookup(df, names, "repo_code", small=bool(broadcastable({"names": names})))
+        named = lookup_join(df, names, "repo_code", small=bool(broadcastable({"names": names})))
     return named.withColumn("repository", F.coalesce("name", "repo_code")).drop("name")
 
 
@@ -86,7 +86,7 @@ def lookup_publisher(df: DataFrame, publishers: DataFrame) -> DataFrame:
     is_doi_feed = F.col("repository") == DOI_CODE
     key = F.when(is_doi_feed & F.col("dataset").startswith("10."), F.col("dataset"))
     lookup = publishers.groupBy(F.col("doi").alias("_doi")).agg(F.max("publisher").alias("_publisher"))
-    joined = left_lookup(df.withColumn("_doi", key), lookup, "_doi")
+    joined = lookup_join(df.withColumn("_doi", key), lookup, "_doi")
     named = F.when(is_doi_feed, F.col("_publisher")).otherwise(F.col("repository"))
     return joined.withColumn("repository", named).drop("_doi", "_publisher")
 

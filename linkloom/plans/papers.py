@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from linkloom.functions.papers import journal_name, or_empty, publication_date
 from linkloom.operators.dedup import pick_by_key
-from linkloom.operators.joins import drop_keys, left_lookup
+from linkloom.operators.joins import drop_keys, lookup_join
 from linkloom.schemas import PAPER_RECORD
 
 TOP_PUBLISHERS = 10
@@ -60,7 +60,7 @@ def enrich_papers(df: DataFrame, papers: DataFrame, on: str = "doi") -> DataFram
         F.col("publisher").alias("paper_publisher"),
         F.col("published_date").alias("paper_published_date"),
     )
-    return left_lookup(df, lookup, on)
+    return lookup_join(df, lookup, on)
 
 
 def paper_stats(papers: DataFrame, top: int = TOP_PUBLISHERS) -> DataFrame:

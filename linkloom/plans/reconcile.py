@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.identifiers import ROR_URL, external_id_search_key, normalize_external_id
 from linkloom.functions.titles import name_key
-from linkloom.operators.joins import broadcastable, left_lookup
+from linkloom.operators.joins import broadcastable, lookup_join
 from linkloom.operators.similarity import MIN_SCORE, best_matches, frequent_tokens, similar_names, token_set
 from linkloom.operators.updates import clear_invalid_ids, ensure_columns
 
@@ -84,7 +84,7 @@ def reconcile_orgs(
     small = broadcastable(lookups)
     joined = with_search_keys(orgs, compat)
     for key, lookup in lookups.items():
-        joined = left_lookup(joined, lookup, key, small=key in small)
+        joined = lookup_join(joined, lookup, key, small=key in small)
 
     first_pass = recent & F.col("ror_id").isNull() & F.col("ror_name").isNull()
     has_id = F.coalesce(F.col("external_id") != "", F.lit(False))
@@ -142,6 +142,6 @@ def candidate_report(orgs: DataFrame, registry: DataFrame, min_score: float = MI
         columns += [v.alias(f"Match {rank} {label}") for label, v in zip(MATCH_COLUMNS, values)]
     wide = matches.groupBy("set_key").agg(*columns)
     keyed = orgs.withColumn("set_key", F.array_join(token_set(F.col("title")), " "))
-    joined = left_lookup(keyed, wide, "set_key")
+    joined = lookup_join(keyed, wide, "set_key")
     return joined.select("id", F.col("title").alias("Original Name"), *[c for c in wide.columns if c != "set_key"])
 

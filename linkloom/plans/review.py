@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions.identifiers import derived_id, is_uuid, strip
-from linkloom.operators.joins import drop_keys
+from linkloom.operators.joins import drop_keys, lookup_join
 
 MATCHES = (1, 2, 3)
 BUCKETS = {"one": "exactly_one_true", "none": "all_false", "many": "more_than_one_true"}
@@ -75,8 +75,9 @@ def resolve_org_by_title(chosen: DataFrame, affiliations: DataFrame) -> tuple[Da
     takes the least of the registry ids chosen for its title.
     """
     titles = chosen.groupBy("title").agg(F.min("ror_id").alias("ror_id"))
-    known = affiliations.join(titles.select("title"), "title", "left_semi")
-    known = known.groupBy("title").agg(F.max("id").alias("affiliation_id"))
+    # reduced to one row per title before the join, so a title of many affiliations stays small
+    known = affiliations.groupBy("title").agg(F.max("id").alias("affiliation_id"))
+    known = known.join(titles.select("title"), "title", "left_semi")
     new = titles.join(known, "title", "left_anti").select(
         derived_id(F.lit("affiliation"), F.col("title")).alias("id"),
         "title",
@@ -103,10 +104,10 @@ def assertions_for_keys(
     looks_like_id = is_id(F.col("dataset_key"))
     by_id = assertions.select(F.col("id").alias("dataset_key"), F.col("id").alias("assertion_id"))
     by_dataset = assertions.select(F.col("dataset").alias("dataset_key"), F.col("id").alias("assertion_id"))
-    matched = by_id.join(keys.filter(looks_like_id), "dataset_key").unionByName(
-        by_dataset.join(keys.filter(~looks_like_id), "dataset_key")
+    matched = lookup_join(by_id, keys.filter(looks_like_id), "dataset_key", "left_semi").unionByName(
+        lookup_join(by_dataset, keys.filter(~looks_like_id), "dataset_key", "left_semi")
     )
-    matched = drop_keys(matched, "assertion_id", bridge.select("assertion_id"))
+    matched = drop_keys(matched, "assertion_id", bridge.select("assertion_id").distinct())
     if compat:
         matched = matched.groupBy("dataset_key").agg(F.max("assertion_id").alias("assertion_id"))
     return matched
@@ -114,7 +115,7 @@ def assertions_for_keys(
 
 def build_org_links(chosen: DataFrame, by_key: DataFrame, by_title: DataFrame) -> DataFrame:
     """New bridge rows: chosen match x assertion x organisation."""
-    linked = chosen.join(by_title, "title").join(by_key, "dataset_key")
+    linked = lookup_join(chosen, by_title, "title", "inner").join(by_key, "dataset_key")
     return linked.select(
         derived_id(
             F.lit("assertionAffiliation"),

@@ -79,7 +79,7 @@ def _positional_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> D
 
 def read_name_map(spark: SparkSession, path: str) -> DataFrame:
     """``(repo_code, name)`` from one JSON object of codes and names."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     pairs = F.explode(F.from_json("value", "map<string,string>"))
     return text.select(pairs.alias("repo_code", "name"))
 
