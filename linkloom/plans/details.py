@@ -27,9 +27,8 @@ def _lookups(corpus: Corpus, build) -> dict[str, DataFrame]:
     return made
 
 
-def join_dims(assertions: DataFrame, lookups: dict[str, DataFrame]) -> DataFrame:
-    """Left join every lookup by its key; small ones are broadcast after being measured."""
-    small = broadcastable(lookups)
+def join_dims(assertions: DataFrame, lookups: dict[str, DataFrame], small: set[str]) -> DataFrame:
+    """Left join every lookup by its key, those measured small by broadcast."""
     for key, lookup in lookups.items():
         assertions = lookup_join(assertions, lookup, key, small=key in small)
     return assertions
@@ -42,7 +41,8 @@ def assertion_details_formatted(corpus: Corpus) -> DataFrame:
     (by id) and all three joins reuse that partitioning.
     """
     dims = {"affiliations": corpus.affiliations, "funders": corpus.funders, "subjects": corpus.subjects}
-    small = broadcastable(dims)
+    lookups = _lookups(corpus, titled_or_null)
+    small = broadcastable({**dims, **lookups})
 
     def expanded(bridge: DataFrame, dim: str, fk: str) -> DataFrame:
         return expand_bridge(bridge, dims[dim], fk, small=dim in small)
@@ -61,7 +61,8 @@ def assertion_details_formatted(corpus: Corpus) -> DataFrame:
             F.col("published_date").alias("publishedDate"),
             "source_id",
         ),
-        _lookups(corpus, titled_or_null),
+        lookups,
+        small,
     )
     org = organisation(F.col("title"), F.col("external_id"), F.col("ror_name"), F.col("ror_id"))
     named = F.col("title").isNotNull() | F.col("external_id").isNotNull()
@@ -96,12 +97,13 @@ def assertion_details(corpus: Corpus, funders_via: str = "funders") -> DataFrame
     ``funders_via='affiliations'`` looks funders up through the affiliations bridge.
     """
     dims = {"affiliations": corpus.affiliations, "funders": corpus.funders, "subjects": corpus.subjects}
-    small = broadcastable(dims)
+    lookups = _lookups(corpus, titled)
+    small = broadcastable({**dims, **lookups})
 
     def expanded(bridge: DataFrame, dim: str, fk: str) -> DataFrame:
         return expand_bridge(bridge, dims[dim], fk, small=dim in small)
 
-    details = join_dims(corpus.assertions, _lookups(corpus, titled))
+    details = join_dims(corpus.assertions, lookups, small)
     item: Column = titled(F.col("title"), F.col("external_id"))
     subjects = expanded(corpus.assertions_subjects, "subjects", "subject_id")
     affiliations = expanded(corpus.assertions_affiliations, "affiliations", "affiliation_id")

@@ -13,8 +13,9 @@ CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "nullValue": "", "em
 
 
 def one_task_per_chunk(chunked: DataFrame, numbered: Numbered) -> DataFrame:
-    """All rows of a chunk in one task, in row order; a chunk has a fixed maximum of rows."""
-    return chunked.repartition(max(numbered.chunks, 1), "chunk").sortWithinPartitions("chunk", "row_number")
+    """Task n gets chunk n and nothing else, in row order; a chunk has a fixed maximum of rows."""
+    placed = chunked.repartitionById(max(numbered.chunks, 1), F.col("chunk") - 1)
+    return placed.sortWithinPartitions("chunk", "row_number")
 
 
 def write_json_chunks(

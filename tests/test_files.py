@@ -217,3 +217,10 @@ def test_default_rules_run(tables):
     assert validate_accessions(corpus).isEmpty()
     assert set(rules.ACCESSION_PATTERNS) - set(rules.REPOSITORY_SUBJECTS) == set()
     assert SUBJECT_RULES and F
+
+
+def test_each_chunk_is_one_task(spark, tables):
+    numbered = number_rows(tables.assertions, "id", 100)
+    placed = sinks.one_task_per_chunk(numbered.rows, numbered)
+    per_task = placed.groupBy(F.spark_partition_id().alias("task")).agg(F.collect_set("chunk").alias("chunks")).collect()
+    assert sorted((r["task"] + 1, r["chunks"]) for r in per_task) == [(n, [n]) for n in range(1, 16)]
