@@ -137,19 +137,20 @@ DERIVED = {
                'a-' || lpad(cast(l_orderkey as string), 9, '0') as assertion_id,
                'aff-' || lpad(cast(l_suppkey as string), 6, '0') as affiliation_id,
                'assertionAffiliation' as type
-        from lineitem where l_quantity > 40 and l_suppkey % 4 <> 0""",
+        from lineitem join supplier on l_suppkey = s_suppkey where l_quantity > 40 and s_acctbal > 1000""",
     "assertions_funders": """
         select 'a-' || lpad(cast(o_orderkey as string), 9, '0') as assertion_id,
                'fun-' || cast(o_custkey as string) as funder_id
-        from orders where o_orderkey % 3 = 0 and o_custkey % 5 <> 0""",
+        from orders join customer on o_custkey = c_custkey
+        where o_orderpriority in ('1-URGENT', '2-HIGH') and c_acctbal > 1000""",
     "removal_ids": """
         select 'a-' || lpad(cast(o_orderkey as string), 9, '0') as assertion_id
-        from orders where o_orderkey % 97 = 0""",
+        from orders where o_orderstatus = 'P' and o_orderpriority = '1-URGENT'""",
     "title_updates": """
         select 'a-' || lpad(cast(o_orderkey as string), 9, '0') as id,
                case when o_orderkey % 20 = 0 then null
                     else 'Renamed ' || cast(o_orderkey as string) end as title
-        from orders where o_orderkey % 10 = 0""",
+        from orders where o_orderpriority = '2-HIGH'""",
     "textmined": """
         select case l_suppkey % 4 when 0 then 'geo' when 1 then 'pdb' when 2 then 'doi'
                     else 'unknownrepo' end as repo_code,
@@ -161,29 +162,29 @@ DERIVED = {
         select 'PMC' || cast(o_orderkey as string) as pmcid,
                case when o_custkey % 7 = 0 then 'doi:10.1029/p' || cast(o_custkey as string)
                     else '10.1029/p' || cast(o_custkey as string) end as doi
-        from orders where o_orderkey % 5 <> 0""",
+        from orders where o_orderpriority <> '5-LOW'""",
     "lookup_cache": """
         select 'PMC' || cast(o_orderkey as string) as pmcid,
                'https://doi.org/10.9999/' || cast(o_orderkey as string) as doi_url
-        from orders where o_orderkey % 10 = 0""",
+        from orders where o_orderstatus = 'P'""",
     "fetched_cache": """
         select 'PMC' || cast(o_orderkey as string) as pmcid,
                'https://doi.org/10.7777/' || cast(o_orderkey as string) as doi_url
-        from orders where o_orderkey % 15 = 0""",
+        from orders where o_orderpriority = '3-MEDIUM'""",
     "doi_publishers": """
-        select distinct '10.5061/d' || cast(p_partkey % 30 as string) as doi,
-               'Publisher of ' || cast(p_partkey % 30 as string) as publisher
-        from part where p_partkey % 30 <> 7""",
+        select distinct '10.5061/d' || cast(p_size as string) as doi,
+               'Publisher of ' || cast(p_size as string) as publisher
+        from part""",
     "event_links": """
         select distinct 'https://doi.org/10.1029/A' || cast(l_orderkey as string) as subj_id,
                'https://doi.org/10.5061/d' || cast(l_partkey % 30 as string) as obj_id,
                case when l_returnflag = 'R' then 'is-part-of' else 'references' end as relation_type_id
-        from lineitem where l_linenumber % 2 = 0
+        from lineitem where l_linestatus = 'O'
         union all
         select distinct 'https://doi.org/10.5061/d' || cast(l_partkey % 30 as string) as subj_id,
                'https://doi.org/10.1029/a' || cast(l_orderkey as string) as obj_id,
                'is-referenced-by' as relation_type_id
-        from lineitem where l_linenumber = 3""",
+        from lineitem where l_linestatus = 'F' and l_returnflag = 'A'""",
     "report_pairs": """
         select distinct '10.1029/a' || cast(l_orderkey as string) as article_doi,
                '10.5061/D' || cast(l_partkey % 30 as string) as dataset_doi

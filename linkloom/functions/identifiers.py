@@ -73,7 +73,8 @@ def normalize_external_id(value: Column, compat: bool = False) -> Column:
     host = r"^http://isni\.org" + ("" if compat else "(?!/isni/)")
     text = F.regexp_replace(text, host, ISNI_HOST + "/isni")
     text = F.regexp_replace(text, r"^grid\.", GRID_URL + "grid.")
-    text = F.when(text.startswith("0000"), F.concat(F.lit(ISNI_URL), F.replace(text, F.lit(" "), F.lit("")))).otherwise(text)
+    isni = F.concat(F.lit(ISNI_URL), F.replace(text, F.lit(" "), F.lit("")))
+    text = F.when(text.startswith("0000"), isni).otherwise(text)
     text = F.regexp_replace(text, r"^10\.", DOI_URL + "10.")
     return F.regexp_replace(text, r"^(0[a-zA-Z0-9]{6}[0-9]{2})\z", ROR_URL + "$1")
 

@@ -42,11 +42,15 @@ def frequent_tokens(sets: DataFrame, limit: int = FREQUENT_TOKENS) -> list[str]:
 def _rare_first(tokens: Column, frequent: list[str]) -> Column:
     """The tokens in one order for all sets: those not frequent, long before short, then the rest."""
     known = F.array(*[F.lit(t) for t in frequent]).cast("array<string>")
-    ranked = F.transform(
-        tokens,
-        lambda t: F.struct(F.array_position(known, t).alias("rank"), (-F.length(t)).alias("shortness"), t.alias("token")),
-    )
-    return F.transform(F.array_sort(ranked), lambda r: r["token"])
+
+    def ranked(token: Column) -> Column:
+        return F.struct(
+            F.array_position(known, token).alias("rank"),
+            (-F.length(token)).alias("shortness"),
+            token.alias("token"),
+        )
+
+    return F.transform(F.array_sort(F.transform(tokens, ranked)), lambda r: r["token"])
 
 
 def _combinations(tokens: Column, size: int) -> Column:
@@ -89,7 +93,8 @@ def _join_keys(sets: DataFrame, frequent: list[str], t: float, left: bool) -> Da
     sizes = F.sequence(F.greatest(_up(n * t), F.lit(1)), F.least(largest, F.lit(SHORT)))
     short = sets.filter(n <= SHORT).withColumn("m", F.explode(sizes))
     overlap = _up((n + m) * (t / (1 + t)))
-    short = short.withColumn("j", F.least(overlap, F.lit(MAX_COMBINED))).withColumn("prefix", F.slice("ordered", F.lit(1), n - overlap + j))
+    short = short.withColumn("j", F.least(overlap, F.lit(MAX_COMBINED)))
+    short = short.withColumn("prefix", F.slice("ordered", F.lit(1), n - overlap + j))
     by_size = F.when(j == 1, _combinations(F.col("prefix"), 1)).when(j == 2, _combinations(F.col("prefix"), 2))
     pair = (n, m) if left else (m, n)
     short = short.withColumn("combination", F.explode(by_size.otherwise(_combinations(F.col("prefix"), 3))))
@@ -97,7 +102,8 @@ def _join_keys(sets: DataFrame, frequent: list[str], t: float, left: bool) -> Da
 
     long = sets.filter((n > SHORT) | (largest > SHORT)).withColumn("j", F.lit(2))
     long = long.withColumn("prefix", F.slice("ordered", F.lit(1), n - _up(n * t) + 2))
-    long = long.withColumn("combination", F.explode(_combinations(F.col("prefix"), 2))).withColumn("scheme", F.lit("long"))
+    long = long.withColumn("combination", F.explode(_combinations(F.col("prefix"), 2)))
+    long = long.withColumn("scheme", F.lit("long"))
     return short.unionByName(long)
 
 

@@ -97,7 +97,9 @@ def missing_citations(report: DataFrame, events: DataFrame) -> DataFrame:
     """
     line = F.sha2(F.concat_ws("\u001f", "article_doi", "cited"), 256)
     entries = report.select(line.alias("line"), "article_doi", F.posexplode_outer("cited").alias("pos", "dataset_doi"))
-    entries = entries.withColumns({"_article": doi_key(F.col("article_doi")), "_dataset": doi_key(F.col("dataset_doi"))})
+    entries = entries.withColumns(
+        {"_article": doi_key(F.col("article_doi")), "_dataset": doi_key(F.col("dataset_doi"))}
+    )
     links = (
         citation_links(events)
         .select(doi_key(F.col("subj_id")).alias("_article"), doi_key(F.col("obj_id")).alias("_dataset"))

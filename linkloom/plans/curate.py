@@ -20,7 +20,7 @@ from linkloom.operators.filters import (
     outside_repositories,
 )
 from linkloom.operators.integrity import cascade, drop_all_orphans
-from linkloom.session import ensure_checkpoint_dir
+from linkloom.session import stored
 
 DUPLICATES = "duplicates"
 SELF_CITATIONS = "self citations"
@@ -63,8 +63,9 @@ def curate(
     once with the marked ids; the rows alive before the self-citation step decide which
     dimension rows are orphans, those alive after it are the result.
 
-    The marked table feeds the audit and every output table.  ``checkpoint=True`` cuts it to the
-    shared checkpoint folder so that the window is computed once when several are written.
+    The marked table feeds the audit and every output table.  ``checkpoint=True`` stores it in the
+    shared checkpoint folder, so that the window is computed once when several are written and
+    the bridges read two narrow columns of it.
     """
     checks = {
         **row_checks(**check_options),
@@ -72,7 +73,8 @@ def curate(
     }
     marked = dedup_latest(corpus.assertions)
     if removal_ids is not None:
-        listed = removal_ids.select(F.col(removal_ids.columns[0]).alias("id")).distinct().withColumn("_listed", F.lit(True))
+        listed = removal_ids.select(F.col(removal_ids.columns[0]).alias("id")).distinct()
+        listed = listed.withColumn("_listed", F.lit(True))
         marked = marked.join(listed, "id", "left")
         checks = {
             "listed ids": F.col("_listed").isNull(),
@@ -83,8 +85,7 @@ def curate(
         first_failed = F.when(~keep, F.lit(step)).otherwise(first_failed)
     marked = marked.withColumn("_removed_by", first_failed).drop("_listed")
     if checkpoint:
-        ensure_checkpoint_dir(marked.sparkSession)
-        marked = marked.checkpoint()
+        marked = stored(marked)
 
     removed_by = F.col("_removed_by")
     alive_before_orphans = marked.filter(removed_by.isNull() | (removed_by == SELF_CITATIONS))

@@ -79,7 +79,9 @@ def reconcile_orgs(
     """
     columns = [*orgs.columns, *[c for c in ("ror_id", "ror_name") if c not in orgs.columns]]
     orgs = clear_invalid_ids(ensure_columns(orgs, ("ror_id", "ror_name")), invalid_ids)
-    recent = F.lit(True) if since is None else F.coalesce(F.col("created") >= F.lit(since).cast("timestamp"), F.lit(False))
+    recent = F.lit(True)
+    if since is not None:
+        recent = F.coalesce(F.col("created") >= F.lit(since).cast("timestamp"), F.lit(False))
     lookups = {"_id_key": id_lookup(registry), "_name_key": by_name(registry)}
     small = broadcastable(lookups)
     joined = with_search_keys(orgs, compat)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE splits skewed join partitions and coalesces small ones at run time; UTC keeps timestamps
 # and the dates derived from them independent of the machine.
@@ -37,3 +38,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="linkloom-checkpoint-"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Cut the lineage: write the table to the shared checkpoint folder and read it back.
+
+    Unlike a checkpoint the copy is columnar, so later reads take only the columns they need.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -45,12 +45,14 @@ def read_textmined(
     path: str,
     crosswalk_file: str = "PMID_PMCID_DOI.csv",
     exclude: Sequence[str] = tuple(rules.EXCLUDED_FEEDS),
+    multi_line: bool = False,
 ) -> DataFrame:
     """``(repo_code, accession, pmcid)`` of all feeds of a folder, except the crosswalk and ``exclude``.
 
-    The code of a feed is its file name up to the first dot.  Columns go by position.
+    The code of a feed is its file name up to the first dot.  Columns go by position.  Files are
+    split among tasks; ``multi_line`` admits line breaks inside quoted fields, one task per file.
     """
-    feed = _positional_csv(spark, path, ["accession", "pmcid"])
+    feed = _positional_csv(spark, path, ["accession", "pmcid"], multi_line)
     name = _file_name()
     code = F.substring_index(name, ".", 1)
     feed = feed.withColumns({"_file": name, "repo_code": code})
@@ -58,20 +60,20 @@ def read_textmined(
     return usable_feed(feed).select("repo_code", "accession", "pmcid")
 
 
-def read_crosswalk(spark: SparkSession, path: str) -> DataFrame:
+def read_crosswalk(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """``(pmcid, doi)``: the second and third column, rows with both filled.
 
     An id listed more than once is settled where the table is used, by its greatest DOI.
     """
-    return usable_crosswalk(_positional_csv(spark, path, ["pmid", "pmcid", "doi"]))
+    return usable_crosswalk(_positional_csv(spark, path, ["pmid", "pmcid", "doi"], multi_line))
 
 
-def _positional_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+def _positional_csv(spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool) -> DataFrame:
     """CSV with a header whose names do not matter; missing and further columns are tolerated."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     return (
         spark.read.schema(schema)
-        .options(header=True, enforceSchema=True, quote='"', escape='"', multiLine=True, mode="PERMISSIVE")
+        .options(header=True, enforceSchema=True, quote='"', escape='"', multiLine=multi_line, mode="PERMISSIVE")
         .option("pathGlobFilter", "*.csv")
         .csv(path)
     )

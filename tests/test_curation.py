@@ -135,3 +135,12 @@ def test_cache_merge_prefers_new(spark):
     old = spark.createDataFrame([("1", "z"), ("2", "b")], schema)
     new = spark.createDataFrame([("1", "a")], schema)
     assert rows(merge_lookup_cache(old, new)) == [("1", "a"), ("2", "b")]
+
+
+def test_stored_marks_are_read_by_column(corpus):
+    from tests.test_plans import plan
+
+    done = curate(corpus, trial_repositories=TRIALS, checkpoint=True)
+    text = plan(done.corpus.assertions_funders, "formatted")
+    assert "ReadSchema: struct<id:string,_removed_by:string>" in text
+    assert "Window" not in text
