@@ -32,6 +32,7 @@ from linkloom.plans import (
     summaries,
     tag_subjects,
 )
+from linkloom.sinks import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -698,6 +699,58 @@ def _csv_rows(t):
     return export.csv_rows(details.assertion_details_formatted(corpus_of(t, named_ends=True)))
 
 
+
+def _json_text(value: str) -> str:
+    return f"coalesce(cast(to_json({value}) as varchar), 'null')"
+
+
+def _json_object(alias: str, fields) -> str:
+    return "'{' || " + " || ',' || ".join(f"""'"{f}":' || {_json_text(f"{alias}.{f}")}""" for f in fields) + " || '}'"
+
+
+def _json_ref(alias: str) -> str:
+    return f"""case when {alias}.title is not null or {alias}.external_id is not null
+        then {_json_object(alias, ("title", "external_id"))} else '{{}}' end"""
+
+
+def _json_time(column: str) -> str:
+    return f"""coalesce('"' || strftime({column}, '%Y-%m-%dT%H:%M:%S') || '.000"', 'null')"""
+
+
+def _json_nested(bridge: str, dim: str, fk: str) -> str:
+    return f"""(select b.assertion_id, string_agg({_json_object("d", ORG_FIELDS)}, ',' {_STRUCT_ORDER}) as items
+        from {bridge} b join {dim} d on d.id = b.{fk} where {NAMED_KEEP} group by b.assertion_id)"""
+
+
+@register(
+    "export_json_lines",
+    f"""with {NAMED_ENDS}, numbers as (
+        select id, row_number() over (order by id) as rn, count(*) over () as total from assertions)
+    select cast((n.rn - 1) // {CHUNK} + 1 as integer) as chunk, n.rn as row_number,
+        case when (n.rn - 1) % {CHUNK} = 0 then '[' else '' end
+        || '{{"id":' || {_json_text("a.id")} || ',"created":' || {_json_time("a.created")}
+        || ',"updated":' || {_json_time("a.updated")} || ',"repository":' || {_json_ref("r")}
+        || ',"publisher":' || {_json_ref("p")} || ',"journal":' || {_json_ref("j")}
+        || ',"title":' || {_json_text("a.title")} || ',"dataset":' || {_json_text("a.dataset")}
+        || ',"publication":' || {_json_text("a.publication")}
+        || ',"publishedDate":' || {_json_text("a.published_date")} || ',"source":' || {_json_text("s.abbreviation")}
+        || ',"affiliations":[' || coalesce(af.items, '') || '],"funders":[' || coalesce(fu.items, '')
+        || '],"subjects":[' || coalesce(su.items, '') || ']}}'
+        || case when n.rn % {CHUNK} = 0 or n.rn = n.total then ']' else ',' end as value
+    from named_ends a join numbers n on n.id = a.id {DETAILS_JOINS}
+    left join {_json_nested("assertions_affiliations", "affiliations", "affiliation_id")} af on af.assertion_id = a.id
+    left join {_json_nested("assertions_funders", "funders", "funder_id")} fu on fu.assertion_id = a.id
+    left join (select b.assertion_id, string_agg({_json_text("d.title")}, ',' order by d.title) as items
+        from assertions_subjects b join subjects d on d.id = b.subject_id where d.title is not null
+        group by b.assertion_id) su on su.assertion_id = a.id""",
+)
+def _json_lines(t):
+    corpus = corpus_of(t, named_ends=True)
+    numbered = number_rows(corpus.assertions, "id", CHUNK)
+    chunked = export.with_chunks(details.assertion_details_formatted(corpus), numbered)
+    return files.json_lines(chunked, numbered, CHUNK)
+
+
 # --- subjects (D8) ------------------------------------------------------------------------------------------
 
 SINCE = "1998-01-01"

@@ -18,38 +18,41 @@ def one_task_per_chunk(chunked: DataFrame, numbered: Numbered) -> DataFrame:
     return placed.sortWithinPartitions("chunk", "row_number")
 
 
-def write_json_chunks(
-    chunked: DataFrame,
-    numbered: Numbered,
-    path: str,
-    rows_per_file: int,
-    name_template: str | None = None,
-) -> None:
-    """One file per chunk, each holding one JSON array of the records in id order.
+def json_lines(chunked: DataFrame, numbered: Numbered, rows_per_file: int) -> DataFrame:
+    """``(chunk, row_number, value)``: the lines of each chunk's JSON array, one record a line.
 
     The array is streamed: brackets and commas are put around the single records, so no chunk is
     ever collected into one value.  Null fields are written, null objects as ``{}``.
     """
-    objects = {"repository", "publisher", "journal"}
-    fields = [c for c in chunked.columns if c not in ("chunk", "row_number")]
-    pieces = []
-    for name in fields:
-        if name in objects:
-            # a null object is written as an empty one
-            value = F.coalesce(F.to_json(F.col(name), {"ignoreNullFields": "false"}), F.lit("{}"))
-            pieces.append(F.concat(F.lit(f'"{name}":'), value))
-        else:
-            one = F.to_json(F.struct(F.col(name)), {"ignoreNullFields": "false"})
-            pieces.append(one.substr(F.lit(2), F.length(one) - 2))
-    record = F.concat(F.lit("{"), F.concat_ws(",", *pieces), F.lit("}"))
+    keep_nulls = {"ignoreNullFields": "false"}
+    fields = []
+    for name in chunked.columns:
+        if name in ("repository", "publisher", "journal"):
+            value = F.coalesce(F.to_json(F.col(name), keep_nulls), F.lit("{}"))
+            fields.append(F.concat(F.lit(f'"{name}":'), value))
+        elif name not in ("chunk", "row_number"):
+            # the object of this one field, without its braces
+            field = F.to_json(F.struct(F.col(name)), keep_nulls)
+            fields.append(field.substr(F.lit(2), F.length(field) - 2))
     first = (F.col("row_number") - 1) % rows_per_file == 0
     last = (F.col("row_number") % rows_per_file == 0) | (F.col("row_number") == numbered.total)
     line = F.concat(
-        F.when(first, "[").otherwise(""),
-        record,
-        F.when(last, "]").otherwise(","),
+        F.when(first, "[{").otherwise("{"),
+        F.concat_ws(",", *fields),
+        F.when(last, "}]").otherwise("},"),
     )
-    rows = one_task_per_chunk(chunked.select("chunk", "row_number", line.alias("value")), numbered)
+    return chunked.select("chunk", "row_number", line.alias("value"))
+
+
+def write_json_chunks(
+    chunked: DataFrame,
+    numbered: Numbered,
+    path: str,
+    rows_per_file: int,
+    name_template: str | None = None,
+) -> None:
+    """One file per chunk, each holding one JSON array of the records in id order."""
+    rows = one_task_per_chunk(json_lines(chunked, numbered, rows_per_file), numbered)
     rows.select("chunk", "value").write.mode("overwrite").partitionBy("chunk").text(path)
     if name_template:
         name_chunk_files(rows.sparkSession, path, name_template + ".json")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,10 +90,12 @@ def read_name_map(spark: SparkSession, path: str) -> DataFrame:
 def read_lookup_cache(spark: SparkSession, path: str) -> DataFrame:
     """``(pmcid, doi_url)`` stored as Parquet; empty when there is none yet."""
     schema = "pmcid string, doi_url string"
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location):
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
 
 
 def read_papers_jsonl(spark: SparkSession, path: str, compat: bool = False) -> tuple[DataFrame, DataFrame]:
