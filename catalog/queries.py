@@ -1080,6 +1080,18 @@ def _compare(t):
     return compare.compare_citations(_report(t), t.event_links)
 
 
+@register(
+    "citation_differences",
+    f"""with {COMPARE}, pairs as (select article_key, {_key("unnest(cited)")} as cited_key, true as reported from report
+        union all select e.article_key, {_key("e.other")}, false from ends e
+            where e.article_key in (select article_key from report))
+    select article_key, cited_key, bool_or(reported) as reported, bool_or(not reported) as recorded
+    from pairs group by article_key, cited_key""",
+)
+def _differences(t):
+    return compare.citation_differences(_report(t), t.event_links)
+
+
 @register(
     "citation_events_for",
     f"""with {LINKS}, articles as (select distinct {_key("article_doi")} as article_key from report_pairs)

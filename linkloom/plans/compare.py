@@ -79,6 +79,23 @@ def compare_citations(report: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
+def citation_differences(report: DataFrame, events: DataFrame) -> DataFrame:
+    """``(article_key, cited_key, reported, recorded)``: every pair either side knows, and which.
+
+    The long form of the comparison.  No list is built, so an article with any number of
+    citations stays spread over all tasks.
+    """
+    keyed = report.withColumn("article_key", doi_key(F.col("article_doi")))
+    reported = keyed.select("article_key", F.explode("cited").alias("doi"), F.lit(True).alias("reported"))
+    recorded = citation_events_for(keyed, events).select(
+        "article_key", F.col("other").alias("doi"), F.lit(False).alias("reported")
+    )
+    pairs = reported.unionByName(recorded).withColumn("cited_key", doi_key(F.col("doi")))
+    return pairs.groupBy("article_key", "cited_key").agg(
+        F.max("reported").alias("reported"), F.max(~F.col("reported")).alias("recorded")
+    )
+
+
 def in_events(pairs: DataFrame, events: DataFrame, present: bool = True) -> DataFrame:
     """Pairs ``(article_doi, dataset_doi)`` that are (or are not) recorded as a citation."""
     links = citation_links(events).select(

@@ -145,3 +145,17 @@ def test_results_do_not_depend_on_the_broadcast_bound(spark, tables, monkeypatch
     monkeypatch.setattr(details, "broadcastable", lambda tables: set())
     monkeypatch.setattr(joins, "broadcastable", lambda tables: set())
     assert collected() == expected
+
+
+def test_partitioned_csv_splits_only_the_hot_value(spark, conf, tmp_path):
+    from linkloom.sinks.files import write_partitioned_csv
+
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="256KB")
+    rows = spark.range(0, 120_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("r"), F.col("id") % 5)).alias("repo"),
+        F.sha2(F.col("id").cast("string"), 256).alias("v"),
+    )
+    write_partitioned_csv(rows, str(tmp_path / "o"), "repo")
+    files = {d.name: len(list(d.glob("*.csv"))) for d in (tmp_path / "o").iterdir() if d.is_dir()}
+    assert files["repo=hot"] > 1
+    assert spark.read.csv(str(tmp_path / "o"), header=True).count() == 120_000
