@@ -20,15 +20,14 @@ def citation_links(events: DataFrame, relations: Sequence[str] = tuple(rules.CIT
 
 def citation_events_for(articles: DataFrame, events: DataFrame) -> DataFrame:
     """``(article_key, cited, as_subject)``: the other end of each event an article takes part in."""
-    links = citation_links(events)
-    keys = articles.select("article_key").distinct()
-    as_subject = links.select(
-        doi_key(F.col("subj_id")).alias("article_key"), F.col("obj_id").alias("other"), F.lit(True).alias("as_subject")
+    subject, object_ = F.col("subj_id"), F.col("obj_id")
+    # both ends of a link in one pass over the links
+    ends = F.array(
+        F.struct(doi_key(subject).alias("article_key"), object_.alias("other"), F.lit(True).alias("as_subject")),
+        F.struct(doi_key(object_).alias("article_key"), subject.alias("other"), F.lit(False).alias("as_subject")),
     )
-    as_object = links.select(
-        doi_key(F.col("obj_id")).alias("article_key"), F.col("subj_id").alias("other"), F.lit(False).alias("as_subject")
-    )
-    return lookup_join(as_subject.unionByName(as_object), keys, "article_key", "left_semi")
+    sides = citation_links(events).select(F.explode(ends).alias("end")).select("end.*")
+    return lookup_join(sides, articles.select("article_key").distinct(), "article_key", "left_semi")
 
 
 def _contained(inner: Column, outer: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ def with_chunks(details: DataFrame, numbered: Numbered, key: str = "id") -> Data
 def csv_rows(details: DataFrame, compat: bool = False) -> DataFrame:
     """Flat form of the nested records: 16 text columns in their fixed order."""
 
-    def labels(column: str, one) -> Column:
+    def labels(column: str, one: Callable[[Column, bool], Column]) -> Column:
         return joined(F.transform(column, lambda ref: one(ref, compat)))
 
     def label(column: str) -> Column:

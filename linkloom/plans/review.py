@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions.identifiers import derived_id, is_uuid, strip
-from linkloom.operators.joins import drop_keys, lookup_join
+from linkloom.operators.joins import broadcastable, drop_keys, lookup_join
 
 MATCHES = (1, 2, 3)
 BUCKETS = {"one": "exactly_one_true", "none": "all_false", "many": "more_than_one_true"}
@@ -101,11 +101,13 @@ def assertions_for_keys(
     assertion per key, the one with the greatest id.
     """
     keys = keys.select("dataset_key").distinct()
+    # reviewed keys are usually few: then neither pass over the assertions is shuffled
+    small = bool(broadcastable({"keys": keys}))
     looks_like_id = is_id(F.col("dataset_key"))
     by_id = assertions.select(F.col("id").alias("dataset_key"), F.col("id").alias("assertion_id"))
     by_dataset = assertions.select(F.col("dataset").alias("dataset_key"), F.col("id").alias("assertion_id"))
-    matched = lookup_join(by_id, keys.filter(looks_like_id), "dataset_key", "left_semi").unionByName(
-        lookup_join(by_dataset, keys.filter(~looks_like_id), "dataset_key", "left_semi")
+    matched = lookup_join(by_id, keys.filter(looks_like_id), "dataset_key", "left_semi", small).unionByName(
+        lookup_join(by_dataset, keys.filter(~looks_like_id), "dataset_key", "left_semi", small)
     )
     matched = drop_keys(matched, "assertion_id", bridge.select("assertion_id").distinct())
     if compat:
