@@ -552,6 +552,16 @@ def _external_ids(t):
     return t.affiliations.select("id", normalize_external_id(F.col("external_id")).alias("external_id"))
 
 
+@register(
+    "normalize_external_ids_compat",
+    f"""select id, case when starts_with(trim(external_id), 'http://isni.org')
+            then replace(trim(external_id), 'http://isni.org', 'http://isni.org/isni')
+            else {norm_ext_sql('external_id')} end as external_id from affiliations""",
+)
+def _external_ids_compat(t):
+    return t.affiliations.select("id", normalize_external_id(F.col("external_id"), compat=True).alias("external_id"))
+
+
 @register(
     "fix_separators",
     """select f.id, replace(f.title || '; ' || f.title, ' ;', ';') as affiliations,
@@ -571,44 +581,62 @@ EDGE = r"[.,*;:\s]+"
 EMAIL_SQL = titles.EMAIL
 
 
-def _clean_trailing_sql(c: str) -> str:
+NEWLINE, LITERAL = "chr(10)", r"'\n'"
+
+
+def _clean_trailing_sql(c: str, trimmed: str = NEWLINE) -> str:
     return rf"""case when regexp_matches({c}, '{EDGE}\z')
-        then regexp_replace(regexp_replace(trim(trim({c}, ' '), chr(10)), '{EDGE}\z', ''), '\s+', ' ', 'g')
+        then regexp_replace(regexp_replace(trim(trim({c}, ' '), {trimmed}), '{EDGE}\z', ''), '\s+', ' ', 'g')
         else {c} end"""
 
 
-def _either_end_sql(c: str, guard: str) -> str:
-    trimmed = f"trim(trim({c}, ' '), chr(10))"
+def _either_end_sql(c: str, guard: str, newline: str = NEWLINE) -> str:
+    trimmed = f"trim(trim({c}, ' '), {newline})"
     return rf"""case when {guard}
         then regexp_replace(case when regexp_matches({trimmed}, '^{EDGE}') then regexp_replace({trimmed}, '^{EDGE}', '')
                                  else regexp_replace({trimmed}, '{EDGE}\z', '') end, '\s+', ' ', 'g')
         else {c} end"""
 
 
-@register(
-    "clean_affiliations",
-    rf"""with s3 as (select id, regexp_replace(title, '{EMAIL_SQL}', '', 'g') as title from affiliations),
+HAS_EDGE = rf"regexp_matches(title, '^{EDGE}') or regexp_matches(title, '{EDGE}\z')"
+
+
+def _clean_affiliations_sql(newline: str) -> str:
+    has_email = f"regexp_matches(title, '{titles.STRICT_EMAIL}')"
+    return rf"""with s3 as (select id, regexp_replace(title, '{EMAIL_SQL}', '', 'g') as title from affiliations),
     s4 as (select id, regexp_replace(title, '{titles.CONTACT_LABELS}', '', 'g') as title from s3),
-    s5 as (select id, {_either_end_sql("title", f"regexp_matches(title, '{titles.STRICT_EMAIL}')")} as title from s4),
-    s6 as (select id, {_clean_trailing_sql("title")} as title from s5),
+    s5 as (select id, {_either_end_sql("title", has_email, newline)} as title from s4),
+    s6 as (select id, {_clean_trailing_sql("title", newline)} as title from s5),
     s7 as (select id, regexp_replace(title, '(?s)^\((.*)\)\z', '\1') as title from s6)
     select id, case when regexp_matches(title, '^{EDGE}')
-        then regexp_replace(regexp_replace(title, '^{EDGE}', ''), '\s+', ' ', 'g') else title end as title from s7""",
-)
+        then regexp_replace(regexp_replace(title, '^{EDGE}', ''), '\s+', ' ', 'g') else title end as title from s7"""
+
+
+def _clean_funders_sql(newline: str) -> str:
+    return f"""with s9 as (select id, {_either_end_sql("title", HAS_EDGE, newline)} as title from funders)
+    select id, {_clean_trailing_sql("title", newline)} as title from s9"""
+
+
+@register("clean_affiliations", _clean_affiliations_sql(NEWLINE))
 def _clean_affiliations(t):
     return clean_orgs.clean_affiliations(t.affiliations).select("id", "title")
 
 
-@register(
-    "clean_funders",
-    rf"""with s9 as (select id, {_either_end_sql("title", f"regexp_matches(title, '^{EDGE}') or regexp_matches(title, '{EDGE}" + chr(92) + "z')")} as title
-        from funders)
-    select id, {_clean_trailing_sql("title")} as title from s9""",
-)
+@register("clean_affiliations_compat", _clean_affiliations_sql(LITERAL))
+def _clean_affiliations_compat(t):
+    return clean_orgs.clean_affiliations(t.affiliations, compat=True).select("id", "title")
+
+
+@register("clean_funders", _clean_funders_sql(NEWLINE))
 def _clean_funders(t):
     return clean_orgs.clean_funders(t.funders).select("id", "title")
 
 
+@register("clean_funders_compat", _clean_funders_sql(LITERAL))
+def _clean_funders_compat(t):
+    return clean_orgs.clean_funders(t.funders, compat=True).select("id", "title")
+
+
 @register(
     "scrub_emails_documents",
     rf"""select doc_id, md5(regexp_replace(text, '{EMAIL_SQL}', '', 'g')) as text_md5,
@@ -631,9 +659,9 @@ def _edges(t):
 # --- accession numbers (U1, D5) ------------------------------------------------------------------------
 
 
-def _pattern_case() -> str:
+def _pattern_case(patterns=PATTERNS) -> str:
     whens = " ".join(
-        f"when a.repository_id = '{r}' then regexp_matches(a.accession_number, '^(?:{p})')" for r, p in PATTERNS.items()
+        f"when a.repository_id = '{r}' then regexp_matches(a.accession_number, '^(?:{p})')" for r, p in patterns.items()
     )
     return f"case {whens} end"
 
@@ -651,6 +679,19 @@ def _validate(t):
     return accession.validate_accessions(corpus_of(t), PATTERNS, "src-1")
 
 
+DOUBLED = {repository: pattern.replace("\\", "\\\\") for repository, pattern in PATTERNS.items()}
+
+
+@register(
+    "accession_flags_doubled_backslashes",
+    f"""select id, {_pattern_case(DOUBLED)} as matches from assertions a""",
+)
+def _doubled(t):
+    return t.assertions.select(
+        "id", accession.accession_matches(F.col("repository_id"), F.col("accession_number"), DOUBLED).alias("matches")
+    )
+
+
 # --- export (K1, K2, W2, U12-U14) -------------------------------------------------------------------------
 
 CHUNK = 4000
@@ -675,9 +716,13 @@ _ROR_LABEL = "trim(coalesce(d.ror_name, '') || ' ' || coalesce(d.ror_id, ''))"
 _STRUCT_ORDER = "order by d.title nulls first, d.external_id nulls first, d.ror_name nulls first, d.ror_id nulls first"
 
 
-def _csv_nested(bridge: str, dim: str, fk: str) -> str:
-    return f"""(select b.assertion_id, string_agg({_ORG_LABEL}, '; ' {_STRUCT_ORDER}) as labels,
-        string_agg({_ROR_LABEL}, '; ' {_STRUCT_ORDER}) as rors
+_ORG_LABEL_COMPAT = "coalesce(d.title, 'None') || case when d.external_id <> '' then ' ' || d.external_id else '' end"
+_ROR_LABEL_COMPAT = "coalesce(d.ror_name, 'None') || ' ' || coalesce(d.ror_id, 'None')"
+
+
+def _csv_nested(bridge: str, dim: str, fk: str, org: str = _ORG_LABEL, ror: str = _ROR_LABEL) -> str:
+    return f"""(select b.assertion_id, string_agg({org}, '; ' {_STRUCT_ORDER}) as labels,
+        string_agg({ror}, '; ' {_STRUCT_ORDER}) as rors
         from {bridge} b join {dim} d on d.id = b.{fk} where {NAMED_KEEP} group by b.assertion_id)"""
 
 
@@ -700,6 +745,17 @@ def _csv_rows(t):
 
 
 
+@register(
+    "export_csv_labels_compat",
+    f"""select a.id, coalesce(af.labels, '') as affiliations, coalesce(af.rors, '') as "affiliationsROR"
+    from assertions a left join {_csv_nested("assertions_affiliations", "affiliations", "affiliation_id",
+                                             _ORG_LABEL_COMPAT, _ROR_LABEL_COMPAT)} af on af.assertion_id = a.id""",
+)
+def _csv_labels_compat(t):
+    formatted = details.assertion_details_formatted(corpus_of(t, named_ends=True))
+    return export.csv_rows(formatted, compat=True).select("id", "affiliations", "affiliationsROR")
+
+
 def _json_text(value: str) -> str:
     return f"coalesce(cast(to_json({value}) as varchar), 'null')"
 
@@ -850,13 +906,14 @@ def _org_by_title(t):
     return review.resolve_org_by_title(review.chosen_matches(_review(t)), t.affiliations)[0]
 
 
-def _link(t) -> review.Linked:
+def _link(t, compat: bool = False) -> review.Linked:
     return review.link_chosen_affiliations(
         _review(t),
         t.affiliations,
         updates.add_dataset_publication(t.assertions),
         t.assertions_affiliations,
         is_id=lambda key: key.startswith("a-"),
+        compat=compat,
     )
 
 
@@ -871,6 +928,17 @@ def _links(t):
     return _link(t).new_links
 
 
+@register(
+    "link_chosen_affiliations_compat",
+    f"""with {CHOSEN}, {ORG_BY_TITLE}, {NAMED_ENDS}, {BY_KEY},
+    one_each as (select dataset_key, max(assertion_id) as assertion_id from by_key group by dataset_key)
+    select k.assertion_id, o.affiliation_id, 'assertionAffiliation' as type
+    from chosen c join by_title o on o.title = c.title join one_each k on k.dataset_key = c.dataset_key""",
+)
+def _links_compat(t):
+    return _link(t, compat=True).new_links.select("assertion_id", "affiliation_id", "type")
+
+
 @register(
     "new_affiliations",
     f"with {CHOSEN}, {ORG_BY_TITLE} select id, title, ror_id, 'affiliation' as type from new_orgs",
@@ -1209,6 +1277,17 @@ def _reconcile_sql(since: str) -> str:
     from first_pass"""
 
 
+@register(
+    "reconcile_funders",
+    _reconcile_sql("true")
+    .replace("from affiliations", "from funders")
+    .replace("('N/A', 'null')", f"({sql_list(rules.INVALID_EXTERNAL_IDS['funders'])})"),
+)
+def _reconcile_funders(t):
+    done = reconcile.reconcile_corpus(corpus_of(t), t.registry)
+    return done.funders.select("id", "external_id", "ror_id", "ror_name")
+
+
 @register("reconcile_orgs", _reconcile_sql("true"))
 def _reconcile(t):
     done = reconcile.reconcile_orgs(t.affiliations, t.registry, rules.INVALID_EXTERNAL_IDS["affiliations"])

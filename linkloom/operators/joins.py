@@ -23,20 +23,17 @@ NULL_SPREAD = 997
 
 
 def row_bytes(df: DataFrame) -> Column:
-    """Rough size of a row: text by its length, everything else by eight bytes."""
-    sizes = [
-        F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0)) + F.lit(8)
-        if isinstance(field.dataType, T.StringType)
-        else F.lit(8)
-        for field in df.schema.fields
-        if not isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType))
-    ]
-    nested = [
-        F.octet_length(F.to_json(F.struct(F.col(f"`{field.name}`"))))
-        for field in df.schema.fields
-        if isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType))
-    ]
-    return reduce(lambda a, b: a + b, sizes + nested, F.lit(0)).cast("bigint")
+    """Rough size of a row: eight bytes a column, plus the length of text and nested values."""
+    nested = (T.ArrayType, T.StructType, T.MapType)
+    total = F.lit(8 * len(df.columns)).cast("bigint")
+    for field in df.schema.fields:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, nested):
+            value = F.to_json(F.struct(value))
+        elif not isinstance(field.dataType, T.StringType):
+            continue
+        total = total + F.coalesce(F.octet_length(value), F.lit(0))
+    return total
 
 
 def broadcastable(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linkloom import rules
+from linkloom.corpus import Corpus
 from linkloom.functions.identifiers import ROR_URL, external_id_search_key, normalize_external_id
 from linkloom.functions.titles import name_key
 from linkloom.operators.joins import broadcastable, lookup_join
@@ -105,6 +107,22 @@ def reconcile_orgs(
     ).select(*columns)
 
 
+def reconcile_corpus(
+    corpus: Corpus,
+    registry: DataFrame,
+    invalid_ids: Mapping[str, Sequence[str]] = rules.INVALID_EXTERNAL_IDS,
+    since: str | None = None,
+    compat: bool = False,
+) -> Corpus:
+    """Reconcile affiliations and funders, each with its own list of placeholder ids."""
+    tables = corpus.tables()
+    done = {
+        name: reconcile_orgs(tables[name], registry, invalid_ids.get(name, ()), since, compat)
+        for name in ("affiliations", "funders")
+    }
+    return corpus.with_tables(**done)
+
+
 def unresolved_orgs(affiliations: DataFrame, funders: DataFrame) -> DataFrame:
     """Distinct ``(id, title)`` of both tables' rows without an external id."""
     sides = [t.filter(F.col("external_id").isNull()).select("id", "title") for t in (affiliations, funders)]

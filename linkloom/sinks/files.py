@@ -112,7 +112,8 @@ def write_buckets(classified: DataFrame, path: str) -> None:
 
 
 def write_candidates(report: DataFrame, path: str) -> None:
-    write_csv(report, path)
+    """The candidate report without the organisation id: the name and four columns a match."""
+    write_csv(report.drop("id"), path)
 
 
 def write_comparison(report: DataFrame, path: str) -> None:
