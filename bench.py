@@ -45,6 +45,14 @@ HEADLINES = [
 ]
 
 
+def scale_factor(sf_dir: str) -> float | str:
+    name = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS") or str(os.cpu_count())
@@ -72,7 +80,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+                "sf": scale_factor(sf_dir),
             }
         )
     )

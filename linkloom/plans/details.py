@@ -27,6 +27,15 @@ def _lookups(corpus: Corpus, build) -> dict[str, DataFrame]:
     return made
 
 
+def _nested_dims(corpus: Corpus, *org_columns: str) -> dict[str, DataFrame]:
+    """The bridged dimensions with the columns that are nested, so only those are measured."""
+    return {
+        "affiliations": corpus.affiliations.select("id", *org_columns),
+        "funders": corpus.funders.select("id", *org_columns),
+        "subjects": corpus.subjects.select("id", "title"),
+    }
+
+
 def join_dims(assertions: DataFrame, lookups: dict[str, DataFrame], small: set[str]) -> DataFrame:
     """Left join every lookup by its key, those measured small by broadcast."""
     for key, lookup in lookups.items():
@@ -40,7 +49,7 @@ def assertion_details_formatted(corpus: Corpus) -> DataFrame:
     The bridges are expanded and nested before they meet the fact, so the fact is shuffled once
     (by id) and all three joins reuse that partitioning.
     """
-    dims = {"affiliations": corpus.affiliations, "funders": corpus.funders, "subjects": corpus.subjects}
+    dims = _nested_dims(corpus, "title", "external_id", "ror_name", "ror_id")
     lookups = _lookups(corpus, titled_or_null)
     small = broadcastable({**dims, **lookups})
 
@@ -96,7 +105,7 @@ def assertion_details(corpus: Corpus, funders_via: str = "funders") -> DataFrame
 
     ``funders_via='affiliations'`` looks funders up through the affiliations bridge.
     """
-    dims = {"affiliations": corpus.affiliations, "funders": corpus.funders, "subjects": corpus.subjects}
+    dims = _nested_dims(corpus, "title", "external_id")
     lookups = _lookups(corpus, titled)
     small = broadcastable({**dims, **lookups})
 

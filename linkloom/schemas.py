@@ -91,6 +91,8 @@ PAPER_RECORD = T.StructType(
 )
 PAPERS = _struct(doi=STRING, journal=STRING, publisher=STRING, published_date=STRING)
 
+LOOKUP_CACHE = _struct(pmcid=STRING, doi_url=STRING)
+
 REGISTRY = _struct(
     ror_id=STRING,
     name=STRING,

@@ -16,6 +16,25 @@ from linkloom.plans.ingest import usable_crosswalk, usable_feed
 from linkloom.plans.papers import parse_papers
 
 
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The schema's columns with their types, then any further columns of the table.
+
+    A missing column is added as nulls.  Timestamps stay with or without zone as they are stored.
+    """
+    timestamps = (T.TimestampType, T.TimestampNTZType)
+    present = {f.name: f.dataType for f in df.schema.fields}
+    columns = []
+    for field in schema.fields:
+        kind = present.get(field.name)
+        if kind is None:
+            columns.append(F.lit(None).cast(field.dataType).alias(field.name))
+        elif kind == field.dataType or isinstance(kind, timestamps) and isinstance(field.dataType, timestamps):
+            columns.append(F.col(field.name))
+        else:
+            columns.append(F.col(field.name).cast(field.dataType).alias(field.name))
+    return df.select(*columns, *[c for c in df.columns if c not in schema.names])
+
+
 def load_corpus(
     spark: SparkSession, path: str | None = None, reader: Callable[[str], DataFrame] | None = None
 ) -> Corpus:
@@ -24,9 +43,8 @@ def load_corpus(
     Another store goes through ``reader``, a function from table name to DataFrame such as
     ``spark.table`` for stored tables or ``lambda t: spark.read.jdbc(url, t, column="id", ...)``.
     """
-    if reader is None:
-        return Corpus(**{name: spark.read.parquet(f"{path}/{name}") for name in schemas.CORPUS})
-    return Corpus(**{name: reader(name) for name in schemas.CORPUS})
+    read = reader or (lambda name: spark.read.parquet(f"{path}/{name}"))
+    return Corpus(**{name: conform(read(name), schema) for name, schema in schemas.CORPUS.items()})
 
 
 def _file_name() -> Column:
@@ -87,9 +105,7 @@ def read_name_map(spark: SparkSession, path: str) -> DataFrame:
     return text.select(pairs.alias("repo_code", "name"))
 
 
-def read_lookup_cache(spark: SparkSession, path: str) -> DataFrame:
-    """``(pmcid, doi_url)`` stored as Parquet; empty when there is none yet."""
-    schema = "pmcid string, doi_url string"
+def _stored_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
@@ -98,6 +114,21 @@ def read_lookup_cache(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def read_lookup_cache(spark: SparkSession, path: str) -> DataFrame:
+    """``(pmcid, doi_url)`` stored as Parquet; empty when there is none yet."""
+    return _stored_or_empty(spark, path, schemas.LOOKUP_CACHE)
+
+
+def read_papers(spark: SparkSession, path: str) -> DataFrame:
+    """The paper table stored as Parquet; empty when there is none yet."""
+    return _stored_or_empty(spark, path, schemas.PAPERS)
+
+
+def read_registry(spark: SparkSession, path: str) -> DataFrame:
+    """Organisation registry snapshot as JSON lines ``{ror_id, name, aliases, external_ids}``."""
+    return spark.read.schema(schemas.REGISTRY).json(path)
+
+
 def read_papers_jsonl(spark: SparkSession, path: str, compat: bool = False) -> tuple[DataFrame, DataFrame]:
     """Papers and bad lines of a folder of (gzipped) JSON lines; one task per gzip file."""
     lines = spark.read.option("pathGlobFilter", "*.jsonl*").text(path)

@@ -224,3 +224,34 @@ def test_each_chunk_is_one_task(spark, tables):
     placed = sinks.one_task_per_chunk(numbered.rows, numbered)
     per_task = placed.groupBy(F.spark_partition_id().alias("task")).agg(F.collect_set("chunk").alias("chunks")).collect()
     assert sorted((r["task"] + 1, r["chunks"]) for r in per_task) == [(n, [n]) for n in range(1, 16)]
+
+
+def test_paper_store(spark, tmp_path):
+    from linkloom.plans.paper_store import import_papers
+    from linkloom.plans.papers import search_papers
+    from tests.test_plans import plan
+
+    first, second = tmp_path / "one", tmp_path / "two"
+    for folder, lines in [
+        (first, ['{"DOI":"10.1/a","publisher":"Old"}', '{"DOI":"10.1/b","publisher":"B"}']),
+        (second, ['{"DOI":"10.1/a","publisher":"New"}', "not json"]),
+    ]:
+        folder.mkdir()
+        (folder / "x.jsonl").write_text("\n".join(lines))
+    none, old, new = (str(tmp_path / n) for n in ("none", "v1", "v2"))
+    import_papers(spark, str(first), none, old)
+    stored, bad = import_papers(spark, str(second), old, new)
+    assert rows(stored.select("doi", "publisher")) == [("10.1/a", "New"), ("10.1/b", "B")]
+    assert rows(bad) == [("not json",)]
+    assert "EqualTo(doi,10.1/a)" in plan(search_papers(stored, doi="10.1/a"), "formatted")
+
+
+def test_registry_and_conforming_tables(spark, tmp_path):
+    (tmp_path / "r.json").write_text('{"ror_id":"r","name":"N","aliases":["A"],"external_ids":["grid.1"],"x":1}\n')
+    assert rows(sources.read_registry(spark, str(tmp_path / "r.json"))) == [("r", "N", ["A"], ["grid.1"])]
+    from linkloom import schemas
+
+    raw = spark.createDataFrame([(1, "t", "more")], "id int, title string, extra string")
+    done = sources.conform(raw, schemas.NAMED)
+    assert done.columns == ["id", "title", "external_id", "extra"]
+    assert rows(done) == [("1", "t", None, "more")]
