@@ -14,6 +14,8 @@ from linkloom.session import ensure_checkpoint_dir
 
 #: White space of a word or line edge: space and the code points 9 to 13.
 SPACES = " \t\n\x0b\x0c\r"
+#: A word, as a pattern for Spark's built-in functions.
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,8 +43,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def word_count(text: Column) -> Column:
     """Number of runs of anything but ``SPACES``; null counts 0.  Built-in functions only."""
-    flat = F.translate(text, "\t\n\x0b\x0c\r", "     ")
-    return F.coalesce(F.size(F.array_remove(F.split(flat, " "), "")), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
 # -- connected components ---------------------------------------------------------------------

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from linkloom.llm import langid
+from linkloom.llm import langid, lines, mixing
 
 QUERIES = {
     "op1_language_id": langid.query,
+    "op6_source_mix": mixing.query,
+    "op10_line_dedup": lines.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op10_line_dedup": lines.SQL,
+}
