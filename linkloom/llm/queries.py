@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from linkloom.llm import langid, lines, mixing
+from linkloom.llm import langid, lines, mixing, packing, secrets, sharding
 
 QUERIES = {
     "op1_language_id": langid.query,
+    "op3_secret_scan": secrets.query,
     "op6_source_mix": mixing.query,
+    "op8_best_fit_packing": packing.query,
+    "op9_extendible_sharding": sharding.query,
     "op10_line_dedup": lines.query,
 }
 
 ORACLES = {
+    "op9_extendible_sharding": sharding.SQL,
     "op10_line_dedup": lines.SQL,
 }
