@@ -79,7 +79,7 @@ def components(links: DataFrame) -> DataFrame:
     pairs = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
     pairs = checkpointed(pairs.mapInPandas(_forest, "a long, b long"))
     mark = None
-    while True:
+    while not pairs.isEmpty():
         pairs = checkpointed(_star(_star(pairs, larger=True), larger=False))
         seen = pairs.agg(
             F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.max("b"), F.countDistinct("a")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from linkloom.llm import langid, lines, mixing, packing, secrets, sharding
+from linkloom.llm import html, langid, lines, minhash, mixing, packing, secrets, sharding
 
 QUERIES = {
     "op1_language_id": langid.query,
+    "op2_html_text": html.query,
     "op3_secret_scan": secrets.query,
+    "op4_minhash_dedup": minhash.query,
     "op6_source_mix": mixing.query,
     "op8_best_fit_packing": packing.query,
     "op9_extendible_sharding": sharding.query,
