@@ -1,4 +1,10 @@
-"""Preparing a training corpus: stages over ``documents``, each on all that the one before kept."""
+"""Preparing a training corpus: stages over ``documents``, each on all that the one before kept.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns
+of ``docs``.  ``run`` stores each result as Parquet in the shared folder and reads it again.  Null
+and empty texts, repeated rows, empty tables and extra columns are handled as the operators'
+docstrings say.
+"""
 
 from __future__ import annotations
 
@@ -6,26 +12,51 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import langid
+from linkloom.llm import langid, lines, minhash, mixing, packing
 from linkloom.llm.common import table
 from linkloom.session import ensure_checkpoint_dir
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of no known language go."""
+    """Documents without a letter, or unlike every known language, go."""
     return langid.reject_unknown(docs)
 
 
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines found in three or more documents stay in one; documents left without text go."""
+    return lines.drop_repeated_lines(docs)
+
+
+def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return minhash.drop_near_duplicates(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents, or the part of them taken, once for each round of the mix that takes them."""
+    return mixing.mixed_documents(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents and their place in sequences of several lengths."""
+    return packing.pack(docs).drop("_row")
+
+
 STAGES = [
     ("language_id", identify_language),
+    ("line_dedup", dedup_lines),
+    ("near_dedup", dedup_near),
+    ("source_mix", mix_sources),
+    ("packing", pack_sequences),
 ]
 
-#: Language profiles cannot be expressed in SQL; the stages are tested against brute force.
+#: Profiles, packing and the permutations of the mix cannot be expressed in SQL; the stages are
+#: tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to ``documents``; each result is stored in the shared folder and reread."""
+    """Apply all stages to ``documents``."""
     ensure_checkpoint_dir(spark)
     folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")

@@ -35,7 +35,7 @@ SHARE = 1.5
 MAX_EPOCHS = 2
 BLOCK = 128
 SLOTS = 4096
-_ROWS_A_CHUNK = 50_000
+_ROWS_A_CHUNK = 5_000
 _CELLS = 1024
 
 

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from linkloom.llm import html, langid, lines, minhash, mixing, packing, secrets, sharding
+from linkloom.llm import covertree, html, langid, lines, minhash, mixing, packing, secrets, sharding, topk
 
 QUERIES = {
     "op1_language_id": langid.query,
     "op2_html_text": html.query,
     "op3_secret_scan": secrets.query,
     "op4_minhash_dedup": minhash.query,
+    "op5_cover_tree_dedup": covertree.query,
     "op6_source_mix": mixing.query,
+    "op7_maxscore_topk": topk.query,
     "op8_best_fit_packing": packing.query,
     "op9_extendible_sharding": sharding.query,
     "op10_line_dedup": lines.query,
 }
 
 ORACLES = {
+    "op7_maxscore_topk": topk.SQL,
     "op9_extendible_sharding": sharding.SQL,
     "op10_line_dedup": lines.SQL,
 }
