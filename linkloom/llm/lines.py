@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import SPACES, col, table
+from linkloom.llm.common import SPACES, col, fresh, table
 from linkloom.session import stored
 
 MIN_DOCS = 3
@@ -315,10 +315,11 @@ def _clean(body: str | None, gone: set[bytes] | None, min_points: int) -> tuple[
     return "\n".join(kept), len(lines), len(lines) - len(kept)
 
 
-def _with_gone(docs: DataFrame, index: LineIndex) -> DataFrame:
-    """``docs`` (doc_id, text, ...) with ``_gone``: the keys to drop, 16 bytes each."""
-    gone = index.dropped().groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("k1", "k2")).alias("_gone"))
-    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(gone["_id"]), "left").drop("_id")
+def _with_gone(docs: DataFrame, index: LineIndex, name: str = "_gone") -> DataFrame:
+    """``docs`` (doc_id, text, ...) with ``name``: the keys to drop."""
+    key = fresh(docs, "_id")
+    gone = index.dropped().groupBy(F.col("doc_id").alias(key)).agg(F.collect_list(F.struct("k1", "k2")).alias(name))
+    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(gone[key]), "left").drop(key)
 
 
 def _gone_keys(batch: pa.RecordBatch, name: str) -> list[set[bytes] | None]:
@@ -370,12 +371,13 @@ def drop_repeated_lines(docs: DataFrame, index: LineIndex | None = None) -> Data
                 out.append(_clean(body, found, min_points)[0])
         return pd.Series(out, dtype=object)
 
-    rows = _with_gone(docs, index)
-    rows = rows.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(strip("text", "_gone")))
-    rows = rows.filter(F.col("_gone").isNull() | (F.trim(F.translate("text", SPACES, " " * len(SPACES))) != ""))
+    gone = fresh(docs, "_gone")
+    rows, whole = _with_gone(docs, index, gone), F.col(gone).isNull()
+    rows = rows.withColumn("text", F.when(whole, F.col("text")).otherwise(strip("text", gone)))
+    rows = rows.filter(whole | (F.trim(F.translate("text", SPACES, " " * len(SPACES))) != ""))
     if "n_chars" in columns:
         kept = F.length("text").cast(docs.schema["n_chars"].dataType)
-        rows = rows.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(kept))
+        rows = rows.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(kept))
     return rows.select(*[col(c) for c in columns])
 
 
