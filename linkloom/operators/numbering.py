@@ -26,6 +26,9 @@ def number_rows(
 ) -> Numbered:
     """``(key, row_number, chunk)`` for every row, numbered from 1 in key order.
 
+    Keys must be there and be different: a null or repeated one is an error, since rows could not
+    be joined with their numbers.
+
     Only the key is moved: it is range-partitioned, sorted inside the partitions and cut to the
     shared checkpoint folder, which fixes what lies in which partition.  The number of a row is
     then its position in its partition plus the rows of all partitions before it.  Only the row
@@ -43,9 +46,15 @@ def number_rows(
         F.shiftright("_place", _POSITION_BITS).cast("int").alias("_part"),
         F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("_position"),
     )
-    sizes = sorted((r["_part"], r["n"]) for r in placed.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect())
+    # equal keys lie in the same partition, so distinct ones may be counted in each
+    counted = placed.groupBy("_part").agg(
+        F.count(F.lit(1)).alias("n"), F.count(key).alias("filled"), F.count_distinct(key).alias("different")
+    )
+    sizes = sorted(tuple(r) for r in counted.collect())
     offsets, total = [], 0
-    for part, n in sizes:
+    for part, n, filled, different in sizes:
+        if filled < n or different < n:
+            raise ValueError(f"{n - filled} rows without {key}, {filled - different} that repeat one")
         offsets.append((part, total))
         total += n
     schema = T.StructType([T.StructField("_part", T.IntegerType()), T.StructField("_offset", T.LongType())])

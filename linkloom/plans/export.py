@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions.labels import joined, object_label, organisation_label, ror_label
 from linkloom.operators.numbering import ROWS_PER_FILE, Numbered, number_rows
 from linkloom.operators.updates import fix_separators
-from linkloom.sinks.files import CSV_OPTIONS, materialize, write_csv_chunks, write_json_chunks
+from linkloom.sinks.files import CSV_OPTIONS, one_task_per_chunk, write_csv_laid_out, write_json_laid_out
 
 
 def with_chunks(details: DataFrame, numbered: Numbered, key: str = "id") -> DataFrame:
@@ -59,16 +60,19 @@ def export_dump(
 ) -> Numbered:
     """Write the JSON and the CSV form under ``path/json`` and ``path/csv``.
 
-    The numbered nested rows are stored once under ``path/rows``, so the joins that build them
-    run once for both forms.
+    The nested rows are laid out by chunk once and kept on the executors' disks until both forms
+    are written; a lost executor's part is built again.
 
     ``ids``: a cheaper table with the same ids (the assertions), to number without building the
     nested rows twice.  ``name_template`` such as ``"2025-01-01-links-{nn}"`` names the files.
     """
     numbered = number_rows(details if ids is None else ids, "id", rows_per_file)
-    chunked = materialize(with_chunks(details, numbered), f"{path}/rows")
-    write_json_chunks(chunked, numbered, f"{path}/json", rows_per_file, name_template)
-    write_csv_chunks(csv_rows(chunked), numbered, f"{path}/csv", name_template)
+    rows = one_task_per_chunk(with_chunks(details, numbered), numbered).persist(StorageLevel.DISK_ONLY)
+    try:
+        write_json_laid_out(rows, numbered, f"{path}/json", rows_per_file, name_template)
+        write_csv_laid_out(csv_rows(rows), numbered, f"{path}/csv", name_template)
+    finally:
+        rows.unpersist()
     return numbered
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,24 @@ from linkloom.operators.numbering import Numbered
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "nullValue": "", "emptyValue": ""}
 
 
+# Headers of the two comparison reports; another wording is the caller's ``headers``.
+COMPARISON_HEADERS = {
+    "article_doi": "Article DOI",
+    "reported": "Reported DOIs",
+    "reported_count": "Reported count",
+    "events": "DOIs in events",
+    "events_count": "Events count",
+    "same": "Same in report and events",
+    "count_difference": "Difference of counts",
+    "missing": "Not in events",
+    "missing_count": "Not in events count",
+    "found_count": "Found in events count",
+}
+
+# A chunk is one file, whatever the session says about the length of files.
+ONE_FILE = {"maxRecordsPerFile": 0}
+
+
 def one_task_per_chunk(chunked: DataFrame, numbered: Numbered) -> DataFrame:
     """Task n gets chunk n and nothing else, in row order; a chunk has a fixed maximum of rows."""
     placed = chunked.repartitionById(max(numbered.chunks, 1), F.col("chunk") - 1)
@@ -52,34 +72,62 @@ def write_json_chunks(
     name_template: str | None = None,
 ) -> None:
     """One file per chunk, each holding one JSON array of the records in id order."""
-    rows = one_task_per_chunk(json_lines(chunked, numbered, rows_per_file), numbered)
-    rows.select("chunk", "value").write.mode("overwrite").partitionBy("chunk").text(path)
+    write_json_laid_out(one_task_per_chunk(chunked, numbered), numbered, path, rows_per_file, name_template)
+
+
+def write_json_laid_out(
+    rows: DataFrame, numbered: Numbered, path: str, rows_per_file: int, name_template: str | None = None
+) -> None:
+    """The same for rows that ``one_task_per_chunk`` has placed."""
+    lines = json_lines(rows, numbered, rows_per_file).select("chunk", "value")
+    lines.write.mode("overwrite").options(**ONE_FILE).partitionBy("chunk").text(path)
     if name_template:
-        name_chunk_files(rows.sparkSession, path, name_template + ".json")
+        name_chunk_files(rows.sparkSession, path, name_template + ".json", numbered.chunks)
 
 
 def write_csv_chunks(chunked: DataFrame, numbered: Numbered, path: str, name_template: str | None = None) -> None:
-    rows = one_task_per_chunk(chunked, numbered).drop("row_number")
-    rows.write.mode("overwrite").options(**CSV_OPTIONS).partitionBy("chunk").csv(path)
+    write_csv_laid_out(one_task_per_chunk(chunked, numbered), numbered, path, name_template)
+
+
+def write_csv_laid_out(rows: DataFrame, numbered: Numbered, path: str, name_template: str | None = None) -> None:
+    """The same for rows that ``one_task_per_chunk`` has placed."""
+    flat = rows.drop("row_number")
+    flat.write.mode("overwrite").options(**CSV_OPTIONS, **ONE_FILE).partitionBy("chunk").csv(path)
     if name_template:
-        name_chunk_files(rows.sparkSession, path, name_template + ".csv")
+        name_chunk_files(rows.sparkSession, path, name_template + ".csv", numbered.chunks)
 
 
-def name_chunk_files(spark: SparkSession, path: str, template: str) -> None:
-    """Rename the one file of each ``chunk=n`` folder; only file names pass the driver."""
+def name_chunk_files(spark: SparkSession, path: str, template: str, chunks: int) -> None:
+    """Give the one file of each ``chunk=n`` folder its name; only file names pass the driver.
+
+    One rename a chunk, by default a million rows.  Nothing is moved unless every chunk has
+    exactly one file and no target exists, no folder is deleted before all renames succeeded, and
+    a refused one raises.
+    """
     jvm = spark._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    moves, folders = [], []
     for folder in fs.listStatus(root):
         name = folder.getPath().getName()
         if not name.startswith("chunk="):
             continue
+        parts = [f.getPath() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-")]
+        if len(parts) != 1:
+            raise RuntimeError(f"{path}/{name} has {len(parts)} files instead of one; nothing was renamed")
         number = int(name.removeprefix("chunk="))
-        for file in fs.listStatus(folder.getPath()):
-            if file.getPath().getName().startswith("part-"):
-                target = template.replace("{nn}", f"{number:02d}")
-                fs.rename(file.getPath(), jvm.org.apache.hadoop.fs.Path(root, target))
-        fs.delete(folder.getPath(), True)
+        target = jvm.org.apache.hadoop.fs.Path(root, template.replace("{nn}", f"{number:02d}"))
+        if fs.exists(target):
+            raise RuntimeError(f"{target} is there already; nothing was renamed")
+        moves.append((parts[0], target))
+        folders.append(folder.getPath())
+    if len(moves) != chunks or len({t.getName() for _, t in moves}) != chunks:
+        raise RuntimeError(f"{path} has {len(moves)} of {chunks} chunks, or names that repeat; nothing was renamed")
+    for part, target in moves:
+        if not fs.rename(part, target):
+            raise RuntimeError(f"{part} could not be renamed to {target}; all chunk folders are kept")
+    for folder in folders:
+        fs.delete(folder, True)
 
 
 def write_partitioned_csv(df: DataFrame, path: str, by: str) -> None:
@@ -116,8 +164,10 @@ def write_candidates(report: DataFrame, path: str) -> None:
     write_csv(report.drop("id"), path)
 
 
-def write_comparison(report: DataFrame, path: str) -> None:
-    write_csv(report, path)
+def write_comparison(report: DataFrame, path: str, headers: Mapping[str, str] | None = None) -> None:
+    """A comparison with citation events under the report's headers; further columns keep their names."""
+    names = {**COMPARISON_HEADERS, **(headers or {})}
+    write_csv(report.withColumnsRenamed({c: names[c] for c in report.columns if c in names}), path)
 
 
 def save_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
