@@ -21,17 +21,26 @@ def journal_name(container_title: Column) -> Column:
 def publication_date(published: Column, compat: bool = False) -> Column:
     """``date-time`` if given, else ``Y-MM-DD``, ``Y-MM`` or ``Y`` from ``date-parts``, else empty.
 
-    ``compat`` prints ``None`` for a null year.
+    ``published`` is raw JSON text.  Numbers may be written as text; what is no date object, or a
+    part that is no number and those after it, is left out.  ``compat`` prints ``None`` for a null
+    year.
     """
-    moment = published["date-time"]
-    parts = F.get(published["date-parts"], F.lit(0))
-    year, month, day = (F.get(parts, F.lit(i)) for i in range(3))
-    no_year = F.lit("None" if compat else "")
+    date = F.from_json(published, "`date-time` string, `date-parts` string")
+    moment = date["date-time"]
+    first = F.get(F.from_json(date["date-parts"], "array<string>"), F.lit(0))
+    parts = F.from_json(first, "array<string>")
+    given = F.coalesce(F.size(parts), F.lit(0)) > 0
+    year = F.coalesce(F.get(parts, F.lit(0)), F.lit("None" if compat else ""))
+
+    def two_digits(place: int) -> Column:
+        number = F.get(parts, F.lit(place)).try_cast("int")
+        return F.when(number.isNotNull(), F.format_string("%02d", number))
+
+    month = two_digits(1)
+    day = F.when(month.isNotNull(), two_digits(2))
     return (
         F.when(moment != "", moment)
-        .when(F.size(parts) >= 3, F.format_string("%d-%02d-%02d", year, month, day))
-        .when(F.size(parts) == 2, F.format_string("%d-%02d", year, month))
-        .when(F.size(parts) == 1, F.coalesce(year.cast("string"), no_year))
+        .when(given & (year != ""), F.concat_ws("-", year, month, day))
         .otherwise(F.lit(""))
     )
 

@@ -17,13 +17,14 @@ TOP_PUBLISHERS = 10
 def parse_papers(lines: DataFrame, compat: bool = False) -> tuple[DataFrame, DataFrame]:
     """Papers from JSON lines in column ``value``, and the lines that are no JSON object.
 
-    Records without a DOI are dropped: they would all share one key.
+    Fields of an odd type do not spoil their record.  Records without a DOI are dropped: they would
+    all share one key.  Bad lines keep the further columns of ``lines``, such as their file.
     """
     schema = T.StructType([*PAPER_RECORD.fields, T.StructField("_bad", T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
-    parsed = lines.select("value", F.from_json("value", schema, options).alias("r"))
-    is_bad = F.col("r").isNull() | F.col("r._bad").isNotNull()
-    bad = parsed.filter(is_bad).select("value")
+    parsed = lines.withColumn("r", F.from_json("value", schema, options))
+    is_bad = F.col("r").isNull() | F.col("r._bad").isNotNull() | ~F.ltrim("value").startswith("{")
+    bad = parsed.filter(is_bad).drop("r")
     papers = parsed.filter(~is_bad).select(
         F.col("r.DOI").alias("doi"),
         journal_name(F.col("r.container-title")).alias("journal"),
@@ -33,6 +34,11 @@ def parse_papers(lines: DataFrame, compat: bool = False) -> tuple[DataFrame, Dat
     return papers.filter(F.col("doi") != ""), bad
 
 
+def count_bad_lines(bad: DataFrame) -> DataFrame:
+    """``(file, bad_lines)`` of the bad lines that ``read_papers_jsonl`` found."""
+    return bad.groupBy("file").agg(F.count(F.lit(1)).alias("bad_lines"))
+
+
 def one_per_doi(papers: DataFrame) -> DataFrame:
     """Records of the same DOI reduced to one: latest date, then greatest journal and publisher."""
     return pick_by_key(papers, ["doi"], [F.col("published_date"), F.col("journal"), F.col("publisher")])
@@ -52,9 +58,10 @@ def upsert_papers(old: DataFrame, new: DataFrame) -> DataFrame:
 def enrich_papers(df: DataFrame, papers: DataFrame, on: str = "doi") -> DataFrame:
     """Add journal, publisher and publication date by DOI; null where the DOI is unknown.
 
-    The columns are prefixed with ``paper_`` to stay clear of those already there.
+    The columns are prefixed with ``paper_`` to stay clear of those already there.  A DOI that
+    occurs more than once counts with its latest record, so no row is multiplied.
     """
-    lookup = papers.select(
+    lookup = one_per_doi(papers.select("doi", "journal", "publisher", "published_date")).select(
         F.col("doi").alias(on),
         F.col("journal").alias("paper_journal"),
         F.col("publisher").alias("paper_publisher"),

@@ -72,21 +72,14 @@ CORPUS = {
 }
 
 # Bibliographic record as found in the JSON lines.  `container-title` is a list in some records
-# and a plain string in others; read as string, Spark hands back the raw JSON text of a list.
+# and a plain string in others, and dates come in odd shapes; read as strings, Spark hands back
+# the raw JSON text and no field can spoil its record.
 PAPER_RECORD = T.StructType(
     [
         T.StructField("DOI", STRING),
         T.StructField("container-title", STRING),
         T.StructField("publisher", STRING),
-        T.StructField(
-            "published",
-            T.StructType(
-                [
-                    T.StructField("date-time", STRING),
-                    T.StructField("date-parts", T.ArrayType(T.ArrayType(T.IntegerType()))),
-                ]
-            ),
-        ),
+        T.StructField("published", STRING),
     ]
 )
 PAPERS = _struct(doi=STRING, journal=STRING, publisher=STRING, published_date=STRING)

@@ -13,7 +13,7 @@ from linkloom import rules, schemas
 from linkloom.corpus import Corpus
 from linkloom.functions.identifiers import strip
 from linkloom.plans.ingest import usable_crosswalk, usable_feed
-from linkloom.plans.papers import parse_papers
+from linkloom.plans.papers import count_bad_lines, parse_papers
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -55,7 +55,12 @@ def _file_name() -> Column:
 def read_removal_lists(spark: SparkSession, path: str) -> DataFrame:
     """``(assertion_id, repository_id)`` from every ``<repository>-remove*`` file of a folder."""
     lists = spark.read.schema("assertion_id string").option("pathGlobFilter", "*-remove*").csv(path)
-    repository = F.regexp_extract(_file_name(), r"^(.+?)-remove", 1)
+    return removal_rows(lists.withColumn("file", _file_name()))
+
+
+def removal_rows(lists: DataFrame) -> DataFrame:
+    """``(assertion_id, repository_id)`` of raw list rows ``(assertion_id, file)``."""
+    repository = F.regexp_extract("file", r"^(.+?)-remove", 1)
     return lists.select(strip(F.col("assertion_id")).alias("assertion_id"), repository.alias("repository_id"))
 
 
@@ -64,25 +69,34 @@ def read_textmined(
     path: str,
     crosswalk_file: str = "PMID_PMCID_DOI.csv",
     exclude: Sequence[str] = tuple(rules.EXCLUDED_FEEDS),
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """``(repo_code, accession, pmcid)`` of all feeds of a folder, except the crosswalk and ``exclude``.
 
-    The code of a feed is its file name up to the first dot.  Columns go by position.  Files are
-    split among tasks; ``multi_line`` admits line breaks inside quoted fields, one task per file.
+    The code of a feed is its file name up to the first dot.  Columns go by position.  Quoted fields
+    may hold line breaks, so a file is read by one task; ``multi_line=False`` splits files among
+    tasks where it is known that none does.
     """
-    feed = _positional_csv(spark, path, ["accession", "pmcid"], multi_line)
-    name = _file_name()
-    code = F.substring_index(name, ".", 1)
-    feed = feed.withColumns({"_file": name, "repo_code": code})
-    feed = feed.filter(~F.col("_file").endswith(crosswalk_file) & ~F.col("repo_code").isin(*exclude))
+    feed = _positional_csv(spark, path, ["accession", "pmcid"], multi_line).withColumn("file", _file_name())
+    return feed_rows(feed, crosswalk_file, exclude)
+
+
+def feed_rows(
+    feed: DataFrame,
+    crosswalk_file: str = "PMID_PMCID_DOI.csv",
+    exclude: Sequence[str] = tuple(rules.EXCLUDED_FEEDS),
+) -> DataFrame:
+    """``(repo_code, accession, pmcid)`` of raw feed rows ``(file, accession, pmcid)``."""
+    feed = feed.withColumn("repo_code", F.substring_index("file", ".", 1))
+    feed = feed.filter(~F.col("file").endswith(crosswalk_file) & ~F.col("repo_code").isin(*exclude))
     return usable_feed(feed).select("repo_code", "accession", "pmcid")
 
 
-def read_crosswalk(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_crosswalk(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """``(pmcid, doi)``: the second and third column, rows with both filled.
 
     An id listed more than once is settled where the table is used, by its greatest DOI.
+    ``multi_line`` as for ``read_textmined``.
     """
     return usable_crosswalk(_positional_csv(spark, path, ["pmid", "pmcid", "doi"], multi_line))
 
@@ -100,9 +114,12 @@ def _positional_csv(spark: SparkSession, path: str, columns: Sequence[str], mult
 
 def read_name_map(spark: SparkSession, path: str) -> DataFrame:
     """``(repo_code, name)`` from one JSON object of codes and names."""
-    text = spark.read.text(path, wholetext=True)
-    pairs = F.explode(F.from_json("value", "map<string,string>"))
-    return text.select(pairs.alias("repo_code", "name"))
+    return name_rows(spark.read.text(path, wholetext=True))
+
+
+def name_rows(text: DataFrame) -> DataFrame:
+    """``(repo_code, name)`` of the JSON objects in column ``value``."""
+    return text.select(F.explode(F.from_json("value", "map<string,string>")).alias("repo_code", "name"))
 
 
 def _stored_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -130,9 +147,19 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_papers_jsonl(spark: SparkSession, path: str, compat: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Papers and bad lines of a folder of (gzipped) JSON lines; one task per gzip file."""
+    """Papers and bad lines of a folder of (gzipped) JSON lines; one task per gzip file.
+
+    ``count_bad_lines_of`` tells how many bad lines each file has.
+    """
     lines = spark.read.option("pathGlobFilter", "*.jsonl*").text(path)
-    return parse_papers(lines, compat)
+    papers, bad = parse_papers(lines, compat)
+    return papers, bad
+
+
+def count_bad_lines_of(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, bad_lines)`` of the files of a folder that hold lines which are no JSON object."""
+    lines = spark.read.option("pathGlobFilter", "*.jsonl*").text(path).withColumn("file", _file_name())
+    return count_bad_lines(parse_papers(lines)[1])
 
 
 def read_review_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -145,6 +172,16 @@ def read_review_csv(spark: SparkSession, path: str) -> DataFrame:
     return df.toDF(*[c.strip() for c in df.columns])
 
 
+REVIEW_COLUMNS = ("Dataset", *(f"Match {i} {what}" for i in (1, 2, 3) for what in ("Name", "ID", "Chosen")))
+
+
+def review_rows(lines: DataFrame) -> DataFrame:
+    """Reviewed candidates of CSV lines in column ``value``, read as ``read_review_csv`` reads files."""
+    schema = ", ".join(f"`{c}` string" for c in REVIEW_COLUMNS)
+    options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "nullValue": ""}
+    return lines.select(F.from_csv("value", schema, options).alias("r")).select("r.*")
+
+
 def citation_list(text: Column) -> Column:
     """Array of the entries of a bracketed, quoted, comma-separated list."""
     inner = F.btrim(text, F.lit("[]"))
@@ -171,5 +208,10 @@ def read_dump(spark: SparkSession, path: str, record_per_line: bool = True) -> D
     """
     if not record_per_line:
         return spark.read.schema(schemas.DETAILS).option("multiLine", True).json(path)
+    return dump_records(spark.read.text(path))
+
+
+def dump_records(lines: DataFrame) -> DataFrame:
+    """Records of the lines of our own dumps in column ``value``."""
     record = F.regexp_replace("value", r"^\[|[,\]]$", "")
-    return spark.read.text(path).select(F.from_json(record, schemas.DETAILS).alias("r")).select("r.*")
+    return lines.select(F.from_json(record, schemas.DETAILS).alias("r")).select("r.*")
