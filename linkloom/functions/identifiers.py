@@ -65,18 +65,26 @@ def doi_key(value: Column) -> Column:
 def normalize_external_id(value: Column, compat: bool = False) -> Column:
     """URL form of an organisation id (ROR, GRID, ISNI, funder DOI); other ids are only stripped.
 
-    An id starting ``0000`` is an ISNI, even where it has the form of a ROR id.  Each rewrite
-    makes a URL no later one fits, so they follow each other and the id is read once.
-    ``compat`` inserts the ISNI path even where it is already present.
+    The first rule that fits decides; an id starting ``0000`` is an ISNI, even where it has the
+    form of a ROR id.  ``compat`` inserts the ISNI path even where it is already present.
     """
-    text = strip(value)
-    host = r"^http://isni\.org" + ("" if compat else "(?!/isni/)")
-    text = F.regexp_replace(text, host, ISNI_HOST + "/isni")
-    text = F.regexp_replace(text, r"^grid\.", GRID_URL + "grid.")
-    isni = F.concat(F.lit(ISNI_URL), F.replace(text, F.lit(" "), F.lit("")))
-    text = F.when(text.startswith("0000"), isni).otherwise(text)
-    text = F.regexp_replace(text, r"^10\.", DOI_URL + "10.")
-    return F.regexp_replace(text, r"^(0[a-zA-Z0-9]{6}[0-9]{2})\z", ROR_URL + "$1")
+
+    def by_first_rule(text: Column) -> Column:
+        old_isni = text.startswith(ISNI_HOST)
+        if not compat:
+            old_isni = old_isni & ~text.startswith(ISNI_URL)
+        return (
+            F.when(text.startswith(ROR_URL) | text.startswith(DOI_URL), text)
+            .when(text.startswith("grid."), F.concat(F.lit(GRID_URL), text))
+            .when(text.startswith("0000"), F.concat(F.lit(ISNI_URL), F.replace(text, F.lit(" "), F.lit(""))))
+            .when(text.startswith("10."), F.concat(F.lit(DOI_URL), text))
+            .when(text.rlike(r"^0[a-zA-Z0-9]{6}[0-9]{2}\z"), F.concat(F.lit(ROR_URL), text))
+            .when(old_isni, F.concat(F.lit(ISNI_HOST + "/isni"), F.substring(text, len(ISNI_HOST) + 1, 2**31 - 1)))
+            .otherwise(text)
+        )
+
+    # the stripped text is named once: written out in every rule it would outgrow a compiled method
+    return F.get(F.transform(F.array(strip(value)), by_first_rule), F.lit(0))
 
 
 def last_segment(value: Column) -> Column:

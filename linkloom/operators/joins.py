@@ -5,7 +5,8 @@ of a hot key by map output, copies of one row included.  AQE only does so when b
 straight out of a shuffle made for the join.  A lookup that was aggregated by its key is already
 partitioned by it and would be joined in place, so the join runs on a prefixed form of the key:
 the lookup, the small side, is shuffled once more and the facts become splittable.  Null keys,
-which match nothing, get stand-ins that spread them over all partitions.
+which match nothing, are left out where only matches stay; a left join gives them stand-ins that
+spread them over all partitions.
 """
 
 from __future__ import annotations
@@ -69,10 +70,15 @@ def lookup_join(df: DataFrame, lookup: DataFrame, key: str, how: str = "left", s
     """
     if small:
         return df.join(F.broadcast(lookup), key, how)
-    carried = [F.col(f"`{c}`") for c in df.columns if c != key]
-    slot = F.pmod(F.xxhash64(*carried), F.lit(NULL_SPREAD)).cast("string")
-    # real keys start with "=", stand-ins with "-", so they never meet
-    spread_key = F.coalesce(F.concat(F.lit("="), key), F.concat(F.lit("-"), slot))
+    spread_key = F.concat(F.lit("="), key)
+    if how == "left":
+        carried = [F.col(f"`{c}`") for c in df.columns if c != key]
+        spread = F.xxhash64(*carried) if carried else F.spark_partition_id()
+        slot = F.pmod(spread, F.lit(NULL_SPREAD)).cast("string")
+        # real keys start with "=", stand-ins with "-", so they never meet
+        spread_key = F.coalesce(spread_key, F.concat(F.lit("-"), slot))
+    else:  # a null key matches nothing
+        df = df.filter(F.col(key).isNotNull())
     left = df.withColumn("_spread_key", spread_key)
     right = lookup.filter(F.col(key).isNotNull()).withColumn("_lookup_key", F.concat(F.lit("="), key)).drop(key)
     joined = left.join(right, left["_spread_key"] == right["_lookup_key"], how)

@@ -84,7 +84,10 @@ def _down(value: Column) -> Column:
 
 
 def _join_keys(sets: DataFrame, frequent: list[str], t: float, left: bool) -> DataFrame:
-    """One row per join key of a set: ``key``, the prefix it is taken from and its token count."""
+    """One row ``(id, n, scheme, combination)`` per join key of a set ``(id, tokens)``.
+
+    The combination is a hash, so a key takes the same few bytes however long the name is.
+    """
     sets = sets.withColumn("ordered", _rare_first(F.col("tokens"), frequent)).drop("tokens")
     sets = sets.withColumn("n", F.size("ordered"))
     n, m, j = F.col("n"), F.col("m"), F.col("j")
@@ -104,31 +107,36 @@ def _join_keys(sets: DataFrame, frequent: list[str], t: float, left: bool) -> Da
     long = long.withColumn("prefix", F.slice("ordered", F.lit(1), n - _up(n * t) + 2))
     long = long.withColumn("combination", F.explode(_combinations(F.col("prefix"), 2)))
     long = long.withColumn("scheme", F.lit("long"))
-    return short.unionByName(long)
+    keys = short.unionByName(long)
+    return keys.select("id", "n", "scheme", F.xxhash64("combination").alias("combination"))
 
 
 def similar_names(left: DataFrame, right: DataFrame, min_score: float, frequent: list[str]) -> DataFrame:
     """Pairs ``(set_key, ror_id, name, score)`` with a Jaccard score of at least ``min_score``.
 
     ``left(set_key, tokens)`` has one row per distinct token set, ``right(ror_id, name, tokens)``
-    one per registry name.  The join itself checks that a pair stands at its first shared
-    combination, so that it is produced once, and that its score is high enough.
+    one per registry name.  Pairs that meet on several combinations are reduced to one; then the
+    token lists come back and the score is checked.
     """
     if not 0.2 <= min_score <= 1:
         raise ValueError("min_score must lie between 0.2 and 1")
-    a = _join_keys(left, frequent, min_score, left=True).alias("a")
-    b = _join_keys(right, frequent, min_score, left=False).alias("b")
-    first_shared = F.slice(F.array_intersect("a.prefix", "b.prefix"), F.lit(1), F.col("a.j"))
-    shared = F.size(F.array_intersect("a.ordered", "b.ordered"))
-    score = shared / (F.col("a.n") + F.col("b.n") - shared)
+    # ids are hashes; two sets with the same id would both be looked at below
+    left = left.withColumn("id", F.xxhash64("set_key"))
+    right = right.withColumn("id", F.xxhash64("ror_id", "name", "tokens"))
+    a = _join_keys(left.select("id", "tokens"), frequent, min_score, left=True).alias("a")
+    b = _join_keys(right.select("id", "tokens"), frequent, min_score, left=False).alias("b")
     meet = (
         (F.col("a.scheme") == F.col("b.scheme"))
         & (F.col("a.combination") == F.col("b.combination"))
         & ((F.col("a.scheme") != "long") | (F.greatest("a.n", "b.n") > SHORT))
-        & (F.concat_ws(" ", first_shared) == F.col("a.combination"))
-        & (score >= min_score)
     )
-    return a.join(b, meet).select("set_key", "ror_id", "name", score.alias("score"))
+    pairs = a.join(b, meet).select(F.col("a.id").alias("_left"), F.col("b.id").alias("_right")).distinct()
+    ours = left.select(F.col("id").alias("_left"), "set_key", F.col("tokens").alias("_ours"))
+    theirs = right.select(F.col("id").alias("_right"), "ror_id", "name", F.col("tokens").alias("_theirs"))
+    shared = F.size(F.array_intersect("_ours", "_theirs"))
+    score = shared / (F.size("_ours") + F.size("_theirs") - shared)
+    scored = pairs.join(ours, "_left").join(theirs, "_right").select("set_key", "ror_id", "name", score.alias("score"))
+    return scored.filter(F.col("score") >= min_score)
 
 
 def best_matches(pairs: DataFrame, top: int) -> DataFrame:

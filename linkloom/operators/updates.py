@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from linkloom import rules
 from linkloom.functions.identifiers import normalize_doi
 from linkloom.functions.titles import fix_separator
+from linkloom.operators.dedup import pick_by_key
 from linkloom.operators.joins import lookup_join
 
 DOI_COLUMNS = ("subj_id", "obj_id", "doi", "dataset", "publication")
@@ -84,8 +85,12 @@ def fix_separators(
 
 
 def update_from(df: DataFrame, updates: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Overwrite columns by the row of ``updates`` with the same key, nulls included."""
-    joined = lookup_join(df, updates.select(key, F.struct(*columns).alias("_new")), key)
+    """Overwrite columns by the row of ``updates`` with the same key, nulls included.
+
+    Of several updates of a key the greatest counts, so no row is multiplied.
+    """
+    single = pick_by_key(updates.select(key, *columns), [key], [])
+    joined = lookup_join(df, single.select(key, F.struct(*columns).alias("_new")), key)
     matched = F.col("_new").isNotNull()
     replaced = {c: F.when(matched, F.col(f"_new.{c}")).otherwise(F.col(c)) for c in columns}
     return joined.withColumns(replaced).drop("_new")

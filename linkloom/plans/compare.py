@@ -31,24 +31,52 @@ def citation_events_for(articles: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def _contained(inner: Column, outer: Column) -> Column:
-    """Every element of ``inner`` occurs within the text of some element of ``outer``.
-
-    Elements found as they are need no search; only the rest are compared one by one.
-    """
+    """Every element of ``inner`` occurs within the text of some element of ``outer``."""
     rest = F.array_except(inner, outer)
     return F.forall(rest, lambda one: F.exists(outer, lambda other: F.contains(other, one)))
 
 
 def same_citations(reported: Column, events: Column) -> Column:
-    """Loose equality: equally long, and each entry contained in one of the other list."""
+    """Loose equality of two short list columns: equally long, each entry contained in one of the other.
+
+    The work grows with the product of the lengths; ``compare_citations`` does the same with rows.
+    """
     left = F.transform(reported, lambda d: F.lower(d))
     right = F.transform(events, lambda d: doi_key(d))
     return (F.size(reported) == F.size(events)) & _contained(left, right) & _contained(right, left)
 
 
+def _line(article: str, cited: str) -> Column:
+    """Digest of a report line."""
+    return F.sha2(F.concat_ws("\u001f", article, cited), 256)
+
+
+def unmatched_lines(lists: DataFrame) -> DataFrame:
+    """``line`` of the rows ``(line, left, right)`` where an entry lies in no entry of the other list.
+
+    Entries that both lists have need no search.  The others are rows of their own and meet the
+    longer entries of the other list there, so a long list is compared by many tasks.
+    """
+    ends = F.array(
+        F.struct(F.lit(0).alias("side"), F.array_except("left", "right").alias("rest"), F.col("right").alias("others")),
+        F.struct(F.lit(1).alias("side"), F.array_except("right", "left").alias("rest"), F.col("left").alias("others")),
+    )
+    sides = lists.select("line", F.explode(ends).alias("end")).select("line", "end.*").filter(F.size("rest") > 0)
+    rest = sides.select(F.col("line").alias("_line"), F.col("side").alias("_side"), F.explode("rest").alias("one"))
+    others = sides.select("line", "side", F.explode("others").alias("other"))
+    within = (
+        (rest["_line"] == others["line"])
+        & (rest["_side"] == others["side"])
+        & (F.length("other") > F.length("one"))
+        & F.contains(F.col("other"), F.col("one"))
+    )
+    return rest.join(others, within, "left_anti").select(F.col("_line").alias("line")).distinct()
+
+
 def compare_citations(report: DataFrame, events: DataFrame) -> DataFrame:
     """Per article: reported and recorded citations, their numbers, whether they agree.
 
+    Loose equality: lists of the same length, each entry contained in one of the other list.
     ``report(article_doi, cited)``; the recorded list holds what the article cites, then what
     cites it, each sorted.  Adds the two difference lists, compared without the resolver prefix.
     """
@@ -62,7 +90,16 @@ def compare_citations(report: DataFrame, events: DataFrame) -> DataFrame:
     joined = lookup_join(keyed, lists, "article_key")
     empty = F.array().cast("array<string>")
     joined = joined.withColumn("recorded", F.coalesce("recorded", empty))
+    joined = joined.withColumn("line", _line("article_doi", "cited"))
     reported, recorded = F.col("cited"), F.col("recorded")
+    as_long = F.size(reported) == F.size(recorded)
+    lists = joined.filter(as_long).select(
+        "line",
+        F.transform(reported, lambda d: F.lower(d)).alias("left"),
+        F.transform(recorded, lambda d: doi_key(d)).alias("right"),
+    )
+    differ = unmatched_lines(lists).withColumn("_differs", F.lit(True))
+    joined = joined.join(differ, "line", "left")
     reported_keys = F.transform(reported, lambda d: doi_key(d))
     recorded_keys = F.transform(recorded, lambda d: doi_key(d))
     return joined.select(
@@ -71,7 +108,7 @@ def compare_citations(report: DataFrame, events: DataFrame) -> DataFrame:
         F.size(reported).alias("reported_count"),
         F.array_join(recorded, ",").alias("events"),
         F.size(recorded).alias("events_count"),
-        same_citations(reported, recorded).alias("same"),
+        (as_long & F.col("_differs").isNull()).alias("same"),
         (F.size(reported) - F.size(recorded)).alias("count_difference"),
         F.array_join(F.array_except(reported_keys, recorded_keys), ",").alias("only_reported"),
         F.array_join(F.array_except(recorded_keys, reported_keys), ",").alias("only_events"),
@@ -111,8 +148,7 @@ def missing_citations(report: DataFrame, events: DataFrame) -> DataFrame:
     list, and each entry is joined by itself, so the events of a busy article are never gathered.
     Equal report lines give one row.
     """
-    line = F.sha2(F.concat_ws("\u001f", "article_doi", "cited"), 256)
-    entries = report.select(line.alias("line"), "article_doi", F.posexplode_outer("cited").alias("pos", "dataset_doi"))
+    entries = report.select(_line("article_doi", "cited").alias("line"), "article_doi", F.posexplode_outer("cited").alias("pos", "dataset_doi"))
     entries = entries.withColumns(
         {"_article": doi_key(F.col("article_doi")), "_dataset": doi_key(F.col("dataset_doi"))}
     )
@@ -122,7 +158,10 @@ def missing_citations(report: DataFrame, events: DataFrame) -> DataFrame:
         .distinct()
         .withColumn("_found", F.lit(True))
     )
-    checked = entries.distinct().join(links, ["_article", "_dataset"], "left")
+    # on one text key that the aggregate below does not have yet, so that a hot pair is split
+    pair = F.concat("_article", F.lit("\u001f"), "_dataset").alias("_pair")
+    links = links.select(pair, "_found")
+    checked = lookup_join(entries.distinct().select("line", "article_doi", "pos", "dataset_doi", pair), links, "_pair")
     entry = F.struct("pos", "dataset_doi", F.col("_found").isNull().alias("absent"))
     lines = checked.groupBy("line", "article_doi").agg(
         F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), entry))).alias("cited")

@@ -25,7 +25,9 @@ def registry_names(registry: DataFrame) -> DataFrame:
 
 
 def by_id(registry: DataFrame) -> DataFrame:
-    return registry.select(F.col("ror_id").alias("_id_key"), F.struct("ror_id", "name").alias("_by_id"))
+    """One entry per registry id; an id listed more than once takes its least name."""
+    keyed = registry.select(F.col("ror_id").alias("_id_key"), F.struct("ror_id", "name").alias("entry"))
+    return keyed.groupBy("_id_key").agg(F.min("entry").alias("_by_id"))
 
 
 def by_external_id(registry: DataFrame) -> DataFrame:
@@ -132,9 +134,11 @@ def unresolved_orgs(affiliations: DataFrame, funders: DataFrame) -> DataFrame:
 def candidate_matches(
     orgs: DataFrame, registry: DataFrame, min_score: float = MIN_SCORE, top: int = 3
 ) -> DataFrame:
-    """Long form ``(set_key, rank, name, ror_id, score, chosen)`` per distinct name of ``orgs``.
+    """The ``top`` best registry names ``(set_key, rank, name, ror_id, score)`` per distinct name of ``orgs``.
 
-    Copies of a name are collapsed first, so a name borne by a third of all rows is matched once.
+    Matches that score less than ``min_score`` (0.2 at least) are not listed: pass a lower one to
+    see them.  Copies of a name are collapsed first, so a name borne by a third of all rows is
+    matched once.
     """
     sets = orgs.select(token_set(F.col("title")).alias("tokens")).filter("size(tokens) > 0").distinct()
     sets = sets.select(F.array_join("tokens", " ").alias("set_key"), "tokens")
@@ -145,7 +149,7 @@ def candidate_matches(
 
 
 def candidate_report(orgs: DataFrame, registry: DataFrame, min_score: float = MIN_SCORE, top: int = 3) -> DataFrame:
-    """One row per organisation: its name and up to ``top`` matches, best first.
+    """One row per organisation: its name and up to ``top`` matches of ``min_score`` or more, best first.
 
     A match is chosen when it is the only one with a full score.
     """
