@@ -20,7 +20,7 @@ from linkloom.operators.filters import (
     outside_repositories,
 )
 from linkloom.operators.integrity import cascade, drop_all_orphans
-from linkloom.session import stored
+from linkloom.session import discard, stored
 
 DUPLICATES = "duplicates"
 SELF_CITATIONS = "self citations"
@@ -28,8 +28,16 @@ SELF_CITATIONS = "self citations"
 
 @dataclass(frozen=True)
 class Curated:
+    """The result and its audit.  ``marks`` is the stored copy that both are read from, if any."""
+
     corpus: Corpus
     audit: DataFrame
+    marks: DataFrame | None = None
+
+    def release(self) -> None:
+        """Delete the stored copy, once the tables and the audit have been written."""
+        if self.marks is not None:
+            discard(self.marks)
 
 
 def row_checks(
@@ -52,7 +60,7 @@ def row_checks(
 def curate(
     corpus: Corpus,
     removal_ids: DataFrame | None = None,
-    checkpoint: bool = False,
+    checkpoint: bool = True,
     compat: bool = False,
     **check_options,
 ) -> Curated:
@@ -63,9 +71,10 @@ def curate(
     once with the marked ids; the rows alive before the self-citation step decide which
     dimension rows are orphans, those alive after it are the result.
 
-    The marked table feeds the audit and every output table.  ``checkpoint=True`` stores it in the
-    shared checkpoint folder, so that the window is computed once when several are written and
-    the bridges read two narrow columns of it.
+    The marked table feeds the audit and every output table.  It is stored once in the shared
+    checkpoint folder, so that rows are shuffled by the deduplication keys a single time and the
+    bridges and the audit read one or two narrow columns of it; ``release`` deletes it when all is
+    written.  ``checkpoint=False`` computes it anew for each output.
     """
     checks = {
         **row_checks(**check_options),
@@ -97,7 +106,7 @@ def curate(
         assertions=marked.filter(removed_by.isNull()).drop("_removed_by"),
         **{name: bridge.filter("_survives").select(*tables[name].columns) for name, bridge in bridges_before.items()},
     )
-    return Curated(result, _audit(corpus, marked, list(checks), pruned))
+    return Curated(result, _audit(corpus, marked, list(checks), pruned), marked if checkpoint else None)
 
 
 def curate_stepwise(corpus: Corpus, compat: bool = False, **check_options) -> Corpus:

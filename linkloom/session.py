@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,7 +28,7 @@ def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; make a local one only in local mode."""
+    """Use the cluster's shared checkpoint folder; only in local mode make one, and say so."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
@@ -35,7 +36,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if shared:
         context.setCheckpointDir(shared)
     elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="linkloom-checkpoint-"))
+        folder = tempfile.mkdtemp(prefix="linkloom-checkpoint-")
+        warnings.warn(f"spark.checkpoint.dir is not set, using {folder}", stacklevel=2)
+        context.setCheckpointDir(folder)
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
 
@@ -50,3 +53,15 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(table: DataFrame) -> None:
+    """Delete the copy that ``stored`` made of a table; it can be read no more afterwards."""
+    spark = table.sparkSession
+    folders = {file.rsplit("/", 1)[0] for file in table.inputFiles()}
+    jvm = spark._jvm
+    for folder in folders:
+        if not folder.rsplit("/", 1)[1].startswith("table-"):
+            raise ValueError(f"{folder} was not made by stored()")
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
