@@ -137,7 +137,7 @@ DERIVED = {
                'a-' || lpad(cast(l_orderkey as string), 9, '0') as assertion_id,
                'aff-' || lpad(cast(l_suppkey as string), 6, '0') as affiliation_id,
                'assertionAffiliation' as type
-        from lineitem join supplier on l_suppkey = s_suppkey where l_quantity > 40 and s_acctbal > 1000""",
+        from lineitem join supplier on l_suppkey = s_suppkey where s_acctbal > 1000""",
     "assertions_funders": """
         select 'a-' || lpad(cast(o_orderkey as string), 9, '0') as assertion_id,
                'fun-' || cast(o_custkey as string) as funder_id
@@ -184,11 +184,11 @@ DERIVED = {
         select distinct 'https://doi.org/10.5061/d' || cast(l_partkey % 30 as string) as subj_id,
                'https://doi.org/10.1029/a' || cast(l_orderkey as string) as obj_id,
                'is-referenced-by' as relation_type_id
-        from lineitem where l_linestatus = 'F' and l_returnflag = 'A'""",
+        from lineitem where l_linestatus = 'F'""",
     "report_pairs": """
         select distinct '10.1029/a' || cast(l_orderkey as string) as article_doi,
                '10.5061/D' || cast(l_partkey % 30 as string) as dataset_doi
-        from lineitem where l_quantity > 25""",
+        from lineitem""",
     "review": """
         select case when s_suppkey % 3 = 0 then 'a-' || lpad(cast(s_suppkey * 7 as string), 9, '0')
                     else ' 10.5061/d' || cast(s_suppkey % 30 as string) end as dataset,
@@ -239,11 +239,127 @@ DERIVED = {
                             when 2 then ',"published":{"date-parts":[[' || cast(year(o_orderdate) as string) || ','
                                         || cast(month(o_orderdate) as string) || ']]}'
                             when 3 then ',"published":{"date-parts":[[' || cast(year(o_orderdate) as string) || ']]}'
-                            else '' end
+                            else case o_orderkey % 35 when 4 then ',"published":[]'
+                                     when 9 then ',"published":{"date-parts":[["' || cast(year(o_orderdate) as string) || '"]]}'
+                                     when 14 then ',"published":"soon"'
+                                     when 19 then ',"published":{"date-parts":[["' || cast(year(o_orderdate) as string) || '","7"]]}'
+                                     else '' end end
                     || '}' end as value
         from orders""",
 }
 
+# Accession numbers that fit and that do not, for each pattern in the order of the rules.
+SAMPLES = [
+    ["AB123.1", "123AB"],
+    ["1abc", "abcd"],
+    ["rs123", "rs"],
+    ["GSE123", "GXX1"],
+    ["NM_000123.4", "NZ_ABCD123", "QQ_1"],
+    ["A0B123", "P12345", "B"],
+    ["PRJNA123", "PRJXA1"],
+    ["ENSG00000000001", "EN SG"],
+    ["PF00001", "PF1"],
+    ["E-MTAB-123", "X-MTAB-1"],
+    ["123", "12a"],
+    ["GCA_000001405.28", "GCA_1"],
+    ["EMD-1234", "EMD-1"],
+    ["ABC123", "abc"],
+    ["IPR000001", "IPR1"],
+    ["phs000001.v1.p1", "phs1"],
+    ["S-EPMC-12_A", "S-EP"],
+    ["1.1.1.1", "7.1.1.1"],
+    ["CPX-12", "CPX12"],
+    ["R-HSA-123.4", "REACT_12", "R-HS-1"],
+    ["GO:0000001", "GO:1"],
+    ["1234567", "123"],
+    ["EBI-123", "EBI123"],
+    ["UPI0000000001", "UPI1"],
+    ["URS0000000001_9606", "URS1"],
+    ["ENSG00000000001", "ENSG1"],
+    ["BIOMD0000000001", "BMID000000000001", "BIOMD1"],
+    ["77", "7b"],
+    ["CHEMBL25", "CHEMBLX"],
+    ["EGAD00000000001", "EGAD1"],
+    ["MTBLS1", "MTBL1"],
+    ["EMPIAR-10001", "EMPIAR-1"],
+    ["RF00001", "RF1"],
+    ["A12", "ABC1"],
+    ["HGNC:5", "HGNC:123456"],
+]
+_SAMPLE_ROWS = [(repository, sample) for repository, samples in zip(rules.ACCESSION_PATTERNS, SAMPLES) for sample in samples]
+_SAMPLE_ROWS += [
+    (repository, None)
+    for repository in dict.fromkeys([*rules.CLINICAL_TRIAL_REPOSITORIES, *rules.EXCLUDED_REPOSITORIES, *rules.MERGED_REPOSITORIES])
+]
+_SAMPLE_VALUES = ", ".join(
+    f"({n}, '{repository}', " + ("cast(null as string))" if sample is None else f"'{sample}')")
+    for n, (repository, sample) in enumerate(_SAMPLE_ROWS)
+)
+
+DERIVED |= {
+    # the corpus under the real rules: repositories, accession numbers, subjects
+    "rule_samples": f"select * from (values {_SAMPLE_VALUES}) as v(n, repository_id, accession_number)",
+    "ruled_assertions": f"""
+        select a.id, a.type,
+               case when s.n % 2 = 0 then cast('2025-08-01 00:00:00' as timestamp) else a.created end as created,
+               a.updated, a.activity_id, s.repository_id, a.publisher_id, a.journal_id, a.source_type, a.title,
+               a.obj_id, a.subj_id, a.published_date, s.accession_number, a.doi, a.relation_type_id,
+               case when cast(substr(a.id, 3) as bigint) % 7 = 0 then a.source_id
+                    else '{rules.TEXT_MINED_SOURCE_ID}' end as source_id,
+               a.not_found, a.retried
+        from assertions a join rule_samples s on cast(substr(a.id, 3) as bigint) % {len(_SAMPLE_ROWS)} = s.n""",
+    "ruled_repositories": """
+        select distinct repository_id as id, 'Repository ' || substr(repository_id, 1, 8) as title,
+               cast(null as string) as external_id
+        from rule_samples""",
+    "ruled_subjects": """
+        select id, title, type, created, updated from subjects
+        union all select 'sub-rule-' || cast(n_nationkey as string) as id,
+               case n_nationkey when 0 then 'Biological Sciences' when 1 then 'Chemical Sciences' else 'Basic Medicine' end as title,
+               'subject' as type, cast('2024-01-01 00:00:00' as timestamp) as created,
+               cast('2024-01-01 00:00:00' as timestamp) as updated
+        from nation where n_nationkey < 3""",
+    # raw rows of input files
+    "removal_lines": """
+        select ' a-' || lpad(cast(o_orderkey as string), 9, '0') || chr(13) as assertion_id,
+               case o_custkey % 3 when 0 then '345977e0-remove.csv' when 1 then 'c2f3 8c5b-remove-ids-remove.csv'
+                    else 'notes.csv' end as file
+        from orders where o_orderstatus = 'P'""",
+    "raw_feed": """
+        select case l_suppkey % 5 when 0 then 'geo.csv' when 1 then 'nct.csv' when 2 then 'PMID_PMCID_DOI.csv'
+                    when 3 then 'pdb.v2.csv' else 'rrid.csv' end as file,
+               case when l_linenumber = 3 then '' else ' GSE' || cast(l_partkey as string) || chr(10) end as accession,
+               case when l_linenumber = 5 then null else chr(9) || 'PMC' || cast(l_orderkey as string) end as pmcid
+        from lineitem""",
+    "raw_crosswalk": """
+        select cast(o_custkey as string) as pmid,
+               case when o_orderkey % 11 = 0 then ' ' else ' PMC' || cast(o_orderkey as string) || ' ' end as pmcid,
+               case when o_orderkey % 13 = 0 then null else '10.1029/p' || cast(o_custkey as string) || chr(13) end as doi
+        from orders""",
+    "name_texts": """
+        select '{"n' || cast(n_nationkey as string) || '": "' || n_name || '", "m' || cast(n_nationkey as string)
+               || '" : "Name, of ' || cast(n_nationkey as string) || '"}' as value
+        from nation""",
+    "report_texts": """
+        select '10.1029/a' || cast(o_orderkey as string) as article_doi,
+               case o_orderkey % 4 when 0 then '[]' when 1 then null
+                    when 2 then '["10.5061/d' || cast(o_custkey % 30 as string) || '"]'
+                    else '["10.5061/d' || cast(o_custkey % 30 as string) || '", "10.5061/e' || cast(o_custkey as string) || '" , ]'
+               end as cited
+        from orders""",
+    "raw_keys": """
+        select c_custkey as n, case c_custkey % 3 when 0 then 'PMC' else '' end || cast(c_custkey as string) as pmcid,
+               case c_custkey % 4 when 0 then md5(cast(c_custkey as string))
+                    when 1 then 'C56FBE18-f93b-478b-9674-' || lpad(cast(c_custkey as string), 12, '0')
+                    when 2 then 'c56fbe18-f93b-478b-9674-00056bdeb887' || chr(10)
+                    else 'c56fbe18-f93b-478b-9674-' || lpad(cast(c_custkey as string), 12, 'a') end as key
+        from customer""",
+    "review_lines": """
+        select '"10.1/' || cast(s_suppkey as string) || '", "Org, ' || cast(s_suppkey as string) || '",  r1 ,TRUE,B' || cast(s_suppkey as string)
+               || ',r2,' || case when s_suppkey % 2 = 0 then 'FALSE' else '' end || ',"say ""x"" ",r3,FALSE' as value
+        from supplier""",
+}
+
 _WORD = re.compile(r"[a-z_0-9]+")
 
 
@@ -281,15 +397,33 @@ class Tables:
         if name in GIVEN:
             table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         elif name in DERIVED:
-            table = self._derive(DERIVED[name])
+            table = self._kept(name, self._derive(DERIVED[name]))
         else:
             raise AttributeError(name)
         setattr(self, name, table)
         return table
 
+    def _kept(self, name: str, table: DataFrame) -> DataFrame:
+        return table
+
     def _derive(self, sql: str) -> DataFrame:
-        used = {given: getattr(self, given) for given in GIVEN if re.search(rf"\b(from|join) {given}\b", sql)}
+        """The table of one statement, not yet computed."""
+        names = (*GIVEN, *DERIVED)
+        used = {name: getattr(self, name) for name in names if re.search(rf"\b(from|join) {name}\b", sql)}
         text = sql.replace("{", "{{").replace("}", "}}")
         for given in used:
             text = re.sub(rf"\b(from|join) {given}\b", rf"\1 {{{given}}}", text)
         return self.spark.sql(text, **used)
+
+
+class StoredTables(Tables):
+    """Derived tables written to ``folder`` when first asked for, and read from there."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, folder: str):
+        super().__init__(spark, sf_dir)
+        self.folder = folder
+
+    def _kept(self, name: str, table: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{name}"
+        table.write.parquet(path)
+        return self.spark.read.parquet(path)

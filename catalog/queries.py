@@ -36,6 +36,8 @@ from linkloom.sinks import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+# the same queries as functions of the tables, for the benchmark
+BUILDS: dict[str, Callable[[Tables], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 # literal rules for the derived corpus
@@ -54,6 +56,7 @@ def register(name: str, sql: str | None):
     """Register a function of the tables under a name, with its SQL."""
 
     def wrap(build: Callable[[Tables], DataFrame]):
+        BUILDS[name] = build
         QUERIES[name] = lambda spark, sf_dir: build(Tables(spark, sf_dir))
         if sql is not None:
             ORACLES[name] = oracle(sql)
@@ -245,9 +248,9 @@ def _nested_subjects(t):
 # --- row filters (F1-F7), deduplication (W1) and counts (A1) --------------------------------------
 
 
-@register("dedup_latest", f"with {DEDUPED} select id, updated from deduped")
+@register("dedup_latest", f"with {DEDUPED} select * from deduped")
 def _dedup(t):
-    return dedup_latest(t.assertions).select("id", "updated")
+    return dedup_latest(t.assertions)
 
 
 @register("keep_citations", f"select id, relation_type_id from assertions where {CITES}")
@@ -362,14 +365,23 @@ def _orphans(t):
 
 @register(
     "remove_listed",
-    """select assertion_id, affiliation_id as target from assertions_affiliations
-       where assertion_id not in (select assertion_id from removal_ids)
-         and assertion_id in (select id from assertions)""",
+    """with kept as (select id from assertions where id not in (select assertion_id from removal_ids))
+    select 'assertions' as kind, id as assertion_id, title as target from assertions where id in (select id from kept)
+    union all select 'affiliations', assertion_id, affiliation_id from assertions_affiliations
+        where assertion_id in (select id from kept)
+    union all select 'funders', assertion_id, funder_id from assertions_funders where assertion_id in (select id from kept)
+    union all select 'subjects', assertion_id, subject_id from assertions_subjects where assertion_id in (select id from kept)""",
 )
 def _remove_listed(t):
-    return accession.remove_listed(corpus_of(t), t.removal_ids).assertions_affiliations.select(
-        "assertion_id", F.col("affiliation_id").alias("target")
-    )
+    done = accession.remove_listed(corpus_of(t), t.removal_ids)
+    tables = {
+        "assertions": done.assertions.select("id", "title"),
+        "affiliations": done.assertions_affiliations.select("assertion_id", "affiliation_id"),
+        "funders": done.assertions_funders.select("assertion_id", "funder_id"),
+        "subjects": done.assertions_subjects.select("assertion_id", "subject_id"),
+    }
+    sides = [df.toDF("assertion_id", "target").withColumn("kind", F.lit(kind)) for kind, df in tables.items()]
+    return reduce(DataFrame.unionByName, sides)
 
 
 HANDLES = r"regexp_matches(title, '^@\S+(?:\s+(?:[/.-]\s*)?@\S+)*\z')"
@@ -406,10 +418,9 @@ def _org_ids(t):
 # --- curation pipeline (D4, A12) -------------------------------------------------------------------
 
 
-@register("curate_assertions", f"with {STAGES} select id, subj_id, obj_id, repository_id from final")
+@register("curate_assertions", f"with {STAGES} select * from final")
 def _curate_assertions(t):
-    done = curate.curate(corpus_of(t), trial_repositories=TRIALS)
-    return done.corpus.assertions.select("id", "subj_id", "obj_id", "repository_id")
+    return curate.curate(corpus_of(t), trial_repositories=TRIALS).corpus.assertions
 
 
 @register(
@@ -480,7 +491,7 @@ def _curate_audit(t):
         and not coalesce(source_type = '{rules.OBJECT_IS_DATASET_SOURCE}' and relation_type_id = 'is-referenced-by', false)
         and not coalesce(repository_id in ({sql_list(EXCLUDED)}) and doi is null, false)
         and subj_id <> obj_id)
-    select id, repository_id from kept""",
+    select * from kept""",
 )
 def _curate_all(t):
     done = curate.curate(
@@ -490,7 +501,7 @@ def _curate_all(t):
         source_relation=(rules.OBJECT_IS_DATASET_SOURCE, "is-referenced-by"),
         excluded_repositories=EXCLUDED,
     )
-    return done.corpus.assertions.select("id", "repository_id")
+    return done.corpus.assertions
 
 
 # --- table updates (M1-M9, J7) ----------------------------------------------------------------------
@@ -830,9 +841,9 @@ def _add_subjects(t):
         select a.id as assertion_id, s.id as subject_id
         from assertions a join (values {RULE_VALUES}) r(repository_id, title) on r.repository_id = a.repository_id
         join tagged_subjects s on s.title = r.title where a.created >= timestamp '{SINCE} 00:00:00')
-    select id, type, assertion_id, subject_id, inferred from assertions_subjects
+    select id, type, created, updated, assertion_id, subject_id, inferred from assertions_subjects
     union all select {uuid_sql("'assertionSubject'", "w.assertion_id", "w.subject_id")}, 'assertionSubject',
-        w.assertion_id, w.subject_id, false
+        timestamp '{NOW}', timestamp '{NOW}', w.assertion_id, w.subject_id, false
     from wanted w where not exists (select 1 from assertions_subjects e
         where e.assertion_id = w.assertion_id and e.subject_id = w.subject_id)""",
 )
@@ -840,7 +851,7 @@ def _tag(t):
     tagged = tag_subjects.tag_subjects(
         corpus_of(t), SUBJECT_RULES, since=SINCE, now=F.lit(NOW).cast("timestamp")
     )
-    return tagged.assertions_subjects.select("id", "type", "assertion_id", "subject_id", "inferred")
+    return tagged.assertions_subjects
 
 
 # --- review (F12, A10, U21, J12-J14, D12) ------------------------------------------------------------------
@@ -1406,3 +1417,6 @@ def _growth(t):
 )
 def _facets(t):
     return summaries.facet_unique_counts(corpus_of(t))
+
+
+from catalog import input_queries, rule_queries  # noqa: E402, F401  (they register more)

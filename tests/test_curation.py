@@ -137,6 +137,18 @@ def test_cache_merge_prefers_new(spark):
     assert rows(merge_lookup_cache(old, new)) == [("1", "a"), ("2", "b")]
 
 
+def test_rows_are_deduplicated_once_for_all_outputs_and_the_copy_goes(corpus):
+    from tests.test_plans import plan
+
+    done = curate(corpus, trial_repositories=TRIALS)
+    for output in (done.audit, *done.corpus.tables().values()):
+        assert "WindowGroupLimit" not in plan(output) and "row_number" not in plan(output)
+    assert done.corpus.assertions.count() > 0
+    done.release()
+    with pytest.raises(Exception, match="table-"):
+        done.corpus.assertions.count()
+
+
 def test_stored_marks_are_read_by_column(corpus):
     from tests.test_plans import plan
 

@@ -6,7 +6,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from catalog.queries import SUBJECT_RULES, corpus_of
+from catalog.queries import corpus_of
 from linkloom import rules
 from linkloom.operators.numbering import number_rows
 from linkloom.plans import export, ingest, review
@@ -207,16 +207,123 @@ def test_table_view_and_partitioned_sinks(spark, tables, tmp_path):
     report = validate_accessions(corpus, {"repo-0": r"^GSE\d+$", "repo-3": "^x$"}, "src-1")
     sinks.write_validation(report, str(tmp_path / "validation"))
     assert spark.read.csv(str(tmp_path / "validation"), header=True).count() == report.count()
-    sinks.write_comparison(report.limit(3), str(tmp_path / "comparison"))
-    sinks.write_candidates(report.limit(3), str(tmp_path / "candidates"))
-    assert spark.read.csv(str(tmp_path / "candidates"), header=True).count() == 3
 
 
-def test_default_rules_run(tables):
-    corpus = corpus_of(tables)
-    assert validate_accessions(corpus).isEmpty()
+def test_report_sinks(spark, tables, tmp_path):
+    from linkloom.plans import compare, reconcile
+
+    orgs = reconcile.unresolved_orgs(tables.affiliations, tables.funders).limit(20)
+    candidates = reconcile.candidate_report(orgs, tables.registry)
+    sinks.write_candidates(candidates, str(tmp_path / "candidates"))
+    read = spark.read.csv(str(tmp_path / "candidates"), header=True)
+    assert read.count() == 20 and read.columns == [c for c in candidates.columns if c != "id"]
+
+    cited = tables.report_pairs.groupBy("article_doi").agg(F.collect_list("dataset_doi").alias("cited")).limit(30)
+    for name, made in [
+        ("both", compare.compare_citations(cited, tables.event_links)),
+        ("missing", compare.missing_citations(cited, tables.event_links)),
+    ]:
+        sinks.write_comparison(made, str(tmp_path / name), {"reported": "Cited"})
+        read = spark.read.csv(str(tmp_path / name), header=True)
+        assert read.count() == 30 and read.columns[:2] == ["Article DOI", "Cited"]
+        assert len(set(read.columns)) == len(made.columns)
+
+
+def test_default_rules_meet_rows(tables):
+    from catalog.rule_queries import ruled_corpus
+
+    report = validate_accessions(ruled_corpus(tables))
+    seen = {(r[0], r[1]) for r in report.select("repository_id", "accession_number_pattern_match").distinct().collect()}
+    assert {pair for pair in seen if pair[1] is not None} == {(repository, fits) for repository in rules.ACCESSION_PATTERNS for fits in (True, False)}
     assert set(rules.ACCESSION_PATTERNS) - set(rules.REPOSITORY_SUBJECTS) == set()
-    assert SUBJECT_RULES and F
+
+
+def test_dump_is_one_file_a_chunk_whatever_the_session_says(spark, tables, conf, tmp_path):
+    conf(spark__sql__files__maxRecordsPerFile="150")
+    corpus = corpus_of(tables, named_ends=True)
+    details = assertion_details_formatted(corpus)
+    out = tmp_path / "dump"
+    export.export_dump(details, str(out), 400, ids=corpus.assertions.select("id"), name_template="links-{nn}")
+    chunks = [json.loads(f.read_text()) for f in sorted((out / "json").glob("*.json"))]
+    assert [len(c) for c in chunks] == [400, 400, 400, 300]
+    lines = [len(list(csv.reader(f.open(newline="")))) for f in sorted((out / "csv").glob("*.csv"))]
+    assert lines == [401, 401, 401, 301]
+
+
+def test_naming_chunks_loses_nothing(spark, tables, tmp_path):
+    import pytest
+
+    numbered = number_rows(tables.assertions, "id", 600)
+
+    def write(name, template, spoil=lambda folder: None):
+        folder = tmp_path / name
+        sinks.write_csv_chunks(numbered.rows, numbered, str(folder))
+        spoil(folder)
+        sinks.name_chunk_files(spark, str(folder), template, numbered.chunks)
+        return folder
+
+    def kept(folder):
+        return sum(len(f.read_text().splitlines()) - 1 for f in folder.glob("chunk=*/part-*"))
+
+    def second_part(folder):
+        (folder / "chunk=2" / "part-99999.csv").write_text("id,chunk\n")
+
+    for name, template, spoil in [
+        ("two_parts", "x-{nn}.csv", second_part),
+        ("same_name", "x.csv", lambda folder: None),
+        ("taken", "x-{nn}.csv", lambda folder: (folder / "x-03.csv").write_text("old")),
+    ]:
+        with pytest.raises(RuntimeError):
+            write(name, template, spoil)
+        assert kept(tmp_path / name) == 1500
+    done = write("fine", "x-{nn}.csv")
+    assert sorted(f.name for f in done.glob("x-*")) == ["x-01.csv", "x-02.csv", "x-03.csv"]
+    assert not list(done.glob("chunk=*"))
+
+
+def test_dump_shuffles_nested_rows_once(spark, tables, tmp_path):
+    """Both forms are written from rows laid out by chunk once."""
+    from tests.test_plans import plan
+
+    corpus = corpus_of(tables, named_ends=True)
+    numbered = number_rows(corpus.assertions, "id", 400)
+    rows = sinks.one_task_per_chunk(export.with_chunks(assertion_details_formatted(corpus), numbered), numbered).persist()
+    for form in (sinks.json_lines(rows, numbered, 400), export.csv_rows(rows)):
+        above = plan(form).split("InMemoryRelation")[0]
+        assert "InMemoryTableScan" in above and "Exchange" not in above and "Sort" not in above
+    rows.unpersist()
+
+
+def test_numbering_rejects_keys_that_are_missing_or_repeat(spark):
+    import pytest
+
+    for keys in (["a", None, "b"], ["a", "b", "a"]):
+        with pytest.raises(ValueError):
+            number_rows(spark.createDataFrame([(k,) for k in keys], "id string"), "id", 2)
+
+
+def test_line_breaks_inside_quoted_fields(spark, tmp_path):
+    (tmp_path / "geo.csv").write_text('GEO,PMCID\n"GSE1\nx",PMC1\nGSE2,PMC2\n')
+    assert rows(sources.read_textmined(spark, str(tmp_path))) == [("geo", "GSE1\nx", "PMC1"), ("geo", "GSE2", "PMC2")]
+    (tmp_path / "PMID_PMCID_DOI.csv").write_text('PMID,PMCID,DOI\n"1\n",PMC1,10.1/a\n')
+    assert rows(sources.read_crosswalk(spark, str(tmp_path / "PMID_PMCID_DOI.csv"))) == [("PMC1", "10.1/a")]
+
+
+def test_odd_paper_records_are_kept(spark, tmp_path):
+    lines = {
+        '{"DOI":"10.1/a","published":[]}': "",
+        '{"DOI":"10.1/b","published":{"date-parts":[["2020"]]}}': "2020",
+        '{"DOI":"10.1/c","published":{"date-parts":[["2020","3",7]]}}': "2020-03-07",
+        '{"DOI":"10.1/d","published":{"date-parts":[[2020,"May",7]]}}': "2020",
+        '{"DOI":"10.1/e","published":"2020","publisher":["P"],"container-title":{"x":1}}': "",
+        '{"DOI":"10.1/f","published":{"date-parts":"2020","date-time":null}}': "",
+        '{"DOI":"10.1/g","published":{"date-parts":[2020]}}': "",
+    }
+    (tmp_path / "x.jsonl").write_text("\n".join([*lines, "[]", "7", "{"]) + "\n")
+    papers, bad = sources.read_papers_jsonl(spark, str(tmp_path))
+    assert [r["published_date"] for r in papers.orderBy("doi").collect()] == list(lines.values())
+    assert rows(bad) == [("7",), ("[]",), ("{",)]
+    assert rows(sources.count_bad_lines_of(spark, str(tmp_path))) == [("x.jsonl", 3)]
 
 
 def test_each_chunk_is_one_task(spark, tables):

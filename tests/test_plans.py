@@ -123,6 +123,40 @@ def test_lookup_join_agrees_with_the_broadcast_form(spark):
     assert sorted(shuffled.collect(), key=key) == sorted(broadcast.collect(), key=key)
 
 
+def test_lookup_join_of_a_single_column_and_of_null_keys(spark):
+    facts = spark.createDataFrame([("a",), (None,), ("z",)], "k string")
+    lookup = spark.createDataFrame([("a", "A"), (None, "never")], "k string, name string")
+    assert sorted(map(tuple, lookup_join(facts, lookup, "k").collect()), key=repr) == [("a", "A"), ("z", None), (None, None)]
+    for how in ("inner", "left_semi"):
+        joined = lookup_join(facts, lookup, "k", how)
+        assert joined.count() == 1
+        assert "xxhash64" not in plan(joined) and "coalesce" not in plan(joined)
+
+
+def test_hot_pair_of_missing_citations_is_split(spark, conf):
+    """Report lines that differ, a third of them citing one dataset in one article."""
+    from linkloom.plans.compare import missing_citations
+
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="128KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+    )
+    hot = F.col("id") % 3 == 0
+    report = spark.range(0, 60_000, numPartitions=8).select(
+        F.when(hot, "10.1/hot").otherwise(F.concat(F.lit("10.1/"), F.col("id") % 5000)).alias("article_doi"),
+        F.array(F.when(hot, "10.2/hot").otherwise(F.concat(F.lit("10.2/"), F.col("id") % 7)), F.concat(F.lit("10.3/"), "id")).alias("cited"),
+    )
+    events = report.select(
+        F.concat(F.lit("https://doi.org/"), "article_doi").alias("subj_id"), F.col("cited")[0].alias("obj_id"), F.lit("cites").alias("relation_type_id")
+    ).distinct()
+    missing = missing_citations(report, events)
+    assert "skew=true" in ran_plan(missing)
+    assert missing.agg(F.sum("missing_count"), F.sum("found_count")).first() == (60_000, 60_000)
+
+
 def test_broadcast_only_what_was_measured_small(spark):
     tables = {
         "small": spark.range(10).select(F.col("id").cast("string").alias("k")),

@@ -44,6 +44,28 @@ def test_equals_brute_force(spark, t, with_frequent):
     assert set(got) == expected
 
 
+def test_long_names_equal_brute_force_and_keys_stay_small(spark):
+    """Names far beyond the length that is joined by exact sizes."""
+    from pyspark.sql import functions as F
+
+    from linkloom.operators.similarity import _join_keys
+
+    rng = random.Random(9)
+    words = [f"v{i}" for i in range(90)]
+    left = [sorted(rng.sample(words, rng.randint(15, 60))) for _ in range(60)]
+    right = [sorted(set(s) ^ set(rng.sample(words, rng.randint(0, 12)))) for s in left] + [sorted(rng.sample(words, 5)) for _ in range(40)]
+    right = [list(x) for x in dict.fromkeys(map(tuple, right))]
+    a = spark.createDataFrame([(" ".join(s), s) for s in left], "set_key string, tokens array<string>")
+    b = spark.createDataFrame([(f"r{i}", " ".join(s), s) for i, s in enumerate(right)], "ror_id string, name string, tokens array<string>")
+    got = [(r["set_key"], r["ror_id"]) for r in similar_names(a, b, 0.75, []).collect()]
+    expected = {
+        (" ".join(x), f"r{i}") for x in left for i, y in enumerate(right) if len(set(x) & set(y)) / len(set(x) | set(y)) >= 0.75
+    }
+    assert expected and len(got) == len(set(got)) and set(got) == expected
+    keys = _join_keys(a.select(F.xxhash64("set_key").alias("id"), "tokens"), [], 0.75, left=True)
+    assert keys.columns == ["id", "n", "scheme", "combination"]
+
+
 def test_report_marks_only_single_full_matches(spark):
     orgs = spark.createDataFrame(
         [("1", "Plain Lab"), ("2", "Twin Lab"), ("3", "Nothing Like It"), ("4", None), ("5", "PLAIN, LAB")],
