@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 import warnings
@@ -47,21 +48,38 @@ def stored(df: DataFrame) -> DataFrame:
     """Cut the lineage: write the table to the shared checkpoint folder and read it back.
 
     Unlike a checkpoint the copy is columnar, so later reads take only the columns they need.
+    ``discard`` deletes it; what is left goes when the driver's Python ends.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _left[path] = spark
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Folders that ``stored`` wrote and nobody deleted yet.
+_left: dict[str, SparkSession] = {}
+
+
 def discard(table: DataFrame) -> None:
     """Delete the copy that ``stored`` made of a table; it can be read no more afterwards."""
-    spark = table.sparkSession
-    folders = {file.rsplit("/", 1)[0] for file in table.inputFiles()}
+    names = {file.rsplit("/", 2)[1] for file in table.inputFiles()}
+    for path in [p for p in _left if p.rsplit("/", 1)[1] in names]:
+        _delete(path)
+
+
+def _delete(path: str) -> None:
+    spark = _left.pop(path)
     jvm = spark._jvm
-    for folder in folders:
-        if not folder.rsplit("/", 1)[1].startswith("table-"):
-            raise ValueError(f"{folder} was not made by stored()")
-        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@atexit.register
+def _delete_what_is_left() -> None:
+    for path in list(_left):
+        try:
+            _delete(path)
+        except Exception:  # the session's JVM may be gone already; its folder is the cluster's to clear
+            return
