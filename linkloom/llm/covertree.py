@@ -298,3 +298,31 @@ def _block_pairs(blocks: DataFrame, threshold: float) -> DataFrame:
 
 def query(spark, sf_dir: str) -> DataFrame:
     return linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
+#: All pairs of a label; the reachable ids of linked vectors by recursion.
+SQL = f"""
+with recursive good as (
+    select vec_id, label, list_transform(embedding, lambda x: cast(x as double)) as v from embeddings
+    where label is not null and embedding is not null and len(embedding) > 0
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), sized as (
+    select *, sqrt(list_sum(list_transform(v, lambda x: x * x))) as norm from good
+), edges as (
+    select a.vec_id as a, b.vec_id as b from sized a join sized b on a.label = b.label and len(a.v) = len(b.v)
+    where a.vec_id <> b.vec_id
+      and list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) / (a.norm * b.norm) >= {THRESHOLD}
+), counts as (
+    select a, count(*) as n from edges group by a
+), reach as (
+    select a as node, a as root from edges
+    union
+    select e.b, r.root from reach r join edges e on e.a = r.node
+), components as (
+    select node, min(root) as component from reach group by node
+)
+select e.vec_id, cast(coalesce(c.n, 0) as bigint) as n_links, coalesce(p.component, e.vec_id) as component_id,
+       coalesce(p.component, e.vec_id) = e.vec_id as kept
+from embeddings e left join counts c on c.a = e.vec_id left join components p on p.node = e.vec_id
+"""
