@@ -11,11 +11,13 @@ of them are candidates if they also share a group of B.  What keeps this linear:
 
 * documents with the same set are one class from the start;
 * a group that only one class has, in A or in B, is left out before anything is compared;
-* signatures (a byte of each minhash) rule out pairs whose estimate is four deviations below the
+* signatures (a byte of each minhash, four of each group of A) rule out pairs whose estimate is four deviations below the
   threshold, or whose sizes differ too much;
-* large buckets first compare each class with one hub, and what that ties together is not
-  compared again: a dense group costs as many confirmations as it has members;
-* buckets are dealt out in blocks of at most ``BLOCK`` classes, pairs of blocks being separate work.
+* buckets are dealt out in blocks of about ``BLOCK`` classes, pairs of blocks being separate work;
+* candidates never become rows.  The tasks that compare signatures only tell which classes have a
+  candidate in which block; those classes come back to the block with their full sets, and the
+  task that confirms the links tells a spanning forest of them.  A pair that is already tied is
+  not confirmed again, so a dense group costs about as many confirmations as it has members.
 
 Links are confirmed on the full sets, recomputed from the texts of the documents concerned.
 """
@@ -31,7 +33,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import components, table
+from linkloom.llm.common import components, fresh, table
+from linkloom.operators.joins import broadcast_if_small
 from linkloom.session import stored
 
 SHINGLE = 5
@@ -39,9 +42,10 @@ PERCENT = 85
 GROUPS = 20
 ROWS = 4
 BLOCK = 1024
-LARGE = 16
+#: Shingles of a block, on average at most: 8 MB of full sets.
+BLOCK_SHINGLES = 1 << 20
 _HASHES = 2 * GROUPS * ROWS
-_CHUNK = 1 << 14
+_CHUNK = 1 << 11  # shingles hashed at once: 2.6 MB
 _MULTIPLIERS = (np.random.default_rng(4).integers(0, 2**63, _HASHES, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 _PLACES = (np.random.default_rng(5).integers(0, 2**63, SHINGLE, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
@@ -85,8 +89,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("groups", pa.list_(pa.int64())), ("signature", pa.binary())])
     for batch in batches:
         sizes, firsts, seconds, groups, signatures = [], [], [], [], []
-        for text in batch.column(1).to_pylist():
-            items = shingles(text)
+        for text in batch.column(1):
+            items = shingles(text.as_py())
             sizes.append(len(items))
             if not len(items):
                 for out in (firsts, seconds, groups, signatures):
@@ -102,7 +106,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             firsts.append(digest[0])
             seconds.append(digest[1])
             groups.append(keys.view(np.int64))
-            signatures.append(((least >> np.uint64(24)) & np.uint64(0xFF)).astype(np.uint8).tobytes())
+            marks = ((least >> np.uint64(24)) & np.uint64(0xFF)).astype(np.uint8).tobytes()
+            signatures.append(marks + keys[:GROUPS].astype(np.uint32).tobytes())
         yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(v, t.type) for v, t in zip((sizes, firsts, seconds, groups, signatures), list(schema)[1:]))], schema=schema)
 
 
@@ -114,34 +119,31 @@ def signed(docs: DataFrame) -> DataFrame:
 
 
 def _repeated(classes: DataFrame, first: int, last: int) -> DataFrame:
-    """(rep, key, place) of the groups from ``first`` up to ``last`` that more than one class has, with their ``count``."""
-    keys = classes.select("rep", F.posexplode(F.slice("groups", first + 1, last - first)).alias("place", "key"))
-    counts = stored(keys.groupBy("key").agg(F.count(F.lit(1)).alias("count")).filter("count > 1"))
-    return keys.join(counts, "key")
+    """(rep, place, key, blocks): groups from ``first`` up to ``last`` that more than one class has.
+
+    ``blocks`` is the number of blocks that the group's bucket is cut into.
+    """
+    keys = classes.select("rep", "n_shingles", F.posexplode(F.slice("groups", first + 1, last - first)).alias("place", "key"))
+    counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("count"), F.sum("n_shingles").alias("weight")).filter("count > 1")
+    blocks = F.greatest(F.ceil(F.col("count") / BLOCK), F.ceil(F.col("weight") / BLOCK_SHINGLES)).cast("int")
+    counts = stored(counts.select("key", blocks.alias("blocks")))
+    return keys.drop("n_shingles").join(counts, "key")
 
 
 def _meetings(classes: DataFrame) -> DataFrame:
-    """(key, place, count, rep): the buckets of A, classes without company in A or in B left out."""
+    """(rep, place, key, blocks): the buckets of A, classes without company in A or in B left out."""
     in_a = stored(_repeated(classes, 0, GROUPS))
     met = classes.join(in_a.select("rep").distinct(), "rep", "left_semi")
     in_b = _repeated(met, GROUPS, 2 * GROUPS).select("rep").distinct()
-    return stored(in_a.join(in_b, "rep", "left_semi"))
-
-
-def _hub_pairs(meetings: DataFrame) -> DataFrame:
-    """(a, b): each class of a large bucket with the bucket's hub, the same in most buckets of a group."""
-    large = meetings.filter(F.col("count") > LARGE)
-    hubs = stored(large.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep").alias("dice"), "rep")).alias("hub")))
-    pairs = large.join(hubs.select("key", F.col("hub.rep").alias("hub")), "key").filter("rep <> hub")
-    return pairs.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
+    return in_a.join(in_b, "rep", "left_semi")
 
 
 def _blocked(rows: DataFrame) -> DataFrame:
-    """Rows (key, count, rep, ...) once for each pair of blocks (p, q) of their bucket that they belong to."""
-    blocks = F.ceil(F.col("count") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("rep", F.lit(9)), blocks).cast("int")
-    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    return rows.withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other")).drop("other")
+    """Rows (rep, key, blocks, ...) once for each pair of blocks (p, q) of their bucket that they belong to."""
+    own = F.pmod(F.xxhash64("rep", F.lit(9)), F.col("blocks")).cast("int")
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other")).drop("other", "blocks")
+    return rows.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
 
 
 def _least_equal() -> int:
@@ -149,51 +151,60 @@ def _least_equal() -> int:
     return math.ceil((t - 4 * math.sqrt(t * (1 - t) / _HASHES)) * _HASHES)
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates of sorted block pairs; a pair is told only in the first bucket of A that it shares."""
-    names = ["key", "p", "q"]
+_ROW = "key long, p int, q int, own int, place int, rep long, n_shingles long, signature binary"
+_ROW_NAMES = [f.split()[0] for f in _ROW.split(", ")]
+
+
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each block pair, from rows sorted by (key, p, q)."""
     rest: pa.Table | None = None
     for batch in batches:
         rows = pa.Table.from_batches([batch])
         if rest is not None:
             rows = pa.concat_tables([rest, rows])
-        marks = np.stack([rows.column(n).to_numpy() for n in names])
+        marks = np.stack([rows.column(n).to_numpy() for n in ("key", "p", "q")])
         starts = np.r_[0, np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1]
+        for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist()):
+            yield rows.slice(lo, hi - lo)
         rest = rows.slice(int(starts[-1])).combine_chunks()
-        yield from _within(rows.slice(0, int(starts[-1])), starts)
     if rest is not None and len(rest):
-        yield from _within(rest, np.array([0, len(rest)]))
+        yield rest
 
 
-def _within(rows: pa.Table, edges: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """``edges``: where the block pairs of ``rows`` begin and end."""
-    if len(rows) < 2:
+def _candidates(rows: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """(x, later rows that are candidates of x) of a block pair; a pair counts only in the first bucket of A that it shares."""
+    n = len(rows)
+    if n < 2:
         return
-    reps, sizes, ties, place, own, p, q = (rows.column(n).to_numpy() for n in ("rep", "n_shingles", "tie", "place", "own", "p", "q"))
-    signatures = np.frombuffer(b"".join(rows.column("signature").to_pylist()), dtype=np.uint8).reshape(-1, _HASHES)
-    least, left, right = _least_equal(), [], []
-    for lo, hi in zip(edges[:-1], edges[1:]):
-        for x in range(lo, hi - 1):
-            ahead = slice(x + 1, hi)
-            other = ties[ahead] != ties[x]
-            if p[x] != q[x]:
-                other &= own[ahead] != own[x]
-            short, long = np.minimum(sizes[ahead], sizes[x]), np.maximum(sizes[ahead], sizes[x])
-            kept = np.flatnonzero(other & (100 * short >= PERCENT * long))
-            if not len(kept):
-                continue
-            equal = signatures[x + 1 + kept] == signatures[x]
-            near = equal.sum(axis=1) >= least
-            if not near.any():
-                continue
-            equal, kept = equal[near], kept[near]
-            groups = equal.reshape(-1, 2, GROUPS, ROWS).all(axis=3)
-            told = groups[:, 1].any(axis=1) & (groups[:, 0].argmax(axis=1) == place[x])
-            right.append(reps[x + 1 + kept[told]])
-            left.append(np.full(told.sum(), reps[x]))
-    if left:
-        a, b = np.concatenate(left), np.concatenate(right)
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+    reps, sizes, own = (rows.column(c).to_numpy() for c in ("rep", "n_shingles", "own"))
+    across, place = rows.column("p")[0].as_py() != rows.column("q")[0].as_py(), rows.column("place")[0].as_py()
+    signatures = np.frombuffer(b"".join(rows.column("signature").to_pylist()), dtype=np.uint8).reshape(n, -1)
+    prints = signatures[:, _HASHES:].copy().view(np.uint32)
+    signatures = signatures[:, :_HASHES]
+    least = _least_equal()
+    for x in range(n - 1):
+        near = (100 * np.minimum(sizes[x + 1 :], sizes[x]) >= PERCENT * np.maximum(sizes[x + 1 :], sizes[x])) & (reps[x + 1 :] != reps[x])
+        if across:
+            near &= own[x + 1 :] != own[x]
+        kept = np.flatnonzero(near) + x + 1
+        equal = signatures[kept] == signatures[x]
+        near = equal.sum(axis=1) >= least
+        if near.any():
+            kept, equal = kept[near], equal[near]
+            first = (prints[kept] == prints[x]).argmax(axis=1) == place
+            in_b = equal[:, GROUPS * ROWS :].reshape(-1, GROUPS, ROWS).all(axis=2).any(axis=1)
+            yield x, kept[first & in_b]
+
+
+def _with_candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a block pair that have a candidate in it."""
+    for rows in _by_block(batches):
+        wanted = np.zeros(len(rows), dtype=bool)
+        for x, others in _candidates(rows):
+            wanted[others] = True
+            wanted[x] |= len(others) > 0
+        if wanted.any():
+            yield from rows.filter(pa.array(wanted)).combine_chunks().to_batches()
 
 
 # -- confirmation -------------------------------------------------------------------------------------
@@ -201,51 +212,50 @@ def _within(rows: pa.Table, edges: np.ndarray) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        items = [shingles(t).tobytes() for t in batch.column(1).to_pylist()]
+        items = [shingles(t.as_py()).tobytes() for t in batch.column(1)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, pa.binary())], names=["rep", "items"])
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (a, b, items) sorted by a, those without b first: a's own set, or sets if its id occurs with several texts."""
-    center, own = None, []
-    for batch in batches:
-        left, right = [], []
-        for a, b, items in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-            theirs = np.frombuffer(items.as_buffer(), dtype=np.uint64)
-            if b is None:
-                own = [*(own if a == center else []), theirs.copy()]
-                center = a
-            elif any(_similar(mine, theirs) for mine in own):
-                left.append(a)
-                right.append(b)
-        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
-
-
 def _similar(x: np.ndarray, y: np.ndarray) -> bool:
-    if not len(x) or not len(y):
-        return False
     both = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
     return 100 * both >= PERCENT * (len(x) + len(y) - both)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of class representatives whose full sets are similar enough.
+def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A spanning forest of the links within each block pair, confirmed on the full sets."""
+    for rows in _by_block(batches):
+        reps = rows.column("rep").to_numpy()
+        items = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in rows.column("items")]
+        parent = list(range(len(reps)))
 
-    A pair's work goes to a; one that has many pairs is spread over slices, each with its own copy
-    of a's set.
-    """
-    pairs = stored(pairs)
-    ends = stored(pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct())
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(ends, "rep", "left_semi")
-    sets = texts.mapInArrow(_sets, "rep long, items binary")
-    sets = stored(sets.withColumn("_h", F.xxhash64("items")).dropDuplicates(["rep", "_h"]).drop("_h"))
-    loads = stored(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("slices")))
-    dealt = pairs.join(loads, "a").withColumn("slice", F.pmod(F.xxhash64("b"), F.col("slices")).cast("int"))
-    theirs = dealt.join(sets.withColumnRenamed("rep", "b"), "b").select("a", "slice", "b", "items")
-    own = sets.withColumnRenamed("rep", "a").join(loads, "a")
-    own = own.select("a", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(None).cast("long").alias("b"), "items")
-    work = own.unionByName(theirs).repartition("a", "slice").sortWithinPartitions("a", "slice", F.col("b").asc_nulls_first())
-    return work.select("a", "b", "items").mapInArrow(_confirm, "a long, b long")
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        left, right = [], []
+        for x, others in _candidates(rows):
+            for y in others.tolist():
+                if root(x) != root(y) and _similar(items[x], items[y]):
+                    parent[root(y)] = root(x)
+                    left.append(reps[x])
+                    right.append(reps[y])
+        if left:
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+
+
+def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): links that tie together all representatives of classes that are tied by any links."""
+    rows = _meetings(classes.select("rep", "n_shingles", "groups")).join(classes.select("rep", "n_shingles", "signature"), "rep")
+    found = stored(_blocked(rows).select(*_ROW_NAMES).mapInArrow(_with_candidates, _ROW))
+    # texts stay where they are as long as the ids wanted are measured to be few
+    wanted = broadcast_if_small({"ids": stored(found.select("rep").distinct())})["ids"]
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(wanted, "rep", "left_semi")
+    sets = stored(texts.mapInArrow(_sets, "rep long, items binary"))
+    # an id that occurs with several texts comes back with the set of the row's own size
+    full = found.join(sets, "rep").filter(F.octet_length("items") == F.col("n_shingles") * 8)
+    full = full.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
+    return full.select(*_ROW_NAMES, "items").mapInArrow(_confirm, "a long, b long")
 
 
 # -- the operator -------------------------------------------------------------------------------------
@@ -262,21 +272,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     linkable = known.filter("n_shingles > 0 and doc_id is not null")
     reps = stored(linkable.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")))
     grouped = linkable.join(reps, ["d1", "d2"])
-    classes = stored(grouped.filter("doc_id = rep").select("rep", "d1", "d2", "n_shingles", "groups", "signature").dropDuplicates(["d1", "d2"]))
-    meetings = _meetings(classes.select("rep", "groups"))
-
-    hubs = stored(_hub_pairs(meetings))
-    links = stored(confirmed(hubs, docs))
-    ties = stored(components(links))
-    rows = meetings.join(ties, meetings["rep"] == ties["node"], "left").select(
-        "key", "place", "count", "rep", F.coalesce("component", "rep").alias("tie")
-    )
-    split = stored(rows.groupBy("key").agg(F.min("tie").alias("_lo"), F.max("tie").alias("_hi")).filter("_lo < _hi").select("key"))
-    rows = rows.join(split, "key", "left_semi").join(classes.select("rep", "n_shingles", "signature"), "rep")
-    rows = _blocked(rows).repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
-    rows = rows.select("key", "p", "q", "own", "place", "rep", "tie", "n_shingles", "signature")
-    candidates = rows.mapInArrow(_compare, "a long, b long").join(hubs, ["a", "b"], "left_anti")
-    links = links.unionByName(confirmed(candidates, docs))
+    classes = stored(grouped.filter("doc_id = rep").select("rep", "n_shingles", "groups", "signature"))
+    links = stored(_links(docs, classes))
 
     # documents that occur with several texts tie their classes together
     several = grouped.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b")
@@ -290,9 +287,44 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each group, that with the smallest doc_id; all columns kept."""
-    gone = near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    gone = near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias(fresh(docs, "_gone"))).distinct()
+    gone = broadcast_if_small({"ids": stored(gone)})["ids"]
+    return docs.join(gone, docs["doc_id"] == gone[gone.columns[0]], "left_anti")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+#: All pairs that share a shingle; the reachable ids of linked documents by recursion.
+SQL = """
+with recursive words as (
+    select doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as w
+    from documents
+), shingles as (
+    select distinct doc_id, shingle from (
+        select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+            else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as shingle
+        from words)
+), sizes as (
+    select doc_id, count(*) as n from shingles group by doc_id
+), shared as (
+    select a.doc_id as a, b.doc_id as b, count(*) as both
+    from shingles a join shingles b on a.shingle = b.shingle and a.doc_id < b.doc_id group by a.doc_id, b.doc_id
+), links as (
+    select s.a, s.b from shared s join sizes x on x.doc_id = s.a join sizes y on y.doc_id = s.b
+    where 100 * s.both >= 85 * (x.n + y.n - s.both)
+), edges as (
+    select a, b from links union all select b, a from links
+), reach as (
+    select a as node, a as root from edges
+    union
+    select e.b, r.root from reach r join edges e on e.a = r.node
+), components as (
+    select node, min(root) as component from reach group by node
+)
+select d.doc_id, cast(coalesce(s.n, 0) as bigint) as n_shingles, coalesce(c.component, d.doc_id) as component_id,
+       coalesce(c.component, d.doc_id) = d.doc_id as kept
+from documents d left join sizes s on s.doc_id = d.doc_id left join components c on c.node = d.doc_id
+"""

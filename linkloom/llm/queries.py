@@ -18,6 +18,8 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op4_minhash_dedup": minhash.SQL,
+    "op5_cover_tree_dedup": covertree.SQL,
     "op7_maxscore_topk": topk.SQL,
     "op9_extendible_sharding": sharding.SQL,
     "op10_line_dedup": lines.SQL,
