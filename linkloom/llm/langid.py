@@ -121,7 +121,7 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 scale = _UNIT / np.sqrt(float((counts.astype(np.float64) ** 2).sum()))
                 gathered.setdefault(lang, []).append((keys, np.rint(counts * scale).astype(np.int64)))
                 size += len(keys)
-        if size > 1 << 22:
+        if size > 1 << 20:
             yield from flush()
             gathered, size = {}, 0
     yield from flush()

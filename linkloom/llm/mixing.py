@@ -14,8 +14,9 @@ Only DataFrame functions; nothing passes the driver but row counts.
     time round.  Slots and blocks are joined by that index.
 
 Streams, draws and permutations are numbered with ``running_start``: hashed chunks within a
-source, so that a source with a third of all rows is no longer task than others.  All draws are
-hashes of ``seed`` and positions, so reruns and recomputed tasks agree.
+source, so that a source with a third of all rows is no longer task than others.  The table of
+sources, one row each, is ordered in one task.  All draws are hashes of ``seed`` and positions, so
+reruns and recomputed tasks agree.
 """
 
 from __future__ import annotations
@@ -230,10 +231,14 @@ def mixed_documents(docs: DataFrame, made: Mix | None = None, **options) -> Data
         once = tagged.join(twins, twin, "left_semi").dropDuplicates(["doc_id", tie])
         tagged = tagged.join(twins, twin, "left_anti").unionByName(once)
     joined = tagged.join(taken, tagged["doc_id"].eqNullSafe(taken[key]) & (tagged[tie] == taken[same]))
-    words = F.regexp_extract_all("text", F.lit(f"({WORD})"))
-    part = F.flatten(F.transform(col(runs), lambda r: F.slice(words, (r["first"] + 1).cast("int"), r["words"].cast("int"))))
     whole = col(runs).isNull()
-    out = joined.withColumn("text", F.when(whole, F.col("text")).otherwise(F.array_join(part, " ")))
+
+    def parts(words: Column) -> Column:
+        return F.flatten(F.transform(col(runs), lambda r: F.slice(words, (r["first"] + 1).cast("int"), r["words"].cast("int"))))
+
+    # the words are named once, or each run would split the whole text again
+    cut = F.get(F.transform(F.array(F.regexp_extract_all("text", F.lit(f"({WORD})"))), parts), F.lit(0))
+    out = joined.withColumn("text", F.when(whole, F.col("text")).otherwise(F.array_join(cut, " ")))
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(length))
