@@ -150,7 +150,8 @@ def references(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, found, counts = batch.column(0), [], []
-            for body in batch.column(1).to_pylist():
+            for cell in batch.column(1):
+                body = cell.as_py()
                 digests = {line_digest(x, min_points) for x in body.split("\n")} if body else set()
                 digests.discard(None)
                 found.extend(sorted(digests))
@@ -235,13 +236,12 @@ class LineIndex:
     def _changed_filters(self, changes: DataFrame, base: DataFrame | None = None, fresh: bool = False) -> DataFrame:
         changes = changes.withColumn("shard", self._shard())
         if fresh:
-            return changes.groupBy("shard").applyInArrow(_new_filter, "shard int, cells binary")
+            return _new_filters(changes)
         updated = changes.groupBy("shard").cogroup(base.groupBy("shard"))
         updated = stored(updated.applyInArrow(_update_filter, "shard int, cells binary"))
         full = updated.filter("cells is null").select("shard")  # these no longer fit: made anew from the exact table
         keys = self.repeated().withColumn("shard", self._shard()).join(full, "shard", "left_semi")
-        anew = keys.select("k1", "k2", F.lit(True).alias("rises"), "shard").groupBy("shard").applyInArrow(_new_filter, "shard int, cells binary")
-        return updated.filter("cells is not null").unionByName(anew)
+        return updated.filter("cells is not null").unionByName(_new_filters(keys))
 
     # what goes
 
@@ -257,8 +257,12 @@ class LineIndex:
         sizes = F.broadcast(sizes)
         refs = refs.join(sizes, "shard").withColumn("slice", F.pmod(F.xxhash64("doc_id", "k1"), F.col("slices")).cast("int"))
         filters = self.filters.join(sizes, "shard").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-        refs = refs.select("shard", "slice", "doc_id", "k1", "k2").groupBy("shard", "slice")
-        return refs.cogroup(filters.select("shard", "slice", "cells").groupBy("shard", "slice")).applyInArrow(_probe, _REFS)
+        nothing = F.lit(None)
+        refs = refs.select("shard", "slice", "doc_id", "k1", "k2", nothing.cast("binary").alias("cells"))
+        filters = filters.select("shard", "slice", *[nothing.cast("long").alias(c) for c in ("doc_id", "k1", "k2")], "cells")
+        # a slice's filter comes before its references, which then stream by
+        work = refs.unionByName(filters).repartition("shard", "slice").sortWithinPartitions("shard", "slice", F.col("cells").isNull())
+        return work.mapInArrow(_probe, _REFS)
 
     def dropped(self) -> DataFrame:
         """(doc_id, k1, k2): the keys whose lines each document loses, checked on the exact counts.
@@ -273,7 +277,7 @@ def _count(refs: DataFrame) -> DataFrame:
     return refs.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("max_doc"))
 
 
-def _key_arrays(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+def _key_arrays(rows: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return rows.column("k1").to_numpy(), rows.column("k2").to_numpy()
 
 
@@ -281,8 +285,38 @@ def _filter_row(shard: int, cells: bytes | None) -> pa.Table:
     return pa.table({"shard": pa.array([shard], pa.int32()), "cells": pa.array([cells], pa.binary())})
 
 
-def _new_filter(rows: pa.Table) -> pa.Table:
-    return _filter_row(rows.column("shard")[0].as_py(), Cuckoo.of(*_key_arrays(rows)).bytes())
+def _stretches(*columns: np.ndarray) -> list[tuple[int, int]]:
+    """From and to of the rows that are equal in all columns and stand together."""
+    if not len(columns[0]):
+        return []
+    new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+    return list(zip([0, *new.tolist()], [*new.tolist(), len(columns[0])]))
+
+
+def _new_filters(keys: DataFrame) -> DataFrame:
+    """(shard, cells): a filter of the keys (shard, k1, k2) of each shard."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, held = None, []
+
+        def made() -> list[pa.RecordBatch]:
+            k1, k2 = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+            return _filter_row(shard, Cuckoo.of(k1, k2).bytes()).to_batches()
+
+        for batch in batches:
+            shards = batch.column("shard").to_numpy()
+            k1, k2 = _key_arrays(batch)
+            for lo, hi in _stretches(shards):
+                if held and shards[lo] != shard:
+                    yield from made()
+                    held = []
+                shard = int(shards[lo])
+                held.append((k1[lo:hi], k2[lo:hi]))
+        if held:
+            yield from made()
+
+    sorted_keys = keys.select("shard", "k1", "k2").repartition("shard").sortWithinPartitions("shard")
+    return sorted_keys.mapInArrow(build, "shard int, cells binary")
 
 
 def _update_filter(changes: pa.Table, base: pa.Table) -> pa.Table:
@@ -297,11 +331,18 @@ def _update_filter(changes: pa.Table, base: pa.Table) -> pa.Table:
     return _filter_row(shard, cuckoo.bytes() if cuckoo.add(k1[rises], k2[rises]) else None)
 
 
-def _probe(refs: pa.Table, filters: pa.Table) -> pa.Table:
-    out = refs.select(["doc_id", "k1", "k2"])
-    if not len(refs) or not len(filters):
-        return out.slice(0, 0)
-    return out.filter(pa.array(Cuckoo.read(filters.column("cells")[0].as_py()).has(*_key_arrays(refs))))
+def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """References that the filter in front of their slice lets through."""
+    here, cuckoo = None, None
+    for batch in batches:
+        shards, slices, cells = batch.column("shard").to_numpy(), batch.column("slice").to_numpy(), batch.column("cells")
+        refs = cells.is_null().to_numpy(zero_copy_only=False)
+        for lo, hi in _stretches(shards, slices, refs):
+            if not refs[lo]:
+                here, cuckoo = (shards[lo], slices[lo]), Cuckoo.read(cells[lo].as_py())
+            elif here == (shards[lo], slices[lo]):
+                part = batch.slice(lo, hi - lo).select(["doc_id", "k1", "k2"])
+                yield part.filter(pa.array(cuckoo.has(*_key_arrays(part))))
 
 
 # -- texts without their repeated lines ------------------------------------------------------------------
@@ -336,8 +377,8 @@ def cleaned(docs: DataFrame, index: LineIndex) -> DataFrame:
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, n_lines, n_dropped, shas = [], [], [], []
-            for body, gone in zip(batch.column("text").to_pylist(), _gone_keys(batch, "_gone")):
-                kept, lines, dropped = _clean(body, gone, min_points)
+            for body, gone in zip(batch.column("text"), _gone_keys(batch, "_gone")):
+                kept, lines, dropped = _clean(body.as_py(), gone, min_points)
                 texts.append(kept)
                 n_lines.append(lines)
                 n_dropped.append(dropped)
