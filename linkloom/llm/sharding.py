@@ -33,7 +33,7 @@ def _leaves(cells: DataFrame, low: int, high: int, limit: int) -> DataFrame:
     levels = cells.select("cell", "bytes", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("depth"))
     levels = levels.withColumn("prefix", F.expr(f"shiftright(cell, {high} - depth)"))
     sums = levels.groupBy("depth", "prefix").agg(F.sum("bytes").alias("total")).filter(F.col("total") <= limit)
-    fits = levels.join(sums, ["depth", "prefix"]).groupBy("cell").agg(F.min(F.struct("depth", "total")).alias("leaf"))
+    fits = levels.join(sums.hint("merge"), ["depth", "prefix"]).groupBy("cell").agg(F.min(F.struct("depth", "total")).alias("leaf"))
     return cells.select("cell").join(fits, "cell", "left").select("cell", F.col("leaf.depth").alias("depth"), F.col("leaf.total").alias("bytes"))
 
 

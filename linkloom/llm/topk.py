@@ -207,7 +207,8 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = K) -> DataFrame:
     kinds = ("ids", "starts", "terms", "weights")
     left = shards.select("shard", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"), *[F.col(c).alias("s_" + c) for c in kinds])
     right = blocks.select("block", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"), *[F.col(c).alias("q_" + c) for c in kinds])
-    work = left.join(right, ["block", "shard"]).drop("block", "shard")
+    # exploded tables look small to Spark; without the hint it would broadcast one
+    work = left.join(right.hint("merge"), ["block", "shard"]).drop("block", "shard")
     found = work.mapInArrow(_searcher(k), _FOUND)
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
