@@ -126,7 +126,8 @@ def running_start(df: DataFrame, group: str, order: list[str], amount: str, out:
     )
     inside = Window.partitionBy(group, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     df = df.withColumn(out, F.coalesce(F.sum(amount).over(inside), F.lit(0)))
-    joined = df.join(totals, df[group].eqNullSafe(totals["_g"]) & (df[chunk] == totals["_c"]))
+    # Spark takes a table that was exploded for as small as it was before, and would broadcast it
+    joined = df.join(totals.hint("merge"), df[group].eqNullSafe(totals["_g"]) & (df[chunk] == totals["_c"]))
     return joined.withColumn(out, F.col(out) + F.col("_before")).drop(chunk, "_g", "_c", "_before")
 
 

@@ -67,7 +67,7 @@ class Mix:
     def taken(self) -> DataFrame:
         """doc_id, source, size, source_size, target, taken: a row for each row of the input."""
         times = self.chosen.groupBy("sid", "block").agg(F.count(F.lit(1)).alias("times"))
-        words = self.pieces().join(times, ["sid", "block"])
+        words = self.pieces().join(times.hint("merge"), ["sid", "block"])  # pieces look smaller than they are
         words = words.groupBy("_row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
         known = F.broadcast(self.sources) if _few(self.sources) else self.sources
         rows = self.docs.join(words, "_row", "left").join(known.drop("source"), "sid")
@@ -76,7 +76,7 @@ class Mix:
     def spans(self) -> DataFrame:
         """(_row, doc_id, shard, epoch, block, first, words): what the output shards consist of."""
         used = self.chosen.select("shard", "sid", "epoch", "block")
-        return self.pieces().join(used, ["sid", "block"]).drop("sid")
+        return self.pieces().join(used.hint("merge"), ["sid", "block"]).drop("sid")
 
 
 def _few(sources: DataFrame, limit: int = 100_000) -> bool:
@@ -149,11 +149,11 @@ def mix(
     streamed = running_start(with_sid, "sid", ["doc_id", "_tie", "size"], "size", "start", _chunks(sized.count()))
     streamed = stored(streamed.select("_row", "doc_id", "_tie", "source", "size", "start", "sid"))
 
-    drawn = stored(_drawn(sources, total, slots, seed))
+    drawn = stored(_drawn(sources, total, slots, seed, few))
     placed = _settled(drawn, sources, seed)
     round_, place = F.floor(F.col("_j") / F.col("blocks")), F.pmod("_j", "blocks")
     known = sources.select("sid", "blocks")
-    placed = placed.join(F.broadcast(known) if few else known, "sid")
+    placed = placed.join(F.broadcast(known) if few else known.hint("merge"), "sid")
     placed = placed.select("shard", "sid", round_.alias("epoch"), place.alias("place"))
 
     orders = sources.filter("quota > 0").select(
@@ -162,15 +162,15 @@ def mix(
     shelf = orders.select("sid", "epoch", (F.col("sid") * max_epochs + F.col("epoch")).alias("_g"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     shelf = shelf.withColumn("_hash", _draw(seed, "order", F.col("_g"), F.col("block"))).withColumn("_one", F.lit(1))
     shelf = running_start(shelf, "_g", ["_hash", "block"], "_one", "place", _chunks(total))
-    chosen = placed.join(shelf.select("sid", "epoch", "place", "block"), ["sid", "epoch", "place"])
+    chosen = placed.join(shelf.select("sid", "epoch", "place", "block").hint("merge"), ["sid", "epoch", "place"])
     return Mix(streamed, sources, placed, stored(chosen.select("shard", "sid", "epoch", "place", "block")), block)
 
 
-def _drawn(sources: DataFrame, total: int, slots: int, seed: int) -> DataFrame:
+def _drawn(sources: DataFrame, total: int, slots: int, seed: int, few: bool = True) -> DataFrame:
     """(shard, sid, n): the multinomial counts.
 
     A slot's number falls into the stretch of its source; stretches are looked up by cell, a table
-    of one row a source and ``_CELLS`` more.
+    of one row a source and ``_CELLS`` more, which is sent to all tasks if there are ``few`` sources.
     """
     spark = sources.sparkSession
     width = max(1, math.ceil(total / _CELLS))
@@ -183,7 +183,7 @@ def _drawn(sources: DataFrame, total: int, slots: int, seed: int) -> DataFrame:
     drawn = shards.select("shard", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_slot"))
     drawn = drawn.withColumn("_u", F.pmod(_draw(seed, "source", F.col("shard"), F.col("_slot")), F.lit(max(1, total))))
     drawn = drawn.withColumn("_cell", F.floor(F.col("_u") / width))
-    found = drawn.join(stretches, "_cell").filter("_u >= _lo and _u < _hi")
+    found = drawn.join(F.broadcast(stretches) if few else stretches.hint("merge"), "_cell").filter("_u >= _lo and _u < _hi")
     return found.groupBy("shard", "sid").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -205,7 +205,7 @@ def _settled(drawn: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
     free = numbered.filter("_j >= quota").withColumn("_hash", _draw(seed, "free", F.col("sid"), F.col("_j")))
     free = free.withColumn("_all", F.lit(0)).withColumn("_one", F.lit(1))
     free = running_start(free, "_all", ["_hash", "sid", "_j"], "_one", "_rank", 64)
-    moved = missing.join(free.select("shard", "_rank"), "_rank").select("shard", "sid", "_j")
+    moved = missing.join(free.select("shard", "_rank").hint("merge"), "_rank").select("shard", "sid", "_j")
     return kept.unionByName(moved)
 
 
