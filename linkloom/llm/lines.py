@@ -414,7 +414,9 @@ def drop_repeated_lines(docs: DataFrame, index: LineIndex | None = None) -> Data
 
     gone = fresh(docs, "_gone")
     rows, whole = _with_gone(docs, index, gone), F.col(gone).isNull()
-    rows = rows.withColumn("text", F.when(whole, F.col("text")).otherwise(strip("text", gone)))
+    # called non-deterministic so that the filter below does not run it a second time
+    stripped = strip.asNondeterministic()("text", gone)
+    rows = rows.withColumn("text", F.when(whole, F.col("text")).otherwise(stripped))
     rows = rows.filter(whole | (F.trim(F.translate("text", SPACES, " " * len(SPACES))) != ""))
     if "n_chars" in columns:
         kept = F.length("text").cast(docs.schema["n_chars"].dataType)
