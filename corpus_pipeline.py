@@ -13,22 +13,25 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from linkloom.llm import langid, lines, minhash, mixing, packing
-from linkloom.llm.common import table
+from linkloom.llm.common import short_batches, table
 from linkloom.session import ensure_checkpoint_dir
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or unlike every known language, go."""
+    short_batches(spark)
     return langid.reject_unknown(docs)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in three or more documents stay in one; documents left without text go."""
+    short_batches(spark)
     return lines.drop_repeated_lines(docs)
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
+    short_batches(spark)
     return minhash.drop_near_duplicates(docs)
 
 

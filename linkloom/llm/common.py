@@ -18,7 +18,21 @@ SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXTS_A_BATCH = 1000
+
+
+def short_batches(spark: SparkSession) -> None:
+    """Send texts to Python 1,000 at a time, unless the session has its own number.
+
+    Spark's default of 10,000 rows is meant for numbers; with texts it costs both sides memory.
+    """
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(TEXTS_A_BATCH))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    short_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
