@@ -18,7 +18,7 @@ from linkloom.session import ensure_checkpoint_dir
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or unlike every known language, go."""
+    """Documents without a letter, or no liker any known language than chance explains, go."""
     short_batches(spark)
     return langid.reject_unknown(docs)
 

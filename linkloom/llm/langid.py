@@ -8,6 +8,15 @@ each scaled to unit length.  A document gets the language whose prototype has th
 Bundling is linear, so training only counts grams: tasks add up the weights of each language's
 grams in whole numbers, and vectors appear once the counts are summed.  The model is one vector a
 language, the only thing that passes the driver; ``max_languages`` bounds it.
+
+A text is in no known language if its best cosine is no more than ``bounds`` tells:
+
+* vectors of unlike texts have a cosine of about 1/sqrt(dim) by chance; ``CHANCE`` times that passes
+  once in tens of thousands of texts, whatever their length;
+* a text of n grams drawn like the language's has a cosine of about sqrt(n a / (1 + (n - 1) a)), a
+  being the chance that two of its grams are equal; n is what the text's gram counts are worth,
+  sum^2 / sum of squares.  Known texts lie about that, random letters far below; the bound is
+  ``SHARE`` of it.
 """
 
 from __future__ import annotations
@@ -26,7 +35,14 @@ UNDETERMINED = "und"
 _BITS = 21  # of a code point
 _UNIT = 1 << 20  # a document's weight, so that sums are whole numbers and reruns agree
 _GRAMS_AT_ONCE = 1 << 18
-_ROWS_AT_ONCE = 4096
+_ROWS_AT_ONCE = 4096  # at 1,024 places; fewer where vectors are longer
+_PLACES_AT_ONCE = 1 << 20
+#: A cosine up to so many deviations of a chance one tells nothing.
+CHANCE = 4.0
+#: The part of a known text's usual cosine that a text must exceed.
+SHARE = 1 / 3
+#: Places of the vectors that tell unknown texts: chance cosines are half those of 1,024 places.
+REJECT_DIM = 4096
 
 _fold: np.ndarray | None = None
 
@@ -94,12 +110,16 @@ def gram_vectors(keys: np.ndarray, dim: int, seed: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Profiles:
-    """Prototypes of unit length, a row a language in the order of the names."""
+    """Prototypes of unit length, a row a language in the order of the names.
+
+    ``repeats`` is the chance of two grams of a language being equal.
+    """
 
     dim: int
     seed: int
     languages: list[str]
     prototypes: np.ndarray = field(repr=False)
+    repeats: np.ndarray = field(repr=False)
 
 
 def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,36 +169,49 @@ def train(
 
     def bundle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[str, np.ndarray] = {}
+        rows = _rows_at_once(dim)
         for batch in batches:
             for name, part in batch.groupby("lang"):
                 keys = part["gram"].to_numpy().view(np.uint64)
                 weights = part["weight"].to_numpy()
-                total = sums.setdefault(name, np.zeros(dim, dtype=np.int64))
-                for at in range(0, len(keys), _ROWS_AT_ONCE):
-                    vectors = gram_vectors(keys[at : at + _ROWS_AT_ONCE], dim, seed)
-                    total += weights[at : at + _ROWS_AT_ONCE] @ vectors.astype(np.int64)
+                total = sums.setdefault(name, np.zeros(dim + 1, dtype=np.int64))
+                for at in range(0, len(keys), rows):
+                    vectors = gram_vectors(keys[at : at + rows], dim, seed)
+                    total[:dim] += weights[at : at + rows] @ vectors.astype(np.int64)
+                total[dim] += weights.sum()
         for name, total in sums.items():
-            yield pd.DataFrame({"lang": name, "place": np.arange(dim), "value": total})
+            yield pd.DataFrame({"lang": name, "place": np.arange(dim + 1), "value": total})
 
     placed = counted.mapInPandas(bundle, "lang string, place int, value long")
     summed = placed.groupBy("lang", "place").agg(F.sum(F.col("value").cast("decimal(38,0)")).cast("double").alias("value"))
-    rows = summed.limit(max_languages * dim + 1).collect()
-    if len(rows) > max_languages * dim:
+    rows = summed.limit(max_languages * (dim + 1) + 1).collect()
+    if len(rows) > max_languages * (dim + 1):
         raise ValueError(f"more than {max_languages} languages")
     languages = sorted({r["lang"] for r in rows})
     at = {name: k for k, name in enumerate(languages)}
-    prototypes = np.zeros((len(languages), dim))
+    prototypes = np.zeros((len(languages), dim + 1))
     for r in rows:
         prototypes[at[r["lang"]], r["place"]] = r["value"]
+    prototypes, weights = prototypes[:, :dim], prototypes[:, dim]
     norms = np.linalg.norm(prototypes, axis=1, keepdims=True)
-    return Profiles(dim, seed, languages, prototypes / np.where(norms == 0, 1, norms))
+    repeats = np.minimum(1.0, (norms[:, 0] / weights) ** 2 / dim)
+    return Profiles(dim, seed, languages, prototypes / np.where(norms == 0, 1, norms), repeats)
+
+
+def _rows_at_once(dim: int) -> int:
+    return max(1, _ROWS_AT_ONCE * 1024 // max(1024, dim))
 
 
 def classify(texts: list[str | None], model: Profiles) -> tuple[list[str], np.ndarray]:
     """Language and cosine (0 to 1) of each whole text."""
-    names, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+    return _classify(texts, model)[:2]
+
+
+def _classify(texts: list[str | None], model: Profiles) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, cosine and worth in grams of each whole text."""
+    names, scores, worth = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
     if not model.languages:
-        return names, scores
+        return names, scores, worth
     group: list[tuple[int, np.ndarray, np.ndarray]] = []
     size = 0
     for k, text in enumerate(texts):
@@ -186,12 +219,22 @@ def classify(texts: list[str | None], model: Profiles) -> tuple[list[str], np.nd
         if len(keys):
             group.append((k, keys, counts))
             size += len(keys)
-        if size > _GRAMS_AT_ONCE:
+            exact = counts.astype(np.float64)
+            worth[k] = exact.sum() ** 2 / (exact**2).sum()
+        if size > _GRAMS_AT_ONCE or len(group) * model.dim >= _PLACES_AT_ONCE:
             _score(group, model, names, scores)
             group, size = [], 0
     if group:
         _score(group, model, names, scores)
-    return names, scores
+    return names, scores, worth
+
+
+def bounds(names: list[str], worth: np.ndarray, model: Profiles) -> np.ndarray:
+    """The cosine that a text of a language must exceed to be known, see above; ``und`` has 1."""
+    at = {name: k for k, name in enumerate(model.languages)}
+    a = np.array([model.repeats[at[x]] if x in at else 1.0 for x in names])
+    usual = np.sqrt(worth * a / (1 + (np.maximum(worth, 1) - 1) * a))
+    return np.where(worth > 0, np.maximum(CHANCE / np.sqrt(model.dim), SHARE * usual), 1.0)
 
 
 def _score(group: list, model: Profiles, names: list[str], scores: np.ndarray) -> None:
@@ -201,9 +244,10 @@ def _score(group: list, model: Profiles, names: list[str], scores: np.ndarray) -
     order = np.argsort(which, kind="stable")
     which, row, count = which[order], row[order], count[order]
     bundled = np.zeros((len(group), model.dim), dtype=np.float32)
-    for at in range(0, len(keys), _ROWS_AT_ONCE):
-        lo, hi = np.searchsorted(which, [at, at + _ROWS_AT_ONCE])
-        block = keys[at : at + _ROWS_AT_ONCE]
+    rows = _rows_at_once(model.dim)
+    for at in range(0, len(keys), rows):
+        lo, hi = np.searchsorted(which, [at, at + rows])
+        block = keys[at : at + rows]
         table_ = np.zeros((len(group), len(block)), dtype=np.float32)
         table_[row[lo:hi], which[lo:hi] - at] = count[lo:hi]
         bundled += table_ @ gram_vectors(block, model.dim, model.seed).astype(np.float32)
@@ -246,18 +290,25 @@ def identify(docs: DataFrame, model: Profiles) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
 
 
-def reject_unknown(docs: DataFrame, model: Profiles | None = None, min_score: float = 0.0) -> DataFrame:
+def reject_unknown(docs: DataFrame, model: Profiles | None = None, min_score: float | None = None) -> DataFrame:
     """The rows of ``docs`` written in some learned language, all columns kept.
 
-    Rejected is what has no letter (``und``), or whose cosine with every language is at most
-    ``min_score``.  The default asks for any likeness at all, so that one-word documents stay.
-    Where no language could be learned, all that has letters stays.
+    Rejected is what has no letter, or whose cosine with every language is at most ``min_score``;
+    without one, at most what ``bounds`` says for the text.  Words too short and odd to be told from
+    chance are rejected too.  Where no language could be learned, all that has letters stays.
     """
-    model = model or train(docs.filter(~is_held_out(F.col("doc_id"))))
+    model = model or train(docs.filter(~is_held_out(F.col("doc_id"))), dim=REJECT_DIM)
     if not model.languages:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    found = predict(F.col("text"), model, docs.sparkSession.sparkContext)
-    return docs.filter((found["lang"] != UNDETERMINED) & (found["score"] > min_score))
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def known(batch: pd.Series) -> pd.Series:
+        names, scores, worth = _classify(batch.tolist(), sent.value)
+        least = bounds(names, worth, sent.value) if min_score is None else min_score
+        return pd.Series((scores > least) & (worth > 0))
+
+    return docs.filter(known(F.col("text")))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

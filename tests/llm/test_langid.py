@@ -1,3 +1,6 @@
+import random
+import string
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -70,3 +73,23 @@ def test_empty_table_and_limits(spark, edge):
     assert {r.lang_pred for r in langid.identify(edge, model).collect()} == {"und"}
     with pytest.raises(ValueError):
         langid.train(edge, max_languages=1)
+
+
+def test_texts_in_no_known_language_go(spark, docs):
+    """Unknown scripts and random letters of many lengths go; clean texts stay, short ones too."""
+    dice = random.Random(8)
+
+    def made(letters, words):
+        return " ".join("".join(dice.choices(letters, k=dice.randint(3, 9))) for _ in range(words))
+
+    cyrillic, greek = ("".join(map(chr, range(*x))) for x in ((0x430, 0x450), (0x3B1, 0x3CA)))
+    lengths = [2, 3, 5, 10, 40, 200]
+    odd = [made(letters, n) for letters in (cyrillic, greek, string.ascii_lowercase) for n in lengths for _ in range(30)]
+    texts = [r.text.split() for r in docs.filter("text is not null").orderBy("doc_id").collect()]
+    clean = [" ".join(words[:n]) for n in (5, 10, 40) for words in texts if len(words) >= n]
+    rows = [(i, x) for i, x in enumerate(odd + clean)]
+    model = langid.train(docs, dim=langid.REJECT_DIM)
+    kept = {r.doc_id for r in langid.reject_unknown(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    unknown = [i for i in kept if i < len(odd)]
+    assert not [i for i in unknown if i < len(odd) * 2 // 3] and len(unknown) <= 0.02 * len(odd)
+    assert len(kept) - len(unknown) >= 0.97 * len(clean)
