@@ -16,6 +16,9 @@ from linkloom.llm import langid, lines, minhash, mixing, packing
 from linkloom.llm.common import short_batches, table
 from linkloom.session import ensure_checkpoint_dir
 
+#: Near duplicates of the corpus are linked from here on; op4 alone asks for 85.
+NEAR_PERCENT = 80
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or no liker any known language than chance explains, go."""
@@ -30,9 +33,9 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
+    """One document of each group of near duplicates stays; a Jaccard similarity of 0.80 links two."""
     short_batches(spark)
-    return minhash.drop_near_duplicates(docs)
+    return minhash.drop_near_duplicates(docs, percent=NEAR_PERCENT)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

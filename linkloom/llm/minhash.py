@@ -4,7 +4,7 @@ A document is the set of its five-word shingles.  Two collections A and B of ``G
 ``ROWS`` minhashes stand for ``GROUPS``^2 tables: table (i, j) is keyed by group i of A and group
 j of B together.  2 * GROUPS * ROWS minhashes thus give tables that would take GROUPS^2 * 2 * ROWS
 if each were computed for itself.  At the threshold of 0.85 a pair shares no table with a
-probability of one in a million.
+probability of one in a million; at 0.80, which the corpus pipeline asks for, of five in 100,000.
 
 The tables are never written out.  Documents that share a group of A meet in its bucket; there two
 of them are candidates if they also share a group of B.  What keeps this linear:
@@ -38,6 +38,7 @@ from linkloom.operators.joins import broadcast_if_small
 from linkloom.session import stored
 
 SHINGLE = 5
+#: Least Jaccard similarity of a link, in hundredths, unless the caller has its own.
 PERCENT = 85
 GROUPS = 20
 ROWS = 4
@@ -146,8 +147,8 @@ def _blocked(rows: DataFrame) -> DataFrame:
     return rows.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
 
 
-def _least_equal() -> int:
-    t = PERCENT / 100
+def _least_equal(percent: int) -> int:
+    t = percent / 100
     return math.ceil((t - 4 * math.sqrt(t * (1 - t) / _HASHES)) * _HASHES)
 
 
@@ -171,7 +172,7 @@ def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield rest
 
 
-def _candidates(rows: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+def _candidates(rows: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
     """(x, later rows that are candidates of x) of a block pair; a pair counts only in the first bucket of A that it shares."""
     n = len(rows)
     if n < 2:
@@ -181,9 +182,9 @@ def _candidates(rows: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
     signatures = np.frombuffer(b"".join(rows.column("signature").to_pylist()), dtype=np.uint8).reshape(n, -1)
     prints = signatures[:, _HASHES:].copy().view(np.uint32)
     signatures = signatures[:, :_HASHES]
-    least = _least_equal()
+    least = _least_equal(percent)
     for x in range(n - 1):
-        near = (100 * np.minimum(sizes[x + 1 :], sizes[x]) >= PERCENT * np.maximum(sizes[x + 1 :], sizes[x])) & (reps[x + 1 :] != reps[x])
+        near = (100 * np.minimum(sizes[x + 1 :], sizes[x]) >= percent * np.maximum(sizes[x + 1 :], sizes[x])) & (reps[x + 1 :] != reps[x])
         if across:
             near &= own[x + 1 :] != own[x]
         kept = np.flatnonzero(near) + x + 1
@@ -196,11 +197,11 @@ def _candidates(rows: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
             yield x, kept[first & in_b]
 
 
-def _with_candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _with_candidates(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """The rows of a block pair that have a candidate in it."""
     for rows in _by_block(batches):
         wanted = np.zeros(len(rows), dtype=bool)
-        for x, others in _candidates(rows):
+        for x, others in _candidates(rows, percent):
             wanted[others] = True
             wanted[x] |= len(others) > 0
         if wanted.any():
@@ -216,12 +217,12 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, pa.binary())], names=["rep", "items"])
 
 
-def _similar(x: np.ndarray, y: np.ndarray) -> bool:
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     both = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
-    return 100 * both >= PERCENT * (len(x) + len(y) - both)
+    return 100 * both >= percent * (len(x) + len(y) - both)
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """A spanning forest of the links within each block pair, confirmed on the full sets."""
     for rows in _by_block(batches):
         reps = rows.column("rep").to_numpy()
@@ -234,9 +235,9 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return x
 
         left, right = [], []
-        for x, others in _candidates(rows):
+        for x, others in _candidates(rows, percent):
             for y in others.tolist():
-                if root(x) != root(y) and _similar(items[x], items[y]):
+                if root(x) != root(y) and _similar(items[x], items[y], percent):
                     parent[root(y)] = root(x)
                     left.append(reps[x])
                     right.append(reps[y])
@@ -244,10 +245,10 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
 
-def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
+def _links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(a, b): links that tie together all representatives of classes that are tied by any links."""
     rows = _meetings(classes.select("rep", "n_shingles", "groups")).join(classes.select("rep", "n_shingles", "signature"), "rep")
-    found = stored(_blocked(rows).select(*_ROW_NAMES).mapInArrow(_with_candidates, _ROW))
+    found = stored(_blocked(rows).select(*_ROW_NAMES).mapInArrow(lambda batches: _with_candidates(batches, percent), _ROW))
     # texts stay where they are as long as the ids wanted are measured to be few
     wanted = broadcast_if_small({"ids": stored(found.select("rep").distinct())})["ids"]
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(wanted, "rep", "left_semi")
@@ -255,15 +256,16 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     # an id that occurs with several texts comes back with the set of the row's own size
     full = found.join(sets, "rep").filter(F.octet_length("items") == F.col("n_shingles") * 8)
     full = full.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
-    return full.select(*_ROW_NAMES, "items").mapInArrow(_confirm, "a long, b long")
+    return full.select(*_ROW_NAMES, "items").mapInArrow(lambda batches: _confirm(batches, percent), "a long, b long")
 
 
 # -- the operator -------------------------------------------------------------------------------------
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row of ``docs`` (doc_id, text).
 
+    Two documents are linked if the Jaccard similarity of their sets is ``percent`` / 100 or more.
     ``component_id`` is the smallest doc_id reachable over links, the document's own included.
     Documents without words are linked with nothing.  A null doc_id has a null component and is
     kept.  Rows of equal doc_id and equal set count as one document.
@@ -273,7 +275,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reps = stored(linkable.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")))
     grouped = linkable.join(reps, ["d1", "d2"])
     classes = stored(grouped.filter("doc_id = rep").select("rep", "n_shingles", "groups", "signature"))
-    links = stored(_links(docs, classes))
+    links = stored(_links(docs, classes, percent))
 
     # documents that occur with several texts tie their classes together
     several = grouped.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b")
@@ -285,9 +287,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One document of each group, that with the smallest doc_id; all columns kept."""
-    gone = near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias(fresh(docs, "_gone"))).distinct()
+    gone = near_duplicates(docs, percent).filter(~F.col("kept")).select(F.col("doc_id").alias(fresh(docs, "_gone"))).distinct()
     gone = broadcast_if_small({"ids": stored(gone)})["ids"]
     return docs.join(gone, docs["doc_id"] == gone[gone.columns[0]], "left_anti")
 

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm.common import WORD, table, word_count
@@ -83,14 +83,18 @@ def pack(
     overhead: float = OVERHEAD,
     quadratic: float = QUADRATIC,
     group_rows: int = GROUP_ROWS,
+    texts: bool = False,
 ) -> DataFrame:
     """(_row, doc_id, part, first_word, n_words, bin, capacity, place) of each piece of each row of ``docs``.
 
     ``first_word`` counts from 0 in the document, ``place`` in the bin.  A text without words, or
     null, is one row of 0 words in no bin.  Repeated rows are packed one by one.
+
+    With ``texts``, each piece also has its own ``text``: that of the row, cut before words.
     """
     largest = max(capacities)
-    sized = stored(docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", word_count(F.col("text")).alias("size")))
+    read = ["doc_id", "text"] if texts else ["doc_id"]
+    sized = stored(docs.select(F.monotonically_increasing_id().alias("_row"), *read, word_count(F.col("text")).alias("size")))
     parts = F.sequence(F.lit(0).cast("long"), F.floor((F.col("size") - 1) / largest))
     pieces = sized.filter("size > 0").select("_row", "doc_id", "size", F.explode(parts).alias("part"))
     words = F.least(F.lit(largest), F.col("size") - F.col("part") * largest).cast("long")
@@ -112,7 +116,30 @@ def pack(
     without = sized.filter("size = 0").selectExpr(
         "_row", "doc_id", "0L as part", "0L as first_word", "0L as n_words", "cast(null as string) as bin", "cast(null as long) as capacity", "cast(null as long) as place"
     )
-    return packed.unionByName(without)
+    packed = packed.unionByName(without)
+    if not texts:
+        return packed
+    cut = sized.select("_row", F.explode(_cut(largest)).alias("piece"))
+    cut = cut.select(F.col("_row").alias("_r"), F.col("piece.part").alias("_p"), F.col("piece.text").alias("text"))
+    return packed.join(cut, (F.col("_row") == F.col("_r")) & (F.col("part") == F.col("_p"))).drop("_r", "_p")
+
+
+def _cut(largest: int) -> Column:
+    """[(part, text)] of ``text`` with ``size`` words; all but the last part have ``largest`` words.
+
+    A part keeps the white space between its words.  What fits one part is left as it is.
+    """
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("part"), F.col("text").alias("text")))
+    parts = F.sequence(F.lit(0).cast("long"), F.floor((F.col("size") - 1) / largest))
+
+    def piece(words: Column, part: Column) -> Column:
+        text = F.array_join(F.slice(words, (part * largest + 1).cast("int"), F.lit(largest)), "")
+        return F.struct(part.alias("part"), text.alias("text"))
+
+    # the words are named once, or each part would split the whole text again
+    words = F.array(F.regexp_extract_all("text", F.lit(f"({WORD}[\\x20\\x09-\\x0D]*)")))
+    several = F.get(F.transform(words, lambda w: F.transform(parts, lambda p: piece(w, p))), F.lit(0))
+    return F.when(F.col("size") <= largest, whole).otherwise(several)
 
 
 def sequences(docs: DataFrame, packed: DataFrame | None = None, **options) -> DataFrame:

@@ -1,7 +1,7 @@
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from linkloom.llm import langid, mixing
+from linkloom.llm import langid, minhash, mixing
 from tests.llm import brute
 
 SF = "/root/testdata/sf0.001"
@@ -43,3 +43,17 @@ def test_awkward_and_empty_documents(spark, edge):
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, SF)
         docs.count()
+
+
+def test_near_dedup_stage_links_from_80_percent(spark):
+    """Pairs of every similarity about the threshold of the stage, which is not that of op4."""
+    rows = []
+    for k in range(1, 31):  # sets of 100 + k and 100 shingles, 100 shared
+        words = [f"v{k}-{i}" for i in range(104 + k)]
+        rows += [(10 * k, " ".join(words)), (10 * k + 1, " ".join(words[:104]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, SF).collect()}
+    want = {10 * k for k in range(1, 31)} | {10 * k + 1 for k in range(1, 31) if 100 * 100 < 80 * (100 + k)}
+    assert kept == want
+    at_85 = {r.doc_id for r in minhash.drop_near_duplicates(docs).collect()}
+    assert at_85 == {10 * k for k in range(1, 31)} | {10 * k + 1 for k in range(1, 31) if 100 * 100 < 85 * (100 + k)}
