@@ -44,8 +44,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents and their place in sequences of several lengths."""
-    return packing.pack(docs).drop("_row")
+    """Pieces of documents, their texts and their place in sequences of several lengths."""
+    short_batches(spark)
+    return packing.pack(docs, texts=True).drop("_row")
 
 
 STAGES = [

@@ -1,3 +1,6 @@
+import re
+from collections import Counter
+
 import corpus_pipeline
 from pyspark.sql import functions as F
 
@@ -57,3 +60,52 @@ def test_near_dedup_stage_links_from_80_percent(spark):
     assert kept == want
     at_85 = {r.doc_id for r in minhash.drop_near_duplicates(docs).collect()}
     assert at_85 == {10 * k for k in range(1, 31)} | {10 * k + 1 for k in range(1, 31) if 100 * 100 < 85 * (100 + k)}
+
+
+def _pieces(rows, largest=4096):
+    """Counter of (doc_id, first word, words) of plain cuts; texts without words have one empty piece."""
+    out = Counter()
+    for doc_id, text in rows:
+        words = re.findall(r"[^ \t\n\x0b\x0c\r]+", text or "")
+        for at in range(0, max(1, len(words)), largest):
+            out[doc_id, at, tuple(words[at : at + largest])] += 1
+    return out
+
+
+def _check_bins(packed):
+    bins = {}
+    for r in packed:
+        words = re.findall(r"[^ \t\n\x0b\x0c\r]+", r.text or "")
+        assert len(words) == r.n_words and (r.bin is None) == (r.n_words == 0)
+        if r.bin is not None:
+            bins.setdefault((r.bin, r.capacity), []).append((r.place, r.n_words))
+    for (_, capacity), places in bins.items():
+        end = 0
+        for place, n in sorted(places):
+            assert place == end
+            end += n
+        assert end <= capacity
+
+
+def test_bins_of_the_run_hold_the_words_of_the_mixed_documents(spark, monkeypatch):
+    mixed = []
+
+    def seen(spark, docs, sf_dir):
+        mixed.extend((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect())
+        return corpus_pipeline.pack_sequences(spark, docs, sf_dir)
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [*corpus_pipeline.STAGES[:-1], ("packing", seen)])
+    packed = corpus_pipeline.run(spark, SF).collect()
+    assert len({i for i, _ in mixed}) < len(mixed)  # some documents come in several rounds
+    _check_bins(packed)
+    assert Counter((r.doc_id, r.first_word, tuple(re.findall(r"[^ \t\n\x0b\x0c\r]+", r.text))) for r in packed) == _pieces(mixed)
+
+
+def test_pieces_of_rows_with_one_id_keep_their_own_text(spark):
+    long = "\n".join(f"word{i} and" for i in range(5000))
+    rows = [(1, long), (1, "a  b\nc"), (1, long[:30000]), (2, None), (2, " "), (None, "x")]
+    packed = corpus_pipeline.pack_sequences(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
+    _check_bins(packed)
+    assert Counter((r.doc_id, r.first_word, tuple(re.findall(r"[^ \t\n\x0b\x0c\r]+", r.text or ""))) for r in packed) == _pieces(rows)
+    assert "a  b\nc" in {r.text for r in packed}
+    assert all(r.text in long for r in packed if r.n_words > 3)
