@@ -4,7 +4,8 @@ Only DataFrame functions.  One pass over the texts keeps what the patterns hit a
 between hits, never the texts; positions are running sums of those.
 
 The fixed forms are ``assign``, ``access`` and ``hex``.  Beside them every run of at least
-``MIN_RUN`` letters, digits and ``+/_=-`` is tested as ``random``:
+``MIN_RUN`` letters, digits and ``+/_-``, with the ``=`` after it, is tested as ``random``; where no
+alphabet holds a run, as when a token is glued to a path, its longest parts that one holds are:
 
 * its encoding is the smallest alphabet that holds all its characters: hexadecimal, base 32, base
   36, base 64 (without padding).  Runs without a digit or without a letter have none;
@@ -16,7 +17,8 @@ The fixed forms are ``assign``, ``access`` and ``hex``.  Beside them every run o
   with length; the e-BH rule over all tested tokens of the corpus keeps the expected share of
   ordinary tokens among those reported below ``FALSE_SHARE``.
 
-A reported token that overlaps no fixed form becomes a span of kind ``random``.
+A reported token that overlaps no fixed form becomes a span of kind ``random``.  Of overlapping
+parts of a run that with the most evidence goes first.
 """
 
 from __future__ import annotations
@@ -35,7 +37,8 @@ ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?(
 FORMS = (("assign", ASSIGN, 1, 6), ("access", r"AKIA[A-Z0-9]+", 0, 20), ("hex", r"[0-9a-f]+", 0, 24))
 MIN_RUN = 20
 RANDOM = "random"
-RUN = r"[A-Za-z0-9+/_=-]"
+#: Characters of a run, and those of the alphabets that hold the others.
+RUN, WIDEST = r"[A-Za-z0-9+/_-]", ("[A-Za-z0-9+/]", "[A-Za-z0-9_-]")
 #: Largest standard score that a random token may show in any test.
 MAX_SCORE = 3.7
 FALSE_SHARE = 0.01
@@ -69,6 +72,11 @@ def _scan(text: Column, pattern: str, whole: str, group: int) -> Column:
     return F.when(text.rlike(pattern), out)
 
 
+def _long(characters: str) -> str:
+    """Pattern of a maximal run that is long enough, and its padding."""
+    return f"{characters}{{{MIN_RUN},}}=*"
+
+
 def _hits(docs: DataFrame) -> DataFrame:
     """(_row, doc_id, kind, place, gap, length, value), a row without kind for texts without hits."""
     text, found = F.col("text"), []
@@ -77,19 +85,43 @@ def _hits(docs: DataFrame) -> DataFrame:
         # too short still uses up its text
         whole = pattern if group else pattern.replace("+", f"{{{least - 4 if kind == 'access' else least},}}")
         found.append(F.struct(F.lit(kind).alias("kind"), _scan(text, whole, whole, group).alias("hits")))
-    run = f"{RUN}{{{MIN_RUN},}}"
+    run = _long(RUN)
     found.append(F.struct(F.lit(RANDOM).alias("kind"), _scan(text, run, run, 0).alias("hits")))
     scanned = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", F.array(*found).alias("_found"))
     kept = F.filter("_found", lambda x: F.size(F.coalesce(x["hits"], F.array())) > 0)
     return stored(scanned.select("_row", "doc_id", kept.alias("found")))
 
 
-def _placed(hits: DataFrame) -> DataFrame:
-    """(_row, kind, start, end, value) of every hit; code points, end exclusive."""
-    kinds = hits.select("_row", F.explode("found").alias("f")).select("_row", "f.kind", F.posexplode("f.hits").alias("place", "h"))
-    before = Window.partitionBy("_row", "kind").orderBy("place")
+def _placed(hits: DataFrame, *keys: str) -> DataFrame:
+    """(_row, *keys, kind, start, end, value) of every hit; code points, end exclusive."""
+    kinds = hits.select("_row", *keys, F.explode("found").alias("f")).select("_row", *keys, "f.kind", F.posexplode("f.hits").alias("place", "h"))
+    before = Window.partitionBy("_row", *keys, "kind").orderBy("place")
     end = F.sum(F.col("h.gap").cast("long") + F.col("h.length")).over(before)
-    return kinds.select("_row", "kind", (end - F.col("h.length")).alias("start"), end.alias("end"), F.col("h.value").alias("value"))
+    return kinds.select("_row", *keys, "kind", (end - F.col("h.length")).alias("start"), end.alias("end"), F.col("h.value").alias("value"))
+
+
+def _tokens(runs: DataFrame) -> DataFrame:
+    """(_row, _run, start, end, value): runs that some alphabet holds, and the longest such parts of others.
+
+    ``_run`` is the start of the run.
+    """
+    fits = F.col("value").rlike("^(" + "|".join(f"{x}+" for x in WIDEST) + ")=*$")
+    names = ["_row", "_run", "start", "end", "value"]
+    runs = runs.select("_row", F.col("start").alias("_run"), "start", "end", "value", fits.alias("_fits"))
+    found = [F.struct(F.lit(x).alias("kind"), _scan(F.col("value"), _long(x), _long(x), 0).alias("hits")) for x in WIDEST]
+    parts = _placed(runs.filter("not _fits").select("_row", "_run", F.array(*found).alias("found")), "_run")
+    parts = parts.withColumns({"start": F.col("_run") + F.col("start"), "end": F.col("_run") + F.col("end")}).select(names)
+    return runs.filter("_fits").select(names).unionByName(parts.dropDuplicates(["_row", "start", "end"]))
+
+
+def _apart(tokens: DataFrame) -> DataFrame:
+    """(_row, start, end) of tokens, without those that overlap one of the same run with more evidence."""
+    runs = tokens.groupBy("_row", "_run").agg(F.array_sort(F.collect_list(F.struct((-F.col("evidence")).alias("order"), "start", "end"))).alias("_all"))
+    none = F.slice("_all", 1, 0)
+    kept = F.aggregate(
+        "_all", none, lambda a, x: F.when(F.exists(a, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])), a).otherwise(F.concat(a, F.array(x)))
+    )
+    return runs.select("_row", F.explode(kept).alias("x")).select("_row", "x.start", "x.end")
 
 
 # -- the battery ------------------------------------------------------------------------------------
@@ -195,8 +227,9 @@ def secrets(docs: DataFrame) -> DataFrame:
     fixed = placed.filter(F.col("kind") != RANDOM)
     for kind, least in assign.items():
         fixed = fixed.filter((F.col("kind") != kind) | (F.length("value") >= least))
-    tested = stored(battery(placed.filter(F.col("kind") == RANDOM)).filter("evidence is not null"))
+    tested = stored(battery(_tokens(placed.filter(F.col("kind") == RANDOM))).filter("evidence is not null"))
     random = tested.filter((F.col("worst") <= MAX_SCORE) & (F.col("evidence") >= evidence_needed(tested)))
+    random = _apart(random).withColumn("kind", F.lit(RANDOM))
     order = F.array_position(F.array(*[F.lit(k) for k, *_ in FORMS], F.lit(RANDOM)), F.col("kind"))
     spans = fixed.drop("value").unionByName(random.select(*fixed.drop("value").columns))
     spans = spans.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", order.alias("order"), "end", "kind"))).alias("_all"))

@@ -82,3 +82,26 @@ def test_edge_cases(edge):
     assert len(got) == edge.count()
     assert spans(got)[12] == [("assign", 8, 29)]
     assert secrets.secrets(edge.limit(0)).count() == 0
+
+
+def test_glued_tokens_are_found(spark):
+    """Tokens behind a name and '=', or glued to a path of both kinds of separators."""
+    dice = random.Random(5)
+    glue = [("aws_secret_access_key=", ""), ("sig=", "&v=2"), ("AccountKey=", "=="), ("https://x.org/a?k=", ""), ("logs/old-files_", ""), ("my-app/key_store/", "/next-one"), ("a_b/c-d/", "")]
+    rows, want = [], []
+    for i in range(350):
+        before, after = glue[i % len(glue)]
+        token = "".join(dice.choices(string.ascii_letters + string.digits, k=40))
+        rows.append((i, f"see {before}{token}{after} there"))
+        want.append(("random", 4 + len(before), 4 + len(before) + 40 + (2 if after == "==" else 0)))
+    words = ["some/path-to/the_internationalisation_of/words2", "release_notes/2023-10-12/final-version_2", "key_of_the_house=internationalisation-2"]
+    rows += [(1000 + i, f"see {w} there") for i, w in enumerate(words * 50)]
+    got = spans(secrets.secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    for k in range(len(glue)):
+        covered = [any(x[0] == "random" and x[1] <= want[i][1] and want[i][2] <= x[2] for x in got[i]) for i in range(k, 350, len(glue))]
+        assert sum(covered) >= 45, glue[k]
+        if "_" not in glue[k][0] or glue[k][0].endswith("="):  # the token itself, without what stands before
+            assert sum(want[i] in got[i] for i in range(k, 350, len(glue))) >= 45, glue[k]
+    assert not any(kind == "random" for i, _ in rows[350:] for kind, *_ in got[i])
+    for found in got.values():
+        assert all(a[2] <= b[1] for a, b in zip(found, found[1:]) if "random" in (a[0], b[0]))
