@@ -59,9 +59,15 @@ _ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _AT_RULE = re.compile(r"/\*.*?\*/|@[^{};]*(?:;|\{(?:[^{}]*\{[^{}]*\})*[^{}]*\})", re.S)
 _RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_SIMPLE = re.compile(r"^([a-z][a-z0-9]*)?([.#][\w-]+)?$", re.I)
-_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
-_VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
+_COMMENT = re.compile(r"/\*.*?\*/", re.S)
+#: Media blocks that may hold on a screen.
+_SHOWING_BLOCK = re.compile(r"@(?:media(?!\s+(?:only\s+)?print\b)|supports|layer|container)[^{;]*\{", re.I)
+#: Tag, names and the conditions that are not looked at of an element's own selector.
+_COMPOUND = re.compile(r"^([a-z][\w-]*|\*)?((?:[.#][\w-]+)*)((?:\[\]|:[\w-]+(?:\([^()]*\))?|[.#][\w-]+)*)$", re.I)
+#: States that a page is not in when it is opened, and parts that are no elements.
+_UNSEEN = re.compile(r"::|:(?:hover|focus|active|target|before|after|first-line|first-letter)", re.I)
+_RELEVANT = re.compile(r"display|visibility", re.I)
+_DECLARED = re.compile(r"(?<![\w-])(display|visibility)\s*:\s*([a-z-]+)[^;!]*(!\s*important)?", re.I)
 _ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW}
 
 
@@ -176,46 +182,77 @@ def _end(stack: list[Node], tag: str) -> None:
 
 
 class Sheet:
-    """Simple selectors (tag, .class, #id, tag.class) that hide or show."""
+    """Rules that hide or show, by the last part of their selector, with importance, specificity and order.
+
+    Rules for a tag, its classes and ids apply as in browsers.  Of those whose selector also asks for
+    other elements, attributes or states, or that stand in a media block, only the ones that show
+    are taken, as if the rest held: no text is lost to a rule that may be overridden.
+    """
 
     def __init__(self, styles: list[str]):
-        self.rules: dict[tuple[str, str], str] = {}
+        self.rules: dict[str, list[tuple]] = {}
+        count = 0
         for text in styles:
-            if "none" not in text and "hidden" not in text:
+            if not _RELEVANT.search(text):
                 continue
-            for selectors, body in _RULE.findall(_AT_RULE.sub(" ", text)):
-                effect = _effect(body)
-                for selector in selectors.split(",") if effect else ():
-                    simple = _SIMPLE.match(selector.strip())
-                    if simple and (simple[1] or simple[2]):
-                        self.rules[((simple[1] or "").lower(), simple[2] or "")] = effect
+            blocks = [b for b in _AT_RULE.findall(_COMMENT.sub(" ", text)) if _SHOWING_BLOCK.match(b)]
+            rules = [(*x, True) for x in _RULE.findall(_AT_RULE.sub(" ", text))]
+            rules += [(*x, False) for b in blocks for x in _RULE.findall(b.partition("{")[2])]
+            for selectors, body, sure in rules:
+                effects = _effects(body)
+                for selector in selectors.split(",") if effects else ():
+                    count += 1
+                    self._add(selector.strip(), effects, sure, count)
+
+    def _add(self, selector: str, effects: dict[str, tuple[bool, str]], sure: bool, place: int) -> None:
+        parts = re.split(r"\s*[\s>+~]\s*", re.sub(r"\[[^\]]*\]", "[]", selector))
+        last = _COMPOUND.match(parts[-1])
+        if not last or not parts[-1] or _UNSEEN.search(selector):
+            return
+        if len(parts) > 1 or last[3]:
+            sure = False
+        if not sure:
+            effects = {k: x for k, x in effects.items() if x[1] in ("shown", "visible")}
+        tag, names = (last[1] or "*").lower(), frozenset(re.findall(r"[.#][\w-]+", last[2]))
+        weight = (selector.count("#"), len(re.findall(r"[.:\[]", selector)), len(re.findall(r"(?:^|[\s>+~])[a-z]", selector, re.I)))
+        if effects:
+            self.rules.setdefault(min(names, default=tag), []).append((tag, names, effects, weight, place))
 
     def effect(self, node: Node) -> str | None:
         """``none``, ``hidden``, ``visible`` or no effect."""
         attrs = node.attrs
         if not attrs and not self.rules:
             return None
+        best: dict[str, tuple] = {}
         if "hidden" in attrs and attrs["hidden"].lower() != "until-found":
+            best["display"] = (False, -1, (), 0, "none")
+        names = {f".{c}" for c in attrs.get("class", "").split()} | ({f"#{attrs['id']}"} if attrs.get("id") else set())
+        for name in (*names, node.tag, "*") if self.rules else ():
+            for tag, wanted, effects, weight, place in self.rules.get(name, ()):
+                if tag in ("*", node.tag) and wanted <= names:
+                    for kind, (important, value) in effects.items():
+                        best[kind] = max(best.get(kind, (False, -2)), (important, 0, weight, place, value))
+        for kind, (important, value) in _effects(attrs["style"]).items() if "style" in attrs else ():
+            best[kind] = max(best.get(kind, (False, -2)), (important, 1, (), 0, value))
+        if "display" in best and best["display"][-1] == "none":
             return "none"
-        own = _effect(attrs["style"]) if "style" in attrs else None
-        if own or not self.rules:
-            return own
-        names = [f".{c}" for c in attrs.get("class", "").split()] + ([f"#{attrs['id']}"] if attrs.get("id") else []) + [""]
-        found = None
-        for name in names:
-            for tag in (node.tag, ""):
-                effect = self.rules.get((tag, name)) if tag or name else None
-                if effect == "none":
-                    return effect
-                found = found or effect
-        return found
-
-
-def _effect(css: str) -> str | None:
-    if _NO_DISPLAY.search(css):
-        return "none"
-    shown = _VISIBILITY.search(css)
-    return None if shown is None else "visible" if shown[1].lower() == "visible" else "hidden"
+        return best["visibility"][-1] if "visibility" in best else None
+
+
+def _effects(css: str) -> dict[str, tuple[bool, str]]:
+    """{display: (important, none or shown), visibility: (important, hidden or visible)} of declarations."""
+    out: dict[str, tuple[bool, str]] = {}
+    for kind, value, important in _DECLARED.findall(css):
+        kind, value = kind.lower(), value.lower()
+        if kind == "display":
+            value = "none" if value == "none" else "shown"
+        elif value in ("hidden", "collapse", "visible"):
+            value = "visible" if value == "visible" else "hidden"
+        else:
+            continue
+        if kind not in out or bool(important) >= out[kind][0]:
+            out[kind] = (bool(important), value)
+    return out
 
 
 # -- rendering ----------------------------------------------------------------------------------------

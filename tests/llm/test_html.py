@@ -43,3 +43,23 @@ def test_pages(spark):
     assert got.columns == ["page_id", "html", "text"]
     assert sorted((r.page_id, r.text) for r in got.collect() if r.text is not None) == [(2, ""), (2, "a"), (3, "x")]
     assert extract_pages(got.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<style>.tab{display:none} .tab.active{display:block}</style><p class=tab>x<p class='tab active'>y", "y"),
+        ("<style>.a{display:none} .a{display:block}</style><p class=a>y", "y"),
+        ("<style>.a{display:block} .a{display:none}</style><p class=a>x<p>y", "y"),
+        ("<style>.a{display:none}</style><p class=a style='display:block'>y", "y"),
+        ("<style>.a{display:none!important}</style><p class=a style='display:block'>x<p>y", "y"),
+        ("<style>#i{display:none} .a{display:block}</style><p class=a id=i>x<p>y", "y"),
+        ("<style>.b{display:none} #a .b{display:block}</style><div id=a><p class=b>y</div>", "y"),
+        ("<style>.a{display:none}</style><style>@media (min-width:9px){.a{display:flex}}</style><p class=a>y", "y"),
+        ("<style>.a{display:none} @media print{.a{display:block}} .a:hover{display:block}</style><p class=a>x<p>y", "y"),
+        ("<style>.a{visibility:hidden} p.a{visibility:visible}</style><p class=a>y", "y"),
+        ("<style>div .a{display:none}</style><p class=a>y", "y"),
+    ],
+)
+def test_rules_that_show_again(page, want):
+    assert extract(page) == want
