@@ -183,7 +183,7 @@ class LineIndex:
     def build(cls, docs: DataFrame, min_docs: int = MIN_DOCS, min_points: int = MIN_POINTS, text: str = "text") -> LineIndex:
         """Index of all ``docs``; the number of shards follows the number of keys.
 
-        Each row is a document: rows that share a doc_id count one by one.
+        Rows that share a doc_id are one document; a null doc_id counts for none, as in SQL.
         """
         refs = stored(references(docs, text, min_points=min_points))
         counts = stored(_count(refs))
@@ -196,7 +196,9 @@ class LineIndex:
     def insert(self, docs: DataFrame, text: str = "text") -> LineIndex:
         """The index with these documents added."""
         new = stored(references(docs, text, min_points=self.min_points))
-        delta = _count(new).select("k1", "k2", F.col("n_docs").alias("_n"), F.col("max_doc").alias("_max"))
+        known = self.refs.join(new.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi")
+        added = new.join(known, ["k1", "k2", "doc_id"], "left_anti")
+        delta = _count(added).select("k1", "k2", F.col("n_docs").alias("_n"), F.col("max_doc").alias("_max"))
         merged = self.counts.join(delta, ["k1", "k2"], "full_outer").select(
             "k1",
             "k2",
@@ -274,7 +276,7 @@ class LineIndex:
 
 
 def _count(refs: DataFrame) -> DataFrame:
-    return refs.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("max_doc"))
+    return refs.groupBy("k1", "k2").agg(F.count_distinct("doc_id").alias("n_docs"), F.max("doc_id").alias("max_doc"))
 
 
 def _key_arrays(rows: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:

@@ -73,3 +73,15 @@ def test_edge_cases(edge):
     left = sorted((r.doc_id for r in out.collect()), key=str)
     assert left == sorted([1, 2, 3, 4, 7, 7, 8, 9, 10, 11, 12], key=str)
     assert lines.cleaned(edge.limit(0), lines.LineIndex.build(edge.limit(0))).count() == 0
+
+
+def test_a_repeated_row_is_one_document(spark):
+    """Two copies of a row beside one other document: two documents hold the line, as the SQL counts."""
+    line = "a line that stands in several documents"
+    rows = spark.createDataFrame([(1, line), (1, line), (2, line)], "doc_id long, text string")
+    assert [r.n_dropped for r in lines.cleaned(rows, lines.LineIndex.build(rows)).collect()] == [0, 0, 0]
+    again = lines.LineIndex.build(rows).insert(rows.filter("doc_id = 1"))
+    assert again.counts.first().n_docs == 2 and again.repeated().count() == 0
+    third = again.insert(spark.createDataFrame([(3, line)], "doc_id long, text string"))
+    assert third.counts.first().n_docs == 3
+    assert third.delete(spark.createDataFrame([(1,)], "id long")).counts.first().n_docs == 2
