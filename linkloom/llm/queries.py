@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from linkloom.llm import covertree, html, langid, lines, minhash, mixing, packing, secrets, sharding, topk
+from linkloom.llm import covertree, dialogs, html, langid, lines, minhash, mixing, packing, secrets, sharding, substrings, topk, variants
 
 QUERIES = {
     "op1_language_id": langid.query,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_best_fit_packing": packing.query,
     "op9_extendible_sharding": sharding.query,
     "op10_line_dedup": lines.query,
+    "op11_substring_dedup": substrings.query,
+    "op12_spelling_variants": variants.query,
+    "op13_dialog_repair": dialogs.query,
 }
 
 ORACLES = {
@@ -23,4 +26,5 @@ ORACLES = {
     "op7_maxscore_topk": topk.SQL,
     "op9_extendible_sharding": sharding.SQL,
     "op10_line_dedup": lines.SQL,
+    "op11_substring_dedup": substrings.SQL,
 }

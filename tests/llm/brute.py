@@ -1,7 +1,9 @@
 """Plain versions of the operators, for small tables."""
 
 import hashlib
+import heapq
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -46,14 +48,14 @@ class Ties:
         self.parent[max(x, y)] = min(x, y)
 
 
-def near_duplicates(rows):
+def near_duplicates(rows, percent=85):
     """{doc_id: (n_shingles, component)} by comparing all pairs that share a shingle."""
     sets = {i: shingle_set(t) for i, t in rows}
     ties, holders = Ties(), defaultdict(list)
     for i, items in sets.items():
         shared = Counter(j for x in items for j in holders[x])
         for j, both in shared.items():
-            if 100 * both >= 85 * (len(items) + len(sets[j]) - both):
+            if 100 * both >= percent * (len(items) + len(sets[j]) - both):
                 ties.tie(i, j)
         for x in items:
             holders[x].append(i)
@@ -126,3 +128,113 @@ def targets(sizes, weights, share, most):
 
 def sha256(text):
     return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def parsed_windows(rows, window=20):
+    """{doc_id: (n_words, kept words)}; a window goes if it also starts earlier; doc_ids are unique."""
+    words = {i: WORD.findall(t or "") for i, t in rows}
+    first, gone = {}, defaultdict(set)
+    for i in sorted(words, key=lambda i: (i is not None, i)):
+        for s in range(len(words[i]) - window + 1):
+            if first.setdefault(tuple(words[i][s : s + window]), (i, s)) != (i, s):
+                gone[i].update(range(s, s + window))
+    return {i: (len(w), [x for k, x in enumerate(w) if k not in gone[i]]) for i, w in words.items()}
+
+
+def slipped_words(rows, slip):
+    out = []
+    for i, text in rows:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", text or ""):
+            run = ascii_lower(run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if slip and h % slip == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            out.append(run)
+    return out
+
+
+def variants(words, least_points=5, least_count=3, factor=2):
+    """{word: (form, root, n, n_near, form_n)} from all words one edit away, made by deleting letters."""
+    n = {w: k for w, k in Counter(words).items() if len(w) >= least_points and k >= least_count}
+    holes = defaultdict(set)
+    for w in n:
+        for k in range(len(w)):
+            holes[w[:k] + "\0" + w[k + 1 :]].add(w)  # replaced
+    near = defaultdict(set)
+    for group in holes.values():
+        for w in group:
+            near[w] |= group - {w}
+    for w in n:
+        for k in range(len(w)):
+            if (less := w[:k] + w[k + 1 :]) in n:
+                near[w].add(less)
+                near[less].add(w)
+    form = {}
+    for w in n:
+        best = min(near[w], key=lambda v: (-n[v], v), default=None)
+        form[w] = best if best is not None and n[best] >= factor * n[w] else None
+
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+
+    return {w: (form[w], root(w), n[w], len(near[w]), n.get(form[w])) for w in n}
+
+
+def damage(rows):
+    """Rows (conv_id, turn, role, text) with what the contract of op13 does to them."""
+    out = []
+    for row in rows:
+        conv, turn, role, text = row
+        conv_key, turn_key, role, text = (" " if x is None else x for x in row)
+        harm = zlib.crc32(f"{conv_key}:{turn_key}".encode()) % 20
+        text = "" if harm == 1 else re.sub("[.!?]", "", text) if harm == 2 else text
+        out += [(conv, turn, "user" if harm == 4 else role, text)] * {0: 0, 3: 2}.get(harm, 1)
+    return out
+
+
+def repair(rows):
+    """(gaps, blank, duplicate, truncated, illegal, cost, audit, text) of one conversation's rows, by trying all paths in order of cost."""
+    rows = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2], hashlib.md5(r[3].encode()).digest()))
+    turns = [r[1] for r in rows if r[1] is not None]
+    faults, seen = [], set()
+    for _, _, role, text in rows:
+        body = text.strip(" \t\n\x0b\x0c\r")
+        faults.append("blank" if not body else "duplicate" if (role, text) in seen else "truncated" if body[-1] not in ".!?" else "")
+        seen.add((role, text))
+    initials = [r[2][:1] for r in rows]
+    legal = re.compile(r"(s?(ua)+)?")
+    start = re.compile(r"s?(ua)*u?")
+    heap, done = [(0, "", 0, "", ())], set()
+    while True:
+        cost, audit, i, roles, lines = heapq.heappop(heap)
+        if i == len(rows) and legal.fullmatch(roles):
+            break
+        if (i, key := (roles[-1:])) in done:
+            continue
+        done.add((i, key))
+
+        def push(edit, price, step, role, text):
+            grown = roles + role[:1]
+            if start.fullmatch(grown):
+                heapq.heappush(heap, (cost + price, audit + edit, i + step, grown, lines + (f"{role}:{text}",)))
+
+        for role in ("user", "assistant"):
+            push("I", 3, 0, role, "")
+        if i < len(rows):
+            heapq.heappush(heap, (cost + 4, audit + "D", i + 1, roles, lines))
+            if faults[i] not in ("blank", "duplicate"):
+                more = 3 * (faults[i] == "truncated")
+                if initials[i] in ("s", "u", "a"):
+                    push("K", more, 1, rows[i][2], rows[i][3])
+                for role in ("user", "assistant"):
+                    push("R", 3 + more, 1, role, rows[i][3])
+    return (
+        max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0,
+        *(faults.count(f) for f in ("blank", "duplicate", "truncated")),
+        sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:])),
+        cost,
+        audit,
+        "\n".join(lines),
+    )

@@ -15,9 +15,10 @@ def test_stages_follow_their_plain_versions(spark, docs, doc_rows):
     stages = dict(corpus_pipeline.STAGES)
     assert list(stages) == ["language_id", "line_dedup", "near_dedup", "source_mix", "packing"]
     known = stages["language_id"](spark, docs, SF).cache()
-    model = langid.train(docs.filter(~langid.is_held_out(F.col("doc_id"))))
-    names, scores = langid.classify([t for _, t in doc_rows], model)
-    assert {r.doc_id for r in known.collect()} == {i for (i, _), n, s in zip(doc_rows, names, scores) if n != "und" and s > 0}
+    model = langid.train(docs.filter(~langid.is_held_out(F.col("doc_id"))), dim=langid.REJECT_DIM)
+    names, scores, worth = langid._classify([t for _, t in doc_rows], model)
+    least = langid.bounds(names, worth, model)
+    assert {r.doc_id for r in known.collect()} == {i for (i, _), n, s, x in zip(doc_rows, names, scores, least) if n != "und" and s > x}
 
     lined = stages["line_dedup"](spark, known, SF).cache()
     clean = brute.clean_lines([(r.doc_id, r.text) for r in known.collect()])
@@ -26,7 +27,7 @@ def test_stages_follow_their_plain_versions(spark, docs, doc_rows):
     assert all(r.n_chars == len(r.text) for r in lined.collect() if clean[r.doc_id][1])
 
     single = stages["near_dedup"](spark, lined, SF).cache()
-    groups = brute.near_duplicates(list(want.items()))
+    groups = brute.near_duplicates(list(want.items()), corpus_pipeline.NEAR_PERCENT)
     assert sorted(r.doc_id for r in single.collect()) == sorted(i for i, (_, c) in groups.items() if i == c)
 
     mixed = stages["source_mix"](spark, single, SF).cache()

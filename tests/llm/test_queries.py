@@ -20,7 +20,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name.split("_")[0][2:]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name.split("_")[0][2:]) for name in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
     assert corpus_pipeline.ORACLE_SQL is None
 
