@@ -173,7 +173,8 @@ def copied_windows(docs: DataFrame, window: int = WINDOW, text: str = "text") ->
         raise ValueError(f"window must be {GRAM} words or more")
     texts = _named(docs, text)
     phrases = stored(texts.mapInArrow(lambda batches: _scan(batches, window), "d long, at long, n int, h long, c long"))
-    anchors = phrases.groupBy("h").count().filter("count > 1").select("h")
+    # stored, so that the join does not run in the partitions of the count and Spark can split a hot anchor
+    anchors = stored(phrases.groupBy("h").count().filter("count > 1").select("h"))
     met = stored(phrases.join(anchors, "h", "left_semi"))
     discard(phrases)
 
@@ -183,7 +184,7 @@ def copied_windows(docs: DataFrame, window: int = WINDOW, text: str = "text") ->
     whole = _copies(met, index.filter("times > 1"), ["h", "c"], F.col("n"))
 
     # boundaries: phrases that only agree in part with others of their block, window by window
-    partly = index.groupBy("h").count().filter("count > 1").select("h")
+    partly = stored(index.groupBy("h").count().filter("count > 1").select("h"))
     bounds = index.join(partly, "h", "left_semi").select("first.d", "first.at", "h", "n")
     low = F.col("at").bitwiseAND(F.lit((1 << _TEXT_BITS) - 1))
     bounds = bounds.select("d", low.alias("t"), F.struct(_start(F.col("at")).alias("start"), "n", "h").alias("phrase"))
