@@ -12,7 +12,8 @@ from linkloom.corpus import Corpus
 from linkloom.functions.identifiers import ROR_URL, external_id_search_key, normalize_external_id
 from linkloom.functions.titles import name_key
 from linkloom.operators.joins import broadcastable, lookup_join
-from linkloom.operators.similarity import MIN_SCORE, best_matches, frequent_tokens, similar_names, token_set
+from linkloom.operators.similarity import frequent_tokens, token_set
+from linkloom.operators.topk_names import top_matches
 from linkloom.operators.updates import clear_invalid_ids, ensure_columns
 
 MATCH_COLUMNS = ("Name", "ID", "Score", "Chosen")
@@ -132,12 +133,12 @@ def unresolved_orgs(affiliations: DataFrame, funders: DataFrame) -> DataFrame:
 
 
 def candidate_matches(
-    orgs: DataFrame, registry: DataFrame, min_score: float = MIN_SCORE, top: int = 3
+    orgs: DataFrame, registry: DataFrame, min_score: float = 0.0, top: int = 3
 ) -> DataFrame:
-    """The ``top`` best registry names ``(set_key, rank, name, ror_id, score)`` per distinct name of ``orgs``.
+    """The ``top`` best registry entries ``(set_key, rank, name, ror_id, score)`` per distinct name of ``orgs``.
 
-    Matches that score less than ``min_score`` (0.2 at least) are not listed: pass a lower one to
-    see them.  Copies of a name are collapsed first, so a name borne by a third of all rows is
+    All that share a word with the name count, however low they score; ``min_score`` leaves out
+    those below it.  Copies of a name are collapsed first, so a name borne by a third of all rows is
     matched once.
     """
     sets = orgs.select(token_set(F.col("title")).alias("tokens")).filter("size(tokens) > 0").distinct()
@@ -145,11 +146,11 @@ def candidate_matches(
     names = registry_names(registry).select("ror_id", "name", token_set(F.col("label")).alias("tokens"))
     names = names.filter("size(tokens) > 0").distinct()
     frequent = frequent_tokens(sets.select("tokens").unionByName(names.select("tokens")))
-    return best_matches(similar_names(sets, names, min_score, frequent), top)
+    return top_matches(sets, names, top, frequent, min_score)
 
 
-def candidate_report(orgs: DataFrame, registry: DataFrame, min_score: float = MIN_SCORE, top: int = 3) -> DataFrame:
-    """One row per organisation: its name and up to ``top`` matches of ``min_score`` or more, best first.
+def candidate_report(orgs: DataFrame, registry: DataFrame, min_score: float = 0.0, top: int = 3) -> DataFrame:
+    """One row per organisation: its name and its ``top`` best matches, whatever they score, best first.
 
     A match is chosen when it is the only one with a full score.
     """

@@ -5,6 +5,7 @@ import random
 import pytest
 
 from linkloom.operators.similarity import frequent_tokens, similar_names
+from linkloom.operators.topk_names import posting_prefixes, top_matches
 from linkloom.plans.reconcile import candidate_report
 
 WORDS = [f"w{i}" for i in range(30)]
@@ -80,4 +81,66 @@ def test_report_marks_only_single_full_matches(spark):
     assert (out["1"]["Match 1 ID"], out["1"]["Match 1 Chosen"]) == ("r1", True)
     assert (out["5"]["Match 1 ID"], out["5"]["Match 1 Chosen"]) == ("r1", True)
     assert (out["2"]["Match 1 Chosen"], out["2"]["Match 2 Chosen"]) == (False, False)
-    assert out["3"]["Match 1 ID"] is None and out["4"]["Match 1 ID"] is None
+    assert out["3"]["Match 1 ID"] == "r4" and out["3"]["Match 1 Score"] == 1 / 7  # it shares one word
+    assert out["1"]["Match 2 ID"] == "r4" and out["4"]["Match 1 ID"] is None
+
+
+def _best(left, right, top, min_score=0.0):
+    """{set_key: [(score, name, ror_id)]} of all pairs that share a token."""
+    out = {}
+    for x in left:
+        scores = {}
+        for ror_id, name, y in right:
+            shared = len(set(x) & set(y))
+            score = shared / (len(x) + len(y) - shared)
+            if score > 0 and score >= min_score:
+                scores[ror_id, name] = max(score, scores.get((ror_id, name), 0))
+        best = sorted((-s, name, ror_id) for (ror_id, name), s in scores.items())[:top]
+        if best:
+            out[" ".join(x)] = [(-s, name, ror_id) for s, name, ror_id in best]
+    return out
+
+
+def _top(spark, left, right, top, frequent=10, **options):
+    a = spark.createDataFrame([(" ".join(s), s) for s in left], "set_key string, tokens array<string>")
+    b = spark.createDataFrame(right, "ror_id string, name string, tokens array<string>")
+    tokens = frequent_tokens(a.select("tokens").unionByName(b.select("tokens")), frequent) if frequent else []
+    out = {}
+    for r in sorted(top_matches(a, b, top, tokens, **options).collect(), key=lambda r: r["rank"]):
+        out.setdefault(r["set_key"], []).append((r["score"], r["name"], r["ror_id"]))
+    return out
+
+
+@pytest.mark.parametrize("top, longest", [(1, 5), (3, 8), (3, 14), (5, 25)])
+def test_best_of_any_score_equal_brute_force(spark, top, longest):
+    """Names of few common words, with several aliases an entry; many score below 0.2."""
+    rng = random.Random(top * longest)
+    left = random_sets(rng, 60, longest) + [[f"rare{i}", *rng.sample(WORDS, rng.randint(1, longest - 1))] for i in range(60)]
+    left = [sorted(s) for s in left]
+    right = [(f"r{i % 130}", f"name {i % 130 % 40}", s) for i, s in enumerate(random_sets(rng, 260, longest + 6))]
+    want = _best(left, right, top)
+    assert min(s for best in want.values() for s, _, _ in best) < 0.2
+    assert _top(spark, left, right, top) == want
+    assert _top(spark, left, right, top, frequent=0, min_score=0.3) == _best(left, right, top, 0.3)
+
+
+def test_best_of_names_far_below_the_old_threshold(spark):
+    """One shared word of thirty, entries that tie, and more aliases than are asked for."""
+    words = [f"u{i}" for i in range(40)]
+    left = [["of", *words[:29]], ["of"], ["none"]]
+    right = [(f"r{i:02}", f"n{i // 2:02}", sorted({"of", *[f"x{i}-{k}" for k in range(i)]})) for i in range(20)]
+    right += [("r19", "n09", ["of", *[f"y{k}" for k in range(5)]]), ("r30", "z", words[10:14] + ["q"])]
+    left, right = [sorted(s) for s in left], [(a, b, sorted(c)) for a, b, c in right]
+    got = _top(spark, left, right, 3)
+    assert got == _best(left, right, 3) and " ".join(left[2]) not in got
+
+
+def test_a_frequent_word_does_not_multiply_pairs(spark):
+    """A word that all names and entries share costs the posting prefixes a few rows a name."""
+    from pyspark.sql import functions as F
+
+    left = spark.range(400).select(F.concat(F.lit("university k"), "id").alias("set_key"), F.array(F.lit("university"), F.concat(F.lit("k"), "id")).alias("tokens"))
+    right = spark.range(600).select(F.col("id").cast("string").alias("ror_id"), F.lit("u").alias("name"), F.array(F.concat(F.lit("l"), "id"), F.lit("university")).alias("tokens"))
+    pairs = posting_prefixes(left.withColumn("id", F.xxhash64("set_key")), right.withColumn("id", F.xxhash64("ror_id")), 3)
+    assert pairs.count() == 400 * 3
+    assert top_matches(left, right, 3, []).count() == 400 * 3
