@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from linkloom import rules
 from linkloom.functions.identifiers import doi_key
+from linkloom.functions.papers import once
 from linkloom.operators.joins import lookup_join
+from linkloom.session import stored
 
 
 def citation_links(events: DataFrame, relations: Sequence[str] = tuple(rules.CITATION_RELATIONS)) -> DataFrame:
@@ -48,29 +50,88 @@ def same_citations(reported: Column, events: Column) -> Column:
 
 def _line(article: str, cited: str) -> Column:
     """Digest of a report line."""
-    return F.sha2(F.concat_ws("\u001f", article, cited), 256)
+    return F.unhex(F.md5(F.concat_ws("\u001f", article, cited).cast("binary")))
+
+
+#: Length of the pieces of entries by which contained entries are found.
+GRAM = 5
+
+
+def _grams(text: Column, length: Column) -> Column:
+    """All pieces of a text that have the given length, each once."""
+    starts = F.sequence(F.lit(1), F.length(text) - length + 1)
+    return F.when(F.length(text) >= length, F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, length))))
+
+
+def _faced(left: str, right: str) -> Column:
+    """``(differ, ends)``: whether an entry is too long to lie in any other, else what is left to search, by side."""
+
+    # what is used for every entry is bound by once(), since Spark would work it out for every entry
+    def side(number: int, mine: str, other: str) -> Column:
+        def with_rest(rest: Column) -> Column:
+            return once(F.array_min(F.transform(rest, lambda e: F.length(e))), lambda shortest: with_shortest(rest, shortest))
+
+        def with_shortest(rest: Column, shortest: Column) -> Column:
+            longer = F.filter(other, lambda o: F.length(o) > shortest)
+            return once(longer, lambda others: with_others(rest, shortest, others))
+
+        def with_others(rest: Column, shortest: Column, others: Column) -> Column:
+            longest = F.coalesce(F.array_max(F.transform(others, lambda o: F.length(o))), F.lit(0))
+            differ = once(longest, lambda most: F.exists(rest, lambda e: F.coalesce(F.length(e) >= most, F.lit(True))))
+            names = {"side": F.lit(number), "rest": rest, "others": others, "has_short": shortest < GRAM, "differ": differ}
+            return F.struct(*[value.alias(name) for name, value in names.items()])
+
+        return once(F.array_except(mine, other), with_rest)
+
+    def outcome(ends: Column) -> Column:
+        differ = F.exists(ends, lambda e: e["differ"])
+        return F.struct(differ.alias("differ"), F.when(~differ, F.filter(ends, lambda e: F.size(e["rest"]) > 0)).alias("ends"))
+
+    return once(F.array(side(0, left, right), side(1, right, left)), outcome)
 
 
 def unmatched_lines(lists: DataFrame) -> DataFrame:
-    """``line`` of the rows ``(line, left, right)`` where an entry lies in no entry of the other list.
+    """``line`` of the rows ``(line, left, right)`` where an entry lies in no entry of the other list."""
+    faced = lists.select("line", _faced("left", "right").alias("faced"))
+    known = faced.filter("faced.differ").select("line")
+    return known.unionByName(_search(faced.filter("size(faced.ends) > 0").select("line", "faced.ends"))).distinct()
+
+
+def _search(faced: DataFrame) -> DataFrame:
+    """``line`` of ``(line, ends)`` where an entry of a side lies in none of the others of that side.
 
-    Entries that both lists have need no search.  The others are rows of their own and meet the
-    longer entries of the other list there, so a long list is compared by many tasks.
+    Entries that both lists have need no search.  The others of a list are indexed by their pieces
+    of ``GRAM`` characters; an entry is looked up by that of its own pieces which the fewest entries of the
+    other list hold, and only those are read whole.  Every piece is a key of its own, so a list of
+    any length is compared by all tasks.  Shorter entries are a piece themselves, for which lists that face
+    such entries are indexed as well.
     """
-    ends = F.array(
-        F.struct(F.lit(0).alias("side"), F.array_except("left", "right").alias("rest"), F.col("right").alias("others")),
-        F.struct(F.lit(1).alias("side"), F.array_except("right", "left").alias("rest"), F.col("left").alias("others")),
-    )
-    sides = lists.select("line", F.explode(ends).alias("end")).select("line", "end.*").filter(F.size("rest") > 0)
-    rest = sides.select(F.col("line").alias("_line"), F.col("side").alias("_side"), F.explode("rest").alias("one"))
-    others = sides.select("line", "side", F.explode("others").alias("other"))
+    sides = stored(faced.select("line", F.explode("ends").alias("end")).select("line", "end.*"))
+
+    def key(piece: str) -> Column:
+        return F.xxhash64("line", "side", piece).alias("key")
+
+    others = sides.select("line", "side", F.explode("others").alias("other"), "has_short")
+    lengths = F.when(F.col("has_short"), F.sequence(F.lit(0), F.lit(GRAM))).otherwise(F.array(F.lit(GRAM)))
+    pieces = F.explode(F.flatten(F.filter(F.transform(lengths, lambda n: _grams(F.col("other"), n)), lambda g: g.isNotNull())))
+    index = others.select("line", "side", "other", pieces.alias("piece")).select("line", "other", key("piece"))
+    holders = index.groupBy("key").agg(F.count(F.lit(1)).alias("holders"))
+
+    ones = sides.select("line", "side", F.explode("rest").alias("one"))
+    own = F.when(F.length("one") < GRAM, F.array("one")).otherwise(_grams(F.col("one"), F.lit(GRAM)))
+    looked_up = ones.select("line", "side", "one", F.explode_outer(own).alias("piece")).select("line", "side", "one", key("piece"))
+    looked_up = looked_up.join(holders, "key", "left")
+    rarest = F.min(F.struct(F.coalesce("holders", F.lit(0)).alias("holders"), "key")).alias("rarest")
+    looked_up = looked_up.groupBy("line", "side", "one").agg(rarest).select("line", "one", F.col("rarest.key").alias("key"))
+
+    entries = index.select(F.col("line").alias("_line"), F.col("key").alias("_key"), "other")
     within = (
-        (rest["_line"] == others["line"])
-        & (rest["_side"] == others["side"])
+        (F.col("key") == F.col("_key"))
+        & (F.col("line") == F.col("_line"))
         & (F.length("other") > F.length("one"))
         & F.contains(F.col("other"), F.col("one"))
     )
-    return rest.join(others, within, "left_anti").select(F.col("_line").alias("line")).distinct()
+    return looked_up.join(entries, within, "left_anti").select("line")
 
 
 def compare_citations(report: DataFrame, events: DataFrame) -> DataFrame:
@@ -93,13 +154,11 @@ def compare_citations(report: DataFrame, events: DataFrame) -> DataFrame:
     joined = joined.withColumn("line", _line("article_doi", "cited"))
     reported, recorded = F.col("cited"), F.col("recorded")
     as_long = F.size(reported) == F.size(recorded)
-    lists = joined.filter(as_long).select(
-        "line",
-        F.transform(reported, lambda d: F.lower(d)).alias("left"),
-        F.transform(recorded, lambda d: doi_key(d)).alias("right"),
-    )
-    differ = unmatched_lines(lists).withColumn("_differs", F.lit(True))
-    joined = joined.join(differ, "line", "left")
+    joined = joined.withColumn("left", F.transform(reported, lambda d: F.lower(d)))
+    joined = joined.withColumn("right", F.transform(recorded, lambda d: doi_key(d)))
+    joined = joined.withColumn("faced", F.when(as_long, _faced("left", "right")))
+    differ = _search(joined.filter("size(faced.ends) > 0").select("line", "faced.ends"))
+    joined = joined.join(differ.distinct().withColumn("_differs", F.lit(True)), "line", "left")
     reported_keys = F.transform(reported, lambda d: doi_key(d))
     recorded_keys = F.transform(recorded, lambda d: doi_key(d))
     return joined.select(
@@ -108,7 +167,7 @@ def compare_citations(report: DataFrame, events: DataFrame) -> DataFrame:
         F.size(reported).alias("reported_count"),
         F.array_join(recorded, ",").alias("events"),
         F.size(recorded).alias("events_count"),
-        (as_long & F.col("_differs").isNull()).alias("same"),
+        (as_long & ~F.coalesce("faced.differ", F.lit(False)) & F.col("_differs").isNull()).alias("same"),
         (F.size(reported) - F.size(recorded)).alias("count_difference"),
         F.array_join(F.array_except(reported_keys, recorded_keys), ",").alias("only_reported"),
         F.array_join(F.array_except(recorded_keys, reported_keys), ",").alias("only_events"),

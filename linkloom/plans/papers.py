@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linkloom.functions.papers import journal_name, or_empty, publication_date
+from linkloom.functions.papers import journal_name, once, or_empty, publication_date
 from linkloom.operators.dedup import pick_by_key
 from linkloom.operators.joins import drop_keys, lookup_join
 from linkloom.schemas import PAPER_RECORD
@@ -22,15 +22,22 @@ def parse_papers(lines: DataFrame, compat: bool = False) -> tuple[DataFrame, Dat
     """
     schema = T.StructType([*PAPER_RECORD.fields, T.StructField("_bad", T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
-    parsed = lines.withColumn("r", F.from_json("value", schema, options))
-    is_bad = F.col("r").isNull() | F.col("r._bad").isNotNull() | ~F.ltrim("value").startswith("{")
-    bad = parsed.filter(is_bad).drop("r")
-    papers = parsed.filter(~is_bad).select(
-        F.col("r.DOI").alias("doi"),
-        journal_name(F.col("r.container-title")).alias("journal"),
-        or_empty(F.col("r.publisher")).alias("publisher"),
-        publication_date(F.col("r.published"), compat).alias("published_date"),
-    )
+
+    def fields(r: Column) -> Column:
+        is_bad = r.isNull() | r["_bad"].isNotNull() | ~F.ltrim("value").startswith("{")
+        return F.struct(
+            is_bad.alias("bad"),
+            r["DOI"].alias("doi"),
+            journal_name(r["container-title"]).alias("journal"),
+            or_empty(r["publisher"]).alias("publisher"),
+            publication_date(r["published"], compat).alias("published_date"),
+        )
+
+    # made by a generator, since Spark would parse again for a filter that it pushes through a projection
+    record = once(F.from_json("value", schema, options), fields)
+    parsed = lines.select("*", F.explode_outer(F.array(record)).alias("r"))
+    bad = parsed.filter("r.bad").drop("r")
+    papers = parsed.filter("not r.bad").select(*[F.col(f"r.{c}") for c in ("doi", "journal", "publisher", "published_date")])
     return papers.filter(F.col("doi") != ""), bad
 
 

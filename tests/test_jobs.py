@@ -299,3 +299,42 @@ def test_dedup_equals_brute_force(spark):
             best[row[1:3]] = (rank, row[0])
     df = spark.createDataFrame(data, "id string, k string, l string, updated int")
     assert sorted(r["id"] for r in dedup_latest(df, ["k", "l"]).collect()) == sorted(b[1] for b in best.values())
+
+
+def test_unmatched_lines_equal_the_column_form(spark):
+    """Lists of short and long entries that often lie within each other, ties and nulls included."""
+    import random
+
+    rng = random.Random(4)
+
+    def entry():
+        return None if rng.random() < 0.02 else "".join(rng.choice("ab1.") for _ in range(rng.choice((1, 3, 4, 5, 6, 9, 14))))
+
+    lists = []
+    for i in range(300):
+        left = [entry() for _ in range(rng.randint(0, 6))]
+        right = [x if x is None or rng.random() < 0.3 else rng.choice(("", "a")) + x + rng.choice(("", "b1")) for x in left]
+        lists.append((i, left, [entry() if rng.random() < 0.05 else x for x in right]))
+    df = spark.createDataFrame(lists, "line long, left array<string>, right array<string>")
+    want = set()
+    for i, left, right in lists:
+        for mine, other in ((left, right), (right, left)):
+            if any(x not in other and not any(x is not None and y is not None and x in y for y in other) for x in mine):
+                want.add(i)
+    assert want and len(want) < 300
+    assert {r.line for r in compare.unmatched_lines(df).collect()} == want
+
+
+def test_long_lists_are_compared_in_proportion(spark):
+    """Thirty thousand entries a side that differ from all of the other side, in one line."""
+    n = 30_000
+    lists = spark.range(n).agg(
+        F.collect_list(F.format_string("10.1029/a%07d", "id")).alias("left"),
+        F.collect_list(F.format_string("10.1029/a%07d.v2", "id")).alias("right"),
+    ).withColumn("line", F.lit(1))
+    assert compare.unmatched_lines(lists).collect()[0].line == 1  # the longer ones lie in none of the shorter
+    same = lists.select("line", "left", F.array_union(F.slice("right", 1, n - 1), F.array(F.lit("x10.1029/a0029999"))).alias("right"))
+    one_way = same.select("line", "left", F.array_union("left", "right").alias("right"))
+    assert compare.unmatched_lines(one_way.select("line", F.col("left"), F.col("left").alias("right"))).isEmpty()
+    found = compare.unmatched_lines(same).count()
+    assert found == 1

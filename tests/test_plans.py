@@ -193,3 +193,13 @@ def test_partitioned_csv_splits_only_the_hot_value(spark, conf, tmp_path):
     files = {d.name: len(list(d.glob("*.csv"))) for d in (tmp_path / "o").iterdir() if d.is_dir()}
     assert files["repo=hot"] > 1
     assert spark.read.csv(str(tmp_path / "o"), header=True).count() == 120_000
+
+
+def test_paper_lines_are_parsed_once(spark):
+    """One parse of the record, one of the title, three of the nested date, however often they are used."""
+    from linkloom.plans import papers
+
+    lines = spark.createDataFrame([('{"DOI": "10.1/a"}', "f")], "value string, file string")
+    for df in (papers.load_papers(lines), papers.parse_papers(lines)[1]):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert 1 <= plan.count("from_json") <= 5
