@@ -14,6 +14,7 @@ from linkloom.corpus import Corpus
 from linkloom.functions.identifiers import strip
 from linkloom.plans.ingest import usable_crosswalk, usable_feed
 from linkloom.plans.papers import count_bad_lines, parse_papers
+from linkloom.sources.quoted_csv import read_positional
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -69,16 +70,13 @@ def read_textmined(
     path: str,
     crosswalk_file: str = "PMID_PMCID_DOI.csv",
     exclude: Sequence[str] = tuple(rules.EXCLUDED_FEEDS),
-    multi_line: bool = True,
 ) -> DataFrame:
     """``(repo_code, accession, pmcid)`` of all feeds of a folder, except the crosswalk and ``exclude``.
 
     The code of a feed is its file name up to the first dot.  Columns go by position.  Quoted fields
-    may hold line breaks, so a file is read by one task; ``multi_line=False`` splits files among
-    tasks where it is known that none does.
+    may hold line breaks; a file is split among tasks all the same.
     """
-    feed = _positional_csv(spark, path, ["accession", "pmcid"], multi_line).withColumn("file", _file_name())
-    return feed_rows(feed, crosswalk_file, exclude)
+    return feed_rows(read_positional(spark, path, ["accession", "pmcid"]), crosswalk_file, exclude)
 
 
 def feed_rows(
@@ -92,24 +90,12 @@ def feed_rows(
     return usable_feed(feed).select("repo_code", "accession", "pmcid")
 
 
-def read_crosswalk(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_crosswalk(spark: SparkSession, path: str) -> DataFrame:
     """``(pmcid, doi)``: the second and third column, rows with both filled.
 
     An id listed more than once is settled where the table is used, by its greatest DOI.
-    ``multi_line`` as for ``read_textmined``.
     """
-    return usable_crosswalk(_positional_csv(spark, path, ["pmid", "pmcid", "doi"], multi_line))
-
-
-def _positional_csv(spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool) -> DataFrame:
-    """CSV with a header whose names do not matter; missing and further columns are tolerated."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return (
-        spark.read.schema(schema)
-        .options(header=True, enforceSchema=True, quote='"', escape='"', multiLine=multi_line, mode="PERMISSIVE")
-        .option("pathGlobFilter", "*.csv")
-        .csv(path)
-    )
+    return usable_crosswalk(read_positional(spark, path, ["pmid", "pmcid", "doi"]).drop("file"))
 
 
 def read_name_map(spark: SparkSession, path: str) -> DataFrame:
