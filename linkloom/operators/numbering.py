@@ -19,6 +19,7 @@ class Numbered:
     rows: DataFrame
     total: int
     chunks: int
+    rows_per_chunk: int = ROWS_PER_FILE
 
 
 def number_rows(
@@ -66,4 +67,4 @@ def number_rows(
         number.alias("row_number"),
         (F.floor((number - 1) / rows_per_chunk) + 1).cast("int").alias("chunk"),
     )
-    return Numbered(rows, total, -(-total // rows_per_chunk))
+    return Numbered(rows, total, -(-total // rows_per_chunk), rows_per_chunk)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.corpus import BRIDGES, Corpus
 from linkloom.operators.numbering import Numbered
+from linkloom.sinks.named_files import write_named
 
 # Quotes doubled inside quoted fields, empty fields for null and for empty text.
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "nullValue": "", "emptyValue": ""}
@@ -80,9 +81,19 @@ def write_json_laid_out(
 ) -> None:
     """The same for rows that ``one_task_per_chunk`` has placed."""
     lines = json_lines(rows, numbered, rows_per_file).select("chunk", "value")
-    lines.write.mode("overwrite").options(**ONE_FILE).partitionBy("chunk").text(path)
     if name_template:
-        name_chunk_files(rows.sparkSession, path, name_template + ".json", numbered.chunks)
+        write_named(lines.select(chunk_name(name_template + ".json", numbered), "value"), path, numbered.chunks)
+    else:
+        lines.write.mode("overwrite").options(**ONE_FILE).partitionBy("chunk").text(path)
+
+
+def chunk_name(template: str, numbered: Numbered) -> Column:
+    """``name``: the template with the chunk's number, of two digits or more, for ``{nn}``."""
+    if "{nn}" not in template and numbered.chunks > 1:
+        raise ValueError(f"{template} names {numbered.chunks} chunks alike")
+    before, _, after = template.partition("{nn}")
+    number = F.format_string("%02d", "chunk") if "{nn}" in template else F.lit("")
+    return F.concat(F.lit(before), number, F.lit(after)).alias("name")
 
 
 def write_csv_chunks(chunked: DataFrame, numbered: Numbered, path: str, name_template: str | None = None) -> None:
@@ -92,42 +103,16 @@ def write_csv_chunks(chunked: DataFrame, numbered: Numbered, path: str, name_tem
 def write_csv_laid_out(rows: DataFrame, numbered: Numbered, path: str, name_template: str | None = None) -> None:
     """The same for rows that ``one_task_per_chunk`` has placed."""
     flat = rows.drop("row_number")
-    flat.write.mode("overwrite").options(**CSV_OPTIONS, **ONE_FILE).partitionBy("chunk").csv(path)
     if name_template:
-        name_chunk_files(rows.sparkSession, path, name_template + ".csv", numbered.chunks)
-
-
-def name_chunk_files(spark: SparkSession, path: str, template: str, chunks: int) -> None:
-    """Give the one file of each ``chunk=n`` folder its name; only file names pass the driver.
-
-    One rename a chunk, by default a million rows.  Nothing is moved unless every chunk has
-    exactly one file and no target exists, no folder is deleted before all renames succeeded, and
-    a refused one raises.
-    """
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    moves, folders = [], []
-    for folder in fs.listStatus(root):
-        name = folder.getPath().getName()
-        if not name.startswith("chunk="):
-            continue
-        parts = [f.getPath() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-")]
-        if len(parts) != 1:
-            raise RuntimeError(f"{path}/{name} has {len(parts)} files instead of one; nothing was renamed")
-        number = int(name.removeprefix("chunk="))
-        target = jvm.org.apache.hadoop.fs.Path(root, template.replace("{nn}", f"{number:02d}"))
-        if fs.exists(target):
-            raise RuntimeError(f"{target} is there already; nothing was renamed")
-        moves.append((parts[0], target))
-        folders.append(folder.getPath())
-    if len(moves) != chunks or len({t.getName() for _, t in moves}) != chunks:
-        raise RuntimeError(f"{path} has {len(moves)} of {chunks} chunks, or names that repeat; nothing was renamed")
-    for part, target in moves:
-        if not fs.rename(part, target):
-            raise RuntimeError(f"{part} could not be renamed to {target}; all chunk folders are kept")
-    for folder in folders:
-        fs.delete(folder, True)
+        columns = [c for c in flat.columns if c != "chunk"]
+        options = {k: str(v) for k, v in CSV_OPTIONS.items() if k != "header"}
+        line = F.to_csv(F.struct(*columns), options)
+        # the numbers run on from chunk to chunk, so a chunk's first row is the least of its numbers
+        first = (F.col("row_number") - 1) % numbered.rows_per_chunk == 0
+        headed = F.when(first, F.concat(F.lit(",".join(columns) + "\n"), line)).otherwise(line)
+        write_named(rows.select(chunk_name(name_template + ".csv", numbered), headed.alias("value")), path, numbered.chunks)
+    else:
+        flat.write.mode("overwrite").options(**CSV_OPTIONS, **ONE_FILE).partitionBy("chunk").csv(path)
 
 
 def write_partitioned_csv(df: DataFrame, path: str, by: str) -> None:

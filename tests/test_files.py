@@ -250,35 +250,29 @@ def test_dump_is_one_file_a_chunk_whatever_the_session_says(spark, tables, conf,
     assert lines == [401, 401, 401, 301]
 
 
-def test_naming_chunks_loses_nothing(spark, tables, tmp_path):
+def test_a_failing_dump_leaves_the_old_one(spark, tables, tmp_path):
+    """Files are named by the tasks and appear together; a failure in one chunk changes nothing."""
     import pytest
 
-    numbered = number_rows(tables.assertions, "id", 600)
-
-    def write(name, template, spoil=lambda folder: None):
-        folder = tmp_path / name
-        sinks.write_csv_chunks(numbered.rows, numbered, str(folder))
-        spoil(folder)
-        sinks.name_chunk_files(spark, str(folder), template, numbered.chunks)
-        return folder
-
-    def kept(folder):
-        return sum(len(f.read_text().splitlines()) - 1 for f in folder.glob("chunk=*/part-*"))
-
-    def second_part(folder):
-        (folder / "chunk=2" / "part-99999.csv").write_text("id,chunk\n")
-
-    for name, template, spoil in [
-        ("two_parts", "x-{nn}.csv", second_part),
-        ("same_name", "x.csv", lambda folder: None),
-        ("taken", "x-{nn}.csv", lambda folder: (folder / "x-03.csv").write_text("old")),
-    ]:
-        with pytest.raises(RuntimeError):
-            write(name, template, spoil)
-        assert kept(tmp_path / name) == 1500
-    done = write("fine", "x-{nn}.csv")
-    assert sorted(f.name for f in done.glob("x-*")) == ["x-01.csv", "x-02.csv", "x-03.csv"]
-    assert not list(done.glob("chunk=*"))
+    numbered = number_rows(tables.assertions, "id", 400)
+    folder = tmp_path / "out" / "json"
+    sinks.write_json_chunks(numbered.rows, numbered, str(folder), 400, "first-{nn}")
+    names = [f"first-{n:02d}.json" for n in (1, 2, 3, 4)]
+    assert sorted(f.name for f in folder.iterdir()) == names
+    broken = numbered.rows.withColumn("id", F.when(F.col("row_number") == 900, F.raise_error(F.lit("lost"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_json_chunks(broken, numbered, str(folder), 400, "second-{nn}")
+    with pytest.raises(Exception, match="3 files of 4"):
+        sinks.write_json_chunks(numbered.rows.filter("chunk <> 2"), numbered, str(folder), 400, "second-{nn}")
+    with pytest.raises(ValueError):
+        sinks.write_json_chunks(numbered.rows, numbered, str(folder), 400, "same")
+    assert sorted(f.name for f in folder.iterdir()) == names and [f.name for f in folder.parent.iterdir()] == ["json"]
+    sinks.write_csv_chunks(numbered.rows, numbered, str(folder), "third-{nn}")
+    assert sorted(f.name for f in folder.iterdir()) == [f"third-{n:02d}.csv" for n in (1, 2, 3, 4)]
+    assert [f.name for f in folder.parent.iterdir()] == ["json"]
+    nothing = number_rows(tables.assertions.limit(0), "id", 400)
+    sinks.write_json_chunks(nothing.rows, nothing, str(folder), 400, "none-{nn}")
+    assert list(folder.iterdir()) == []
 
 
 def test_dump_shuffles_nested_rows_once(spark, tables, tmp_path):
