@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -26,13 +27,16 @@ from linkloom.plans import (
     details,
     export,
     ingest,
+    paper_store,
     papers,
     reconcile,
     review,
     summaries,
     tag_subjects,
 )
+from linkloom.session import ensure_checkpoint_dir
 from linkloom.sinks import files
+from linkloom.sinks.keyed_store import KeyedStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -997,6 +1001,21 @@ def _merge_cache(t):
     return ingest.merge_lookup_cache(t.lookup_cache, t.fetched_cache)
 
 
+def _scratch(t) -> str:
+    """A new folder beside the checkpoints, which all executors reach."""
+    ensure_checkpoint_dir(t.spark)
+    return f"{t.spark.sparkContext.getCheckpointDir()}/store-{uuid.uuid4().hex}"
+
+
+@register("merge_cache_store", None)
+def _merge_cache_store(t):
+    store = KeyedStore.create(t.lookup_cache, _scratch(t), "pmcid", 16)
+    return paper_store.merge_into_cache(store, t.fetched_cache).read()
+
+
+ORACLES["merge_cache_store"] = ORACLES["merge_lookup_cache"]
+
+
 NAMES_CASE = "case repo_code " + " ".join(
     f"when '{c}' then '{n}'" for c, n in rules.REPOSITORY_NAMES.items()
 ) + " else repo_code end"
@@ -1106,13 +1125,25 @@ def _search(t):
     union all select doi, journal, publisher, published_date from papers where doi not in (select doi from newer)""",
 )
 def _upsert(t):
-    newer = t.customer.select(
+    return papers.upsert_papers(papers.load_papers(t.paper_lines), _newer(t))
+
+
+def _newer(t):
+    return t.customer.select(
         F.concat(F.lit("10.1029/p"), (F.col("c_custkey") * 2).cast("string")).alias("doi"),
         F.lit("New Journal").alias("journal"),
         F.col("c_mktsegment").alias("publisher"),
         F.lit("2024").alias("published_date"),
     )
-    return papers.upsert_papers(papers.load_papers(t.paper_lines), newer)
+
+
+@register("upsert_paper_store", None)
+def _upsert_store(t):
+    store = paper_store.create_paper_store(papers.load_papers(t.paper_lines), _scratch(t), 16)
+    return paper_store.upsert_into_store(store, _newer(t)).read()
+
+
+ORACLES["upsert_paper_store"] = ORACLES["upsert_papers"]
 
 
 # --- comparison (S10, C1, C2, J20, J21, U23, X3, X4) ---------------------------------------------------------------
