@@ -6,14 +6,19 @@ j of B together.  2 * GROUPS * ROWS minhashes thus give tables that would take G
 if each were computed for itself.  At the threshold of 0.85 a pair shares no table with a
 probability of one in a million; at 0.80, which the corpus pipeline asks for, of five in 100,000.
 
-The tables are never written out.  Documents that share a group of A meet in its bucket; there two
-of them are candidates if they also share a group of B.  What keeps this linear:
+What keeps this linear, in copies as well as in documents:
 
 * documents with the same set are one class from the start;
 * a group that only one class has, in A or in B, is left out before anything is compared;
-* signatures (a byte of each minhash, four of each group of A) rule out pairs whose estimate is four deviations below the
-  threshold, or whose sizes differ too much;
-* buckets are dealt out in blocks of about ``BLOCK`` classes, pairs of blocks being separate work;
+* the classes of a bucket of A are dealt out in blocks of about ``BLOCK``.  A task forms the tables of
+  its block, that is, the classes that share the bucket's group of A and one of B, and compares
+  those only.  Signatures (a byte of each minhash, four of each group of A) rule out pairs whose
+  estimate is four deviations below the threshold, or whose sizes differ too much;
+* the first class of a bucket is a member of all its blocks, so that a group of near copies is
+  tied together there, however large it is;
+* only buckets of several blocks whose classes are then still in several components go on.  Their
+  tables are written out as keys of pairs of groups.  In each, classes outside its largest
+  component are compared with all others of other components, block by block, and nothing else;
 * candidates never become rows.  The tasks that compare signatures only tell which classes have a
   candidate in which block; those classes come back to the block with their full sets, and the
   task that confirms the links tells a spanning forest of them.  A pair that is already tied is
@@ -35,7 +40,7 @@ from pyspark.sql import functions as F
 
 from linkloom.llm.common import components, fresh, table
 from linkloom.operators.joins import broadcast_if_small
-from linkloom.session import stored
+from linkloom.session import discard, stored
 
 SHINGLE = 5
 #: Least Jaccard similarity of a link, in hundredths, unless the caller has its own.
@@ -120,31 +125,66 @@ def signed(docs: DataFrame) -> DataFrame:
 
 
 def _repeated(classes: DataFrame, first: int, last: int) -> DataFrame:
-    """(rep, place, key, blocks): groups from ``first`` up to ``last`` that more than one class has.
+    """(rep, place, key, blocks, pivot): groups from ``first`` up to ``last`` that more than one class has.
 
-    ``blocks`` is the number of blocks that the group's bucket is cut into.
+    ``blocks`` is the number of blocks that the group's bucket is cut into, ``pivot`` its first class.
     """
     keys = classes.select("rep", "n_shingles", F.posexplode(F.slice("groups", first + 1, last - first)).alias("place", "key"))
-    counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("count"), F.sum("n_shingles").alias("weight")).filter("count > 1")
-    blocks = F.greatest(F.ceil(F.col("count") / BLOCK), F.ceil(F.col("weight") / BLOCK_SHINGLES)).cast("int")
-    counts = stored(counts.select("key", blocks.alias("blocks")))
-    return keys.drop("n_shingles").join(counts, "key")
+    counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("count"), F.sum("n_shingles").alias("weight"), F.min("rep").alias("pivot"))
+    counts = counts.filter("count > 1").select("key", _blocks(F.col("count"), F.col("weight")).alias("blocks"), "pivot")
+    return keys.drop("n_shingles").join(stored(counts), "key")
+
+
+def _blocks(count, weight):
+    return F.greatest(F.ceil(count / BLOCK), F.ceil(weight / BLOCK_SHINGLES)).cast("int")
 
 
 def _meetings(classes: DataFrame) -> DataFrame:
-    """(rep, place, key, blocks): the buckets of A, classes without company in A or in B left out."""
+    """(rep, place, key, blocks, pivot): the buckets of A, classes without company in A or in B left out."""
     in_a = stored(_repeated(classes, 0, GROUPS))
     met = classes.join(in_a.select("rep").distinct(), "rep", "left_semi")
     in_b = _repeated(met, GROUPS, 2 * GROUPS).select("rep").distinct()
     return in_a.join(in_b, "rep", "left_semi")
 
 
-def _blocked(rows: DataFrame) -> DataFrame:
-    """Rows (rep, key, blocks, ...) once for each pair of blocks (p, q) of their bucket that they belong to."""
-    own = F.pmod(F.xxhash64("rep", F.lit(9)), F.col("blocks")).cast("int")
-    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other")).drop("other", "blocks")
-    return rows.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
+def _own(blocks):
+    return F.pmod(F.xxhash64("rep", F.lit(9)), blocks).cast("int")
+
+
+def _in_blocks(meetings: DataFrame) -> DataFrame:
+    """Each class in its block of each of its buckets, and a bucket's first class in all its blocks."""
+    own = _own(F.col("blocks"))
+    where = F.when(F.col("rep") == F.col("pivot"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))
+    rows = meetings.select("rep", "place", "key", F.explode(where).alias("p"))
+    return rows.select("rep", "place", F.lit(-1).alias("table"), "key", "p", F.col("p").alias("q"), F.col("p").alias("own"), F.col("rep").alias("component"))
+
+
+def _across_blocks(meetings: DataFrame, classes: DataFrame, ties: DataFrame) -> DataFrame:
+    """Classes of the tables that hold several components still, once for each pair of blocks to compare."""
+    large = meetings.filter("blocks > 1")
+    component = F.coalesce("component", "rep").alias("component")
+    large = large.join(ties, F.col("rep") == F.col("node"), "left").select("rep", "place", "key", component)
+    open_ = large.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most")
+    open_ = large.join(stored(open_.select("key")), "key", "left_semi")
+    groups = classes.select("rep", "n_shingles", F.slice("groups", GROUPS + 1, GROUPS).alias("groups"))
+    tables = open_.join(groups, "rep").select("rep", "n_shingles", "place", "component", "key", F.posexplode("groups").alias("table", "group"))
+    tables = tables.withColumn("key", F.xxhash64("key", "group")).drop("group")
+
+    parts = tables.groupBy("key", "component").agg(F.count(F.lit(1)).alias("count"), F.sum("n_shingles").alias("weight"))
+    sizes = parts.groupBy("key").agg(
+        F.max(F.struct("count", "component")).alias("top"), F.sum("count").alias("count"), F.sum("weight").alias("weight")
+    )
+    rest = F.col("count") - F.col("top.count")
+    blocks = _blocks(F.col("count"), F.col("weight"))
+    few = F.ceil(blocks * rest / F.col("count")).cast("int")
+    sizes = stored(sizes.filter(rest > 0).select("key", F.col("top.component").alias("top"), blocks.alias("blocks"), few.alias("few")))
+    rows = tables.join(sizes, "key")
+    # blocks of the largest component first, then those of the others
+    is_top, every = F.col("component") == F.col("top"), F.col("blocks") + F.col("few") - 1
+    rows = rows.withColumn("own", F.when(is_top, _own(F.col("blocks"))).otherwise(F.col("blocks") + _own(F.col("few"))))
+    with_ = F.when(is_top, F.sequence(F.col("blocks"), every)).otherwise(F.sequence(F.lit(0), every))
+    rows = rows.withColumn("with", F.explode(with_))
+    return rows.select("rep", "place", "table", "key", F.least("own", "with").alias("p"), F.greatest("own", "with").alias("q"), "own", "component")
 
 
 def _least_equal(percent: int) -> int:
@@ -152,7 +192,7 @@ def _least_equal(percent: int) -> int:
     return math.ceil((t - 4 * math.sqrt(t * (1 - t) / _HASHES)) * _HASHES)
 
 
-_ROW = "key long, p int, q int, own int, place int, rep long, n_shingles long, signature binary"
+_ROW = "key long, p int, q int, own int, place int, table int, rep long, component long, n_shingles long, signature binary"
 _ROW_NAMES = [f.split()[0] for f in _ROW.split(", ")]
 
 
@@ -173,28 +213,34 @@ def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _candidates(rows: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(x, later rows that are candidates of x) of a block pair; a pair counts only in the first bucket of A that it shares."""
+    """(x, later rows that are candidates of x) of a block pair: rows that share a table and look similar enough.
+
+    A pair counts only in the first group of A that it shares, and where tables are written out
+    only in the first one of B.
+    """
     n = len(rows)
     if n < 2:
         return
-    reps, sizes, own = (rows.column(c).to_numpy() for c in ("rep", "n_shingles", "own"))
-    across, place = rows.column("p")[0].as_py() != rows.column("q")[0].as_py(), rows.column("place")[0].as_py()
+    sizes, own, components = (rows.column(c).to_numpy() for c in ("n_shingles", "own", "component"))
+    across, place, table_ = (rows.column(c)[0].as_py() for c in ("p", "place", "table"))
+    across = across != rows.column("q")[0].as_py()
     signatures = np.frombuffer(b"".join(rows.column("signature").to_pylist()), dtype=np.uint8).reshape(n, -1)
     prints = signatures[:, _HASHES:].copy().view(np.uint32)
     signatures = signatures[:, :_HASHES]
+    tables = signatures[:, GROUPS * ROWS :].copy().view(np.uint32)  # with the bucket's group of A the keys of the tables
     least = _least_equal(percent)
     for x in range(n - 1):
-        near = (100 * np.minimum(sizes[x + 1 :], sizes[x]) >= percent * np.maximum(sizes[x + 1 :], sizes[x])) & (reps[x + 1 :] != reps[x])
+        shared = tables[x + 1 :] == tables[x]
+        near = shared.any(axis=1) if table_ < 0 else shared.argmax(axis=1) == table_
+        near &= components[x + 1 :] != components[x]
+        near &= 100 * np.minimum(sizes[x + 1 :], sizes[x]) >= percent * np.maximum(sizes[x + 1 :], sizes[x])
         if across:
             near &= own[x + 1 :] != own[x]
-        kept = np.flatnonzero(near) + x + 1
-        equal = signatures[kept] == signatures[x]
-        near = equal.sum(axis=1) >= least
         if near.any():
-            kept, equal = kept[near], equal[near]
-            first = (prints[kept] == prints[x]).argmax(axis=1) == place
-            in_b = equal[:, GROUPS * ROWS :].reshape(-1, GROUPS, ROWS).all(axis=2).any(axis=1)
-            yield x, kept[first & in_b]
+            kept = np.flatnonzero(near) + x + 1
+            near = (signatures[kept] == signatures[x]).sum(axis=1) >= least
+            near &= (prints[kept] == prints[x]).argmax(axis=1) == place
+            yield x, kept[near]
 
 
 def _with_candidates(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -227,7 +273,8 @@ def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
     for rows in _by_block(batches):
         reps = rows.column("rep").to_numpy()
         items = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in rows.column("items")]
-        parent = list(range(len(reps)))
+        components, which = np.unique(rows.column("component").to_numpy(), return_inverse=True)
+        parent = list(range(len(components)))
 
         def root(x: int) -> int:
             while parent[x] != x:
@@ -237,26 +284,41 @@ def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
         left, right = [], []
         for x, others in _candidates(rows, percent):
             for y in others.tolist():
-                if root(x) != root(y) and _similar(items[x], items[y], percent):
-                    parent[root(y)] = root(x)
+                a, b = root(which[x]), root(which[y])
+                if a != b and _similar(items[x], items[y], percent):
+                    parent[b] = a
                     left.append(reps[x])
                     right.append(reps[y])
         if left:
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
 
-def _links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links that tie together all representatives of classes that are tied by any links."""
-    rows = _meetings(classes.select("rep", "n_shingles", "groups")).join(classes.select("rep", "n_shingles", "signature"), "rep")
-    found = stored(_blocked(rows).select(*_ROW_NAMES).mapInArrow(lambda batches: _with_candidates(batches, percent), _ROW))
+def _confirmed(docs: DataFrame, classes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b): a spanning forest of the links in each block pair of ``rows``."""
+    rows = rows.join(classes.select("rep", "n_shingles", "signature"), "rep")
+    dealt = rows.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q").select(*_ROW_NAMES)
+    found = stored(dealt.mapInArrow(lambda batches: _with_candidates(batches, percent), _ROW))
     # texts stay where they are as long as the ids wanted are measured to be few
-    wanted = broadcast_if_small({"ids": stored(found.select("rep").distinct())})["ids"]
+    wanted = broadcast_if_small({"ids": found.select("rep").distinct()})["ids"]
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(wanted, "rep", "left_semi")
     sets = stored(texts.mapInArrow(_sets, "rep long, items binary"))
     # an id that occurs with several texts comes back with the set of the row's own size
     full = found.join(sets, "rep").filter(F.octet_length("items") == F.col("n_shingles") * 8)
     full = full.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
-    return full.select(*_ROW_NAMES, "items").mapInArrow(lambda batches: _confirm(batches, percent), "a long, b long")
+    links = stored(full.select(*_ROW_NAMES, "items").mapInArrow(lambda batches: _confirm(batches, percent), "a long, b long"))
+    discard(found)
+    discard(sets)
+    return links
+
+
+def _links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that tie together all representatives of classes that are tied by any links."""
+    meetings = stored(_meetings(classes.select("rep", "n_shingles", "groups")))
+    links = _confirmed(docs, classes, _in_blocks(meetings), percent)
+    if meetings.filter("blocks > 1").isEmpty():
+        return links
+    rest = stored(_across_blocks(meetings, classes, components(links)))
+    return links if rest.isEmpty() else links.unionByName(_confirmed(docs, classes, rest, percent))
 
 
 # -- the operator -------------------------------------------------------------------------------------
@@ -275,7 +337,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     reps = stored(linkable.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")))
     grouped = linkable.join(reps, ["d1", "d2"])
     classes = stored(grouped.filter("doc_id = rep").select("rep", "n_shingles", "groups", "signature"))
-    links = stored(_links(docs, classes, percent))
+    links = _links(docs, classes, percent)
 
     # documents that occur with several texts tie their classes together
     several = grouped.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b")

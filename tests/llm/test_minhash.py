@@ -55,3 +55,30 @@ def test_a_repeated_id_ties_its_texts(spark):
     rows = [(1, texts[0]), (5, texts[0]), (5, texts[1]), (7, texts[1])]
     got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.component_id for r in got} == {1}
+
+
+def test_near_copies_cost_in_proportion(spark, monkeypatch):
+    """Each class goes to one block of a bucket, whatever the group's size, and tied buckets go no further."""
+    from linkloom.session import stored
+
+    monkeypatch.setattr(minhash, "BLOCK", 32)
+    dice = random.Random(8)
+    base = [f"w{k}" for k in range(200)]
+    dealt = {}
+    for n in (200, 800):
+        texts = []
+        for i in range(n):
+            words = list(base)
+            words[dice.randrange(200)] = f"z{i}"
+            texts.append((i, " ".join(words)))
+        docs = spark.createDataFrame(texts, "doc_id long, text string")
+        classes = stored(minhash.signed(docs).withColumnRenamed("doc_id", "rep"))
+        meetings = stored(minhash._meetings(classes))
+        rows = minhash._in_blocks(meetings)
+        dealt[n] = rows.count()
+        pivots = meetings.select("key", "blocks").distinct().agg({"blocks": "sum"}).first()[0]
+        assert dealt[n] <= meetings.count() + pivots
+        ties = minhash.components(minhash._confirmed(docs, classes, rows, 85))
+        # at most a few classes that share no table with a first one are compared again
+        assert minhash._across_blocks(meetings, classes, ties).count() < n
+    assert dealt[800] < 5 * dealt[200]
