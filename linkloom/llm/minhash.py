@@ -16,9 +16,9 @@ What keeps this linear, in copies as well as in documents:
   estimate is four deviations below the threshold, or whose sizes differ too much;
 * the first class of a bucket is a member of all its blocks, so that a group of near copies is
   tied together there, however large it is;
-* only buckets of several blocks whose classes are then still in several components go on.  Their
-  tables are written out as keys of pairs of groups.  In each, classes outside its largest
-  component are compared with all others of other components, block by block, and nothing else;
+* only buckets of several blocks whose classes are then still in several components go on, and in
+  them classes that share a table with one of another component.  Those outside the bucket's
+  largest component are compared with all others, block by block, and nothing else;
 * candidates never become rows.  The tasks that compare signatures only tell which classes have a
   candidate in which block; those classes come back to the block with their full sets, and the
   task that confirms the links tells a spanning forest of them.  A pair that is already tied is
@@ -156,21 +156,25 @@ def _in_blocks(meetings: DataFrame) -> DataFrame:
     own = _own(F.col("blocks"))
     where = F.when(F.col("rep") == F.col("pivot"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))
     rows = meetings.select("rep", "place", "key", F.explode(where).alias("p"))
-    return rows.select("rep", "place", F.lit(-1).alias("table"), "key", "p", F.col("p").alias("q"), F.col("p").alias("own"), F.col("rep").alias("component"))
+    return rows.select("rep", "place", "key", "p", F.col("p").alias("q"), F.col("p").alias("own"), F.col("rep").alias("component"))
 
 
 def _across_blocks(meetings: DataFrame, classes: DataFrame, ties: DataFrame) -> DataFrame:
-    """Classes of the tables that hold several components still, once for each pair of blocks to compare."""
-    large = meetings.filter("blocks > 1")
-    component = F.coalesce("component", "rep").alias("component")
-    large = large.join(ties, F.col("rep") == F.col("node"), "left").select("rep", "place", "key", component)
+    """Classes of the buckets that hold several components still, once for each pair of blocks to compare."""
+    large = meetings.filter("blocks > 1").select("rep", "place", "key")
+    large = large.join(ties, F.col("rep") == F.col("node"), "left").withColumn("component", F.coalesce("component", "rep")).drop("node")
     open_ = large.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most")
-    open_ = large.join(stored(open_.select("key")), "key", "left_semi")
+    large = large.join(stored(open_.select("key")), "key", "left_semi")
     groups = classes.select("rep", "n_shingles", F.slice("groups", GROUPS + 1, GROUPS).alias("groups"))
-    tables = open_.join(groups, "rep").select("rep", "n_shingles", "place", "component", "key", F.posexplode("groups").alias("table", "group"))
-    tables = tables.withColumn("key", F.xxhash64("key", "group")).drop("group")
+    large = stored(large.join(groups, "rep"))
 
-    parts = tables.groupBy("key", "component").agg(F.count(F.lit(1)).alias("count"), F.sum("n_shingles").alias("weight"))
+    # keys of pairs of groups: a class whose tables hold no other component has nothing to compare
+    tables = large.select("rep", "key", "component", F.explode("groups").alias("group")).withColumn("table", F.xxhash64("key", "group")).drop("group")
+    mixed = tables.groupBy("table").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most")
+    met = tables.join(stored(mixed.select("table")), "table", "left_semi").select("rep", "key").distinct()
+    large = large.drop("groups").join(met, ["rep", "key"], "left_semi")
+
+    parts = large.groupBy("key", "component").agg(F.count(F.lit(1)).alias("count"), F.sum("n_shingles").alias("weight"))
     sizes = parts.groupBy("key").agg(
         F.max(F.struct("count", "component")).alias("top"), F.sum("count").alias("count"), F.sum("weight").alias("weight")
     )
@@ -178,13 +182,13 @@ def _across_blocks(meetings: DataFrame, classes: DataFrame, ties: DataFrame) ->
     blocks = _blocks(F.col("count"), F.col("weight"))
     few = F.ceil(blocks * rest / F.col("count")).cast("int")
     sizes = stored(sizes.filter(rest > 0).select("key", F.col("top.component").alias("top"), blocks.alias("blocks"), few.alias("few")))
-    rows = tables.join(sizes, "key")
+    rows = large.join(sizes, "key")
     # blocks of the largest component first, then those of the others
     is_top, every = F.col("component") == F.col("top"), F.col("blocks") + F.col("few") - 1
     rows = rows.withColumn("own", F.when(is_top, _own(F.col("blocks"))).otherwise(F.col("blocks") + _own(F.col("few"))))
     with_ = F.when(is_top, F.sequence(F.col("blocks"), every)).otherwise(F.sequence(F.lit(0), every))
     rows = rows.withColumn("with", F.explode(with_))
-    return rows.select("rep", "place", "table", "key", F.least("own", "with").alias("p"), F.greatest("own", "with").alias("q"), "own", "component")
+    return rows.select("rep", "place", "key", F.least("own", "with").alias("p"), F.greatest("own", "with").alias("q"), "own", "component")
 
 
 def _least_equal(percent: int) -> int:
@@ -192,7 +196,7 @@ def _least_equal(percent: int) -> int:
     return math.ceil((t - 4 * math.sqrt(t * (1 - t) / _HASHES)) * _HASHES)
 
 
-_ROW = "key long, p int, q int, own int, place int, table int, rep long, component long, n_shingles long, signature binary"
+_ROW = "key long, p int, q int, own int, place int, rep long, component long, n_shingles long, signature binary"
 _ROW_NAMES = [f.split()[0] for f in _ROW.split(", ")]
 
 
@@ -215,26 +219,23 @@ def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 def _candidates(rows: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
     """(x, later rows that are candidates of x) of a block pair: rows that share a table and look similar enough.
 
-    A pair counts only in the first group of A that it shares, and where tables are written out
-    only in the first one of B.
+    A pair counts only in the first group of A that it shares.
     """
     n = len(rows)
     if n < 2:
         return
     sizes, own, components = (rows.column(c).to_numpy() for c in ("n_shingles", "own", "component"))
-    across, place, table_ = (rows.column(c)[0].as_py() for c in ("p", "place", "table"))
-    across = across != rows.column("q")[0].as_py()
+    p, q, place = (rows.column(c)[0].as_py() for c in ("p", "q", "place"))
     signatures = np.frombuffer(b"".join(rows.column("signature").to_pylist()), dtype=np.uint8).reshape(n, -1)
     prints = signatures[:, _HASHES:].copy().view(np.uint32)
     signatures = signatures[:, :_HASHES]
     tables = signatures[:, GROUPS * ROWS :].copy().view(np.uint32)  # with the bucket's group of A the keys of the tables
     least = _least_equal(percent)
     for x in range(n - 1):
-        shared = tables[x + 1 :] == tables[x]
-        near = shared.any(axis=1) if table_ < 0 else shared.argmax(axis=1) == table_
+        near = (tables[x + 1 :] == tables[x]).any(axis=1)
         near &= components[x + 1 :] != components[x]
         near &= 100 * np.minimum(sizes[x + 1 :], sizes[x]) >= percent * np.maximum(sizes[x + 1 :], sizes[x])
-        if across:
+        if p != q:
             near &= own[x + 1 :] != own[x]
         if near.any():
             kept = np.flatnonzero(near) + x + 1
