@@ -175,7 +175,7 @@ LOW_SCORE = 0.4
 
 @register(
     "candidate_matches_low_score",
-    f"with {CANDIDATES.replace('0.75', str(LOW_SCORE))} select set_key, ror_id, name, score, cast(rank as integer) as rank from ranked where rank <= 3",
+    f"with {CANDIDATES.replace('score >= 0.0', f'score >= {LOW_SCORE}')} select set_key, ror_id, name, score, cast(rank as integer) as rank from ranked where rank <= 3",
 )
 def _low_candidates(t):
     return reconcile.candidate_matches(reconcile.unresolved_orgs(t.affiliations, t.funders), t.registry, LOW_SCORE)

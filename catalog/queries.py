@@ -1373,7 +1373,8 @@ CANDIDATES = f"""{UNRESOLVED}, {REGISTRY},
     reg_tokens as (select ror_id, name, array_to_string(toks, ' ') as reg_key, len(toks) as n, unnest(toks) as tok from reg_sets),
     shared_tokens as (select o.set_key, r.ror_id, r.name, r.reg_key, o.n as n_o, r.n as n_r, count(*) as shared
         from org_tokens o join reg_tokens r on r.tok = o.tok group by all),
-    scored as (select set_key, ror_id, name, max(shared / (n_o + n_r - shared)) as score from shared_tokens group by all),
+    scored as (select set_key, ror_id, name, max(shared / (n_o + n_r - shared)) as score from shared_tokens group by all
+        having score >= 0.0),
     ranked as (select *, row_number() over (partition by set_key order by score desc, name, ror_id) as rank from scored)"""
 
 
