@@ -1,12 +1,20 @@
 """HTML extraction by layout: a tree with implied tags, visibility rules, and rendering as text.
 
 The result is what a reader sees: every visible word, paragraphs apart, list items marked and
-indented, table cells in aligned columns, preformatted text as it stands.
+indented, table cells in aligned columns, preformatted text as it stands.  Text in drawings (svg) and all
+options of a list box are shown; a closed menu shows its choice.
+
+A null page gives null, an empty one an empty text; each row is read by itself, so ties and repeated rows
+give the same text, and other columns are kept.  Broken pages are read as browsers do: what is left open is closed by
+the end, what is closed without being open is passed over.  Depth has no limit and the time is in
+proportion to the page: trees, sheets and rendering keep their own stacks and read each letter a
+bounded number of times.
 """
 
 from __future__ import annotations
 
 import re
+from functools import partial
 from html import unescape
 
 import pandas as pd
@@ -15,8 +23,8 @@ from pyspark.sql import functions as F
 
 from linkloom.llm.common import col, table
 
-#: Deeper elements become siblings, as in browsers; no text is lost.
-MAX_DEPTH = 150
+#: Lists, quotes and tables that lie deeper in one another than this are set as plain blocks; no text is lost.
+MAX_NEST = 40
 #: Cells are padded to the longest of their column, this wide at most; longer ones run over.
 MAX_COLUMN = 80
 
@@ -24,12 +32,18 @@ MAX_COLUMN = 80
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HIDDEN = frozenset(
-    "head script style template noscript title meta link base iframe noembed noframes svg audio video canvas object datalist rp param source track area col colgroup".split()
+    "head script style template noscript title meta link base iframe noembed noframes audio video canvas object datalist rp param source track area col colgroup".split()
 )
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset hr menu details".split())
 BLOCKS = PARAGRAPHS | frozenset(
     "address article aside body center dd dialog dir div dt figcaption footer form header hgroup html legend li listing main nav option optgroup search section summary tr thead tbody tfoot caption".split()
 )
+#: Parts of a drawing that are not drawn where they stand.
+UNDRAWN = frozenset("defs symbol clippath mask marker pattern lineargradient radialgradient filter metadata desc".split())
+#: HTML elements that end a drawing they stand in.
+ENDS_SVG = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
 HEAD_ONLY = frozenset("base basefont bgsound link meta noframes script style template title noscript".split())
 CLOSES_P = (BLOCKS | frozenset(["xmp"])) - frozenset("option optgroup tr thead tbody tfoot caption html body legend".split())
 #: A start tag ends the open elements on the left, searched up to those on the right.
@@ -49,6 +63,8 @@ IMPLIED = {
 P_SCOPE = frozenset("table td th caption button body html template li".split())
 END_SCOPE = frozenset("table td th caption".split())
 _TABLE = frozenset(["table"])
+_SVG = frozenset(["svg"])
+_HTML_IN_SVG = frozenset(["foreignobject"])
 TABLE_PARTS = frozenset("table tr td th tbody thead tfoot caption colgroup".split())
 
 _VALUE = r""""[^"<>]*+"|"[^"]{0,65536}+"|'[^'<>]*+'|'[^']{0,65536}+'"""
@@ -57,13 +73,13 @@ _TOKEN = re.compile(
 )
 _ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_AT_RULE = re.compile(r"/\*.*?\*/|@[^{};]*(?:;|\{(?:[^{}]*\{[^{}]*\})*[^{}]*\})", re.S)
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_COMMENT = re.compile(r"/\*.*?\*/", re.S)
+#: Comments and strings of a sheet; those left open end with the sheet or the line.
+_QUIET = re.compile(r"""/\*.*?(?:\*/|\Z)|"(?:[^"\\\n]|\\.)*+"?|'(?:[^'\\\n]|\\.)*+'?""", re.S)
+_PIECE = re.compile(r"([^{};]*+)([{};]|\Z)")
 #: Media blocks that may hold on a screen.
-_SHOWING_BLOCK = re.compile(r"@(?:media(?!\s+(?:only\s+)?print\b)|supports|layer|container)[^{;]*\{", re.I)
+_SHOWING_BLOCK = re.compile(r"@(?:media(?!\s+(?:only\s+)?print\b)|supports|layer|container)", re.I)
 #: Tag, names and the conditions that are not looked at of an element's own selector.
-_COMPOUND = re.compile(r"^([a-z][\w-]*|\*)?((?:[.#][\w-]+)*)((?:\[\]|:[\w-]+(?:\([^()]*\))?|[.#][\w-]+)*)$", re.I)
+_COMPOUND = re.compile(r"^([a-z][\w-]*+|\*)?+((?:[.#][\w-]++)*+)((?:\[\]|:[\w-]++(?:\([^()]*+\))?+|[.#][\w-]++)*+)$", re.I)
 #: States that a page is not in when it is opened, and parts that are no elements.
 _UNSEEN = re.compile(r"::|:(?:hover|focus|active|target|before|after|first-line|first-letter)", re.I)
 _RELEVANT = re.compile(r"display|visibility", re.I)
@@ -90,22 +106,49 @@ def _attributes(source: str) -> dict[str, str]:
 # -- the tree -----------------------------------------------------------------------------------------
 
 
+class Open:
+    """The open elements, outermost first, and where each kind of them stands."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.places = [root], {}
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, size: int) -> None:
+        while len(self.nodes) > size:
+            self.places[self.nodes.pop().tag].pop()
+
+    def innermost(self, tags: frozenset) -> int:
+        """Place of the innermost open element of these kinds, 0 if there is none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def close(self, tags: frozenset, scope: frozenset) -> bool:
+        """End the innermost element of ``tags`` with all in it, unless one of ``scope`` is further in."""
+        at = self.innermost(tags)
+        if not at or at < self.innermost(scope):
+            return False
+        self.cut(at)
+        return True
+
+
 def parse(source: str) -> tuple[Node, list[str]]:
     """Tree of a page and the texts of its style sheets."""
     root = Node("html", {})
-    stack, styles, at = [root], [], 0
+    opened, styles, at = Open(root), [], 0
     size, last = len(source), source.rfind(">")
     while at < size:
         start = source.find("<", at)
         if start < 0 or start > last:
             start = size
         if start > at:
-            _add_text(stack, source[at:start])
+            _add_text(opened, source[at:start])
         if start == size:
             break
         token = _TOKEN.match(source, start)
         if token is None:
-            _add_text(stack, "<")
+            _add_text(opened, "<")
             at = start + 1
             continue
         at = token.end()
@@ -114,9 +157,9 @@ def parse(source: str) -> tuple[Node, list[str]]:
             continue
         tag, rest = name.lower(), token[3] or token[6] or ""
         if token[1] or token[4]:
-            _end(stack, tag)
+            _end(opened, tag)
             continue
-        node = _start(stack, tag, _attributes(rest) if rest.strip(" /") else {})
+        node = _start(opened, tag, _attributes(rest) if rest.strip(" /") else {}, rest.endswith("/"))
         if tag in RAW:
             close = _ENDS[tag].search(source, at)
             stop = close.start() if close else size
@@ -129,53 +172,51 @@ def parse(source: str) -> tuple[Node, list[str]]:
     return root, styles
 
 
-def _add_text(stack: list[Node], text: str) -> None:
-    if stack[-1].tag == "head":
+def _add_text(opened: Open, text: str) -> None:
+    if opened.nodes[-1].tag == "head":
         if not text.strip():
             return
-        stack.pop()
-    stack[-1].children.append(unescape(text) if "&" in text else text)
-
-
-def _close(stack: list[Node], tags: frozenset, scope: frozenset) -> bool:
-    for k in range(len(stack) - 1, 0, -1):
-        if stack[k].tag in tags:
-            del stack[k:]
-            return True
-        if stack[k].tag in scope:
-            return False
-    return False
-
-
-def _start(stack: list[Node], tag: str, attrs: dict[str, str]) -> Node:
-    if tag in ("html", "body") and any(n.tag == tag for n in stack):
-        if tag == "html":
-            stack[0].attrs.update(attrs)
-        return stack[-1]
-    if tag == "body" or (stack[-1].tag == "head" and tag not in HEAD_ONLY):
-        _close(stack, frozenset(["head"]), frozenset())
-    if tag in CLOSES_P:
-        _close(stack, frozenset(["p"]), P_SCOPE)
-    if tag in IMPLIED:
-        _close(stack, *IMPLIED[tag])
-    elif tag[0] == "h" and tag in PARAGRAPHS and tag != "hr" and stack[-1].tag in PARAGRAPHS and stack[-1].tag[0] == "h":
-        stack.pop()
+        opened.cut(len(opened.nodes) - 1)
+    opened.nodes[-1].children.append(unescape(text) if "&" in text else text)
+
+
+def _start(opened: Open, tag: str, attrs: dict[str, str], ended: bool) -> Node:
+    top = opened.nodes[-1]
+    if tag == "html":
+        opened.nodes[0].attrs.update(attrs)
+        return top
+    if tag == "body" and opened.places.get("body"):
+        return top
+    drawing = opened.innermost(_SVG) > opened.innermost(_HTML_IN_SVG)
+    if drawing and tag in ENDS_SVG:
+        opened.cut(opened.innermost(_SVG))
+        drawing = False
+    if not drawing:
+        if tag == "body" or (opened.nodes[-1].tag == "head" and tag not in HEAD_ONLY):
+            opened.close(frozenset(["head"]), frozenset())
+        if tag in CLOSES_P:
+            opened.close(frozenset(["p"]), P_SCOPE)
+        top = opened.nodes[-1]
+        if tag in IMPLIED:
+            opened.close(*IMPLIED[tag])
+        elif tag[0] == "h" and tag in PARAGRAPHS and tag != "hr" and top.tag in PARAGRAPHS and top.tag[0] == "h":
+            opened.cut(len(opened.nodes) - 1)
     node = Node(tag, attrs)
-    stack[-1].children.append(node)
-    if tag not in VOID and tag not in RAW and len(stack) < MAX_DEPTH:
-        stack.append(node)
+    opened.nodes[-1].children.append(node)
+    if tag not in VOID and tag not in RAW and not (ended and (drawing or tag == "svg")):
+        opened.push(node)
     return node
 
 
-def _end(stack: list[Node], tag: str) -> None:
+def _end(opened: Open, tag: str) -> None:
     if tag in ("html", "body"):
         return  # what follows still belongs to the body
     if tag == "br":
-        stack[-1].children.append(Node("br", {}))
+        opened.nodes[-1].children.append(Node("br", {}))
         return
     scope = frozenset() if tag == "table" else _TABLE if tag in TABLE_PARTS else END_SCOPE
-    if not _close(stack, frozenset([tag]), scope) and tag == "p":
-        stack[-1].children.append(Node("p", {}))
+    if not opened.close(frozenset([tag]), scope) and tag == "p":
+        opened.nodes[-1].children.append(Node("p", {}))
 
 
 # -- visibility ---------------------------------------------------------------------------------------
@@ -195,17 +236,14 @@ class Sheet:
         for text in styles:
             if not _RELEVANT.search(text):
                 continue
-            blocks = [b for b in _AT_RULE.findall(_COMMENT.sub(" ", text)) if _SHOWING_BLOCK.match(b)]
-            rules = [(*x, True) for x in _RULE.findall(_AT_RULE.sub(" ", text))]
-            rules += [(*x, False) for b in blocks for x in _RULE.findall(b.partition("{")[2])]
-            for selectors, body, sure in rules:
+            for selectors, body, sure in _style_rules(text):
                 effects = _effects(body)
                 for selector in selectors.split(",") if effects else ():
                     count += 1
                     self._add(selector.strip(), effects, sure, count)
 
     def _add(self, selector: str, effects: dict[str, tuple[bool, str]], sure: bool, place: int) -> None:
-        parts = re.split(r"\s*[\s>+~]\s*", re.sub(r"\[[^\]]*\]", "[]", selector))
+        parts = re.split(r"\s*[\s>+~]\s*", re.sub(r"\[[^\[\]]*+\]", "[]", selector))
         last = _COMPOUND.match(parts[-1])
         if not last or not parts[-1] or _UNSEEN.search(selector):
             return
@@ -239,6 +277,33 @@ class Sheet:
         return best["visibility"][-1] if "visibility" in best else None
 
 
+def _style_rules(css: str) -> list[tuple[str, str, bool]]:
+    """(selectors, declarations, sure) of a sheet, in one pass; unsure are those in a block or in another rule."""
+    rules: list[tuple[str, str, bool]] = []
+    within: list[tuple[str, list[str], bool]] = []  # open blocks: selectors or "", declarations, sure
+    unread = 0  # depth within a block that is passed over
+    for text, mark in _PIECE.findall(_QUIET.sub(lambda m: " " if m[0][0] == "/" else '""', css)):
+        if unread:
+            unread += (mark == "{") - (mark == "}")
+            continue
+        head = text.strip()
+        if mark == "{":
+            if head[:1] != "@":
+                within.append((head.replace("&", "").strip() or "&", [], not within))
+            elif _SHOWING_BLOCK.match(head):
+                within.append(("", [], False))
+            else:
+                unread = 1
+            continue
+        if within:
+            within[-1][1].append(text)
+        if mark == "}" and within:
+            selectors, body, sure = within.pop()
+            rules.append((selectors, ";".join(body), sure))
+    rules += [(selectors, ";".join(body), sure) for selectors, body, sure in reversed(within)]
+    return [r for r in rules if r[0]]
+
+
 def _effects(css: str) -> dict[str, tuple[bool, str]]:
     """{display: (important, none or shown), visibility: (important, hidden or visible)} of declarations."""
     out: dict[str, tuple[bool, str]] = {}
@@ -326,63 +391,81 @@ class Flow:
         return lines[start:]
 
 
-def _render(node: Node, flow: Flow, sheet: Sheet, shown: bool, pre: bool) -> None:
-    for child in node.children:
+def _render(node: Node, flow: Flow, sheet: Sheet, shown: bool, pre: bool, nest: int) -> None:
+    """The children of ``node`` into ``flow``.
+
+    Plain nesting is followed with a stack of its own; only layouts in layouts, ``MAX_NEST`` at most,
+    are calls within calls.
+    """
+    todo = [(iter(node.children), shown, pre, node.tag == "svg", None)]
+
+    def enter(element: Node, seen: bool, pre: bool, after=None, svg: bool = False) -> None:
+        todo.append((iter(element.children), seen, pre, svg, after))
+
+    while todo:
+        children, shown, pre, drawing, after = todo[-1]
+        child = next(children, None)
+        if child is None:
+            todo.pop()
+            if after:
+                after()
+            continue
         if isinstance(child, str):
-            if shown:
+            if shown and not drawing:
                 flow.text(child, pre)
             continue
         tag = child.tag
-        if tag in HIDDEN:
+        if tag in HIDDEN or (drawing and tag in UNDRAWN):
             continue
         effect = sheet.effect(child)
         if effect == "none" or (tag == "dialog" and "open" not in child.attrs):
             continue
         seen = shown if effect is None else effect == "visible"
-        if tag == "br":
+        layout = nest < MAX_NEST
+        if tag == "svg" or drawing:
+            label = tag in ("text", "foreignobject") and drawing
+            if label:
+                flow.block(1)
+            enter(child, seen, pre, partial(flow.block, 1) if label else None, not label)
+        elif tag == "br":
             flow.newline()
         elif tag == "input":
             if seen and child.attrs.get("type", "").lower() in ("submit", "button", "reset") and child.attrs.get("value"):
                 flow.text(child.attrs["value"], False)
         elif tag == "select":
-            _render_select(child, flow, sheet, seen)
-        elif tag in ("ul", "ol", "menu", "dir"):
-            _render_list(child, flow, sheet, seen, pre)
-        elif tag == "table":
+            _render_select(child, flow, sheet, seen, nest)
+        elif tag in ("ul", "ol", "menu", "dir") and layout:
+            _render_list(child, flow, sheet, seen, pre, nest)
+        elif tag == "table" and layout:
             flow.block(2)
-            flow.add(_table_lines(child, sheet, seen, pre))
+            flow.add(_table_lines(child, sheet, seen, pre, nest))
             flow.block(2)
-        elif tag in ("dd", "blockquote"):
+        elif tag in ("dd", "blockquote") and layout:
             flow.block(2 if tag == "blockquote" else 1)
-            flow.add(_indented(_lines(child, sheet, seen, pre), "  ", "  "))
+            flow.add(_indented(_lines(child, sheet, seen, pre, nest), "  ", "  "))
             flow.block(2 if tag == "blockquote" else 1)
         elif tag == "details" and "open" not in child.attrs:
             closed = Node("details", {})
             closed.children = [c for c in child.children if not isinstance(c, str) and c.tag == "summary"][:1]
             flow.block(2)
-            _render(closed, flow, sheet, seen, pre)
-            flow.block(2)
+            enter(closed, seen, pre, partial(flow.block, 2))
         elif tag in BLOCKS:
             gap = 2 if tag in PARAGRAPHS else 1
             flow.block(gap)
-            inner = pre or tag in ("pre", "listing", "xmp")
-            _render(child, flow, sheet, seen, inner)
-            flow.block(gap)
-        elif tag in ("td", "th"):  # outside of a table
-            flow.text(" ", False)
-            _render(child, flow, sheet, seen, pre)
+            enter(child, seen, pre or tag in ("pre", "listing", "xmp"), partial(flow.block, gap))
+        elif tag in ("td", "th"):  # outside of a table, or deeper than tables are laid out
             flow.text(" ", False)
+            enter(child, seen, pre, partial(flow.text, " ", False))
         elif tag == "q" and seen:
             flow.text("“", False)
-            _render(child, flow, sheet, seen, pre)
-            flow.text("”", False)
+            enter(child, seen, pre, partial(flow.text, "”", False))
         else:
-            _render(child, flow, sheet, seen, pre or tag in ("textarea", "xmp"))
+            enter(child, seen, pre or tag in ("textarea", "xmp"))
 
 
-def _lines(node: Node, sheet: Sheet, shown: bool, pre: bool) -> list[str]:
+def _lines(node: Node, sheet: Sheet, shown: bool, pre: bool, nest: int) -> list[str]:
     flow = Flow()
-    _render(node, flow, sheet, shown, pre)
+    _render(node, flow, sheet, shown, pre, nest + 1)
     return flow.done()
 
 
@@ -390,7 +473,7 @@ def _indented(lines: list[str], first: str, rest: str) -> list[str]:
     return [(rest if k else first) + line if line else line for k, line in enumerate(lines)]
 
 
-def _render_list(node: Node, flow: Flow, sheet: Sheet, shown: bool, pre: bool) -> None:
+def _render_list(node: Node, flow: Flow, sheet: Sheet, shown: bool, pre: bool, nest: int) -> None:
     start = node.attrs.get("start", "")
     number = int(start) if re.fullmatch(r"-?\d{1,9}", start) else 1
     flow.block(2)
@@ -398,7 +481,7 @@ def _render_list(node: Node, flow: Flow, sheet: Sheet, shown: bool, pre: bool) -
         if isinstance(child, str) or child.tag != "li":
             loose = Node("div", {})
             loose.children = [child]
-            flow.add(_lines(loose, sheet, shown, pre))
+            flow.add(_lines(loose, sheet, shown, pre, nest))
             continue
         effect = sheet.effect(child)
         if effect == "none":
@@ -407,29 +490,42 @@ def _render_list(node: Node, flow: Flow, sheet: Sheet, shown: bool, pre: bool) -
         if re.fullmatch(r"-?\d{1,9}", value):
             number = int(value)
         marker = f"{number}. " if node.tag == "ol" else "- "
-        flow.add(_indented(_lines(child, sheet, shown if effect is None else effect == "visible", pre), marker, " " * len(marker)))
+        flow.add(_indented(_lines(child, sheet, shown if effect is None else effect == "visible", pre, nest), marker, " " * len(marker)))
         number += 1
     flow.block(2)
 
 
-def _render_select(node: Node, flow: Flow, sheet: Sheet, shown: bool) -> None:
-    """A closed menu shows its chosen options, or the first."""
-    options, todo = [], list(node.children)
+def _render_select(node: Node, flow: Flow, sheet: Sheet, shown: bool, nest: int) -> None:
+    """A closed menu shows its chosen options, or the first; a list box shows all, with their groups."""
+    size = node.attrs.get("size", "")
+    box = "multiple" in node.attrs or (size.isdecimal() and len(size) < 9 and int(size) > 1)
+    found: list[tuple[Node, bool]] = []
+    todo = [(child, shown) for child in reversed(node.children)]
     while todo:
-        item = todo.pop(0)
-        if isinstance(item, Node):
-            if item.tag == "option":
-                options.append(item)
-            else:
-                todo = item.children + todo
-    chosen = [o for o in options if "selected" in o.attrs] or options[:1]
-    if not shown:
+        item, seen = todo.pop()
+        if isinstance(item, str) or item.tag in HIDDEN:
+            continue
+        effect = sheet.effect(item)
+        if effect == "none":
+            continue
+        seen = seen if effect is None else effect == "visible"
+        if item.tag in ("option", "optgroup"):
+            found.append((item, seen))
+        if item.tag != "option":
+            todo += [(child, seen) for child in reversed(item.children)]
+    if box:
+        flow.block(1)
+        for item, seen in found:
+            label = [item.attrs.get("label", "")] if item.tag == "optgroup" and seen else []
+            flow.add(label if item.tag == "optgroup" else _lines(item, sheet, seen, False, nest))
+        flow.block(1)
         return
-    for option in chosen:
-        flow.text(" " + " ".join(_lines(option, sheet, True, False)) + " ", False)
+    options = [x for x in found if x[0].tag == "option"]
+    for option, seen in [x for x in options if "selected" in x[0].attrs] or options[:1]:
+        flow.text(" " + " ".join(_lines(option, sheet, seen, False, nest)) + " ", False)
 
 
-def _table_lines(node: Node, sheet: Sheet, shown: bool, pre: bool) -> list[str]:
+def _table_lines(node: Node, sheet: Sheet, shown: bool, pre: bool, nest: int) -> list[str]:
     """Rows as lines; the columns of rows with several cells begin at the same place."""
     rows: list[list[tuple[int, int, list[str]]]] = []  # (column, span, lines)
     outside: list[str] = []
@@ -442,7 +538,7 @@ def _table_lines(node: Node, sheet: Sheet, shown: bool, pre: bool) -> list[str]:
                 if isinstance(cell, Node) or cell.strip():
                     loose = Node("div", {})
                     loose.children = [cell]
-                    outside.extend(_lines(loose, sheet, seen, pre))
+                    outside.extend(_lines(loose, sheet, seen, pre, nest))
                 continue
             effect = sheet.effect(cell)
             if effect == "none":
@@ -450,7 +546,7 @@ def _table_lines(node: Node, sheet: Sheet, shown: bool, pre: bool) -> list[str]:
             while held.get(at):
                 at += 1
             span, down = _span(cell, "colspan", 1000), _span(cell, "rowspan", 65534)
-            cells.append((at, span, _lines(cell, sheet, seen if effect is None else effect == "visible", pre)))
+            cells.append((at, span, _lines(cell, sheet, seen if effect is None else effect == "visible", pre, nest)))
             for k in range(at, at + span):
                 if down > 1:
                     held[k] = max(held.get(k, 0), down)
@@ -483,7 +579,7 @@ def _table_lines(node: Node, sheet: Sheet, shown: bool, pre: bool) -> list[str]:
             else:
                 loose = Node("div", {})
                 loose.children = [child]
-                outside.extend(_lines(loose, sheet, now, pre))
+                outside.extend(_lines(loose, sheet, now, pre, nest))
 
     walk(node, shown)
     widths: dict[int, int] = {}
@@ -526,7 +622,7 @@ def extract(source: str | None) -> str | None:
         return None
     root, styles = parse(source)
     sheet = Sheet(styles)
-    return "\n".join(_lines(root, sheet, sheet.effect(root) != "hidden", False)).replace("\xa0", " ")
+    return "\n".join(_lines(root, sheet, sheet.effect(root) != "hidden", False, -1)).replace("\xa0", " ")
 
 
 def visible_text(html: Column) -> Column:

@@ -1,4 +1,9 @@
+import re
+import time
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from linkloom.llm.html import extract, extract_pages
 
@@ -23,6 +28,13 @@ CASES = {
     "": "",
     "<p": "<p",
     "<div>" * 5000 + "deep": "deep",
+    "<div>" * 160 + "seen<div style='display:none'>HIDDEN</div>": "seen",
+    "<div>" * 5000 + "seen<div style='visibility:hidden'>HIDDEN</div>": "seen",
+    "<svg><text>chart label</text></svg><select multiple><option>A<option>B</select>": "chart label\nA\nB",
+    "<svg><title>t</title><defs><text>no</text></defs><rect/>x<g><text>a <tspan>b</tspan></text></g></svg>c": "a b\nc",
+    "<svg><path/><p>after the drawing": "after the drawing",
+    "<select size=2><optgroup label=G><option>A<option hidden>B</select>": "G\nA",
+    "<blockquote>" * 3000 + "q": "  " * 40 + "q",
 }
 
 
@@ -63,3 +75,99 @@ def test_pages(spark):
 )
 def test_rules_that_show_again(page, want):
     assert extract(page) == want
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<style>.a{display:none;content:'}'} /* .b{display:none} */</style><p class=a>x<p class=b>y", "y"),
+        ("<style>@import 'a.css'; .a{display:none}</style><p class=a>x<p>y", "y"),
+        ("<style>@media screen{.c{display:block}} .c{display:none}</style><p class=c>x<p>y", "y"),
+        ("<style>.a{color:red; &.b{display:none}} .c{display:none</style><p class='a b'>y<p class=c>x", "y"),
+        ("<style>@media print{.a{x:y} @media screen{.b{display:block}}} .b{display:none}</style><p class=b>x<p>y", "y"),
+    ],
+)
+def test_sheets_are_read_in_one_pass(page, want):
+    assert extract(page) == want
+
+
+@pytest.mark.parametrize(
+    "part",
+    ["x", "/*", "[", "a{", ".a", "@media{", "\\\"", "'"],
+)
+def test_a_broken_sheet_of_a_megabyte_takes_no_time(part):
+    began = time.perf_counter()
+    assert extract("<style>.a{display:none}" + part * (1_000_000 // len(part))) == ""
+    assert time.perf_counter() - began < 6
+
+
+@pytest.mark.parametrize("part", ["<div>", "<blockquote>x", "<ul><li>x", "<table><tr><td>x", "<svg>", "<p><b>", "<dl><dd>x", "<option>x"])
+def test_deep_pages_take_time_in_proportion(part):
+    def seconds(n):
+        began = time.perf_counter()
+        extract(part * n)
+        return time.perf_counter() - began
+
+    assert seconds(40_000) < 10 * max(seconds(10_000), 0.05)
+
+
+# A page as a tree: (tag, attributes, children), and what a reader sees of it by plain recursion.
+WORDS = st.from_regex(r"[a-z]{2,6}", fullmatch=True)
+LOOKS = {"": None, " style='display:none'": "none", " hidden": "none", " style='visibility:hidden'": False, " style='visibility:visible'": True, " class=gone": "none", " class='gone back'": None}
+INLINE, BLOCK = ("b", "i", "span", "q", "em"), ("div", "section", "blockquote", "ul", "ol", "details open", "fieldset", "table")
+
+
+def _tree(children):
+    return st.tuples(st.sampled_from(INLINE + BLOCK + ("svg", "menu-box", "template", "details")), st.sampled_from(list(LOOKS)), st.lists(children, max_size=4))
+
+
+TREES = st.recursive(WORDS, _tree, max_leaves=25)
+
+
+def _written(node):
+    if isinstance(node, str):
+        return f" {node} "
+    tag, look, children = node
+    inner = "".join(map(_written, children))
+    name = tag.split()[0]
+    if tag in ("ul", "ol"):
+        inner = "".join(f"<li>{_written(c)}" for c in children)
+    elif tag == "table":
+        inner = "<tr>" + "".join(f"<td>{_written(c)}" for c in children)
+    elif tag == "svg":
+        inner = "<rect/>lost" + "".join(f"<text>{c}</text>" if isinstance(c, str) else f"<foreignObject>{_written(c)}</foreignObject>" for c in children)
+    elif tag == "menu-box":
+        words = [c for c in children if isinstance(c, str)]
+        name, inner, look = "select", "".join(f"<option{look if k % 2 else ''}>{w}" for k, w in enumerate(words)), " multiple"
+    elif tag == "details":
+        inner = "<summary>head</summary>" + inner
+    return f"<{tag if name != 'select' else name}{look}>{inner}</{name}>"
+
+
+def _seen(node, shown):
+    """The words a reader sees."""
+    if isinstance(node, str):
+        return [node] if shown else []
+    tag, look, children = node
+    effect = LOOKS[look]
+    if tag == "menu-box":
+        words = [c for c in children if isinstance(c, str)]
+        states = [effect if k % 2 else None for k in range(len(words))]
+        return [w for w, e in zip(words, states) if e != "none" and (shown if e is None else e)]
+    if effect == "none" or tag == "template":
+        return []
+    now = shown if effect is None else effect
+    if tag == "details":
+        return ["head"] if now else []
+    return [w for c in children for w in _seen(c, now)]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(TREES, max_size=4), st.integers(0, 300))
+def test_words_equal_those_of_plain_recursion(trees, depth):
+    page = "<style>.gone{display:none} .gone.back{display:block}</style>" + "<div>" * depth + "".join(map(_written, trees))
+    want = [w for t in trees for w in _seen(t, True)]
+    got = re.findall("[a-z]+", extract(page))
+    assert sorted(got) == sorted(want)
+    if "<table" not in page:
+        assert got == want
