@@ -3,7 +3,8 @@
 Only DataFrame functions; nothing passes the driver but row counts.
 
 1.  Each source is a stream of words, its documents one after the other; the stream is cut into
-    blocks of ``block`` words.
+    blocks of one length: ``block`` words, in sources of few blocks a little less, so that the last
+    block is about as long as the others.
 2.  A source's target is its weight's part of the words to make, at most ``max_epochs`` times its
     size; what is cut off goes to the others by weight.
 3.  The output has shards of ``slots`` block slots.  Each slot draws its source with the targets
@@ -11,10 +12,12 @@ Only DataFrame functions; nothing passes the driver but row counts.
     numbered over all shards.  Draws beyond its target are handed to the sources that chance left
     short, so totals are met.
 4.  Draw j of a source is place j of a pseudorandom permutation of its blocks, a new one for each
-    time round.  Slots and blocks are joined by that index.
+    time round.  Slots and blocks are joined by that index.  A source's last place takes only as
+    many words of its block as the target still wants, so small sources meet theirs too.
 
 Streams, draws and permutations are numbered with ``running_start``: hashed chunks within a
-source, so that a source with a third of all rows is no longer task than others.  The table of
+source, so that a source with a third of all rows is no longer task than others.  The blocks of all
+sources are one range of numbers, dealt to tasks, in which each looks up its source.  The table of
 sources, one row each, is ordered in one task.  All draws are hashes of ``seed`` and positions, so
 reruns and recomputed tasks agree.
 """
@@ -38,49 +41,58 @@ BLOCK = 128
 SLOTS = 4096
 _ROWS_A_CHUNK = 5_000
 _CELLS = 1024
+_ROWS_A_TASK = 1_000_000
+#: Tables of sources up to this many rows are sent to all tasks.
+_FEW = 100_000
 
 
 @dataclass(frozen=True)
 class Mix:
-    """``docs``: _row, doc_id, _tie (hash of the text), source, size, start (in the source's stream), sid.
-    ``sources``: sid, source, source_size, target, blocks, quota.
-    ``slots``: shard, sid, epoch, place.  ``chosen``: the same slots with their block.
+    """``docs``: _row, doc_id, _tie (hash of the text), source, size, start (in the source's stream), sid,
+    length (of the source's blocks).  ``sources``: sid, source, source_size, target, length, blocks, quota.
+    ``slots``: shard, sid, epoch, place, part (words taken of the block, null for all).  ``chosen``: the same
+    slots with their block.
     """
 
     docs: DataFrame
     sources: DataFrame
     slots: DataFrame
     chosen: DataFrame
-    block: int
 
     def pieces(self) -> DataFrame:
-        """(_row, doc_id, sid, block, first, words): the part of each document in each block of its source.
+        """(_row, doc_id, sid, block, at, first, words): the part of each document in each block of its source.
 
-        ``first`` is the piece's first word, counted from 0 within the document.
+        ``first`` is the piece's first word, counted from 0 within the document, ``at`` the same within the block.
         """
-        blocks = F.sequence(F.floor(F.col("start") / self.block), F.floor((F.col("start") + F.col("size") - 1) / self.block))
-        cut = self.docs.filter("size > 0").select("_row", "doc_id", "sid", "start", "size", F.explode(blocks).alias("block"))
-        lo = F.greatest(F.col("start"), F.col("block") * self.block)
-        hi = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * self.block)
-        return cut.select("_row", "doc_id", "sid", "block", (lo - F.col("start")).alias("first"), (hi - lo).alias("words"))
+        length = F.col("length")
+        blocks = F.sequence(F.floor(F.col("start") / length), F.floor((F.col("start") + F.col("size") - 1) / length))
+        cut = self.docs.filter("size > 0").select("_row", "doc_id", "sid", "start", "size", "length", F.explode(blocks).alias("block"))
+        lo = F.greatest(F.col("start"), F.col("block") * length)
+        hi = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * length)
+        at, first = lo - F.col("block") * length, lo - F.col("start")
+        return cut.select("_row", "doc_id", "sid", "block", at.alias("at"), first.alias("first"), (hi - lo).alias("words"))
 
     def taken(self) -> DataFrame:
         """doc_id, source, size, source_size, target, taken: a row for each row of the input."""
-        times = self.chosen.groupBy("sid", "block").agg(F.count(F.lit(1)).alias("times"))
+        whole = F.count(F.when(F.col("part").isNull(), 1))
+        times = self.chosen.groupBy("sid", "block").agg(whole.alias("times"), F.max("part").alias("part"))
         words = self.pieces().join(times.hint("merge"), ["sid", "block"])  # pieces look smaller than they are
-        words = words.groupBy("_row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+        last = F.greatest(F.lit(0), F.least(F.col("words"), F.coalesce("part", F.lit(0)) - F.col("at")))
+        words = words.groupBy("_row").agg(F.sum(F.col("words") * F.col("times") + last).alias("taken"))
         known = F.broadcast(self.sources) if _few(self.sources) else self.sources
         rows = self.docs.join(words, "_row", "left").join(known.drop("source"), "sid")
         return rows.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
     def spans(self) -> DataFrame:
         """(_row, doc_id, shard, epoch, block, first, words): what the output shards consist of."""
-        used = self.chosen.select("shard", "sid", "epoch", "block")
-        return self.pieces().join(used.hint("merge"), ["sid", "block"]).drop("sid")
+        used = self.chosen.select("shard", "sid", "epoch", "block", "part")
+        words = F.when(F.col("part").isNull(), F.col("words")).otherwise(F.least(F.col("words"), F.col("part") - F.col("at")))
+        found = self.pieces().join(used.hint("merge"), ["sid", "block"]).withColumn("words", words)
+        return found.filter("words > 0").drop("sid", "at", "part")
 
 
-def _few(sources: DataFrame, limit: int = 100_000) -> bool:
-    return sources.limit(limit + 1).count() <= limit
+def _few(sources: DataFrame) -> bool:
+    return sources.limit(_FEW + 1).count() <= _FEW
 
 
 def mixing_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, max_epochs: int) -> DataFrame:
@@ -136,58 +148,81 @@ def mix(
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     sources = mixing_targets(sizes, weights, share, max_epochs)
     sources = sources.withColumn("blocks", F.ceil(F.col("source_size") / block))
-    # whole rounds take every block, the last one as many as come nearest to what is left
-    rounds = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
-    rest = F.round((F.col("target") - rounds * F.col("source_size")) / block)
-    quota = F.least(rounds * F.col("blocks") + F.least(rest, F.col("blocks")), F.col("blocks") * max_epochs).cast("long")
-    sources = stored(sources.withColumn("quota", quota))
+    length = F.when(F.col("blocks") > 0, F.ceil(F.col("source_size") / F.col("blocks"))).otherwise(F.lit(block))
+    sources = sources.withColumn("length", length.cast("long"))
+    # whole rounds take every block, the last one whole blocks and a part of one
+    goal = F.round("target").cast("long")
+    rounds = F.when(F.col("source_size") > 0, F.floor(goal / F.col("source_size"))).otherwise(F.lit(0))
+    sources = sources.withColumn("_rounds", rounds).withColumn("_rest", goal - rounds * F.col("source_size"))
+    whole = F.floor(F.col("_rest") / F.col("length"))
+    sources = sources.withColumn("part", F.col("_rest") - whole * F.col("length"))
+    quota = F.col("_rounds") * F.col("blocks") + whole + (F.col("part") > 0).cast("long")
+    sources = stored(sources.withColumn("quota", quota.cast("long")).drop("_rounds", "_rest"))
     total = sources.agg(F.sum("quota")).first()[0] or 0
-    few = _few(sources)
+    count = sources.count()
+    few = count <= _FEW
 
-    ids = sources.select("sid", F.col("source").alias("_source"))
+    ids = sources.select("sid", "length", F.col("source").alias("_source"))
     with_sid = sized.join(F.broadcast(ids) if few else ids, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     streamed = running_start(with_sid, "sid", ["doc_id", "_tie", "size"], "size", "start", _chunks(sized.count()))
-    streamed = stored(streamed.select("_row", "doc_id", "_tie", "source", "size", "start", "sid"))
+    streamed = stored(streamed.select("_row", "doc_id", "_tie", "source", "size", "start", "sid", "length"))
 
-    drawn = stored(_drawn(sources, total, slots, seed, few))
-    placed = _settled(drawn, sources, seed)
+    drawn = stored(_drawn(sources, total, slots, seed, count))
+    placed = _settled(drawn, sources, seed, count)
     round_, place = F.floor(F.col("_j") / F.col("blocks")), F.pmod("_j", "blocks")
-    known = sources.select("sid", "blocks")
+    known = sources.select("sid", "blocks", "quota", F.col("part").alias("_part"))
     placed = placed.join(F.broadcast(known) if few else known.hint("merge"), "sid")
-    placed = placed.select("shard", "sid", round_.alias("epoch"), place.alias("place"))
+    part = F.when((F.col("_j") == F.col("quota") - 1) & (F.col("_part") > 0), F.col("_part"))
+    placed = placed.select("shard", "sid", round_.alias("epoch"), place.alias("place"), part.alias("part"))
 
-    orders = sources.filter("quota > 0").select(
-        "sid", "blocks", F.explode(F.sequence(F.lit(0), F.floor((F.col("quota") - 1) / F.col("blocks")))).alias("epoch")
-    )
-    shelf = orders.select("sid", "epoch", (F.col("sid") * max_epochs + F.col("epoch")).alias("_g"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    rounds = F.ceil(F.col("quota") / F.col("blocks"))
+    shelf = _dealt(sources.filter("blocks > 0").withColumn("_n", rounds * F.col("blocks")), "_n", count)
+    epoch = F.floor(F.col("_at") / F.col("blocks"))
+    shelf = shelf.select("sid", epoch.alias("epoch"), (F.col("sid") * max_epochs + epoch).alias("_g"), F.pmod("_at", "blocks").alias("block"))
     shelf = shelf.withColumn("_hash", _draw(seed, "order", F.col("_g"), F.col("block"))).withColumn("_one", F.lit(1))
     shelf = running_start(shelf, "_g", ["_hash", "block"], "_one", "place", _chunks(total))
     chosen = placed.join(shelf.select("sid", "epoch", "place", "block").hint("merge"), ["sid", "epoch", "place"])
-    return Mix(streamed, sources, placed, stored(chosen.select("shard", "sid", "epoch", "place", "block")), block)
+    return Mix(streamed, sources, placed, stored(chosen.select("shard", "sid", "epoch", "place", "part", "block")))
 
 
-def _drawn(sources: DataFrame, total: int, slots: int, seed: int, few: bool = True) -> DataFrame:
-    """(shard, sid, n): the multinomial counts.
+def _found(numbers: DataFrame, sources: DataFrame, amount: str, total: int, count: int) -> DataFrame:
+    """``numbers`` (_u, from 0 below ``total``) with the source in whose stretch of ``amount`` numbers each falls.
 
-    A slot's number falls into the stretch of its source; stretches are looked up by cell, a table
-    of one row a source and ``_CELLS`` more, which is sent to all tasks if there are ``few`` sources.
+    Stretches are looked up by cell, a table of one row a source and one a cell, which is sent to
+    all tasks if there are few sources (``count``).  ``_at`` is the place within the stretch.
     """
-    spark = sources.sparkSession
-    width = max(1, math.ceil(total / _CELLS))
-    end = F.sum("quota").over(Window.orderBy("sid"))
-    stretches = sources.filter("quota > 0").select("sid", end.alias("_hi"), (end - F.col("quota")).alias("_lo"))
+    width = max(1, math.ceil(total / max(_CELLS, count)))
+    end = F.sum(amount).over(Window.orderBy("sid"))
+    stretches = sources.filter(F.col(amount) > 0).withColumn("_hi", end).withColumn("_lo", F.col("_hi") - F.col(amount))
     cells = F.sequence(F.floor(F.col("_lo") / width), F.floor((F.col("_hi") - 1) / width))
     stretches = stretches.withColumn("_cell", F.explode(cells))
-    shards = spark.range(math.ceil(total / slots)).withColumnRenamed("id", "shard")
+    numbers = numbers.withColumn("_cell", F.floor(F.col("_u") / width))
+    found = numbers.join(F.broadcast(stretches) if count <= _FEW else stretches.hint("merge"), "_cell")
+    return found.filter("_u >= _lo and _u < _hi").withColumn("_at", F.col("_u") - F.col("_lo")).drop("_cell", "_lo", "_hi")
+
+
+def _dealt(sources: DataFrame, amount: str, count: int) -> DataFrame:
+    """A row for each of the ``amount`` things of each source: its columns, ``_at`` and the number ``_u`` over all.
+
+    The rows are a range of numbers, so no source's things are built by one task.
+    """
+    total = sources.agg(F.sum(amount)).first()[0] or 0
+    spark = sources.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(total / _ROWS_A_TASK))
+    return _found(spark.range(0, total, 1, tasks).withColumnRenamed("id", "_u"), sources, amount, total, count)
+
+
+def _drawn(sources: DataFrame, total: int, slots: int, seed: int, count: int = 1) -> DataFrame:
+    """(shard, sid, n): the multinomial counts.  A slot's number falls into the stretch of its source."""
+    shards = sources.sparkSession.range(math.ceil(total / slots)).withColumnRenamed("id", "shard")
     last = F.least(F.lit(slots), F.lit(total) - F.col("shard") * slots) - 1
     drawn = shards.select("shard", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_slot"))
     drawn = drawn.withColumn("_u", F.pmod(_draw(seed, "source", F.col("shard"), F.col("_slot")), F.lit(max(1, total))))
-    drawn = drawn.withColumn("_cell", F.floor(F.col("_u") / width))
-    found = drawn.join(F.broadcast(stretches) if few else stretches.hint("merge"), "_cell").filter("_u >= _lo and _u < _hi")
+    found = _found(drawn, sources.select("sid", "quota"), "quota", total, count)
     return found.groupBy("shard", "sid").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _settled(drawn: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
+def _settled(drawn: DataFrame, sources: DataFrame, seed: int, count: int) -> DataFrame:
     """(shard, sid, _j): every number of every source's quota once, in the shard that drew it."""
     quotas = sources.select("sid", "quota")
     counts = running_start(drawn, "sid", ["shard"], "n", "_start", _chunks(drawn.count()))
@@ -196,12 +231,10 @@ def _settled(drawn: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
     )
     kept = numbered.filter("_j < quota").select("shard", "sid", "_j")
     # slots of sources that were drawn too often, in a random order, go to those drawn too seldom
-    got = counts.groupBy("sid").agg(F.sum("n").alias("_got"))
-    missing = quotas.join(got, "sid", "left").withColumn("_got", F.coalesce("_got", F.lit(0))).filter("quota > _got")
-    before = F.sum(F.col("quota") - F.col("_got")).over(Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, -1))
-    missing = missing.withColumn("_before", F.coalesce(before, F.lit(0)))
-    missing = missing.select("sid", "_got", "_before", F.explode(F.sequence(F.col("_got"), F.col("quota") - 1)).alias("_j"))
-    missing = missing.select("sid", "_j", (F.col("_before") + F.col("_j") - F.col("_got")).alias("_rank"))
+    got = drawn.groupBy("sid").agg(F.sum("n").alias("_got"))
+    short = quotas.join(got, "sid", "left").withColumn("_got", F.coalesce("_got", F.lit(0)))
+    short = stored(short.withColumn("_short", F.greatest(F.lit(0), F.col("quota") - F.col("_got"))))
+    missing = _dealt(short, "_short", count).select("sid", (F.col("_got") + F.col("_at")).alias("_j"), F.col("_u").alias("_rank"))
     free = numbered.filter("_j >= quota").withColumn("_hash", _draw(seed, "free", F.col("sid"), F.col("_j")))
     free = free.withColumn("_all", F.lit(0)).withColumn("_one", F.lit(1))
     free = running_start(free, "_all", ["_hash", "sid", "_j"], "_one", "_rank", 64)

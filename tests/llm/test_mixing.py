@@ -44,6 +44,31 @@ def test_every_round_takes_each_block_once(docs):
     assert all(r["count"] == 32 or r.shard == len(per_shard) - 1 for r in per_shard)
 
 
+@pytest.mark.parametrize(
+    "sizes", [{"a": [100], "b": [20]}, {"a": [100], "b": [100], "c": [100]}, {"a": [150, 50], "b": [129], "c": [3]}, {"a": [5000, 700], "b": [900], "c": [1]}]
+)
+def test_small_sources_come_near_their_targets(spark, sizes):
+    rows = [(i, s, "w " * n) for i, (s, n) in enumerate((s, n) for s, all_ in sizes.items() for n in all_)]
+    made = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, text string"))
+    got = made.taken().collect()
+    totals, taken, target = by_source(got)
+    want = brute.targets([totals[s] for s in sorted(totals)], (3, 1, 2), 1.5, 2)
+    for source, t in zip(sorted(totals), want):
+        assert target[source] == pytest.approx(t)
+        assert abs(taken[source] - t) <= 0.5 + (totals[source] % 128 and totals[source] // 128)
+    out = mixing.mixed_documents(spark.createDataFrame(rows, "doc_id long, source string, text string"), made)
+    assert out.agg(F.sum(mixing.word_count(F.col("text")))).first()[0] == sum(taken.values())
+
+
+def test_no_array_holds_the_blocks_of_a_source(spark):
+    """The blocks of one source of 4e11 words are a range of numbers dealt to many tasks."""
+    sources = spark.createDataFrame([(0, 3_200_000_000), (1, 10)], "sid int, n long")
+    dealt = mixing._dealt(sources, "n", 2)
+    assert dealt.rdd.getNumPartitions() >= 3200
+    few = mixing._dealt(spark.createDataFrame([(0, 3), (1, 0), (2, 2)], "sid int, n long"), "n", 3)
+    assert sorted((r.sid, r._at, r._u) for r in few.collect()) == [(0, 0, 0), (0, 1, 1), (0, 2, 2), (2, 0, 3), (2, 1, 4)]
+
+
 def test_draws_are_multinomial(spark):
     """Counts per shard scatter about the odds as independent draws do."""
     sources = spark.createDataFrame([(0, 60_000), (1, 30_000), (2, 10_000)], "sid int, quota long")
