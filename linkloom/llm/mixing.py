@@ -39,7 +39,6 @@ SHARE = 1.5
 MAX_EPOCHS = 2
 BLOCK = 128
 SLOTS = 4096
-_ROWS_A_CHUNK = 5_000
 _CELLS = 1024
 _ROWS_A_TASK = 1_000_000
 #: Tables of sources up to this many rows are sent to all tasks.
@@ -123,7 +122,8 @@ def _draw(seed: int, salt: str, *columns: Column) -> Column:
 
 
 def _chunks(rows: int) -> int:
-    return max(1, math.ceil(rows / _ROWS_A_CHUNK))
+    """As many chunks as rows in a chunk: neither a chunk nor the totals of a source's chunks make a long task."""
+    return max(1, math.isqrt(rows))
 
 
 def mix(
