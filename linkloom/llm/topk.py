@@ -3,16 +3,19 @@
 Dimensions are terms, rows documents, whole-number components the weights of postings.  The rows
 are packed, where they are read, into index shards of at most ``SHARD_ROWS``; a shard has the
 postings of each term and the term's smallest and largest weight.  Queries are packed likewise.
-Each (query block, shard) is one row of work, dealt out by both numbers.
+A few shards and a few query blocks are one group of work: a task holds the blocks and streams the
+shards past them, building each shard's postings once.
 
 Within a shard, a query's terms are ordered by the most they can add.  The terms that together
 cannot lift a row to the k-th best score so far are non-essential.  Postings of the essential
 terms are traversed and summed up; the others are probed term by term, largest bound first, and
-only for rows that can still compete.  The best k of each shard are merged.
+only for rows that can still compete.  The k-th best score is carried from shard to shard, and
+rises within one as soon as k rows are sure of more.  The best k of each group are merged.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +33,12 @@ SCALE = 256
 QUERY_STRIDE = 50
 SHARD_ROWS = 2048
 QUERY_ROWS = 1024
+#: Query blocks a task holds, and the most shards that it streams past them.
+GROUP_BLOCKS = 8
+GROUP_SHARDS = 8
+MAX_TASKS = 20_000
 _DENSE = 4  # a term that every fourth row has, at least, is kept as a whole column
+_NONE = -(1 << 62)  # below any score
 _PACKED = "part int, seq int, n long, ids binary, starts binary, terms binary, weights binary"
 
 
@@ -116,32 +124,40 @@ class Shard:
         else:
             total[where] += factor * weights
 
-    def best(self, own: int, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and scores of the k best for one query, its own id left out; ties go to the smaller id."""
+    def best(self, own: int, terms: np.ndarray, weights: np.ndarray, k: int, threshold: int = _NONE) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and scores of the k best for one query, its own id left out; ties go to the smaller id.
+
+        Rows below ``threshold``, a score that k rows are known to reach, are left out.
+        """
         lists = []
         for term, weight in zip(terms.tolist(), weights.tolist()):
             if term in self.postings:
-                low, high = self.bounds[term]
-                lists.append((max(weight * low, weight * high), term, weight))
+                least, most = sorted(weight * bound for bound in self.bounds[term])
+                lists.append((most, term, weight, least))
         lists.sort()
         allowed = self.ids != own
-        bounds = np.cumsum([0] + [b for b, *_ in lists])  # bounds[i]: the most that the first i lists add
-        total = np.zeros(self.n, dtype=np.int64)
-        threshold = self._seed(lists, allowed, k)
+        # the most and the least that the first i lists add together
+        bounds = np.cumsum([0] + [x[0] for x in lists])
+        floors = np.cumsum([0] + [x[3] for x in lists])
+        if threshold == _NONE:
+            threshold = self._seed(lists, allowed, k)
         # non-essential: the longest run of lists that cannot reach the threshold together
         essential = int(np.searchsorted(np.maximum.accumulate(bounds), threshold, side="left")) - 1 if threshold > 0 else 0
         essential = min(max(essential, 0), len(lists))
-        for _, term, weight in lists[essential:]:
+        total = np.zeros(self.n, dtype=np.int64)
+        for _, term, weight, _ in lists[essential:]:
             self.add(term, weight, total)
         rows = np.flatnonzero(allowed)
         scores = total[rows]
         for i in range(essential, 0, -1):
+            if len(rows) > k:  # k rows reach this, whatever the lists to come hold
+                threshold = max(threshold, int(np.partition(scores, -k)[-k] + floors[i]))
             near = scores + bounds[i] >= threshold
             if not near.all():
                 rows, scores = rows[near], scores[near]
             if not len(rows):
                 break
-            _, term, weight = lists[i - 1]
+            _, term, weight, _ = lists[i - 1]
             scores = scores + weight * self.of(term, rows)
         near = scores >= threshold
         rows, scores = rows[near], scores[near]
@@ -151,40 +167,64 @@ class Shard:
     def _seed(self, lists: list, allowed: np.ndarray, k: int) -> int:
         """A score that k rows reach: the k-th best of those that do best in the three strongest lists."""
         rough = np.zeros(self.n, dtype=np.int64)
-        for _, term, weight in lists[-3:]:
+        for _, term, weight, _ in lists[-3:]:
             self.add(term, weight, rough)
         rows = np.flatnonzero(allowed)
         if len(rows) <= k:
-            return -(1 << 62)
+            return _NONE
         some = min(len(rows), 8 * k)
         rows = np.sort(rows[np.argpartition(-rough[rows], some - 1)[:some]])
         scores = np.zeros(len(rows), dtype=np.int64)
-        for _, term, weight in lists:
+        for _, term, weight, _ in lists:
             scores += weight * self.of(term, rows)
         return int(np.sort(scores)[-k])
 
 
+class Queries:
+    """A block of queries and, for each, the best k of the shards it has met."""
+
+    def __init__(self, ids: np.ndarray, starts: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int):
+        self.ids, self.starts, self.terms, self.weights, self.k = ids, starts, terms, weights, k
+        nothing = np.empty(0, np.int64)
+        self.found, self.scores = [nothing] * len(ids), [nothing] * len(ids)
+
+    def meet(self, shard: Shard) -> None:
+        for n, (own, lo, hi) in enumerate(zip(self.ids.tolist(), self.starts[:-1].tolist(), self.starts[1:].tolist())):
+            threshold = int(self.scores[n][-1]) if len(self.scores[n]) == self.k else _NONE
+            rows, values = shard.best(own, self.terms[lo:hi], self.weights[lo:hi], self.k, threshold)
+            if len(rows):
+                found, scores = np.r_[self.found[n], shard.ids[rows]], np.r_[self.scores[n], values]
+                order = np.lexsort((found, -scores))[: self.k]
+                self.found[n], self.scores[n] = found[order], scores[order]
+
+    def told(self) -> pa.RecordBatch:
+        queries = np.repeat(self.ids, [len(x) for x in self.found])
+        columns = (queries, np.concatenate(self.found), np.concatenate(self.scores))
+        return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in columns], names=["query_id", "vec_id", "score"])
+
+
 _FOUND = "query_id long, vec_id long, score long"
+_KINDS = {"ids": np.int64, "starts": np.int64, "terms": np.int32, "weights": np.int64}
 
 
 def _searcher(k: int):
-    def unpack(row: dict, side: str) -> tuple[np.ndarray, ...]:
-        kinds = (("ids", np.int64), ("starts", np.int64), ("terms", np.int32), ("weights", np.int64))
-        return tuple(np.frombuffer(row[side + name], dtype=kind) for name, kind in kinds)
-
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come group by group, in each the query blocks before the shards."""
+        group, held = None, []
         for batch in batches:
             for place in range(len(batch)):
                 row = batch.slice(place, 1).to_pylist()[0]
-                shard = Shard(*unpack(row, "s_"))
-                ids, starts, terms, weights = unpack(row, "q_")
-                queries, found, scores = [], [], []
-                for q, lo, hi in zip(ids.tolist(), starts[:-1].tolist(), starts[1:].tolist()):
-                    rows, values = shard.best(q, terms[lo:hi], weights[lo:hi], k)
-                    queries.append(np.full(len(rows), q))
-                    found.append(shard.ids[rows])
-                    scores.append(values)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (queries, found, scores)], names=["query_id", "vec_id", "score"])
+                if (row["shards"], row["blocks"]) != group:
+                    yield from (block.told() for block in held)
+                    group, held = (row["shards"], row["blocks"]), []
+                content = [np.frombuffer(row[name], dtype=kind) for name, kind in _KINDS.items()]
+                if row["is_shard"]:
+                    shard = Shard(*content)
+                    for block in held:
+                        block.meet(shard)
+                else:
+                    held.append(Queries(*content, k))
+        yield from (block.told() for block in held)
 
     return search
 
@@ -204,12 +244,15 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = K) -> DataFrame:
     n_shards, n_blocks = shards.count(), blocks.count()
     if not n_shards or not n_blocks:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    kinds = ("ids", "starts", "terms", "weights")
-    left = shards.select("shard", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"), *[F.col(c).alias("s_" + c) for c in kinds])
-    right = blocks.select("block", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"), *[F.col(c).alias("q_" + c) for c in kinds])
-    # exploded tables look small to Spark; without the hint it would broadcast one
-    work = left.join(right.hint("merge"), ["block", "shard"]).drop("block", "shard")
-    found = work.mapInArrow(_searcher(k), _FOUND)
+    block_groups = math.ceil(n_blocks / GROUP_BLOCKS)
+    # as many shards a group as leave work for every core
+    a_group = min(GROUP_SHARDS, max(1, n_shards * block_groups // rows.sparkSession.sparkContext.defaultParallelism))
+    shard_groups = math.ceil(n_shards / a_group)
+    every_shards, every_blocks = (F.explode(F.sequence(F.lit(0), F.lit(n - 1))) for n in (shard_groups, block_groups))
+    left = blocks.select(every_shards.alias("shards"), F.floor(F.col("block") / GROUP_BLOCKS).cast("int").alias("blocks"), F.lit(False).alias("is_shard"), *_KINDS)
+    right = shards.select(F.floor(F.col("shard") / a_group).cast("int").alias("shards"), every_blocks.alias("blocks"), F.lit(True).alias("is_shard"), *_KINDS)
+    work = left.unionByName(right).repartition(min(MAX_TASKS, shard_groups * block_groups), "shards", "blocks")
+    found = work.sortWithinPartitions("shards", "blocks", "is_shard").mapInArrow(_searcher(k), _FOUND)
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
