@@ -11,7 +11,8 @@ halving radii.  Two trees are traversed together:
 * otherwise the larger node is opened; two leaves are compared by their products.
 
 A node whose next level would be mostly single points has nothing left to prune with and stays a
-leaf.  Tasks return link counts and ties linear in their vectors, never the pairs.
+leaf.  A block's tree is built once and stored with its vectors; the tasks that compare the block
+with others read it.  They return link counts and ties linear in their vectors, never the pairs.
 """
 
 from __future__ import annotations
@@ -42,12 +43,12 @@ _SLACK = 1e-7  # bounds decide only where rounding, of some 2e-8 in a distance n
 
 
 class Tree:
-    """Node: center, covering radius, members, children.  Members are row numbers of ``unit``."""
+    """Node: center and its row, covering radius, members, children.  Members are row numbers of ``unit``."""
 
-    __slots__ = ("center", "radius", "members", "children")
+    __slots__ = ("row", "center", "radius", "members", "children")
 
     def __init__(self, unit: np.ndarray, members: np.ndarray, center: int, scale: float, floor: float):
-        self.center, self.members = unit[center], members
+        self.row, self.center, self.members = int(center), unit[center], members
         far = _distance(unit[members], self.center)
         self.radius = float(far.max())
         self.children: list[Tree] = []
@@ -75,12 +76,58 @@ def _distance(rows: np.ndarray, one: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (rows @ one)))
 
 
+def block_tree(unit: np.ndarray, threshold: float) -> Tree:
+    """The tree of a block; nodes whose members all link need no children."""
+    return Tree(unit, np.arange(len(unit)), 0, 2.0, _reach(threshold) / 2)
+
+
+def _reach(threshold: float) -> float:
+    """The distance of unit vectors whose cosine is ``threshold``."""
+    return math.sqrt(max(0.0, 2.0 - 2.0 * threshold))
+
+
+def tree_bytes(tree: Tree) -> bytes:
+    """The nodes from the top, each before its children: center, radius, children; members of leaves."""
+    nodes, members, todo = [], [], [tree]
+    while todo:
+        node = todo.pop()
+        todo += reversed(node.children)
+        nodes.append((node.row, node.radius, len(node.children), 0 if node.children else len(node.members)))
+        if not node.children:
+            members.append(node.members)
+    rows, radii, below, held = zip(*nodes)
+    head = np.array([len(nodes), *rows, *below, *held], dtype=np.int64)
+    return head.tobytes() + np.array(radii).tobytes() + np.concatenate(members).astype(np.int64).tobytes()
+
+
+def tree_from(data: bytes, unit: np.ndarray) -> Tree:
+    """The tree that ``tree_bytes`` wrote, over the same vectors."""
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    rows, below, held = (x.tolist() for x in np.frombuffer(data, np.int64, 3 * n, 8).reshape(3, n))
+    radii = np.frombuffer(data, np.float64, n, 8 + 24 * n).tolist()
+    members = np.frombuffer(data, np.int64, offset=8 + 32 * n)
+    end = len(members)
+    done: list[Tree] = []  # finished subtrees, those of a node's children on top
+    for i in range(n - 1, -1, -1):
+        node = Tree.__new__(Tree)
+        node.row, node.center, node.radius = rows[i], unit[rows[i]], radii[i]
+        if below[i]:
+            node.children = done[: -below[i] - 1 : -1]
+            del done[-below[i] :]
+            node.members = np.concatenate([c.members for c in node.children])
+        else:
+            node.children, node.members = [], members[end - held[i] : end]
+            end -= held[i]
+        done.append(node)
+    return done[0]
+
+
 class Links:
     """Counts of links and least ties between the rows of two blocks (or one)."""
 
     def __init__(self, a: np.ndarray, b: np.ndarray, copies_a: np.ndarray, copies_b: np.ndarray, same: bool, threshold: float):
         self.a, self.b, self.copies_a, self.copies_b, self.same, self.threshold = a, b, copies_a, copies_b, same, threshold
-        self.reach = math.sqrt(max(0.0, 2.0 - 2.0 * threshold))
+        self.reach = _reach(threshold)
         self.count_a, self.count_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
         self.shift = 0 if same else len(a)  # rows of b are numbered after those of a
         self.left, self.right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]  # ties
@@ -142,12 +189,12 @@ class Links:
         self.right.append(to[some != to])
 
 
-def link_blocks(a: np.ndarray, b: np.ndarray, copies_a: np.ndarray, copies_b: np.ndarray, same: bool, threshold: float) -> Links:
+def link_blocks(
+    a: np.ndarray, b: np.ndarray, copies_a: np.ndarray, copies_b: np.ndarray, tree_a: Tree, tree_b: Tree, same: bool, threshold: float
+) -> Links:
     """Links within a block of unit vectors (``same``) or between two."""
     links = Links(a, b, copies_a, copies_b, same, threshold)
-    floor = links.reach / 2
-    tree = Tree(a, np.arange(len(a)), 0, 2.0, floor)
-    links.traverse(tree, tree if same else Tree(b, np.arange(len(b)), 0, 2.0, floor))
+    links.traverse(tree_a, tree_a if same else tree_b)
     return links
 
 
@@ -188,17 +235,21 @@ def _to_cells(rows: pa.Table, centers: pa.Table) -> pa.Table:
     return out.append_column("cell", pa.array(cell))
 
 
-def _to_block(rows: pa.Table) -> pa.Table:
-    """One row for a block: unit vectors in one piece, their mean direction and covering radius."""
-    rows = rows.sort_by("rep")
-    unit = _unit(rows)
-    middle = unit.mean(axis=0)
-    length = np.linalg.norm(middle)
-    middle = middle / length if length > 0 else unit[0]
-    head = {n: pa.array([rows.column(n)[0].as_py()], pa.int32()) for n in ("label", "dim", "cell", "part")}
-    body = {n: pa.array([rows.column(n).to_numpy().astype(np.int64).tobytes()], pa.binary()) for n in ("rep", "copies")}
-    ball = {"middle": pa.array([middle.tolist()], pa.list_(pa.float64())), "radius": pa.array([float(_distance(unit, middle).max())])}
-    return pa.table({**head, **ball, **body, "unit": pa.array([unit.tobytes()], pa.binary())})
+def _to_block(threshold: float):
+    def made(rows: pa.Table) -> pa.Table:
+        """One row for a block: unit vectors in one piece, their tree, mean direction and covering radius."""
+        rows = rows.sort_by("rep")
+        unit = _unit(rows)
+        middle = unit.mean(axis=0)
+        length = np.linalg.norm(middle)
+        middle = middle / length if length > 0 else unit[0]
+        head = {n: pa.array([rows.column(n)[0].as_py()], pa.int32()) for n in ("label", "dim", "cell", "part")}
+        body = {n: rows.column(n).to_numpy().astype(np.int64).tobytes() for n in ("rep", "copies")}
+        body |= {"unit": unit.tobytes(), "tree": tree_bytes(block_tree(unit, threshold))}
+        ball = {"middle": pa.array([middle.tolist()], pa.list_(pa.float64())), "radius": pa.array([float(_distance(unit, middle).max())])}
+        return pa.table({**head, **ball, **{n: pa.array([x], pa.binary()) for n, x in body.items()}})
+
+    return made
 
 
 def _traverse(threshold: float):
@@ -208,7 +259,8 @@ def _traverse(threshold: float):
                 row = batch.slice(place, 1).to_pylist()[0]
                 reps, copies, units = ([np.frombuffer(row[f"{s}_{n}"], dtype=t) for s in "ab"] for n, t in (("rep", np.int64), ("copies", np.int64), ("unit", np.float64)))
                 units = [u.reshape(len(r), -1) for u, r in zip(units, reps)]
-                links = link_blocks(*units, *copies, row["same"], threshold)
+                trees = [tree_from(row[f"{s}_tree"], u) for s, u in zip("ab", units)]
+                links = link_blocks(*units, *copies, *trees, row["same"], threshold)
                 names = reps[0] if links.same else np.r_[reps[0], reps[1]]
                 counts = links.count_a if links.same else np.r_[links.count_a, links.count_b]
                 left, right = names[np.concatenate(links.left)], names[np.concatenate(links.right)]
@@ -258,7 +310,8 @@ def linked_vectors(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     parts = cells.groupBy(*key, "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
     dealt = cells.join(stored(parts), [*key, "cell"]).withColumn("part", F.pmod(F.xxhash64("rep", F.lit(3)), F.col("parts")).cast("int"))
     blocks = dealt.drop("parts").groupBy(*key, "cell", "part")
-    blocks = blocks.applyInArrow(_to_block, f"{_KEY}, cell int, part int, middle array<double>, radius double, rep binary, copies binary, unit binary")
+    kinds = "middle array<double>, radius double, rep binary, copies binary, unit binary, tree binary"
+    blocks = blocks.applyInArrow(_to_block(threshold), f"{_KEY}, cell int, part int, {kinds}")
     blocks = stored(blocks.withColumn("block", F.struct("cell", "part")).drop("cell", "part"))
 
     work = _block_pairs(blocks, threshold)
@@ -280,7 +333,7 @@ def linked_vectors(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def _block_pairs(blocks: DataFrame, threshold: float) -> DataFrame:
     """Work for each pair of blocks of a label whose balls come close enough, a block with itself included."""
-    reach = math.sqrt(max(0.0, 2.0 - 2.0 * threshold)) + _SLACK
+    reach = _reach(threshold) + _SLACK
     key = ["label", "dim"]
     balls = blocks.select(*key, "block", "middle", "radius")
     a, b = (balls.select(*key, *[F.col(c).alias(f"{s}_{c}") for c in ("block", "middle", "radius")]) for s in "ab")
@@ -289,7 +342,7 @@ def _block_pairs(blocks: DataFrame, threshold: float) -> DataFrame:
     same = F.col("a_block") == F.col("b_block")
     near = a.join(b, key).filter("a_block <= b_block").filter(same | (apart <= F.col("a_radius") + F.col("b_radius") + reach))
     near = near.select(*key, "a_block", "b_block", same.alias("same"))
-    content = ("rep", "copies", "unit")
+    content = ("rep", "copies", "unit", "tree")
     for s in "ab":
         side = blocks.select(*key, F.col("block").alias(f"{s}_block"), *[F.col(c).alias(f"{s}_{c}") for c in content])
         near = near.join(side, [*key, f"{s}_block"])

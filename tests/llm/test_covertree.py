@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from linkloom.llm import covertree
@@ -41,11 +42,44 @@ def test_trees_of_one_process_equal_products(monkeypatch):
     unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
     ones = np.ones(len(unit), dtype=np.int64)
     linked = unit @ unit.T >= 0.93
-    assert (covertree.link_blocks(unit, unit, ones, ones, True, 0.93).count_a == linked.sum(1) - 1).all()
-    half = covertree.link_blocks(unit[:300], unit[300:], ones[:300], ones[300:], False, 0.93)
+    tree = covertree.block_tree(unit, 0.93)
+    assert len(tree.children) > 1
+    assert (covertree.link_blocks(unit, unit, ones, ones, tree, tree, True, 0.93).count_a == linked.sum(1) - 1).all()
+    parts = unit[:300], unit[300:]
+    trees = [covertree.block_tree(u, 0.93) for u in parts]
+    half = covertree.link_blocks(*parts, ones[:300], ones[300:], *trees, False, 0.93)
     assert (half.count_a == linked[:300, 300:].sum(1)).all() and (half.count_b == linked[:300, 300:].sum(0)).all()
 
 
+@pytest.mark.parametrize("leaf", [1, 3, 1000])
+def test_a_stored_tree_is_the_tree(monkeypatch, leaf):
+    monkeypatch.setattr(covertree, "LEAF", leaf)
+    rows = np.array([v for _, _, v in vectors()])
+    unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    built = covertree.block_tree(unit, 0.93)
+    todo, nodes = [(built, covertree.tree_from(covertree.tree_bytes(built), unit))], 0
+    while todo:
+        x, y = todo.pop()
+        nodes += 1
+        assert x.row == y.row and (x.center == y.center).all() and x.radius == y.radius
+        assert sorted(x.members.tolist()) == sorted(y.members.tolist()) and len(x.children) == len(y.children)
+        todo += zip(x.children, y.children)
+    assert nodes == 1 if leaf == 1000 else nodes > 50
+
+
+def test_comparing_blocks_builds_no_tree(monkeypatch):
+    """The work of a pair of blocks holds both trees."""
+    unit = [covertree._unit(pa.table({"v": [v for _, _, v in vectors()][n : n + 60]})) for n in (0, 60)]
+    row = {"same": False}
+    for s, u, first in zip("ab", unit, (0, 100)):
+        ids, tree = np.arange(first, first + 60), covertree.tree_bytes(covertree.block_tree(u, 0.93))
+        row |= {f"{s}_rep": ids.tobytes(), f"{s}_copies": np.ones(60, np.int64).tobytes(), f"{s}_unit": u.tobytes(), f"{s}_tree": tree}
+    monkeypatch.setattr(covertree.Tree, "__init__", lambda *a: pytest.fail("a tree was built"))
+    told = list(covertree._traverse(0.93)(iter([pa.RecordBatch.from_pylist([row])])))
+    linked = unit[0] @ unit[1].T >= 0.93
+    assert sum(told[0].column("links").to_pylist()) == 2 * linked.sum()
+
+
 def test_edge_cases(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, 0, [1.0, 0.0]), (2, 0, [1.0, 0.0]), (2, 0, [1.0, 0.0]), (3, None, [1.0, 0.0]), (4, 0, None), (5, 0, [0.0, 0.0]), (6, 0, [nan, 1.0])]
