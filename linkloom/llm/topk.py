@@ -32,6 +32,9 @@ K = 5
 SCALE = 256
 QUERY_STRIDE = 50
 SHARD_ROWS = 2048
+#: A small table gets smaller shards, so that it still makes about so many, but none below LEAST_ROWS.
+SHARDS = 16
+LEAST_ROWS = 64
 QUERY_ROWS = 1024
 #: Query blocks a task holds, and the most shards that it streams past them.
 GROUP_BLOCKS = 8
@@ -232,15 +235,15 @@ def _searcher(k: int):
 # -- the operator -------------------------------------------------------------------------------------
 
 
-def top_k(queries: DataFrame, rows: DataFrame, k: int = K) -> DataFrame:
+def top_k(queries: DataFrame, rows: DataFrame, k: int = K, shard_rows: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows with the largest inner product for each query.
 
     Both sides are (id long, weights array<long>); shorter vectors count as filled up with 0.
     Rows whose id is the query's are not its candidates.  Ties go to the smaller id; where there
     are fewer rows than k, all are told.  Repeated rows are rows of their own.  Nulls, in ids or
-    in weights, are to be left out before.
+    in weights, are to be left out before.  A shard has ``shard_rows`` rows at most.
     """
-    shards, blocks = packed(rows, SHARD_ROWS, "shard"), packed(queries, QUERY_ROWS, "block")
+    shards, blocks = packed(rows, shard_rows or SHARD_ROWS, "shard"), packed(queries, QUERY_ROWS, "block")
     n_shards, n_blocks = shards.count(), blocks.count()
     if not n_shards or not n_blocks:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
@@ -265,9 +268,11 @@ def whole_weights(vector: Column, scale: int = SCALE) -> Column:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), whole_weights(col("embedding")).alias("weights"))
+    vectors = table(spark, sf_dir, "embeddings")
+    shard_rows = min(SHARD_ROWS, max(LEAST_ROWS, math.ceil(vectors.count() / SHARDS)))  # counted from the files' footers
+    rows = vectors.select(F.col("vec_id").alias("id"), whole_weights(col("embedding")).alias("weights"))
     rows = rows.filter("id is not null and weights is not null")
-    return top_k(rows.filter(F.col("id") % QUERY_STRIDE == 0), rows)
+    return top_k(rows.filter(F.col("id") % QUERY_STRIDE == 0), rows, shard_rows=shard_rows)
 
 
 SQL = f"""
