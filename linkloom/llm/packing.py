@@ -9,6 +9,9 @@ are dealt by hash into groups of about ``group_rows`` rows, each packed by one t
   sequence with attention.  Large bins spread the overhead, small ones save attention, and near
   the end, when little is left, a bin is no larger than it can be filled;
 * at last each bin is cut down to the smallest capacity that holds what it got.
+
+Groups and ties go by doc_id, text and, among repeated rows, a number, so the bins do not depend on
+how the input is split among files.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from linkloom.llm.common import WORD, table, word_count
 from linkloom.session import stored
@@ -77,6 +81,22 @@ def best_fit(
     return bins, offsets, [capacities[bisect_left(capacities, f)] for f in filled]
 
 
+def _marked(sized: DataFrame) -> DataFrame:
+    """Add ``_mark``, which tells the rows apart: ``_same``, and among its rows their number.
+
+    Rows with one doc_id and text are counted by partition of ``_row`` first, so no task gets all copies of one.
+    """
+    sized = sized.withColumn("_from", F.shiftright("_row", 33))
+    here = Window.partitionBy("_same", "_from").orderBy("_row")
+    sized = sized.withColumn("_number", F.row_number().over(here))
+    before = Window.partitionBy("_s").orderBy("_f").rowsBetween(Window.unboundedPreceding, -1)
+    counts = sized.groupBy(F.col("_same").alias("_s"), F.col("_from").alias("_f")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumn("_before", F.sum("_n").over(before)).filter("_before > 0").select("_s", "_f", "_before")
+    found = sized.join(counts, (F.col("_same") == F.col("_s")) & (F.col("_from") == F.col("_f")), "left")
+    number = F.col("_number") + F.coalesce("_before", F.lit(0))
+    return found.withColumn("_mark", F.xxhash64("_same", number)).drop("_s", "_f", "_before", "_number", "_from", "_same")
+
+
 def pack(
     docs: DataFrame,
     capacities: Sequence[int] = CAPACITIES,
@@ -94,16 +114,19 @@ def pack(
     """
     largest = max(capacities)
     read = ["doc_id", "text"] if texts else ["doc_id"]
-    sized = stored(docs.select(F.monotonically_increasing_id().alias("_row"), *read, word_count(F.col("text")).alias("size")))
+    same = F.xxhash64("doc_id", "text")
+    sized = stored(docs.select(F.monotonically_increasing_id().alias("_row"), *read, word_count(F.col("text")).alias("size"), same.alias("_same")))
     parts = F.sequence(F.lit(0).cast("long"), F.floor((F.col("size") - 1) / largest))
-    pieces = sized.filter("size > 0").select("_row", "doc_id", "size", F.explode(parts).alias("part"))
+    pieces = _marked(sized.filter("size > 0").select("_row", "_same", "doc_id", "size"))
+    pieces = pieces.select("_row", "_mark", "doc_id", "size", F.explode(parts).alias("part"))
     words = F.least(F.lit(largest), F.col("size") - F.col("part") * largest).cast("long")
-    pieces = pieces.select("_row", "doc_id", "part", (F.col("part") * largest).alias("first_word"), words.alias("n_words"))
-    groups = max(1, math.ceil(pieces.count() / group_rows))
-    pieces = pieces.withColumn("_group", F.pmod(F.xxhash64("_row", "part"), F.lit(groups)))
+    pieces = pieces.select("_row", "_mark", "doc_id", "part", (F.col("part") * largest).alias("first_word"), words.alias("n_words"))
+    needed = sized.agg(F.sum(F.ceil(F.col("size") / largest))).first()[0] or 0
+    groups = max(1, math.ceil(needed / group_rows))
+    pieces = pieces.withColumn("_group", F.pmod(F.xxhash64("_mark", "part"), F.lit(groups)))
 
     def fill(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["_row", "part"])
+        rows = rows.sort_values(["_mark", "part"])
         bins, offsets, made = best_fit(rows["n_words"].tolist(), capacities, overhead, quadratic)
         group = int(rows["_group"].iloc[0])
         return rows[["_row", "part", "first_word", "n_words"]].assign(

@@ -21,6 +21,9 @@ from linkloom.llm.common import col, fresh, running_start, table
 from linkloom.session import stored
 
 SHARD_BYTES = 16 << 20
+#: A small corpus gets smaller shards, so that it still makes about so many, but none below LEAST_BYTES.
+SHARDS = 64
+LEAST_BYTES = 64 << 10
 BITS = 32
 _SPARE_BITS = 3
 
@@ -37,13 +40,12 @@ def _leaves(cells: DataFrame, low: int, high: int, limit: int) -> DataFrame:
     return cells.select("cell").join(fits, "cell", "left").select("cell", F.col("leaf.depth").alias("depth"), F.col("leaf.total").alias("bytes"))
 
 
-def directory(sized: DataFrame, limit: int) -> tuple[int, DataFrame, DataFrame]:
-    """Bits and rows of the directory of ``sized`` (hash, bytes), and the rows below its full entries.
+def directory(sized: DataFrame, limit: int, total: int) -> tuple[int, DataFrame, DataFrame]:
+    """Bits and rows of the directory of ``sized`` (hash, bytes), ``total`` bytes, and the rows below its full entries.
 
     The first table is (cell, depth, bytes), the second (hash, depth, bytes) for cells that do not
     fit; a null depth there means overflow pages.
     """
-    total = sized.agg(F.sum("bytes")).first()[0] or 0
     bits = min(BITS, max(0, math.ceil(math.log2(max(1, total / limit)))) + _SPARE_BITS)
     cell = F.shiftright("hash", BITS - bits)
     cells = stored(sized.groupBy(cell.alias("cell")).agg(F.sum("bytes").alias("bytes")))
@@ -54,9 +56,11 @@ def directory(sized: DataFrame, limit: int) -> tuple[int, DataFrame, DataFrame]:
     return bits, top, stored(_leaves(rest, bits + 1, BITS, limit)) if bits < BITS else top.limit(0)
 
 
-def assign(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
+def assign(docs: DataFrame, limit: int = SHARD_BYTES, shards: int = 1) -> DataFrame:
     """``docs`` with shard, depth, n_bytes and shard_bytes.
 
+    ``limit`` is lowered to the corpus' bytes over ``shards``, but not below ``LEAST_BYTES``.
+
     ``shard`` is ``b`` and the prefix's bits, of an overflow page also its name; ``n_bytes`` the
     length of the text in UTF-8, 0 for null.  A null doc_id hashes like the empty text.  A text
     longer than the limit ends alone or with empty ones in a shard above the limit.
@@ -67,7 +71,10 @@ def assign(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
     hashed = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 8), 16, 10)
     rows = docs.withColumn(h, hashed.cast("long")).withColumn(size, F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
     sized = stored(rows.select(col(h).alias("hash"), col(size).alias("bytes")))
-    bits, top, below = directory(sized, limit)
+    total = sized.agg(F.sum("bytes")).first()[0] or 0
+    if shards > 1:
+        limit = min(limit, max(LEAST_BYTES, total // shards))
+    bits, top, below = directory(sized, limit, total)
 
     def found(left: DataFrame, entries: DataFrame, key: str, how: str) -> DataFrame:
         entries = entries.select(F.col("cell").alias("_entry"), F.col("depth").alias("_depth"), F.col("bytes").alias("_bytes"))
@@ -106,7 +113,7 @@ def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES) -> None:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return assign(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    return assign(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=SHARDS).drop("text")
 
 
 SQL = f"""
@@ -114,11 +121,14 @@ with sized as (
     select doc_id, cast(strlen(coalesce(text, '')) as bigint) as n_bytes,
            cast('0x' || substr(md5(cast(doc_id as varchar)), 1, 8) as bigint) as h
     from documents
+), bound as (
+    select least({SHARD_BYTES}, greatest({LEAST_BYTES}, sum(n_bytes) // {SHARDS})) as most from sized
 ), levels as (
     select s.*, d.depth, s.h >> ({BITS} - d.depth) as prefix
     from sized s, (select unnest(range(0, {BITS + 1})) as depth) d
 ), sums as (
-    select depth, prefix, sum(n_bytes) as total from levels group by depth, prefix having sum(n_bytes) <= {SHARD_BYTES}
+    select depth, prefix, sum(n_bytes) as total from levels group by depth, prefix
+    having sum(n_bytes) <= (select most from bound)
 ), leaves as (
     select l.doc_id, l.h, l.n_bytes, l.depth, l.prefix, u.total,
            row_number() over (partition by l.doc_id order by l.depth) as k

@@ -238,3 +238,25 @@ def repair(rows):
         audit,
         "\n".join(lines),
     )
+
+
+def best_fit(sizes, capacities, overhead, quadratic):
+    """Bin and offset of each size, and the bins' capacities, by looking at every bin for every size.
+
+    Of bins with equal room the one touched last is taken.
+    """
+    price = {c: overhead + c + c * c / quadratic for c in capacities}
+    left, bins, places = sum(sizes), [], {}
+    for k in sorted(range(len(sizes)), key=lambda k: (-sizes[k], k)):
+        fitting = [b for b in bins if b["opened"] - b["filled"] >= sizes[k]]
+        if fitting:
+            b = min(fitting, key=lambda b: (b["opened"] - b["filled"], -b["touched"]))
+        else:
+            able = [c for c in sorted(capacities) if c >= sizes[k]]
+            b = {"name": len(bins), "opened": min(able, key=lambda c: price[c] / min(c, left)), "filled": 0}
+            bins.append(b)
+        places[k] = b["name"], b["filled"]
+        b["filled"], b["touched"] = b["filled"] + sizes[k], len(places)
+        left -= sizes[k]
+    made = [min(c for c in capacities if c >= b["filled"]) for b in bins]
+    return [places[k][0] for k in range(len(sizes))], [places[k][1] for k in range(len(sizes))], made

@@ -40,6 +40,41 @@ def test_best_fit_takes_the_tightest_bin():
     assert bins[0] == bins[2] and bins[1] == bins[3] and made == [100, 64]
 
 
+@pytest.mark.parametrize("seed", range(12))
+def test_best_fit_equals_looking_at_every_bin(seed):
+    dice = random.Random(seed)
+    capacities = dice.choice([(64, 128, 256), (256,), (16, 100, 200, 256)])
+    sizes = [dice.choice([1, 2, 40, 64, 100, 128, 200, 256, dice.randint(1, 256)]) for _ in range(dice.randint(0, 300))]
+    overhead, quadratic = dice.choice([(8.0, 512.0), (1000.0, 1e9), (0.0, 64.0)])
+    sizes = [min(s, max(capacities)) for s in sizes]
+    assert packing.best_fit(sizes, capacities, overhead, quadratic) == brute.best_fit(sizes, capacities, overhead, quadratic)
+
+
+def test_each_group_of_the_query_is_packed_like_brute_force(docs):
+    """Pieces, told by their own words, and bins of every group; the least sequence of the group is as cheap."""
+    rows = packing.pack(docs, capacities=(64, 256, 512), group_rows=40).filter("bin is not null").collect()
+    sizes = {r.doc_id: len(brute.WORD.findall(r.text or "")) for r in docs.collect()}
+    cut = {(i, p): (p * 512, min(512, n - p * 512)) for i, n in sizes.items() for p in range(-(-n // 512))}
+    assert {(r.doc_id, r.part): (r.first_word, r.n_words) for r in rows} == cut and len(rows) == len(cut)
+    groups = {}
+    for r in rows:
+        groups.setdefault(r.bin.split("-")[0], []).append(r)
+    assert len(groups) > 3
+    for held in groups.values():
+        bins = {}
+        for r in held:
+            bins.setdefault((r.bin, r.capacity), []).append(r.n_words)
+        *_, made = brute.best_fit([r.n_words for r in held], (64, 256, 512), packing.OVERHEAD, packing.QUADRATIC)
+        assert sum(c for _, c in bins) == sum(made) and len(bins) == len(made)
+
+
+def test_bins_do_not_hang_on_the_split_of_the_input(docs, edge):
+    for df in (docs, edge.unionByName(edge).unionByName(edge)):
+        packed = [packing.pack(x, capacities=(32, 64), group_rows=40, texts=True).drop("_row") for x in (df.repartition(7), df.coalesce(1), df.orderBy("text"))]
+        first, *others = (sorted(map(repr, x.collect())) for x in packed)
+        assert all(first == other for other in others) and len(first) > df.count()
+
+
 def test_every_word_has_one_place(docs, edge):
     for df in (docs, edge):
         packed = packing.pack(df, capacities=(32, 64), group_rows=50)
@@ -87,6 +122,14 @@ def test_shards_equal_splitting_one_by_one(docs, limit):
     assert got == split(rows, limit)
 
 
+def test_a_small_corpus_is_split_too(docs, monkeypatch):
+    monkeypatch.setattr(sharding, "LEAST_BYTES", 10_000)
+    rows = [(r.doc_id, len((r.text or "").encode())) for r in docs.collect()]
+    got = {r.doc_id: (r.shard, r.depth, r.n_bytes, r.shard_bytes) for r in sharding.assign(docs, shards=20).collect()}
+    assert got == split(rows, sum(n for _, n in rows) // 20)
+    assert len({shard for shard, *_ in got.values()}) >= 20 and len({depth for _, depth, *_ in got.values()}) > 1
+
+
 def test_rows_of_one_id_get_overflow_pages(docs):
     same = docs.select(F.lit(5).cast("long").alias("doc_id"), "text", F.col("lang").alias("shard"))
     got = sharding.assign(same, 30_000)
