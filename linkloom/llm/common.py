@@ -50,7 +50,10 @@ def col(name: str) -> Column:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the shared checkpoint folder; Spark's cleaner drops the copy when unused."""
+    """Cut the lineage in the shared checkpoint folder.
+
+    Copies stay there unless the session sets ``spark.cleaner.referenceTracking.cleanCheckpoints``.
+    """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 

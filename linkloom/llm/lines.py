@@ -6,7 +6,8 @@ A line's key is a 128-bit digest of the line, stripped and with A-Z lowered.  Th
 * ``counts``: for each key the number of documents that hold it and the largest of their ids;
 * ``filters``: for each shard of the keys a cuckoo filter of the keys that are *repeated*.
 
-Documents are added and removed in batches; each step touches only the keys concerned.  A cuckoo
+Documents are added and removed in batches.  A step looks only at the keys of its batch, but writes
+the tables that it changes anew as a whole: ``counts`` on insertion, both on deletion.  A cuckoo
 filter, unlike a Bloom filter, can drop a key again when its count falls.  To tell which lines go,
 references meet the filter of their shard, and only those it lets through (the repeated ones and
 a few false alarms) are joined with the exact counts.  No filter error reaches a result.
