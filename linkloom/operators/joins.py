@@ -85,6 +85,45 @@ def lookup_join(df: DataFrame, lookup: DataFrame, key: str, how: str = "left", s
     return joined.drop("_spread_key", "_lookup_key")
 
 
+def in_all_partitions(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows laid out by key over as many partitions as the session shuffles into.
+
+    AQE merges the partitions of its own shuffles by their compressed size.  Texts that compress
+    well then fill a task's memory with many times that; a layout by number is left as it is.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+#: Rows of either side that one block of ``product_join`` takes.
+BLOCK_ROWS = 1000
+
+
+def product_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Inner join on a text column, for keys that both sides repeat so often that the matches outgrow the rows.
+
+    The rows of a key are dealt into blocks of about ``BLOCK_ROWS`` on either side and every pair of
+    blocks is joined by itself, so the matches of one key are made by all tasks.  A row is copied
+    once for each block of the other side: matches divided by ``BLOCK_ROWS``.  Both sides are read twice.
+    """
+
+    def blocks(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias(name))
+
+    grid = blocks(left, "_lefts").join(blocks(right, "_rights"), key)
+
+    def dealt(df: DataFrame, mine: str, others: str, block: str, copy: str) -> DataFrame:
+        columns = [F.col(f"`{c}`") for c in df.columns]
+        own = F.pmod(F.xxhash64(*columns), F.col(mine)).cast("int").alias(block)
+        rows = lookup_join(df, grid, key, "inner").select(*columns, own, others)
+        copied = rows.withColumn(copy, F.explode(F.sequence(F.lit(0), F.col(others) - 1))).drop(others)
+        return in_all_partitions(copied, key, "_left", "_right")
+
+    pairs = dealt(left, "_lefts", "_rights", "_left", "_right").join(
+        dealt(right, "_rights", "_lefts", "_right", "_left"), [key, "_left", "_right"]
+    )
+    return pairs.drop("_left", "_right")
+
+
 def keep_keys(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     """Rows whose key occurs in the only column of ``keys``."""
     return _on_key(df, key, keys, "left_semi")

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions.identifiers import derived_id, is_uuid, strip
-from linkloom.operators.joins import broadcastable, drop_keys, lookup_join
+from linkloom.operators.joins import broadcastable, drop_keys, lookup_join, product_join
+from linkloom.session import stored
 
 MATCHES = (1, 2, 3)
 BUCKETS = {"one": "exactly_one_true", "none": "all_false", "many": "more_than_one_true"}
@@ -117,7 +118,8 @@ def assertions_for_keys(
 
 def build_org_links(chosen: DataFrame, by_key: DataFrame, by_title: DataFrame) -> DataFrame:
     """New bridge rows: chosen match x assertion x organisation."""
-    linked = lookup_join(chosen, by_title, "title", "inner").join(by_key, "dataset_key")
+    # a dataset may have many chosen matches and many assertions, and each pair of them is a link
+    linked = product_join(stored(lookup_join(chosen, by_title, "title", "inner")), stored(by_key), "dataset_key")
     return linked.select(
         derived_id(
             F.lit("assertionAffiliation"),

@@ -203,3 +203,25 @@ def test_paper_lines_are_parsed_once(spark):
     for df in (papers.load_papers(lines), papers.parse_papers(lines)[1]):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert 1 <= plan.count("from_json") <= 5
+
+
+def test_links_of_one_key_are_made_by_all_tasks(spark, conf):
+    """A hundred matches and two thousand assertions of one dataset; nulls and keys of one side give nothing."""
+    from linkloom.operators import joins
+    from linkloom.plans.review import build_org_links
+
+    chosen = spark.range(102).selectExpr(
+        "case id when 100 then 'k2' when 101 then null else 'k' end as dataset_key", "cast(id as string) as ror_id", "concat('t', id % 3) as title"
+    )
+    by_title = spark.range(3).selectExpr("concat('t', id) as title", "cast(id as string) as affiliation_id")
+    by_key = spark.range(2002).selectExpr(
+        "case id when 2000 then 'k3' when 2001 then null else 'k' end as dataset_key", "cast(id div 2 as string) as assertion_id"
+    )
+    before, joins.BLOCK_ROWS = joins.BLOCK_ROWS, 50
+    try:
+        links = build_org_links(chosen, by_key, by_title)
+    finally:
+        joins.BLOCK_ROWS = before
+    per_task = [r["count"] for r in links.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 200_000 and max(per_task) < 100_000
+    assert links.distinct().count() == 100_000
