@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 from linkloom import rules
 from linkloom.functions.identifiers import doi_key
 from linkloom.functions.papers import once
-from linkloom.operators.joins import lookup_join
+from linkloom.operators.joins import in_all_partitions, lookup_join
 from linkloom.session import stored
 
 
 def citation_links(events: DataFrame, relations: Sequence[str] = tuple(rules.CITATION_RELATIONS)) -> DataFrame:
     """Distinct ``(subj_id, obj_id)`` of the events whose relation is a citation."""
-    cited = events.filter(F.col("relation_type_id").isin(*relations))
-    return cited.select("subj_id", "obj_id").distinct()
+    cited = _cited(events, relations).select("subj_id", "obj_id")
+    return in_all_partitions(cited, "subj_id", "obj_id").distinct()
+
+
+def _cited(events: DataFrame, relations: Sequence[str] = tuple(rules.CITATION_RELATIONS)) -> DataFrame:
+    return events.filter(F.col("relation_type_id").isin(*relations))
 
 
 def citation_events_for(articles: DataFrame, events: DataFrame) -> DataFrame:

@@ -225,3 +225,18 @@ def test_links_of_one_key_are_made_by_all_tasks(spark, conf):
     per_task = [r["count"] for r in links.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(per_task) == 200_000 and max(per_task) < 100_000
     assert links.distinct().count() == 100_000
+
+
+def compared_tables(spark):
+    report = spark.range(40_000).selectExpr("concat('10.1/a', id) as article_doi", "array(concat('10.2/d', id % 30)) as cited")
+    events = report.selectExpr("article_doi as subj_id", "cited[0] as obj_id", "'references' as relation_type_id")
+    return report, events
+
+
+def test_links_that_compress_well_are_not_merged_into_few_tasks(spark, conf):
+    from linkloom.plans import compare
+
+    conf(spark__sql__adaptive__coalescePartitions__parallelismFirst="false")
+    report, events = compared_tables(spark)
+    links = compare.citation_links(events.unionByName(events))
+    assert links.rdd.getNumPartitions() == 8 and links.count() == 40_000
