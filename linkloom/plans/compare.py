@@ -197,9 +197,8 @@ def citation_differences(report: DataFrame, events: DataFrame) -> DataFrame:
 
 def in_events(pairs: DataFrame, events: DataFrame, present: bool = True) -> DataFrame:
     """Pairs ``(article_doi, dataset_doi)`` that are (or are not) recorded as a citation."""
-    links = citation_links(events).select(
-        doi_key(F.col("subj_id")).alias("_article"), doi_key(F.col("obj_id")).alias("_dataset")
-    )
+    # links that repeat change neither a semi nor an anti join
+    links = _cited(events).select(doi_key(F.col("subj_id")).alias("_article"), doi_key(F.col("obj_id")).alias("_dataset"))
     match = (doi_key(pairs["article_doi"]) == links["_article"]) & (doi_key(pairs["dataset_doi"]) == links["_dataset"])
     return pairs.join(links, match, "left_semi" if present else "left_anti")
 

@@ -240,3 +240,12 @@ def test_links_that_compress_well_are_not_merged_into_few_tasks(spark, conf):
     report, events = compared_tables(spark)
     links = compare.citation_links(events.unionByName(events))
     assert links.rdd.getNumPartitions() == 8 and links.count() == 40_000
+
+
+def test_in_events_does_not_reduce_the_links_first(spark):
+    from linkloom.plans import compare
+
+    report, events = compared_tables(spark)
+    pairs = report.selectExpr("article_doi", "cited[0] as dataset_doi")
+    found = compare.in_events(pairs, events.unionByName(events))
+    assert found.count() == 40_000 and "Aggregate" not in plan(found)
