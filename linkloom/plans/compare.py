@@ -214,19 +214,15 @@ def missing_citations(report: DataFrame, events: DataFrame) -> DataFrame:
     entries = entries.withColumns(
         {"_article": doi_key(F.col("article_doi")), "_dataset": doi_key(F.col("dataset_doi"))}
     )
-    links = (
-        citation_links(events)
-        .select(doi_key(F.col("subj_id")).alias("_article"), doi_key(F.col("obj_id")).alias("_dataset"))
-        .distinct()
-        .withColumn("_found", F.lit(True))
-    )
     # on one text key that the aggregate below does not have yet, so that a hot pair is split
     pair = F.concat("_article", F.lit("\u001f"), "_dataset").alias("_pair")
-    links = links.select(pair, "_found")
-    checked = lookup_join(entries.distinct().select("line", "article_doi", "pos", "dataset_doi", pair), links, "_pair")
+    links = _cited(events).select(doi_key(F.col("subj_id")).alias("_article"), doi_key(F.col("obj_id")).alias("_dataset"))
+    links = in_all_partitions(links.select(pair), "_pair").distinct().withColumn("_found", F.lit(True))
+    checked = lookup_join(entries.select("line", "article_doi", "pos", "dataset_doi", pair), links, "_pair")
     entry = F.struct("pos", "dataset_doi", F.col("_found").isNull().alias("absent"))
+    # a set: the entries of equal lines are the same
     lines = checked.groupBy("line", "article_doi").agg(
-        F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), entry))).alias("cited")
+        F.sort_array(F.collect_set(F.when(F.col("pos").isNotNull(), entry))).alias("cited")
     )
     lines = lines.withColumn("absent", F.filter("cited", lambda e: e["absent"]))
 

@@ -249,3 +249,13 @@ def test_in_events_does_not_reduce_the_links_first(spark):
     pairs = report.selectExpr("article_doi", "cited[0] as dataset_doi")
     found = compare.in_events(pairs, events.unionByName(events))
     assert found.count() == 40_000 and "Aggregate" not in plan(found)
+
+
+def test_equal_lines_meet_without_an_aggregate_of_whole_entries(spark):
+    from linkloom.plans import compare
+
+    report, events = compared_tables(spark)
+    missing = compare.missing_citations(report.unionByName(report), events)
+    # equal lines meet in the set of the line's entries, without an aggregate of whole entries
+    assert "keys=[line#" in ran_plan(missing) and "pos#" not in "".join(re.findall(r"keys=\[[^]]*\]", ran_plan(missing)))
+    assert missing.agg(F.count("*"), F.sum("found_count")).first() == (40_000, 40_000)
