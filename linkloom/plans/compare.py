@@ -161,8 +161,13 @@ def compare_citations(report: DataFrame, events: DataFrame) -> DataFrame:
     joined = joined.withColumn("left", F.transform(reported, lambda d: F.lower(d)))
     joined = joined.withColumn("right", F.transform(recorded, lambda d: doi_key(d)))
     joined = joined.withColumn("faced", F.when(as_long, _faced("left", "right")))
-    differ = _search(joined.filter("size(faced.ends) > 0").select("line", "faced.ends"))
-    joined = joined.join(differ.distinct().withColumn("_differs", F.lit(True)), "line", "left")
+    # the lists are built once, and only the lines with something to search for are moved again
+    joined = stored(joined.select("article_doi", "cited", "recorded", "line", "faced"))
+    to_search = F.coalesce(F.size("faced.ends") > 0, F.lit(False))
+    searched = joined.filter(to_search)
+    differ = _search(searched.select("line", "faced.ends")).distinct().withColumn("_differs", F.lit(True))
+    settled = joined.filter(~to_search).withColumn("_differs", F.lit(None).cast("boolean"))
+    joined = settled.unionByName(searched.join(differ, "line", "left"))
     reported_keys = F.transform(reported, lambda d: doi_key(d))
     recorded_keys = F.transform(recorded, lambda d: doi_key(d))
     return joined.select(

@@ -259,3 +259,12 @@ def test_equal_lines_meet_without_an_aggregate_of_whole_entries(spark):
     # equal lines meet in the set of the line's entries, without an aggregate of whole entries
     assert "keys=[line#" in ran_plan(missing) and "pos#" not in "".join(re.findall(r"keys=\[[^]]*\]", ran_plan(missing)))
     assert missing.agg(F.count("*"), F.sum("found_count")).first() == (40_000, 40_000)
+
+
+def test_compared_lists_are_built_once(spark):
+    from linkloom.plans import compare
+
+    report, events = compared_tables(spark)
+    done = compare.compare_citations(report, events)
+    assert "collect_set" not in plan(done)
+    assert done.filter("same").count() == 40_000
