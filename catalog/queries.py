@@ -35,7 +35,7 @@ from linkloom.plans import (
     summaries,
     tag_subjects,
 )
-from linkloom.session import ensure_checkpoint_dir
+from linkloom.session import ensure_checkpoint_dir, stored
 from linkloom.sinks import files
 from linkloom.sinks.keyed_store import KeyedStore
 
@@ -1457,11 +1457,12 @@ def _summary_store(t):
     whole = {name: corpus.tables()[name] for name in live_summaries.COUNTED}
     late = F.coalesce(F.pmod(F.xxhash64("source_id"), F.lit(3)) == 0, F.lit(True))
     links = whole["assertions"]
-    late_links = links.filter(late).select(F.col("id").alias("assertion_id")).distinct()
+    late_links = links.filter(late).select(F.col("id").alias("assertion_id")).distinct().withColumn("late", F.lit(True))
     first, added = {"assertions": links.filter(~late)}, {"assertions": links.filter(late)}
-    for name in live_summaries.BRIDGES:
-        first[name] = whole[name].join(late_links, "assertion_id", "left_anti")
-        added[name] = whole[name].join(late_links, "assertion_id", "left_semi")
+    for name, (column, _) in live_summaries.BRIDGES.items():
+        # parted once for both
+        parted = stored(whole[name].join(late_links, "assertion_id", "left").select(column, "late"))
+        first[name], added[name] = parted.filter("late is null").select(column), parted.filter("late").select(column)
     wrong = {"assertions": links.filter(F.pmod(F.xxhash64("source_id"), F.lit(3)) == 1)}
     store = live_summaries.create_summary_store(first, _scratch(t), 64)
     store = live_summaries.refresh_summaries(store, {**added, **{"assertions": added["assertions"].unionByName(wrong["assertions"])}})

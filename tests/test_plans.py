@@ -268,3 +268,22 @@ def test_compared_lists_are_built_once(spark):
     done = compare.compare_citations(report, events)
     assert "collect_set" not in plan(done)
     assert done.filter("same").count() == 40_000
+
+
+def test_bridges_are_parted_once(spark, tables):
+    from catalog import queries
+    from linkloom.plans import live_summaries
+
+    seen = []
+    real = live_summaries.signed_counts
+
+    def watched(*parts):
+        seen.extend(table for part in parts if part for name, table in part.items() if name != "assertions")
+        return real(*parts)
+
+    live_summaries.signed_counts = watched
+    try:
+        queries._summary_store(tables)
+    finally:
+        live_summaries.signed_counts = real
+    assert len(seen) == 6 and not any("Join" in plan(table) or "Aggregate" in plan(table) for table in seen)
