@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.corpus import BRIDGES, Corpus
+from linkloom.functions.papers import once
 from linkloom.operators.numbering import Numbered
 from linkloom.sinks.named_files import write_named
 
@@ -46,15 +48,18 @@ def json_lines(chunked: DataFrame, numbered: Numbered, rows_per_file: int) -> Da
     ever collected into one value.  Null fields are written, null objects as ``{}``.
     """
     keep_nulls = {"ignoreNullFields": "false"}
+    objects = ("repository", "publisher", "journal")
     fields = []
-    for name in chunked.columns:
-        if name in ("repository", "publisher", "journal"):
-            value = F.coalesce(F.to_json(F.col(name), keep_nulls), F.lit("{}"))
-            fields.append(F.concat(F.lit(f'"{name}":'), value))
-        elif name not in ("chunk", "row_number"):
-            # the object of this one field, without its braces
-            field = F.to_json(F.struct(F.col(name)), keep_nulls)
-            fields.append(field.substr(F.lit(2), F.length(field) - 2))
+    # neighbouring fields are one object, written once
+    for single, names in groupby((c for c in chunked.columns if c not in ("chunk", "row_number")), lambda c: c in objects):
+        if single:
+            for name in names:
+                value = F.coalesce(F.to_json(F.col(name), keep_nulls), F.lit("{}"))
+                fields.append(F.concat(F.lit(f'"{name}":'), value))
+        else:
+            written = F.to_json(F.struct(*names), keep_nulls)
+            # without its braces
+            fields.append(once(written, lambda o: o.substr(F.lit(2), F.length(o) - 2)))
     first = (F.col("row_number") - 1) % rows_per_file == 0
     last = (F.col("row_number") % rows_per_file == 0) | (F.col("row_number") == numbered.total)
     line = F.concat(

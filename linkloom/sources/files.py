@@ -199,5 +199,6 @@ def read_dump(spark: SparkSession, path: str, record_per_line: bool = True) -> D
 
 def dump_records(lines: DataFrame) -> DataFrame:
     """Records of the lines of our own dumps in column ``value``."""
-    record = F.regexp_replace("value", r"^\[|[,\]]$", "")
+    # a record begins and ends with a brace, so what lies around it needs no search through the line
+    record = F.btrim("value", F.lit("[],\r"))
     return lines.select(F.from_json(record, schemas.DETAILS).alias("r")).select("r.*")

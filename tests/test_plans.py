@@ -287,3 +287,15 @@ def test_bridges_are_parted_once(spark, tables):
     finally:
         live_summaries.signed_counts = real
     assert len(seen) == 6 and not any("Join" in plan(table) or "Aggregate" in plan(table) for table in seen)
+
+
+def test_a_record_is_written_by_two_calls(spark, tables):
+    """The fields before and after the three objects, and those."""
+    from linkloom.operators.numbering import number_rows
+    from linkloom.plans import export
+    from linkloom.sinks.files import json_lines
+
+    corpus = corpus_of(tables, named_ends=True)
+    numbered = number_rows(corpus.assertions, "id", 400)
+    lines = json_lines(export.with_chunks(assertion_details_formatted(corpus), numbered), numbered, 400)
+    assert plan(lines).count("StructsToJsonEvaluator") == 5
